@@ -1,0 +1,164 @@
+"""Views over the driver's Parquet tables that stand in for the reference's inputs at scale.
+
+``telemetry`` is derived from ``events``; the ledger tables (``enqueues``, ``dispatches``, ``acks``, ``requeues``,
+``sink_log``) from ``telemetry``; ``attempts`` from ``lineitem``; ``assignments`` from ``orders``. Every view is a
+lazy DataFrame over the whole table, so its work grows with the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from devmetrics.functions.values import NS_PER_HOUR, NS_PER_SECOND, ns_from_timestamp_ntz
+
+ACK_TIMEOUT_NS = 30 * NS_PER_SECOND
+REDELIVERY_DELAY_NS = 40 * NS_PER_SECOND
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _s(c):
+    return c.cast("string")
+
+
+def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical telemetry messages from ``events``, carrying the awkward cases on purpose (empty ids and
+    namespaces, empty model lists, spaced labels, valueless keys, repeated keys, '=' in values, empty keys and labels
+    that collide with columns)."""
+    e = table(spark, sf_dir, "events")
+    k_text = F.regexp_extract("props", "([0-9]+)", 1)
+    node = F.concat(F.lit(",source_node=node-"), _s(F.col("event_id") % 10))
+    labels = (
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("k="), k_text, node))
+        .when(F.col("event_id") % 5 == 1, F.concat(F.lit(" k = "), k_text, F.lit(" ,, flag "), node))
+        .when(F.col("event_id") % 5 == 2, F.concat(F.lit("k=1,k=2,expr=a=b,=orphan"), node))
+        .when(F.col("event_id") % 5 == 3, F.concat(F.lit("namespace=from_label,gpu_id=label_gpu"), node))
+        .otherwise(F.lit(""))
+    )
+    model_csv = (
+        F.when(F.col("user_id") % 3 == 0, F.lit("A100,PCIe"))
+        .when(F.col("user_id") % 3 == 1, F.lit("H100,SXM5"))
+        .otherwise(F.lit(""))
+    )
+    return e.select(
+        F.col("event_id").alias("persist_key"),
+        ns_from_timestamp_ntz(F.col("ts")).alias("timestamp_ns"),
+        F.col("event_type").alias("metric_name"),
+        F.when(F.col("event_id") % 97 == 0, F.lit("")).otherwise(_s(F.col("user_id"))).alias("gpu_id"),
+        F.concat(F.lit("nvidia"), _s(F.col("user_id") % 8)).alias("device"),
+        F.concat(F.lit("GPU-"), _s(F.col("user_id"))).alias("uuid"),
+        F.when(model_csv == "", F.array().cast("array<string>")).otherwise(F.split(model_csv, ",")).alias("model_name"),
+        F.when(F.col("user_id") % 10 == 0, F.lit("")).otherwise(F.concat(F.lit("ns"), _s(F.col("user_id") % 5))).alias(
+            "namespace"
+        ),
+        F.col("value"),
+        labels.alias("labels_raw"),
+        k_text.try_cast("long").alias("k"),
+    )
+
+
+def enqueues(tel: DataFrame) -> DataFrame:
+    return tel.select(
+        "persist_key",
+        F.col("timestamp_ns").alias("enqueued_ns"),
+        F.when(F.col("persist_key") % 50 == 0, "rejected")
+        .when(F.col("persist_key") % 333 == 0, "invalid")
+        .otherwise("enqueued")
+        .alias("outcome"),
+    )
+
+
+def _accepted(tel: DataFrame) -> DataFrame:
+    # The outcome is a function of the key alone, so the accepted set needs no join back to `enqueues`.
+    return tel.where((F.col("persist_key") % 50 != 0) & (F.col("persist_key") % 333 != 0))
+
+
+def dispatches(tel: DataFrame) -> DataFrame:
+    """First delivery for every accepted message; a second one 40 s later for some that were late or never acked."""
+    acc = _accepted(tel)
+    first = acc.select(
+        F.concat(F.lit("d1-"), _s(F.col("persist_key"))).alias("message_id"),
+        "persist_key",
+        F.col("timestamp_ns").alias("sent_ns"),
+    )
+    second = acc.where(
+        ((F.col("metric_name") == "error") | (F.col("k") > 30)) & (F.col("persist_key") % 2 == 0)
+    ).select(
+        F.concat(F.lit("d2-"), _s(F.col("persist_key"))).alias("message_id"),
+        "persist_key",
+        (F.col("timestamp_ns") + REDELIVERY_DELAY_NS).alias("sent_ns"),
+    )
+    return first.unionByName(second)
+
+
+def acks(tel: DataFrame) -> DataFrame:
+    """First deliveries acked after k seconds unless `error`; some second deliveries once or twice; unknown ids;
+    empty ids. Derived row by row from `telemetry` (each dispatch is a function of its message)."""
+    acc = _accepted(tel)
+    first = acc.where(F.col("metric_name") != "error").select(
+        F.concat(F.lit("d1-"), _s(F.col("persist_key"))).alias("message_id"),
+        (F.col("timestamp_ns") + F.col("k") * NS_PER_SECOND).alias("ack_ns"),
+    )
+    d2 = dispatches(tel).where(F.col("message_id").startswith("d2-"))
+    second = d2.where(F.col("persist_key") % 4 == 0).select(
+        "message_id", (F.col("sent_ns") + 5 * NS_PER_SECOND).alias("ack_ns")
+    )
+    third = d2.where(F.col("persist_key") % 8 == 0).select(
+        "message_id", (F.col("sent_ns") + 100 * NS_PER_SECOND).alias("ack_ns")
+    )
+    ghost = tel.where(F.col("persist_key") % 100 == 0).select(
+        F.concat(F.lit("ghost-"), _s(F.col("persist_key"))).alias("message_id"), F.col("timestamp_ns").alias("ack_ns")
+    )
+    empty = tel.where(F.col("persist_key") % 500 == 0).select(
+        F.lit("").alias("message_id"), F.col("timestamp_ns").alias("ack_ns")
+    )
+    return first.unionByName(second).unionByName(third).unionByName(ghost).unionByName(empty)
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Send attempts per message from ``lineitem``; attempt order fixed by every column that could tie.
+    The window is per order (a handful of lines), so no task holds more than one order's lines."""
+    li = table(spark, sf_dir, "lineitem")
+    order = [
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+        "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus",
+    ]
+    w = Window.partitionBy("l_orderkey").orderBy(*order)
+    code = (
+        F.when(F.col("l_returnflag") == "A", "ResourceExhausted")
+        .when(F.col("l_returnflag") == "R", "Unavailable")
+        .when(F.col("l_linestatus") == "O", "OK")
+        .otherwise("InvalidArgument")
+    )
+    return li.select(
+        F.col("l_orderkey").alias("message_key"),
+        (F.row_number().over(w) - 1).cast("long").alias("attempt"),
+        code.alias("code"),
+    )
+
+
+def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GPU ownership changes for the as-of join: one owner per GPU and start time."""
+    o = table(spark, sf_dir, "orders")
+    return (
+        o.groupBy((F.col("o_custkey") % 150).alias("g"), (F.col("o_orderkey") % 720).alias("h"))
+        .agg(F.max("o_orderkey").alias("mx"))
+        .select(
+            _s(F.col("g")).alias("gpu_id"),
+            (F.lit(1704067200000000000) + F.col("h") * NS_PER_HOUR).alias("from_ns"),
+            F.concat(F.lit("wl-"), _s(F.col("mx"))).alias("owner"),
+        )
+    )
+
+
+def model_tiers(spark: SparkSession) -> DataFrame:
+    """Parameter table for K4 (tier per model list)."""
+    return spark.createDataFrame([("A100,PCIe", "gold"), ("H100,SXM5", "platinum")], "model_name_csv string, tier string")
+
+
+def allowlist(spark: SparkSession) -> DataFrame:
+    """Parameter table for K3 (allowed namespaces)."""
+    return spark.createDataFrame([("ns1",), ("ns2",)], "namespace string")
