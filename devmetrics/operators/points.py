@@ -43,7 +43,9 @@ def build_points(telemetry: DataFrame, measurement: str = DEFAULT_MEASUREMENT, a
         tags.alias("tags"),
         build_fields(F.col("metric_name"), F.col("value")).alias("fields"),
     )
-    return pts.select("*", *[F.col("tags").getItem(t).alias(c) for c, t in PROMOTED_TAGS.items()])
+    return pts.select(
+        "*", *[F.col("tags").getItem(t).alias(c) for c, t in PROMOTED_TAGS.items()], series_id(F.col("tags")).alias("series_id")
+    )
 
 
 def upsert_points(points: DataFrame, key: str = "metric", seq_col: str = "persist_key",

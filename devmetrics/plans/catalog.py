@@ -11,11 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from devmetrics.functions.labels import parse_labels, tag_value
+from devmetrics.functions.values import NS_PER_HOUR, truncate_ns
+from devmetrics.operators import aggregates as agg
 from devmetrics.operators import reads
-from devmetrics.operators.points import build_points
+from devmetrics.operators.points import build_points, pivot_fields, series_id, unpivot_fields, upsert_points
 from devmetrics.plans import params as P
 from devmetrics.sources import fixtures as fx
 
+IDENTITY_TAGS = ("gpu_id", "device", "uuid", "namespace", "modelName")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -40,3 +45,114 @@ def telemetry_by_gpu(spark: SparkSession, sf_dir: str) -> DataFrame:
 def list_gpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct effective GPU ids of the last 30 days."""
     return reads.list_gpus(points(spark, sf_dir), P.NOW_NS, days=30)
+
+
+# --- reads, tags, points -------------------------------------------------------------------------------------------
+
+@query
+def telemetry_by_gpu_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B17 + B26 + F1: legacy read, inclusive optional range, five fixed columns."""
+    return reads.telemetry_by_gpu_closed(points(spark, sf_dir), P.FLAGSHIP_GPU, P.FLAGSHIP_START, P.FLAGSHIP_END)
+
+
+@query
+def labels_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every parsed label of every message (repeated keys resolved, last wins)."""
+    t = fx.telemetry(spark, sf_dir)
+    return t.select("persist_key", F.explode(parse_labels(F.col("labels_raw"))).alias("label_key", "label_value"))
+
+
+@query
+def tags_effective(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8 + B22 + B30: the effective tags of every point, one column per tag key, plus the series text."""
+    p = points(spark, sf_dir)
+    return p.select(
+        "persist_key", *[tag_value(F.col("tags"), k).alias(k) for k in P.RESPONSE_TAG_KEYS], "series_id"
+    )
+
+
+def _hourly_identity_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points restamped to the hour and tagged only with the GPU identity tags, so that writes collide."""
+    ident = F.array(*[F.lit(k) for k in IDENTITY_TAGS])
+    p = points(spark, sf_dir)
+    return p.withColumn("timestamp_ns", truncate_ns(F.col("timestamp_ns"), NS_PER_HOUR)).withColumn(
+        "tags", F.map_filter("tags", lambda k, v: F.array_contains(ident, k))
+    )
+
+
+def _upsert_output(df: DataFrame) -> DataFrame:
+    return df.select(
+        *[tag_value(F.col("tags"), k).alias(k) for k in IDENTITY_TAGS], "timestamp_ns",
+        F.col("fields.metric_name").alias("metric_name"), F.col("fields.value").alias("value"), "persist_key",
+    )
+
+
+@query
+def upsert_influx_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9, literal store rule: one point per (measurement, tag set, time), last write wins."""
+    return _upsert_output(upsert_points(_hourly_identity_points(spark, sf_dir), key="influx"))
+
+
+@query
+def upsert_metric_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9, default rule: the key also holds the metric name."""
+    return _upsert_output(upsert_points(_hourly_identity_points(spark, sf_dir), key="metric"))
+
+
+@query
+def pivot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B24 then B23: points -> one row per field -> one row per point again (no loss, typed values)."""
+    p = points(spark, sf_dir)
+    back = pivot_fields(unpivot_fields(p))
+    return back.select("persist_key", "timestamp_ns", "metric_name", "value", series_id(F.col("tags")).alias("series_id"))
+
+
+# --- counts, windows, gaps, retention -------------------------------------------------------------------------------
+
+@query
+def distinct_source_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct source_node tag values."""
+    return agg.distinct_tag(points(spark, sf_dir), "source_node")
+
+
+@query
+def count_by_source_node(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points per source node (balance check)."""
+    return agg.count_by_tag(points(spark, sf_dir), "source_node")
+
+
+@query
+def tag_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: tag keys present in the points."""
+    return agg.tag_keys(points(spark, sf_dir))
+
+
+@query
+def count_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points per series over the day before END."""
+    return agg.count_recent(points(spark, sf_dir), P.END_NS, minutes=24 * 60, by=("series_id",))
+
+
+@query
+def window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts per GPU over [START, END), empty windows included."""
+    return agg.window_count(points(spark, sf_dir), NS_PER_HOUR, P.START_NS, P.END_NS, by=("gpu_id",))
+
+
+@query
+def window_count_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 without empty windows."""
+    return agg.window_count(points(spark, sf_dir), NS_PER_HOUR, P.START_NS, P.END_NS, by=("gpu_id",),
+                            create_empty=False)
+
+
+@query
+def continuity_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged runs of empty hourly windows per GPU over [START, END)."""
+    return agg.continuity_gaps(points(spark, sf_dir), NS_PER_HOUR, P.START_NS, P.END_NS, by=("gpu_id",))
+
+
+@query
+def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points kept by a 30-day retention at NOW."""
+    return reads.apply_retention(points(spark, sf_dir), P.NOW_NS, days=30).select("persist_key", "timestamp_ns")

@@ -27,3 +27,92 @@ SELECT DISTINCT gpu_id FROM points
 WHERE timestamp_ns >= {P.NOW_NS} - 30 * 86400000000000 AND timestamp_ns < {P.NOW_NS}
   AND measurement = 'gpu_metrics' AND gpu_id IS NOT NULL AND gpu_id <> ''
 """)
+
+HOUR = 3_600_000_000_000
+_TAGS = 'gpu_id, device, uuid, namespace, model_name AS "modelName", source_node, tag_k AS k, tag_flag AS flag, tag_expr AS expr'
+_FIRST_W = P.START_NS - P.START_NS % HOUR
+_LAST_W = (P.END_NS - 1) - (P.END_NS - 1) % HOUR
+
+oracle("telemetry_by_gpu_closed", ("points",), f"""
+SELECT timestamp_ns, coalesce(metric_name, '') AS metric_name, coalesce(gpu_id, '') AS gpu_id,
+       coalesce(device, '') AS device, coalesce(value, 0.0) AS value
+FROM points WHERE gpu_id = '{P.FLAGSHIP_GPU}' AND timestamp_ns >= {P.START_NS} AND timestamp_ns <= {P.END_NS}
+ORDER BY timestamp_ns, metric_name, value
+""")
+
+oracle("labels_exploded", ("label_kv",), """
+SELECT persist_key, k AS label_key, v AS label_value FROM label_kv
+""")
+
+oracle("tags_effective", ("points",), f"""
+SELECT persist_key, {_TAGS}, series_id FROM points
+""")
+
+_IDENT = 'gpu_id, device, uuid, namespace, model_name AS "modelName"'
+oracle("upsert_influx_key", ("points",), f"""
+SELECT {_IDENT}, timestamp_ns - timestamp_ns % {HOUR} AS timestamp_ns, metric_name, value, persist_key
+FROM points
+QUALIFY row_number() OVER (PARTITION BY gpu_id, device, uuid, namespace, model_name, timestamp_ns - timestamp_ns % {HOUR}
+                           ORDER BY persist_key DESC) = 1
+""")
+
+oracle("upsert_metric_key", ("points",), f"""
+SELECT {_IDENT}, timestamp_ns - timestamp_ns % {HOUR} AS timestamp_ns, metric_name, value, persist_key
+FROM points
+QUALIFY row_number() OVER (PARTITION BY gpu_id, device, uuid, namespace, model_name, timestamp_ns - timestamp_ns % {HOUR},
+                           metric_name ORDER BY persist_key DESC) = 1
+""")
+
+oracle("pivot_roundtrip", ("points",), """
+SELECT persist_key, timestamp_ns, metric_name, value, series_id FROM points
+""")
+
+oracle("distinct_source_nodes", ("points",), """
+SELECT DISTINCT source_node FROM points WHERE source_node IS NOT NULL
+""")
+
+oracle("count_by_source_node", ("points",), """
+SELECT source_node, count(*) AS points FROM points GROUP BY source_node
+""")
+
+oracle("tag_keys", ("tags_long",), """
+SELECT DISTINCT k AS tag_key FROM tags_long
+""")
+
+oracle("count_recent", ("points",), f"""
+SELECT series_id, count(*) AS points FROM points
+WHERE timestamp_ns >= {P.END_NS - 24 * HOUR} AND timestamp_ns < {P.END_NS}
+GROUP BY series_id
+""")
+
+_GRID = f"""
+rng AS (SELECT gpu_id, timestamp_ns FROM points WHERE timestamp_ns >= {P.START_NS} AND timestamp_ns < {P.END_NS}),
+grid AS (SELECT s.gpu_id, r.range AS w FROM (SELECT DISTINCT gpu_id FROM rng) s, range({_FIRST_W}, {_LAST_W + 1}, {HOUR}) r),
+counts AS (SELECT gpu_id, timestamp_ns - timestamp_ns % {HOUR} AS w, count(*) AS n FROM rng GROUP BY ALL),
+filled AS (SELECT g.gpu_id, g.w, coalesce(c.n, 0) AS n FROM grid g LEFT JOIN counts c
+           ON g.gpu_id IS NOT DISTINCT FROM c.gpu_id AND g.w = c.w)
+"""
+
+oracle("window_count", ("points",), f"""
+, {_GRID.strip()}
+SELECT gpu_id, greatest(w, {P.START_NS}) AS window_start_ns, least(w + {HOUR}, {P.END_NS}) AS window_end_ns,
+       CAST(n AS BIGINT) AS points FROM filled
+""")
+
+oracle("window_count_nonempty", ("points",), f"""
+, {_GRID.strip()}
+SELECT gpu_id, greatest(w, {P.START_NS}) AS window_start_ns, least(w + {HOUR}, {P.END_NS}) AS window_end_ns,
+       CAST(n AS BIGINT) AS points FROM filled WHERE n > 0
+""")
+
+oracle("continuity_gaps", ("points",), f"""
+, {_GRID.strip()}
+SELECT gpu_id, greatest(min(w), {P.START_NS}) AS gap_start_ns, least(max(w) + {HOUR}, {P.END_NS}) AS gap_end_ns,
+       CAST(count(*) AS BIGINT) AS empty_windows
+FROM (SELECT gpu_id, w, w - row_number() OVER (PARTITION BY gpu_id ORDER BY w) * {HOUR} AS grp FROM filled WHERE n = 0)
+GROUP BY gpu_id, grp
+""")
+
+oracle("retention", ("points",), f"""
+SELECT persist_key, timestamp_ns FROM points WHERE timestamp_ns >= {P.NOW_NS - 30 * 24 * HOUR}
+""")
