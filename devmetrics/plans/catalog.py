@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devmetrics.functions.labels import parse_labels, tag_value
-from devmetrics.functions.values import NS_PER_HOUR, truncate_ns
+from devmetrics.functions.values import NS_PER_HOUR, NS_PER_MINUTE, backoff_bound_ms, is_retryable, truncate_ns
 from devmetrics.operators import aggregates as agg
-from devmetrics.operators import reads
+from devmetrics.operators import depth, ledger, reads, sender
 from devmetrics.operators.points import build_points, pivot_fields, series_id, unpivot_fields, upsert_points
 from devmetrics.plans import params as P
 from devmetrics.sources import fixtures as fx
@@ -156,3 +156,165 @@ def continuity_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points kept by a 30-day retention at NOW."""
     return reads.apply_retention(points(spark, sf_dir), P.NOW_NS, days=30).select("persist_key", "timestamp_ns")
+
+
+# --- delivery ledger -----------------------------------------------------------------------------------------------
+
+def _ledger(spark: SparkSession, sf_dir: str):
+    tel = fx.telemetry(spark, sf_dir)
+    return tel, fx.enqueues(tel), fx.dispatches(tel), fx.acks(tel)
+
+
+@query
+def match_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries matched with their first ack, latency, on time within 30 s."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    return ledger.match_acks(d, a, P.ACK_TIMEOUT_NS)
+
+
+@query
+def unknown_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acks for ids never dispatched."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    return ledger.unknown_acks(d, a)
+
+
+@query
+def invalid_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acks with an empty id."""
+    _, _, _, a = _ledger(spark, sf_dir)
+    return ledger.invalid_acks(a)
+
+
+@query
+def unacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted messages never acked (what a restart recovers)."""
+    _, e, d, a = _ledger(spark, sf_dir)
+    return ledger.unacked(e, d, a).select("persist_key", "enqueued_ns")
+
+
+@query
+def expired_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: deliveries not acked by NOW and older than the 30 s timeout."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    return ledger.expired_pending(d, a, P.NOW_NS, P.ACK_TIMEOUT_NS)
+
+
+@query
+def requeue_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: requeue scan tick per delivery (10 s scans from t0 = 0) and whether the ack beat it."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    return ledger.requeue_times(d, a, P.ACK_TIMEOUT_NS, P.SCAN_INTERVAL_NS)
+
+
+@query
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries per durable key."""
+    _, _, d, _ = _ledger(spark, sf_dir)
+    return ledger.deliveries(d)
+
+
+@query
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys delivered at least twice and never acked."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    return ledger.dead_letters(d, a, P.MAX_DELIVERIES)
+
+
+@query
+def queue_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue's counters as (counter, value) rows."""
+    _, e, d, a = _ledger(spark, sf_dir)
+    return ledger.queue_counters(e, d, a, P.ACK_TIMEOUT_NS, P.SCAN_INTERVAL_NS)
+
+
+@query
+def sink_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed / write failed / ack failed over the collector's log."""
+    return ledger.sink_rollup(fx.sink_log(fx.telemetry(spark, sf_dir)))
+
+
+@query
+def at_least_once_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted vs. acked vs. dispatched."""
+    _, e, d, a = _ledger(spark, sf_dir)
+    return ledger.at_least_once_audit(e, d, a)
+
+
+@query
+def reject_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of refused sends, in percent."""
+    _, e, _, _ = _ledger(spark, sf_dir)
+    return ledger.reject_rate(e)
+
+
+@query
+def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p50/p95/p99 ack latency per delivery round (first or second delivery)."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    m = ledger.match_acks(d, a, P.ACK_TIMEOUT_NS).withColumn("delivery", F.substring("message_id", 1, 2))
+    return ledger.latency_percentiles(m, "delivery")
+
+
+def _depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth with consumer lag: each accepted message is popped k minutes after it was accepted."""
+    tel, e, _, _ = _ledger(spark, sf_dir)
+    pops = e.where(F.col("outcome") == "enqueued").join(tel.select("persist_key", "k"), "persist_key").select(
+        "persist_key", (F.col("enqueued_ns") + F.col("k") * NS_PER_MINUTE).alias("sent_ns"))
+    return depth.queue_depth(depth.depth_events(e, pops))
+
+
+@query
+def queue_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ready-list depth after every accept and pop."""
+    return _depth(spark, sf_dir).select("persist_key", "event_ns", "delta", "kind", "depth")
+
+
+@query
+def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepts that leave the queue (max 25) at 80 % or more."""
+    hw = depth.high_water(_depth(spark, sf_dir), P.QUEUE_MAX, P.HIGH_WATER_PCT)
+    return hw.where("high_water").select("persist_key", "event_ns", "depth", "fill_pct")
+
+
+@query
+def saturation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepts a queue of 25 would have refused."""
+    s = depth.saturated(_depth(spark, sf_dir), P.QUEUE_MAX)
+    return s.where("would_reject").select("persist_key", "event_ns", "depth")
+
+
+@query
+def fifo_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 + G1: recovery order of the backlog (unacked) plus requeued deliveries' keys, by durable key."""
+    _, e, d, a = _ledger(spark, sf_dir)
+    backlog = ledger.unacked(e, d, a).select("persist_key")
+    return depth.fifo_order(backlog, bucket_keys=1000)
+
+
+# --- sender --------------------------------------------------------------------------------------------------------
+
+@query
+def retryable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retry decision for every status code in the attempts ledger."""
+    a = fx.attempts(spark, sf_dir)
+    return a.select("code").distinct().select("code", is_retryable(F.col("code")).alias("retryable"))
+
+
+@query
+def backoff_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wait bound (ms) before every retry number seen in the ledger (100 ms, x2, max 5 s)."""
+    a = fx.attempts(spark, sf_dir)
+    return a.select("attempt").distinct().select("attempt", backoff_bound_ms(F.col("attempt")).alias("bound_ms"))
+
+
+@query
+def sender_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome per message with 5 retries."""
+    return sender.sender_rollup(fx.attempts(spark, sf_dir), P.MAX_RETRIES)
+
+
+@query
+def sender_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D11 totals: messages sent / dropped / pending."""
+    return sender.sender_totals(sender.sender_rollup(fx.attempts(spark, sf_dir), P.MAX_RETRIES))

@@ -32,6 +32,14 @@ def _norm(v):
     return v
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "date": "DATE"}
+
+
+def spark_types(sdf) -> dict[str, str]:
+    return {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+
+
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(_norm(r[i]) for i in order) for r in rows]
@@ -62,6 +70,7 @@ def compare(spark, sf_dir: str, names=None, verbose: bool = True) -> dict[str, s
             try:
                 rel = con.sql(ORACLE[name])
                 dcols = rel.columns
+                dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
                 drows = rel.fetchall()
             except Exception as e:  # noqa: BLE001
                 results[name] = f"DUCK-ERROR {str(e)[:300]}"
@@ -70,8 +79,12 @@ def compare(spark, sf_dir: str, names=None, verbose: bool = True) -> dict[str, s
                 continue
             sc, sr = rows_of(scols, srows)
             dc, dr = rows_of(dcols, drows)
+            stypes = spark_types(sdf)
             if sc != dc:
                 results[name] = f"SCHEMA spark={sc} duck={dc}"
+            elif stypes != dtypes:
+                diff = {c: (stypes[c], dtypes.get(c)) for c in stypes if stypes[c] != dtypes.get(c)}
+                results[name] = f"TYPES differ {diff}"
             elif len(sr) != len(dr):
                 results[name] = f"ROWCOUNT spark={len(sr)} duck={len(dr)}"
             elif sr != dr:

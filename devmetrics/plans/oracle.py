@@ -116,3 +116,165 @@ GROUP BY gpu_id, grp
 oracle("retention", ("points",), f"""
 SELECT persist_key, timestamp_ns FROM points WHERE timestamp_ns >= {P.NOW_NS - 30 * 24 * HOUR}
 """)
+
+# --- delivery ledger -----------------------------------------------------------------------------------------------
+_L = ("telemetry", "enqueues", "dispatches", "acks")
+_FA = ", fa AS (SELECT message_id, min(ack_ns) AS ack_ns FROM acks WHERE message_id IS NOT NULL AND message_id <> '' GROUP BY message_id)"
+_TICK = f"(((sent_ns + {P.ACK_TIMEOUT_NS}) // {P.SCAN_INTERVAL_NS}) + 1) * {P.SCAN_INTERVAL_NS}"
+
+oracle("match_acks", _L, f"""
+{_FA}
+SELECT d.message_id, d.persist_key, d.sent_ns, fa.ack_ns, fa.ack_ns - d.sent_ns AS latency_ns,
+       fa.ack_ns - d.sent_ns <= {P.ACK_TIMEOUT_NS} AS on_time
+FROM dispatches d JOIN fa ON d.message_id = fa.message_id
+""")
+
+oracle("unknown_acks", _L, """
+SELECT message_id, ack_ns FROM acks a WHERE message_id <> ''
+  AND NOT EXISTS (SELECT 1 FROM dispatches d WHERE d.message_id = a.message_id)
+""")
+
+oracle("invalid_acks", _L, """
+SELECT message_id, ack_ns FROM acks WHERE message_id IS NULL OR message_id = ''
+""")
+
+oracle("unacked", _L, """
+SELECT persist_key, enqueued_ns FROM enqueues e WHERE outcome = 'enqueued'
+  AND NOT EXISTS (SELECT 1 FROM dispatches d JOIN acks a ON a.message_id = d.message_id
+                  WHERE d.persist_key = e.persist_key AND a.message_id <> '')
+""")
+
+oracle("expired_pending", _L, f"""
+SELECT message_id, persist_key, sent_ns FROM dispatches d
+WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.message_id = d.message_id AND a.ack_ns <= {P.NOW_NS})
+  AND {P.NOW_NS} - sent_ns > {P.ACK_TIMEOUT_NS}
+""")
+
+oracle("requeue_time", _L, f"""
+{_FA}
+SELECT d.message_id, d.persist_key, d.sent_ns, {_TICK} AS requeue_tick_ns, fa.ack_ns AS first_ack_ns,
+       coalesce(fa.ack_ns < {_TICK}, false) AS acked_in_time, NOT coalesce(fa.ack_ns < {_TICK}, false) AS requeued
+FROM dispatches d LEFT JOIN fa ON d.message_id = fa.message_id
+""")
+
+oracle("deliveries", _L, """
+SELECT persist_key, count(*) AS deliveries FROM dispatches GROUP BY persist_key
+""")
+
+_ACKED_KEYS = "SELECT DISTINCT d.persist_key FROM dispatches d JOIN acks a ON a.message_id = d.message_id WHERE a.message_id <> ''"
+
+oracle("dead_letters", _L, f"""
+SELECT persist_key, count(*) AS deliveries FROM dispatches
+WHERE persist_key NOT IN ({_ACKED_KEYS})
+GROUP BY persist_key HAVING count(*) >= {P.MAX_DELIVERIES}
+""")
+
+oracle("queue_counters", _L, f"""
+{_FA},
+rq AS (SELECT coalesce(fa.ack_ns < {_TICK}, false) AS ok FROM dispatches d LEFT JOIN fa ON d.message_id = fa.message_id)
+SELECT 'enqueued' AS counter, count(*) FILTER (WHERE outcome = 'enqueued') AS value FROM enqueues
+UNION ALL SELECT 'rejected', count(*) FILTER (WHERE outcome = 'rejected') FROM enqueues
+UNION ALL SELECT 'invalid', count(*) FILTER (WHERE outcome = 'invalid') FROM enqueues
+UNION ALL SELECT 'dispatched', count(*) FROM dispatches
+UNION ALL SELECT 'acked', count(*) FILTER (WHERE ok) FROM rq
+UNION ALL SELECT 'requeued', count(*) FILTER (WHERE NOT ok) FROM rq
+UNION ALL SELECT 'unknown_acks', count(*) FROM acks a WHERE message_id <> ''
+  AND NOT EXISTS (SELECT 1 FROM dispatches d WHERE d.message_id = a.message_id)
+UNION ALL SELECT 'invalid_acks', count(*) FROM acks WHERE message_id IS NULL OR message_id = ''
+UNION ALL SELECT 'recovered', count(*) FROM enqueues WHERE outcome = 'enqueued' AND persist_key NOT IN ({_ACKED_KEYS})
+""")
+
+oracle("sink_rollup", _L, f"""
+{_FA},
+sl AS (SELECT t.metric_name <> 'error' AS write_ok, (t.metric_name <> 'error') AND fa.ack_ns IS NOT NULL AS ack_ok
+       FROM dispatches d JOIN telemetry t ON d.persist_key = t.persist_key LEFT JOIN fa ON d.message_id = fa.message_id)
+SELECT count(*) AS processed, count(*) FILTER (WHERE NOT write_ok) AS write_failed,
+       count(*) FILTER (WHERE write_ok AND NOT ack_ok) AS ack_failed FROM sl
+""")
+
+oracle("at_least_once_audit", _L, f"""
+, acc AS (SELECT persist_key FROM enqueues WHERE outcome = 'enqueued')
+SELECT 'accepted' AS "check", count(*) AS value FROM acc
+UNION ALL SELECT 'dispatched_keys', count(DISTINCT persist_key) FROM dispatches
+UNION ALL SELECT 'dispatches', count(*) FROM dispatches
+UNION ALL SELECT 'unique_acked', count(*) FROM acc WHERE persist_key IN ({_ACKED_KEYS})
+UNION ALL SELECT 'missing', count(*) FROM acc WHERE persist_key NOT IN ({_ACKED_KEYS})
+UNION ALL SELECT 'never_dispatched', count(*) FROM acc WHERE persist_key NOT IN (SELECT persist_key FROM dispatches)
+""")
+
+oracle("reject_rate", _L, """
+SELECT count(*) AS attempts, count(*) FILTER (WHERE outcome = 'rejected') AS rejected,
+       round(avg(CASE WHEN outcome = 'rejected' THEN 1.0 ELSE 0.0 END) * 100, 6) AS reject_rate_pct
+FROM enqueues
+""")
+
+oracle("latency_percentiles", _L, f"""
+{_FA}
+SELECT substr(d.message_id, 1, 2) AS delivery, count(*) AS acked,
+       quantile_disc(fa.ack_ns - d.sent_ns, 0.5) AS p50_ns, quantile_disc(fa.ack_ns - d.sent_ns, 0.95) AS p95_ns,
+       quantile_disc(fa.ack_ns - d.sent_ns, 0.99) AS p99_ns
+FROM dispatches d JOIN fa ON d.message_id = fa.message_id GROUP BY 1
+""")
+
+_DEPTH = f"""
+, ev AS (SELECT persist_key, enqueued_ns AS event_ns, 1 AS delta, 'accept' AS kind FROM enqueues WHERE outcome = 'enqueued'
+         UNION ALL
+         SELECT e.persist_key, e.enqueued_ns + t.k * 60000000000, -1, 'dispatch'
+         FROM enqueues e JOIN telemetry t ON e.persist_key = t.persist_key WHERE e.outcome = 'enqueued'),
+dep AS (SELECT persist_key, event_ns, delta, kind,
+        CAST(sum(delta) OVER (ORDER BY event_ns, delta, persist_key, kind ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth
+        FROM ev)
+"""
+
+oracle("queue_depth", _L, f"""
+{_DEPTH}
+SELECT persist_key, event_ns, CAST(delta AS INTEGER) AS delta, kind, depth FROM dep
+""")
+
+oracle("high_water", _L, f"""
+{_DEPTH}
+SELECT persist_key, event_ns, depth, depth * 100 // {P.QUEUE_MAX} AS fill_pct FROM dep
+WHERE kind = 'accept' AND depth * 100 // {P.QUEUE_MAX} >= {P.HIGH_WATER_PCT}
+""")
+
+oracle("saturation", _L, f"""
+{_DEPTH}
+SELECT persist_key, event_ns, depth FROM dep WHERE kind = 'accept' AND depth - 1 >= {P.QUEUE_MAX}
+""")
+
+oracle("fifo_order", _L, f"""
+SELECT persist_key, CAST(row_number() OVER (ORDER BY persist_key) AS BIGINT) AS position
+FROM enqueues WHERE outcome = 'enqueued' AND persist_key NOT IN ({_ACKED_KEYS})
+""")
+
+# --- sender --------------------------------------------------------------------------------------------------------
+oracle("retryable", ("attempts",), """
+SELECT DISTINCT code, coalesce(code IN ('ResourceExhausted', 'Unavailable', 'DeadlineExceeded'), false) AS retryable
+FROM attempts
+""")
+
+oracle("backoff_bound", ("attempts",), """
+SELECT DISTINCT attempt, least(100.0 * pow(2.0, attempt), 5000.0) AS bound_ms FROM attempts
+""")
+
+_ROLLUP = f"""
+, term AS (SELECT message_key, attempt, code FROM attempts WHERE attempt <= {P.MAX_RETRIES}
+           AND (code = 'OK' OR (code NOT IN ('ResourceExhausted', 'Unavailable', 'DeadlineExceeded') AND code <> 'LogicalFailure')
+                OR attempt = {P.MAX_RETRIES})),
+first_term AS (SELECT message_key, min(attempt) AS attempt, arg_min(code, attempt) AS code FROM term GROUP BY message_key),
+roll AS (SELECT m.message_key,
+           CASE WHEN f.message_key IS NULL THEN 'pending' WHEN f.code = 'OK' THEN 'sent' ELSE 'dropped' END AS outcome,
+           f.attempt + 1 AS attempts_used, f.code AS final_code
+         FROM (SELECT DISTINCT message_key FROM attempts WHERE attempt <= {P.MAX_RETRIES}) m
+         LEFT JOIN first_term f ON m.message_key = f.message_key)
+"""
+
+oracle("sender_rollup", ("attempts",), f"""
+{_ROLLUP}
+SELECT message_key, outcome, CAST(attempts_used AS BIGINT) AS attempts_used, final_code FROM roll
+""")
+
+oracle("sender_totals", ("attempts",), f"""
+{_ROLLUP}
+SELECT outcome, count(*) AS messages FROM roll GROUP BY outcome
+""")

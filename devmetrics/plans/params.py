@@ -13,7 +13,7 @@ ACK_TIMEOUT_NS = 30 * NS_PER_SECOND
 SCAN_INTERVAL_NS = 10 * NS_PER_SECOND
 MAX_RETRIES = 5
 MAX_DELIVERIES = 2
-QUEUE_MAX = 30
+QUEUE_MAX = 25
 HIGH_WATER_PCT = 80
 
 # Tag keys of the open response rows (as listed by the `tag_keys` query over the data).
