@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from devmetrics.functions.values import truncate_ns
 
 
-def _cols(names: Sequence[str]) -> list[Column]:
-    return [F.col(n) for n in names]
+def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``on`` where null keys match each other (a null GPU id is a group like any other)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in on]
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in on])
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], time_col: str, tiebreak: str, carry: Sequence[str],
@@ -43,7 +46,7 @@ def previous_row(df: DataFrame, keys: Sequence[str], time_col: str, tiebreak: st
     )
     wb = Window.partitionBy(*keys).orderBy("_bucket")
     carry_in = last.select(*keys, "_bucket", F.lag("_last").over(wb).alias("_carry"))
-    joined = within.join(carry_in, [*keys, "_bucket"], "left")
+    joined = _join_null_safe(within, carry_in, [*keys, "_bucket"], "left")
     out = joined.select(
         *[F.col(c) for c in df.columns],
         *[
@@ -104,7 +107,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
         .select(*keys, "_bucket", "_carry")
     )
     # r_last rows at the same bucket sort after the left bucket row, so `_carry` only holds earlier buckets.
-    j = within.join(carry, [*keys, "_bucket"], "left")
+    j = _join_null_safe(within, carry, [*keys, "_bucket"], "left")
     m = F.coalesce(F.col("_match"), F.col("_carry"))
     return j.select(*lcols, *[m.getField(p).alias(p) for p in payload], m.getField("_rt").alias(right_time))
 
@@ -126,5 +129,5 @@ def running_sum(df: DataFrame, order: Sequence[str], value_col: str, bucket: Col
     )
     wi = Window.partitionBy(*partition, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     within = b.withColumn("_run", F.sum(value_col).over(wi))
-    j = within.join(offsets, [*partition, "_bucket"], "inner")
+    j = _join_null_safe(within, offsets, [*partition, "_bucket"], "inner")
     return j.select(*df.columns, (F.col("_off") + F.col("_run")).cast("long").alias(out_col))

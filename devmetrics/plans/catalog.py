@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devmetrics.functions.labels import parse_labels, tag_value
-from devmetrics.functions.values import NS_PER_HOUR, NS_PER_MINUTE, backoff_bound_ms, is_retryable, truncate_ns
+from devmetrics.functions.values import NS_PER_DAY, NS_PER_HOUR, NS_PER_MINUTE, backoff_bound_ms, is_retryable, truncate_ns
 from devmetrics.operators import aggregates as agg
-from devmetrics.operators import depth, ledger, reads, sender
+from devmetrics.operators import depth, enrich, ledger, reads, sender
 from devmetrics.operators.points import build_points, pivot_fields, series_id, unpivot_fields, upsert_points
 from devmetrics.plans import params as P
 from devmetrics.sources import fixtures as fx
@@ -318,3 +318,89 @@ def sender_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sender_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D11 totals: messages sent / dropped / pending."""
     return sender.sender_totals(sender.sender_rollup(fx.attempts(spark, sf_dir), P.MAX_RETRIES))
+
+
+# --- enrichment (second wave) --------------------------------------------------------------------------------------
+
+def _flat_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = points(spark, sf_dir)
+    return p.select("persist_key", "timestamp_ns", "gpu_id", "namespace", "model_name", "source_node",
+                    F.col("fields.metric_name").alias("metric_name"), F.col("fields.value").alias("value"))
+
+
+@query
+def attach_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: owner of the GPU at each point's time (as-of join on assignments)."""
+    p = _flat_points(spark, sf_dir).select("persist_key", "gpu_id", "timestamp_ns")
+    return enrich.attach_owner(p, fx.assignments(spark, sf_dir), bucket_ns=NS_PER_DAY)
+
+
+@query
+def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: trailing 6-hour mean per GPU and metric."""
+    p = _flat_points(spark, sf_dir).select("persist_key", "gpu_id", "metric_name", "timestamp_ns", "value")
+    r = enrich.rolling_mean(p, P.ROLLING_WIDTH_NS, bucket_ns=NS_PER_DAY)
+    return r.select("persist_key", "gpu_id", "metric_name", "timestamp_ns",
+                    F.round("rolling_mean", 6).alias("rolling_mean"), "window_points")
+
+
+@query
+def allow_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: points of allowed namespaces only."""
+    p = _flat_points(spark, sf_dir).select("persist_key", "namespace")
+    return enrich.allow_namespaces(p, fx.allowlist(spark))
+
+
+@query
+def sla_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: SLA tier per point from its model list, default tier otherwise."""
+    p = _flat_points(spark, sf_dir).select("persist_key", "model_name")
+    return enrich.map_sla_tier(p, fx.model_tiers(spark))
+
+
+@query
+def derivative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: change per second against the previous point of the same GPU and metric."""
+    p = _flat_points(spark, sf_dir).select("persist_key", "gpu_id", "metric_name", "timestamp_ns", "value")
+    d = enrich.derivative(p, bucket_ns=NS_PER_DAY)
+    return d.select("persist_key", "gpu_id", "metric_name", "timestamp_ns", "prev_timestamp_ns",
+                    F.round("per_second", 6).alias("per_second"))
+
+
+@query
+def gpu_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: last point per GPU at NOW and whether it is silent for more than a day."""
+    return agg.gpu_down(_flat_points(spark, sf_dir), P.NOW_NS, NS_PER_DAY)
+
+
+@query
+def gpu_silences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: closed silences longer than two days per GPU."""
+    return agg.gpu_silences(points(spark, sf_dir), 2 * NS_PER_DAY, bucket_ns=NS_PER_DAY)
+
+
+@query
+def latest_by_gpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: latest point per GPU and metric."""
+    return agg.latest_by_gpu(points(spark, sf_dir))
+
+
+@query
+def points_around(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: GPU 7's points within 12 hours of 2024-01-15T00:00:00Z."""
+    p = reads.points_around(points(spark, sf_dir), P.FLAGSHIP_GPU, P.AROUND_NS, minutes=12 * 60)
+    return p.select("persist_key", "timestamp_ns", F.col("fields.metric_name").alias("metric_name"),
+                    F.col("fields.value").alias("value"))
+
+
+@query
+def partition_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: points per partition with numeric GPU ids spread over 16 partitions."""
+    return enrich.partition_depth(points(spark, sf_dir), 16, method="integer")
+
+
+@query
+def write_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily write rate per source node."""
+    return agg.write_rate(points(spark, sf_dir), NS_PER_DAY, by=("source_node",)).withColumn(
+        "points_per_second", F.round("points_per_second", 9))

@@ -278,3 +278,69 @@ oracle("sender_totals", ("attempts",), f"""
 {_ROLLUP}
 SELECT outcome, count(*) AS messages FROM roll GROUP BY outcome
 """)
+
+# --- enrichment (second wave) --------------------------------------------------------------------------------------
+DAY = 24 * HOUR
+
+oracle("attach_owner", ("points", "assignments"), """
+SELECT p.persist_key, p.gpu_id, p.timestamp_ns, a.owner, a.from_ns
+FROM points p ASOF LEFT JOIN assignments a ON p.gpu_id = a.gpu_id AND p.timestamp_ns >= a.from_ns
+""")
+
+oracle("rolling_mean", ("points",), f"""
+SELECT persist_key, gpu_id, metric_name, timestamp_ns,
+  round(avg(value) OVER w, 6) AS rolling_mean, count(*) OVER w AS window_points
+FROM points
+WINDOW w AS (PARTITION BY gpu_id, metric_name ORDER BY timestamp_ns
+             RANGE BETWEEN {P.ROLLING_WIDTH_NS - 1} PRECEDING AND CURRENT ROW)
+""")
+
+oracle("allow_namespaces", ("points",), """
+SELECT persist_key, namespace FROM points WHERE namespace IN ('ns1', 'ns2')
+""")
+
+oracle("sla_tier", ("points",), """
+SELECT persist_key, model_name,
+  CASE model_name WHEN 'A100,PCIe' THEN 'gold' WHEN 'H100,SXM5' THEN 'platinum' ELSE 'standard' END AS tier
+FROM points
+""")
+
+oracle("derivative", ("points",), """
+SELECT persist_key, gpu_id, metric_name, timestamp_ns, prev_ts AS prev_timestamp_ns,
+  round(CASE WHEN timestamp_ns <> prev_ts THEN (value - prev_v) / ((timestamp_ns - prev_ts) / 1e9) END, 6) AS per_second
+FROM (SELECT *, lag(timestamp_ns) OVER w AS prev_ts, lag(value) OVER w AS prev_v FROM points
+      WINDOW w AS (PARTITION BY gpu_id, metric_name ORDER BY timestamp_ns, persist_key))
+""")
+
+oracle("gpu_down", ("points",), f"""
+SELECT gpu_id, max(timestamp_ns) AS last_seen_ns, {P.NOW_NS} - max(timestamp_ns) AS silent_ns,
+       {P.NOW_NS} - max(timestamp_ns) > {DAY} AS is_down
+FROM points WHERE gpu_id IS NOT NULL GROUP BY gpu_id
+""")
+
+oracle("gpu_silences", ("points",), f"""
+SELECT gpu_id, prev_ts AS silent_from_ns, timestamp_ns AS silent_to_ns, timestamp_ns - prev_ts AS silent_ns
+FROM (SELECT gpu_id, timestamp_ns, lag(timestamp_ns) OVER (PARTITION BY gpu_id ORDER BY timestamp_ns, persist_key) AS prev_ts
+      FROM points WHERE gpu_id IS NOT NULL)
+WHERE timestamp_ns - prev_ts > {2 * DAY}
+""")
+
+oracle("latest_by_gpu", ("points",), """
+SELECT gpu_id, metric_name, timestamp_ns, value, persist_key FROM points WHERE gpu_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY gpu_id, metric_name ORDER BY timestamp_ns DESC, persist_key DESC) = 1
+""")
+
+oracle("points_around", ("points",), f"""
+SELECT persist_key, timestamp_ns, metric_name, value FROM points
+WHERE gpu_id = '{P.FLAGSHIP_GPU}' AND timestamp_ns BETWEEN {P.AROUND_NS - 12 * HOUR} AND {P.AROUND_NS + 12 * HOUR}
+""")
+
+oracle("partition_depth", ("points",), """
+SELECT CAST(TRY_CAST(gpu_id AS BIGINT) % 16 AS BIGINT) AS partition, count(*) AS points FROM points GROUP BY 1
+""")
+
+oracle("write_rate", ("points",), f"""
+SELECT source_node, timestamp_ns - timestamp_ns % {DAY} AS bucket_ns, count(*) AS points,
+       round(count(*) / {DAY / 1e9}, 9) AS points_per_second
+FROM points GROUP BY 1, 2
+""")

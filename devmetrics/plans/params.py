@@ -15,6 +15,8 @@ MAX_RETRIES = 5
 MAX_DELIVERIES = 2
 QUEUE_MAX = 25
 HIGH_WATER_PCT = 80
+ROLLING_WIDTH_NS = 6 * 3600 * NS_PER_SECOND
+AROUND_NS = 1_705_276_800 * NS_PER_SECOND  # 2024-01-15T00:00:00Z
 
 # Tag keys of the open response rows (as listed by the `tag_keys` query over the data).
 RESPONSE_TAG_KEYS = ("gpu_id", "device", "uuid", "namespace", "modelName", "source_node", "k", "flag", "expr")
