@@ -12,12 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devmetrics.functions.labels import parse_labels, tag_value
-from devmetrics.functions.values import NS_PER_DAY, NS_PER_HOUR, NS_PER_MINUTE, backoff_bound_ms, is_retryable, truncate_ns
+from devmetrics.functions.times import parse_rfc3339_ns
+from devmetrics.functions.values import NS_PER_DAY, NS_PER_HOUR, NS_PER_MINUTE, backoff_bound_ms, is_retryable, is_safe_identifier, truncate_ns
 from devmetrics.operators import aggregates as agg
 from devmetrics.operators import depth, enrich, ledger, reads, sender
 from devmetrics.operators.points import build_points, pivot_fields, series_id, unpivot_fields, upsert_points
 from devmetrics.plans import params as P
+from devmetrics.session import scratch_path
 from devmetrics.sources import fixtures as fx
+from devmetrics.sources.backlog import read_backlog, write_backlog
+from devmetrics.sources.csv import quote_csv_field, read_metrics_csv
+from devmetrics.sources.points_store import entries_to_json, read_points, write_points
 
 IDENTITY_TAGS = ("gpu_id", "device", "uuid", "namespace", "modelName")
 
@@ -404,3 +409,92 @@ def write_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily write rate per source node."""
     return agg.write_rate(points(spark, sf_dir), NS_PER_DAY, by=("source_node",)).withColumn(
         "points_per_second", F.round("points_per_second", 9))
+
+
+# --- sources and sinks ---------------------------------------------------------------------------------------------
+
+def _csv_lines(tel: DataFrame) -> DataFrame:
+    """Telemetry rendered as quoted CSV lines (recorded ns time first), with bad values and short rows mixed in."""
+    key = F.col("persist_key")
+    value_text = (
+        F.when(key % 37 == 0, F.lit("NaN")).when(key % 41 == 0, F.lit("n/a")).when(key % 43 == 0, F.lit("1e999"))
+        .when(key % 47 == 0, F.concat(F.lit(" "), F.col("value").cast("string")))
+        .otherwise(F.col("value").cast("string"))
+    )
+    models = [F.coalesce(F.get(F.col("model_name"), i), F.lit("")) for i in range(4)]
+    fields = [F.col("timestamp_ns").cast("string"), F.col("metric_name"), F.col("gpu_id"), F.col("device"),
+              F.col("uuid"), *models, F.col("namespace"), value_text, F.col("labels_raw")]
+    quoted = [quote_csv_field(f) for f in fields]
+    line = F.when(key % 53 == 0, F.concat_ws(",", *quoted[:3])).otherwise(F.concat_ws(",", *quoted))
+    return tel.select(line.alias("value"))
+
+
+@query
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + B1-B6: telemetry written as CSV text to the shared folder, read back positionally; every row is either
+    a canonical message or a reject with its reason."""
+    path = scratch_path(spark, "csv-ingest")
+    _csv_lines(fx.telemetry(spark, sf_dir)).write.mode("overwrite").text(path)
+    rows = read_metrics_csv(spark, path, source_node="node-a", event_time="recorded", header=False)
+    return rows.select("timestamp_ns", "metric_name", "gpu_id", F.array_join("model_name", ",").alias("model_names"),
+                       "namespace", "value", "labels_raw", "reject_reason")
+
+
+@query
+def backlog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 then A3: the un-acked backlog (C3) written as JSON lines and recovered."""
+    tel, e, d, a = _ledger(spark, sf_dir)
+    backlog = tel.join(ledger.unacked(e, d, a).select("persist_key"), "persist_key", "left_semi")
+    path = scratch_path(spark, "backlog")
+    write_backlog(backlog, path)
+    back = read_backlog(spark, path)
+    return back.select("persist_key", "timestamp_ns", "metric_name", "gpu_id",
+                       F.array_join("model_name", ",").alias("model_names"), "namespace", "value", "labels_raw")
+
+
+@query
+def points_store_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 then A7: points written to the date-partitioned store and GPU 7's [START, END) read back."""
+    path = scratch_path(spark, "points")
+    write_points(points(spark, sf_dir), path)
+    p = read_points(spark, path, P.START_NS, P.END_NS, measurement="gpu_metrics")
+    return reads.filter_gpu(p, P.FLAGSHIP_GPU).select(
+        "persist_key", "timestamp_ns", F.col("fields.metric_name").alias("metric_name"),
+        F.col("fields.value").alias("value"), "series_id")
+
+
+@query
+def entries_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship's response rows as JSON objects, absent tags omitted."""
+    rows = telemetry_by_gpu(spark, sf_dir)
+    return rows.select("timestamp_ns", entries_to_json(rows).alias("entry"))
+
+
+@query
+def safe_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct tag value and document source, checked as a safe identifier."""
+    p = points(spark, sf_dir)
+    vals = p.select(F.explode(F.map_values("tags")).alias("candidate"))
+    srcs = fx.table(spark, sf_dir, "documents").select(F.col("source").alias("candidate"))
+    return vals.unionByName(srcs).distinct().select("candidate", is_safe_identifier(F.col("candidate")).alias("is_safe"))
+
+
+def rfc3339_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times written four ways: with fraction and Z, with a +05:30 offset, with a space, without a zone."""
+    e = fx.table(spark, sf_dir, "events")
+    ts = F.col("ts")
+    text = (
+        F.when(F.col("event_id") % 4 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+        .when(F.col("event_id") % 4 == 1,
+              F.concat(F.date_format(ts + F.expr("INTERVAL 330 MINUTES"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:30")))
+        .when(F.col("event_id") % 4 == 2, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+    )
+    return e.select("event_id", text.alias("text"))
+
+
+@query
+def rfc3339_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict RFC 3339 parse of event-time texts to exact ns (null when refused)."""
+    t = rfc3339_texts(spark, sf_dir)
+    return t.select("event_id", "text", parse_rfc3339_ns(F.col("text")).alias("parsed_ns"))

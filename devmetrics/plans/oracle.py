@@ -344,3 +344,68 @@ SELECT source_node, timestamp_ns - timestamp_ns % {DAY} AS bucket_ns, count(*) A
        round(count(*) / {DAY / 1e9}, 9) AS points_per_second
 FROM points GROUP BY 1, 2
 """)
+
+# --- sources and sinks ---------------------------------------------------------------------------------------------
+_FLOAT_RE = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+
+oracle("csv_ingest", ("telemetry",), f"""
+, src AS (
+  SELECT persist_key, timestamp_ns, metric_name, gpu_id, model_name_csv, namespace, labels_raw,
+    CASE WHEN persist_key % 37 = 0 THEN 'NaN' WHEN persist_key % 41 = 0 THEN 'n/a' WHEN persist_key % 43 = 0 THEN '1e999'
+         WHEN persist_key % 47 = 0 THEN ' ' || CAST(value AS VARCHAR) ELSE CAST(value AS VARCHAR) END AS vtext
+  FROM telemetry),
+parsed AS (
+  SELECT *, CASE WHEN regexp_full_match(vtext, '{_FLOAT_RE}') THEN TRY_CAST(vtext AS DOUBLE) END AS v FROM src)
+SELECT timestamp_ns,
+  metric_name, gpu_id,
+  CASE WHEN persist_key % 53 = 0 THEN ',,,'
+       WHEN model_name_csv = '' THEN ',,,' ELSE model_name_csv || ',,' END AS model_names,
+  CASE WHEN persist_key % 53 = 0 THEN '' ELSE namespace END AS namespace,
+  CASE WHEN persist_key % 53 = 0 OR NOT isfinite(v) THEN NULL ELSE v END AS value,
+  CASE WHEN persist_key % 53 = 0 THEN '' ELSE labels_raw END || ',source_node=node-a' AS labels_raw,
+  CASE WHEN persist_key % 53 = 0 THEN 'incomplete record'
+       WHEN NOT regexp_full_match(vtext, '{_FLOAT_RE}') THEN 'invalid value'
+       WHEN v IS NULL OR NOT isfinite(v) THEN 'not finite' END AS reject_reason
+FROM parsed
+""")
+
+oracle("backlog_roundtrip", _L, f"""
+SELECT persist_key, timestamp_ns, metric_name, gpu_id,
+  CASE WHEN model_name_csv = '' THEN '' ELSE model_name_csv END AS model_names, namespace, value, labels_raw
+FROM telemetry WHERE persist_key IN (SELECT persist_key FROM enqueues WHERE outcome = 'enqueued')
+  AND persist_key NOT IN ({_ACKED_KEYS})
+""")
+
+oracle("points_store_read", ("points",), f"""
+SELECT persist_key, timestamp_ns, metric_name, value, series_id FROM points
+WHERE timestamp_ns >= {P.START_NS} AND timestamp_ns < {P.END_NS} AND gpu_id = '{P.FLAGSHIP_GPU}'
+""")
+
+oracle("entries_json", ("points",), f"""
+SELECT timestamp_ns, regexp_replace(
+  json_object('timestamp_ns', timestamp_ns, 'measurement', measurement, 'gpu_id', gpu_id, 'device', device,
+              'uuid', uuid, 'namespace', namespace, 'modelName', model_name, 'source_node', source_node,
+              'k', tag_k, 'flag', tag_flag, 'expr', tag_expr, 'metric_name', metric_name, 'value', value)::VARCHAR,
+  ',"[A-Za-z_]+":null', '', 'g') AS entry
+FROM points
+WHERE timestamp_ns >= {P.START_NS} AND timestamp_ns < {P.END_NS} AND gpu_id = '{P.FLAGSHIP_GPU}'
+""")
+
+oracle("safe_identifiers", ("tags_long",), """
+SELECT candidate, regexp_full_match(candidate, '[A-Za-z0-9_.:-]+') AS is_safe
+FROM (SELECT v AS candidate FROM tags_long UNION SELECT source FROM documents)
+""")
+
+oracle("rfc3339_checks", (), r"""
+, t AS (
+  SELECT event_id, CASE event_id % 4
+    WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')
+    WHEN 1 THEN strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S') || '+05:30'
+    WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+    ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS text
+  FROM events)
+SELECT event_id, text,
+  CASE WHEN regexp_full_match(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})')
+       THEN epoch_us(TRY_CAST(text AS TIMESTAMPTZ)) * 1000 END AS parsed_ns
+FROM t
+""")

@@ -137,6 +137,9 @@ def with_views(names: tuple[str, ...] | list[str], body: str) -> str:
 
     for n in names:
         visit(n)
+    body = body.strip()
+    if not order:
+        return f"WITH {body.lstrip(',').strip()}" if body.startswith(",") else body
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][1]}\n)" for n in order)
     # A body starting with ',' adds its own CTEs to the list.
-    return f"WITH {ctes}\n{body.strip()}"
+    return f"WITH {ctes}\n{body}"
