@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from devmetrics.functions.labels import parse_labels, tag_value
 from devmetrics.functions.times import parse_rfc3339_ns
@@ -19,6 +20,7 @@ from devmetrics.operators import depth, enrich, ledger, reads, sender
 from devmetrics.operators.points import build_points, pivot_fields, series_id, unpivot_fields, upsert_points
 from devmetrics.plans import params as P
 from devmetrics.session import scratch_path
+from devmetrics.streaming import streams
 from devmetrics.sources import fixtures as fx
 from devmetrics.sources.backlog import read_backlog, write_backlog
 from devmetrics.sources.csv import quote_csv_field, read_metrics_csv
@@ -498,3 +500,64 @@ def rfc3339_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strict RFC 3339 parse of event-time texts to exact ns (null when refused)."""
     t = rfc3339_texts(spark, sf_dir)
     return t.select("event_id", "text", parse_rfc3339_ns(F.col("text")).alias("parsed_ns"))
+
+
+# --- streaming (run to completion with availableNow, output read back from the batch folders) ----------------------
+
+def _run_stream(spark: SparkSession, df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+    base = scratch_path(spark, name)
+    out = f"{base}/out"
+    q = streams.start_batches(df, streams.batch_dir_writer(out), f"{base}/checkpoint", output_mode)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    schema = T.StructType([*df.schema.fields, T.StructField("batch_id", T.IntegerType())])
+    return spark.read.schema(schema).parquet(out)
+
+
+@query
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I5 + A6 (+ I6 statistics): events stream -> points -> idempotent batch folders, read back."""
+    pts = streams.ingest_stream(streams.events_stream(spark, sf_dir))
+    flat = pts.select("persist_key", "timestamp_ns", "gpu_id", "device", "namespace", "source_node", "series_id")
+    out = _run_stream(spark, flat, "stream-ingest")
+    return out.drop("batch_id")
+
+
+@query
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivery writes its message's point (a redelivery repeats it); the stream keeps one per key."""
+    tel = fx.telemetry_from_events(streams.events_stream(spark, sf_dir))
+    pts = build_points(tel)
+    copies = build_points(fx.redelivered(tel))
+    both = pts.unionByName(copies).select("persist_key", "timestamp_ns", "series_id",
+                                          F.col("fields.metric_name").alias("metric_name"))
+    out = _run_stream(spark, streams.dedup_stream(both), "stream-dedup")
+    return out.select("persist_key", "timestamp_ns", "series_id", "metric_name")
+
+
+@query
+def stream_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4: hourly counts per GPU on the stream (update mode), latest update per window read back."""
+    pts = build_points(fx.telemetry_from_events(streams.events_stream(spark, sf_dir)))
+    counts = streams.window_count_stream(pts, "1 hour", "1 hour", by=("gpu_id",))
+    base = scratch_path(spark, "stream-window-count")
+    q = streams.start_batches(counts, streams.batch_dir_writer(f"{base}/out"), f"{base}/checkpoint", "update")
+    q.awaitTermination()
+    return streams.latest_window_counts(spark, f"{base}/out", by=("gpu_id",))
+
+
+@query
+def stream_ack_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries not acked within 30 s, from a stream-stream outer join with watermarks (flushed at the end
+    of the replay by a marker event, which is dropped from the result)."""
+    base = scratch_path(spark, "stream-ack-timeout")
+    events = streams.events_with_flush(spark, sf_dir, f"{base}/flush")
+    tel = fx.telemetry_from_events(events)
+    timed_out = streams.ack_timeout_stream(fx.dispatches(tel), fx.acks(tel))
+    streams.run_to_end_with_flush(spark, sf_dir, f"{base}/flush", timed_out,
+                                  streams.batch_dir_writer(f"{base}/out"), f"{base}/checkpoint")
+    schema = T.StructType([*timed_out.schema.fields, T.StructField("batch_id", T.IntegerType())])
+    out = spark.read.schema(schema).parquet(f"{base}/out")
+    return out.where(F.col("persist_key") != streams.FLUSH_EVENT_ID).select("message_id", "persist_key", "sent_ns",
+                                                                             "reason")

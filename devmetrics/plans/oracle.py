@@ -409,3 +409,24 @@ SELECT event_id, text,
        THEN epoch_us(TRY_CAST(text AS TIMESTAMPTZ)) * 1000 END AS parsed_ns
 FROM t
 """)
+
+# --- streaming: same results as the batch forms --------------------------------------------------------------------
+oracle("stream_ingest", ("points",), """
+SELECT persist_key, timestamp_ns, gpu_id, device, namespace, source_node, series_id FROM points
+""")
+
+oracle("stream_dedup", ("points",), """
+SELECT persist_key, timestamp_ns, series_id, metric_name FROM points
+""")
+
+oracle("stream_window_count", ("points",), f"""
+SELECT gpu_id, timestamp_ns - timestamp_ns % {HOUR} AS window_start_ns,
+       timestamp_ns - timestamp_ns % {HOUR} + {HOUR} AS window_end_ns, count(*) AS points
+FROM points GROUP BY 1, 2, 3
+""")
+
+oracle("stream_ack_timeout", _L, f"""
+SELECT d.message_id, d.persist_key, d.sent_ns, 'timeout' AS reason FROM dispatches d
+WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.message_id = d.message_id AND a.message_id <> ''
+                  AND a.ack_ns >= d.sent_ns AND a.ack_ns <= d.sent_ns + {P.ACK_TIMEOUT_NS})
+""")

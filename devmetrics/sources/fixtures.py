@@ -28,7 +28,11 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical telemetry messages from ``events``, carrying the awkward cases on purpose (empty ids and
     namespaces, empty model lists, spaced labels, valueless keys, repeated keys, '=' in values, empty keys and labels
     that collide with columns)."""
-    e = table(spark, sf_dir, "events")
+    return telemetry_from_events(table(spark, sf_dir, "events"))
+
+
+def telemetry_from_events(e: DataFrame) -> DataFrame:
+    """The ``telemetry`` projection of an ``events`` frame (batch or streaming): row by row, no shuffle."""
     k_text = F.regexp_extract("props", "([0-9]+)", 1)
     node = F.concat(F.lit(",source_node=node-"), _s(F.col("event_id") % 10))
     labels = (
@@ -84,9 +88,7 @@ def dispatches(tel: DataFrame) -> DataFrame:
         "persist_key",
         F.col("timestamp_ns").alias("sent_ns"),
     )
-    second = acc.where(
-        ((F.col("metric_name") == "error") | (F.col("k") > 30)) & (F.col("persist_key") % 2 == 0)
-    ).select(
+    second = redelivered(tel).select(
         F.concat(F.lit("d2-"), _s(F.col("persist_key"))).alias("message_id"),
         "persist_key",
         (F.col("timestamp_ns") + REDELIVERY_DELAY_NS).alias("sent_ns"),
@@ -94,6 +96,12 @@ def dispatches(tel: DataFrame) -> DataFrame:
     return first.unionByName(second)
 
 
+def redelivered(tel: DataFrame) -> DataFrame:
+    """Accepted messages that get a second delivery (late or never acked, even keys)."""
+    return _accepted(tel).where(
+        ((F.col("metric_name") == "error") | (F.col("k") > 30)) & (F.col("persist_key") % 2 == 0))
+
+
 def acks(tel: DataFrame) -> DataFrame:
     """First deliveries acked after k seconds unless `error`; some second deliveries once or twice; unknown ids;
     empty ids. Derived row by row from `telemetry` (each dispatch is a function of its message)."""
