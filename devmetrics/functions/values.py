@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # leading point, optional exponent). Spark's cast alone also takes ' 10.5', '1d' and hex floats.
 FLOAT_TEXT = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 
+# Special float words the reference's parser accepts (case-insensitive) and then refuses as not finite.
+NON_FINITE_TEXT = r"(?i)\A[+-]?(inf|infinity|nan)\z"
+
 # Characters allowed in a safe identifier.
 SAFE_IDENTIFIER = r"\A[A-Za-z0-9_.:-]+\z"
 
@@ -29,12 +32,14 @@ def parse_value(text: Column) -> Column:
 
 
 def value_reject_reason(text: Column) -> Column:
-    """Why a value text is refused, or null when it is a finite float."""
+    """Why a value text is refused, or null when it is a finite float: ``not finite`` for NaN/Inf words,
+    ``invalid value`` for anything else that is not a decimal float, including overflow such as ``1e999``."""
     d = text.try_cast("double")
     return (
         F.when(text.isNull(), F.lit("incomplete record"))
+        .when(text.rlike(NON_FINITE_TEXT), F.lit("not finite"))
         .when(~text.rlike(FLOAT_TEXT), F.lit("invalid value"))
-        .when(d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit("not finite"))
+        .when(d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit("invalid value"))
     )
 
 

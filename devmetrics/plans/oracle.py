@@ -364,8 +364,9 @@ SELECT timestamp_ns,
   CASE WHEN persist_key % 53 = 0 OR NOT isfinite(v) THEN NULL ELSE v END AS value,
   CASE WHEN persist_key % 53 = 0 THEN '' ELSE labels_raw END || ',source_node=node-a' AS labels_raw,
   CASE WHEN persist_key % 53 = 0 THEN 'incomplete record'
+       WHEN regexp_full_match(lower(vtext), '[+-]?(inf|infinity|nan)') THEN 'not finite'
        WHEN NOT regexp_full_match(vtext, '{_FLOAT_RE}') THEN 'invalid value'
-       WHEN v IS NULL OR NOT isfinite(v) THEN 'not finite' END AS reject_reason
+       WHEN v IS NULL OR NOT isfinite(v) THEN 'invalid value' END AS reject_reason
 FROM parsed
 """)
 
