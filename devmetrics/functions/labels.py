@@ -1,7 +1,8 @@
 """Label text -> tag map, and the tag precedence rules of a point.
 
-All of it is built from higher-order SQL functions, so it runs inside whole-stage code generation with no Python
-on the executors.
+All of it is built-in SQL expressions (higher-order array/map functions plus code-generated string functions), so it
+runs in the JVM with no Python on the executors. The higher-order functions are evaluated without code generation,
+so the entries are built once per row and reused (see ``build_points``).
 """
 
 from __future__ import annotations
@@ -10,9 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that count as white space when a label is trimmed (Unicode White_Space, as the
-# reference's trim uses). Spark's own `trim` removes only U+0020, so an anchored regex is used instead.
-WHITE_SPACE_CLASS = (
-    "[\\t\\n\\u000B\\f\\r \\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
+# reference's trim uses). Spark's one-argument `trim` removes only U+0020; the two-argument form takes a set.
+WHITE_SPACE_CHARS = (
+    "\t\n\u000b\u000c\r \u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # The message columns that become tags, and the tag name each one writes.
@@ -21,8 +24,8 @@ MODEL_TAG = "modelName"
 
 
 def unicode_trim(c: Column) -> Column:
-    """Remove leading and trailing Unicode white space."""
-    return F.regexp_replace(c, f"\\A{WHITE_SPACE_CLASS}+|{WHITE_SPACE_CLASS}+\\z", "")
+    """Remove leading and trailing Unicode white space (set-based trim, code-generated)."""
+    return F.trim(c, F.lit(WHITE_SPACE_CHARS))
 
 
 def _label_entry(pair: Column) -> Column:
@@ -49,8 +52,14 @@ def parse_labels(labels_raw: Column) -> Column:
     """``a=1, b = 2,flag`` -> MAP {a:1, b:2, flag:''}. A repeated key keeps its last value.
 
     ``str_to_map`` is not used: it keeps empty pieces, does not trim and raises on repeated keys.
+    In a DataFrame, prefer ``label_entries`` in one projection and ``labels_from_entries`` in the next, so the
+    entries are built once per row (``build_points`` does so).
     """
-    entries = label_entries(labels_raw)
+    return labels_from_entries(label_entries(labels_raw))
+
+
+def labels_from_entries(entries: Column) -> Column:
+    """Entries (text order) -> map with the last value of each key."""
     keys = F.array_distinct(F.transform(entries, lambda e: e["k"]))
     values = F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["k"] == k), -1)["v"])
     return F.map_from_arrays(keys, values)
@@ -61,6 +70,19 @@ def join_model_name(model_name: Column) -> Column:
     return F.when(F.size(model_name) > 0, F.array_join(model_name, ",", ""))
 
 
+def effective_tag(entries: Column, name: str, column: Column) -> Column:
+    """The value tag ``name`` ends up with (B8) straight from label entries, without building the map: the
+    non-empty column wins, else the last label of that name, else null."""
+    from_label = F.try_element_at(F.filter(entries, lambda e: e["k"] == name), F.lit(-1))["v"]
+    return F.when(F.coalesce(column, F.lit("")) != "", column).otherwise(from_label)
+
+
+def effective_model_tag(entries: Column, model_name: Column) -> Column:
+    """``modelName`` from entries: the joined list when it has an element, else the last label of that name."""
+    from_label = F.try_element_at(F.filter(entries, lambda e: e["k"] == MODEL_TAG), F.lit(-1))["v"]
+    return F.when(F.coalesce(F.size(model_name) > 0, F.lit(False)), join_model_name(model_name)).otherwise(from_label)
+
+
 def build_tags(
     labels: Column,
     gpu_id: Column,

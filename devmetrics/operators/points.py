@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devmetrics.functions.labels import build_tags, parse_labels, series_key
+from devmetrics.functions.labels import (build_tags, effective_model_tag, effective_tag, label_entries,
+                                         labels_from_entries, series_key)
 from devmetrics.functions.values import resolve_time
 
 DEFAULT_MEASUREMENT = "gpu_metrics"
 
-# Tags promoted to real columns beside the map: map values are not pruned or pushed down to Parquet, columns are.
-PROMOTED_TAGS = {"gpu_id": "gpu_id", "device": "device", "uuid": "uuid", "namespace": "namespace",
-                 "model_name": "modelName", "source_node": "source_node"}
+# Tags are also promoted to real columns beside the map (gpu_id, device, uuid, namespace, model_name, source_node):
+# map values are not pruned or pushed down to Parquet, columns are.
 
 
 def build_fields(metric_name: Column, value: Column) -> Column:
@@ -32,20 +32,25 @@ def build_points(telemetry: DataFrame, measurement: str = DEFAULT_MEASUREMENT, a
 
     ``persist_key`` is kept as the ingest sequence used by last-write-wins. A narrow projection: no shuffle.
     """
+    staged = telemetry.select("*", label_entries(F.col("labels_raw")).alias("_kv"))
+    kv = F.col("_kv")
     tags = build_tags(
-        parse_labels(F.col("labels_raw")), F.col("gpu_id"), F.col("device"), F.col("uuid"), F.col("namespace"),
+        labels_from_entries(kv), F.col("gpu_id"), F.col("device"), F.col("uuid"), F.col("namespace"),
         F.col("model_name"),
     )
-    pts = telemetry.select(
+    # Promoted tags come straight from the entries, so a query reading only them never builds the map.
+    promoted = [effective_tag(kv, t, F.col(t)).alias(t) for t in ("gpu_id", "device", "uuid", "namespace")]
+    promoted += [effective_model_tag(kv, F.col("model_name")).alias("model_name"),
+                 F.try_element_at(F.filter(kv, lambda e: e["k"] == "source_node"), F.lit(-1))["v"].alias("source_node")]
+    pts = staged.select(
         F.col("persist_key"),
         F.lit(measurement).alias("measurement"),
         resolve_time(F.col("timestamp_ns"), arrival_ns).alias("timestamp_ns"),
         tags.alias("tags"),
         build_fields(F.col("metric_name"), F.col("value")).alias("fields"),
+        *promoted,
     )
-    return pts.select(
-        "*", *[F.col("tags").getItem(t).alias(c) for c, t in PROMOTED_TAGS.items()], series_id(F.col("tags")).alias("series_id")
-    )
+    return pts.select("*", series_id(F.col("tags")).alias("series_id"))
 
 
 def upsert_points(points: DataFrame, key: str = "metric", seq_col: str = "persist_key",
