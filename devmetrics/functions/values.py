@@ -70,8 +70,17 @@ def backoff_wait_ms(attempt: Column, seed: int, **bound_kwargs) -> Column:
 
 
 def ns_from_timestamp_ntz(ts: Column) -> Column:
-    """Nanoseconds since the epoch of a TIMESTAMP_NTZ (independent of the session zone)."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts) * NS_PER_US
+    """Nanoseconds since the epoch of a TIMESTAMP_NTZ read as UTC, independent of the session zone.
+
+    Built from calendar parts (day number, hour, minute, seconds with fraction): ``timestampdiff`` and casts would
+    go through a zoned TIMESTAMP and shift by an hour across a daylight-saving change in non-UTC sessions."""
+    micros = (
+        F.unix_date(F.to_date(ts)).cast("long") * (86_400 * 1_000_000)
+        + F.hour(ts).cast("long") * 3_600_000_000
+        + F.minute(ts).cast("long") * 60_000_000
+        + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    )
+    return micros * NS_PER_US
 
 
 def floor_div(ns: Column, unit: int) -> Column:

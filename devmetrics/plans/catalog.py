@@ -81,7 +81,7 @@ def tags_effective(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _hourly_identity_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points restamped to the hour and tagged only with the GPU identity tags, so that writes collide."""
     ident = F.array(*[F.lit(k) for k in IDENTITY_TAGS])
-    p = points(spark, sf_dir)
+    p = points(spark, sf_dir).select("persist_key", "measurement", "timestamp_ns", "tags", "fields")
     return p.withColumn("timestamp_ns", truncate_ns(F.col("timestamp_ns"), NS_PER_HOUR)).withColumn(
         "tags", F.map_filter("tags", lambda k, v: F.array_contains(ident, k))
     )

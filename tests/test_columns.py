@@ -125,3 +125,13 @@ def test_utc_date_is_zone_independent(spark):
     # 2024-01-01T03:00:00Z is still 2023-12-31 in New York (the session zone of these tests).
     d = spark.range(1).select(ns_to_utc_date(F.lit(1704078000 * 10**9)).alias("d")).first().d
     assert str(d) == "2024-01-01"
+
+
+def test_ns_from_timestamp_ntz_ignores_daylight_saving(spark):
+    from devmetrics.functions.values import ns_from_timestamp_ntz
+
+    # July is daylight-saving time in the session zone (America/New_York); the result must still be UTC-based.
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-07-01 12:34:56.123456' AS ts, TIMESTAMP_NTZ'1969-12-31 23:59:59.5' AS old")
+    r = df.select(ns_from_timestamp_ntz(F.col("ts")).alias("a"), ns_from_timestamp_ntz(F.col("old")).alias("b")).first()
+    assert r.a == 1719837296123456000
+    assert r.b == -500_000_000
