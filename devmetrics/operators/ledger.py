@@ -76,8 +76,20 @@ def requeues(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: i
 
 
 def ready_after_requeue(backlog: DataFrame, requeued: DataFrame) -> DataFrame:
-    """G1: requeued messages rejoin the ready list (keys only; FIFO order by ``fifo_order``)."""
-    return backlog.select("persist_key").unionByName(requeued.select("persist_key"))
+    """G1: requeued messages rejoin the ready list behind the recovered backlog: (persist_key, source, ready_ns);
+    the backlog is ready at restart (``ready_ns`` null), a requeued delivery at its requeue tick."""
+    return backlog.select("persist_key", F.lit("backlog").alias("source"), F.lit(None).cast("long").alias("ready_ns")) \
+        .unionByName(requeued.select("persist_key", F.lit("requeue").alias("source"),
+                                     F.col("requeued_ns").alias("ready_ns")))
+
+
+def late_acks(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
+    """Acks that arrive after their delivery was requeued: accepted, but without effect on ``acked``."""
+    d = dispatches.select("message_id", "sent_ns", requeue_tick(F.col("sent_ns"), timeout_ns, scan_ns, t0_ns)
+                          .alias("requeue_tick_ns"))
+    a = acks.where(non_empty(F.col("message_id")))
+    return a.join(d, "message_id").where(F.col("ack_ns") >= F.col("requeue_tick_ns")).select(
+        "message_id", "ack_ns", "requeue_tick_ns")
 
 
 def deliveries(dispatches: DataFrame) -> DataFrame:
@@ -91,34 +103,42 @@ def dead_letters(dispatches: DataFrame, acks: DataFrame, max_deliveries: int) ->
     return d.join(acked_keys(dispatches, acks), "persist_key", "left_anti")
 
 
-def _counter(name: str, df: DataFrame, cond: Column | None = None) -> DataFrame:
-    c = F.count(F.lit(1)) if cond is None else F.count_if(cond)
-    return df.agg(c.cast("long").alias("value")).select(F.lit(name).alias("counter"), "value")
+def _as_rows(wide: DataFrame, name_col: str = "counter") -> DataFrame:
+    """One-row frame of LONG counters -> (name, value) rows (``stack``: no join, no extra pass)."""
+    cols = wide.columns
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS BIGINT)" for c in cols)
+    return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (`{name_col}`, value)")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def queue_counters(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame, timeout_ns: int,
                    scan_ns: int) -> DataFrame:
-    """The queue's counters as (counter, value) rows, one aggregate per ledger table (no cross join).
+    """The queue's counters as (counter, value) rows. Five single-row aggregates (one per derived table),
+    unpivoted: no cross join.
 
     ``acked`` counts deliveries acked before their requeue tick (a later ack finds no pending entry); ``recovered``
     is what a restart would reload (C3)."""
-    e = enqueues
-    rq = requeue_times(dispatches, acks, timeout_ns, scan_ns)
-    parts = [
-        _counter("enqueued", e, F.col("outcome") == "enqueued"),
-        _counter("rejected", e, F.col("outcome") == "rejected"),
-        _counter("invalid", e, F.col("outcome") == "invalid"),
-        _counter("dispatched", dispatches),
-        _counter("acked", rq, F.col("acked_in_time")),
-        _counter("requeued", rq, F.col("requeued")),
-        _counter("unknown_acks", unknown_acks(dispatches, acks)),
-        _counter("invalid_acks", invalid_acks(acks)),
-        _counter("recovered", unacked(enqueues, dispatches, acks)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    outcome = F.col("outcome")
+    e = enqueues.agg(
+        F.count_if(outcome == "enqueued").alias("enqueued"),
+        F.count_if(outcome == "rejected").alias("rejected"),
+        F.count_if(outcome == "invalid").alias("invalid"),
+    )
+    rq = requeue_times(dispatches, acks, timeout_ns, scan_ns).agg(
+        F.count(F.lit(1)).alias("dispatched"),
+        F.count_if(F.col("acked_in_time")).alias("acked"),
+        F.count_if(F.col("requeued")).alias("requeued"),
+    )
+    unknown = unknown_acks(dispatches, acks).agg(F.count(F.lit(1)).alias("unknown_acks"))
+    invalid = invalid_acks(acks).agg(F.count(F.lit(1)).alias("invalid_acks"))
+    recovered = unacked(enqueues, dispatches, acks).agg(F.count(F.lit(1)).alias("recovered"))
+    return _union([_as_rows(x) for x in (e, rq, unknown, invalid, recovered)])
 
 
 def sink_rollup(sink_log: DataFrame) -> DataFrame:
@@ -131,21 +151,21 @@ def sink_rollup(sink_log: DataFrame) -> DataFrame:
 
 
 def at_least_once_audit(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame) -> DataFrame:
-    """Accepted vs. uniquely acked vs. dispatched, as (check, value) rows; ``missing`` lists nothing but
-    counts the accepted keys never acked (the keys themselves are C3)."""
+    """Accepted vs. uniquely acked vs. dispatched, as (check, value) rows. One row per accepted key with its
+    delivery count and acked flag (two joins on the unique key), then one aggregate; ``missing`` counts the accepted
+    keys never acked (the keys themselves are C3)."""
     accepted = enqueues.where(F.col("outcome") == "enqueued").select("persist_key")
-    parts = [
-        _counter("accepted", accepted),
-        _counter("dispatched_keys", dispatches.select("persist_key").distinct()),
-        _counter("dispatches", dispatches),
-        _counter("unique_acked", acked_keys(dispatches, acks).join(accepted, "persist_key", "left_semi")),
-        _counter("missing", accepted.join(acked_keys(dispatches, acks), "persist_key", "left_anti")),
-        _counter("never_dispatched", accepted.join(dispatches.select("persist_key"), "persist_key", "left_anti")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumnRenamed("counter", "check")
+    per_key = deliveries(dispatches)
+    acked = acked_keys(dispatches, acks).withColumn("_acked", F.lit(True))
+    acc = accepted.join(per_key, "persist_key", "left").join(acked, "persist_key", "left")
+    acc_stats = acc.agg(
+        F.count(F.lit(1)).alias("accepted"),
+        F.count_if(F.col("_acked").isNotNull()).alias("unique_acked"),
+        F.count_if(F.col("_acked").isNull()).alias("missing"),
+        F.count_if(F.col("deliveries").isNull()).alias("never_dispatched"),
+    )
+    disp_stats = per_key.agg(F.count(F.lit(1)).alias("dispatched_keys"), F.sum("deliveries").alias("dispatches"))
+    return _union([_as_rows(acc_stats, "check"), _as_rows(disp_stats, "check")])
 
 
 def reject_rate(enqueues: DataFrame) -> DataFrame:

@@ -36,22 +36,24 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
-def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_points(fx.telemetry(spark, sf_dir))
+def points(spark: SparkSession, sf_dir: str, start_ns: int | None = None, stop_ns: int | None = None) -> DataFrame:
+    """Points of the driver's events; a known time range is pushed to the scan (the read operators still apply the
+    exact ns range)."""
+    return build_points(fx.telemetry(spark, sf_dir, start_ns, stop_ns))
 
 
 @query
 def telemetry_by_gpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 flagship: one GPU's points in [start, end), last write wins, open response rows."""
     return reads.telemetry_by_gpu(
-        points(spark, sf_dir), P.FLAGSHIP_GPU, P.RESPONSE_TAG_KEYS, P.FLAGSHIP_START, P.FLAGSHIP_END
+        points(spark, sf_dir, P.START_NS, P.END_NS), P.FLAGSHIP_GPU, P.RESPONSE_TAG_KEYS, P.FLAGSHIP_START, P.FLAGSHIP_END
     )
 
 
 @query
 def list_gpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct effective GPU ids of the last 30 days."""
-    return reads.list_gpus(points(spark, sf_dir), P.NOW_NS, days=30)
+    return reads.list_gpus(points(spark, sf_dir, P.NOW_NS - 30 * NS_PER_DAY, P.NOW_NS), P.NOW_NS, days=30)
 
 
 # --- reads, tags, points -------------------------------------------------------------------------------------------
@@ -59,7 +61,8 @@ def list_gpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def telemetry_by_gpu_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B17 + B26 + F1: legacy read, inclusive optional range, five fixed columns."""
-    return reads.telemetry_by_gpu_closed(points(spark, sf_dir), P.FLAGSHIP_GPU, P.FLAGSHIP_START, P.FLAGSHIP_END)
+    return reads.telemetry_by_gpu_closed(points(spark, sf_dir, P.START_NS, P.END_NS + 1), P.FLAGSHIP_GPU,
+                                         P.FLAGSHIP_START, P.FLAGSHIP_END)
 
 
 @query
@@ -114,6 +117,15 @@ def pivot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("persist_key", "timestamp_ns", "metric_name", "value", series_id(F.col("tags")).alias("series_id"))
 
 
+@query
+def unpivot_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store's long shape, one row per point and field, typed value columns."""
+    from devmetrics.operators.points import unpivot_fields as unpivot
+
+    long_rows = unpivot(points(spark, sf_dir))
+    return long_rows.select("persist_key", "timestamp_ns", "_field", "_value_string", "_value_double")
+
+
 # --- counts, windows, gaps, retention -------------------------------------------------------------------------------
 
 @query
@@ -137,32 +149,36 @@ def tag_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def count_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points per series over the day before END."""
-    return agg.count_recent(points(spark, sf_dir), P.END_NS, minutes=24 * 60, by=("series_id",))
+    return agg.count_recent(points(spark, sf_dir, P.END_NS - NS_PER_DAY, P.END_NS), P.END_NS, minutes=24 * 60,
+                            by=("series_id",))
 
 
 @query
 def window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly counts per GPU over [START, END), empty windows included."""
-    return agg.window_count(points(spark, sf_dir), NS_PER_HOUR, P.START_NS, P.END_NS, by=("gpu_id",))
+    return agg.window_count(points(spark, sf_dir, P.START_NS, P.END_NS), NS_PER_HOUR, P.START_NS, P.END_NS,
+                            by=("gpu_id",))
 
 
 @query
 def window_count_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6 without empty windows."""
-    return agg.window_count(points(spark, sf_dir), NS_PER_HOUR, P.START_NS, P.END_NS, by=("gpu_id",),
-                            create_empty=False)
+    return agg.window_count(points(spark, sf_dir, P.START_NS, P.END_NS), NS_PER_HOUR, P.START_NS, P.END_NS,
+                            by=("gpu_id",), create_empty=False)
 
 
 @query
 def continuity_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged runs of empty hourly windows per GPU over [START, END)."""
-    return agg.continuity_gaps(points(spark, sf_dir), NS_PER_HOUR, P.START_NS, P.END_NS, by=("gpu_id",))
+    return agg.continuity_gaps(points(spark, sf_dir, P.START_NS, P.END_NS), NS_PER_HOUR, P.START_NS, P.END_NS,
+                               by=("gpu_id",))
 
 
 @query
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points kept by a 30-day retention at NOW."""
-    return reads.apply_retention(points(spark, sf_dir), P.NOW_NS, days=30).select("persist_key", "timestamp_ns")
+    kept = reads.apply_retention(points(spark, sf_dir, P.NOW_NS - 30 * NS_PER_DAY), P.NOW_NS, days=30)
+    return kept.select("persist_key", "timestamp_ns")
 
 
 # --- delivery ledger -----------------------------------------------------------------------------------------------
@@ -299,6 +315,28 @@ def fifo_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return depth.fifo_order(backlog, bucket_keys=1000)
 
 
+@query
+def requeue_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``requeues`` ledger derived from E5 (message, key, requeue time, reason)."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    return ledger.requeues(d, a, P.ACK_TIMEOUT_NS, P.SCAN_INTERVAL_NS)
+
+
+@query
+def ready_after_requeue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: the ready list after a restart: recovered backlog plus requeued deliveries' keys."""
+    _, e, d, a = _ledger(spark, sf_dir)
+    backlog = ledger.unacked(e, d, a)
+    return ledger.ready_after_requeue(backlog, ledger.requeues(d, a, P.ACK_TIMEOUT_NS, P.SCAN_INTERVAL_NS))
+
+
+@query
+def late_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acks that came after their delivery's requeue tick (ignored by the queue)."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    return ledger.late_acks(d, a, P.ACK_TIMEOUT_NS, P.SCAN_INTERVAL_NS)
+
+
 # --- sender --------------------------------------------------------------------------------------------------------
 
 @query
@@ -395,7 +433,9 @@ def latest_by_gpu(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def points_around(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K8: GPU 7's points within 12 hours of 2024-01-15T00:00:00Z."""
-    p = reads.points_around(points(spark, sf_dir), P.FLAGSHIP_GPU, P.AROUND_NS, minutes=12 * 60)
+    half = 12 * NS_PER_HOUR
+    p = reads.points_around(points(spark, sf_dir, P.AROUND_NS - half, P.AROUND_NS + half + 1), P.FLAGSHIP_GPU,
+                            P.AROUND_NS, minutes=12 * 60)
     return p.select("persist_key", "timestamp_ns", F.col("fields.metric_name").alias("metric_name"),
                     F.col("fields.value").alias("value"))
 

@@ -431,3 +431,33 @@ SELECT d.message_id, d.persist_key, d.sent_ns, 'timeout' AS reason FROM dispatch
 WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.message_id = d.message_id AND a.message_id <> ''
                   AND a.ack_ns >= d.sent_ns AND a.ack_ns <= d.sent_ns + {P.ACK_TIMEOUT_NS})
 """)
+
+# --- ledger shapes and long form -------------------------------------------------------------------------------------
+oracle("requeue_ledger", _L, f"""
+{_FA}
+SELECT d.message_id, d.persist_key, {_TICK} AS requeued_ns, 'timeout' AS reason
+FROM dispatches d LEFT JOIN fa ON d.message_id = fa.message_id
+WHERE NOT coalesce(fa.ack_ns < {_TICK}, false)
+""")
+
+oracle("ready_after_requeue", _L, f"""
+{_FA}
+SELECT persist_key, 'backlog' AS source, CAST(NULL AS BIGINT) AS ready_ns FROM enqueues
+WHERE outcome = 'enqueued' AND persist_key NOT IN ({_ACKED_KEYS})
+UNION ALL
+SELECT d.persist_key, 'requeue', {_TICK} FROM dispatches d LEFT JOIN fa ON d.message_id = fa.message_id
+WHERE NOT coalesce(fa.ack_ns < {_TICK}, false)
+""")
+
+oracle("late_acks", _L, f"""
+SELECT a.message_id, a.ack_ns, {_TICK} AS requeue_tick_ns
+FROM acks a JOIN dispatches d ON a.message_id = d.message_id
+WHERE a.message_id <> '' AND a.ack_ns >= {_TICK}
+""")
+
+oracle("unpivot_fields", ("points",), """
+SELECT persist_key, timestamp_ns, 'metric_name' AS _field, metric_name AS _value_string,
+       CAST(NULL AS DOUBLE) AS _value_double FROM points
+UNION ALL
+SELECT persist_key, timestamp_ns, 'value', CAST(NULL AS VARCHAR), value FROM points
+""")

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from devmetrics.functions.values import NS_PER_HOUR, NS_PER_SECOND, ns_from_timestamp_ntz
+import datetime as dt
+
+from devmetrics.functions.values import NS_PER_HOUR, NS_PER_SECOND, NS_PER_US, ns_from_timestamp_ntz
 
 ACK_TIMEOUT_NS = 30 * NS_PER_SECOND
 REDELIVERY_DELAY_NS = 40 * NS_PER_SECOND
@@ -24,11 +26,25 @@ def _s(c):
     return c.cast("string")
 
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+def telemetry(spark: SparkSession, sf_dir: str, start_ns: int | None = None, stop_ns: int | None = None) -> DataFrame:
     """Canonical telemetry messages from ``events``, carrying the awkward cases on purpose (empty ids and
     namespaces, empty model lists, spaced labels, valueless keys, repeated keys, '=' in values, empty keys and labels
-    that collide with columns)."""
-    return telemetry_from_events(table(spark, sf_dir, "events"))
+    that collide with columns).
+
+    ``start_ns``/``stop_ns`` state a time range on the raw ``ts`` column as well (a superset, to the microsecond),
+    so it reaches the Parquet scan as a pushed filter; the exact ns range is applied by the read operators."""
+    e = table(spark, sf_dir, "events")
+    if start_ns is not None:
+        e = e.where(F.col("ts") >= _ntz(start_ns // NS_PER_US))
+    if stop_ns is not None:
+        e = e.where(F.col("ts") <= _ntz(-(-stop_ns // NS_PER_US)))
+    return telemetry_from_events(e)
+
+
+def _ntz(micros: int):
+    """TIMESTAMP_NTZ literal for a count of microseconds since the epoch (UTC wall clock, zone-free)."""
+    t = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def telemetry_from_events(e: DataFrame) -> DataFrame:
