@@ -118,11 +118,9 @@ def pivot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def unpivot_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fields_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store's long shape, one row per point and field, typed value columns."""
-    from devmetrics.operators.points import unpivot_fields as unpivot
-
-    long_rows = unpivot(points(spark, sf_dir))
+    long_rows = unpivot_fields(points(spark, sf_dir))
     return long_rows.select("persist_key", "timestamp_ns", "_field", "_value_string", "_value_double")
 
 

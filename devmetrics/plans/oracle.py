@@ -455,7 +455,7 @@ FROM acks a JOIN dispatches d ON a.message_id = d.message_id
 WHERE a.message_id <> '' AND a.ack_ns >= {_TICK}
 """)
 
-oracle("unpivot_fields", ("points",), """
+oracle("fields_long", ("points",), """
 SELECT persist_key, timestamp_ns, 'metric_name' AS _field, metric_name AS _value_string,
        CAST(NULL AS DOUBLE) AS _value_double FROM points
 UNION ALL
