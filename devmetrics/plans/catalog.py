@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from devmetrics.functions.labels import parse_labels, tag_value
 from devmetrics.functions.times import parse_rfc3339_ns
-from devmetrics.functions.values import NS_PER_DAY, NS_PER_HOUR, NS_PER_MINUTE, backoff_bound_ms, is_retryable, is_safe_identifier, truncate_ns
+from devmetrics.functions.values import (NS_PER_DAY, NS_PER_HOUR, NS_PER_MINUTE, backoff_bound_ms, is_retryable,
+                                         is_safe_identifier, parse_value, truncate_ns, value_reject_reason)
 from devmetrics.operators import aggregates as agg
 from devmetrics.operators import depth, enrich, ledger, reads, sender
 from devmetrics.operators.points import build_points, pivot_fields, series_id, unpivot_fields, upsert_points
@@ -280,8 +281,9 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Depth with consumer lag: each accepted message is popped k minutes after it was accepted."""
     tel, e, _, _ = _ledger(spark, sf_dir)
-    pops = e.where(F.col("outcome") == "enqueued").join(tel.select("persist_key", "k"), "persist_key").select(
-        "persist_key", (F.col("enqueued_ns") + F.col("k") * NS_PER_MINUTE).alias("sent_ns"))
+    # Derived row by row from the accepted messages (the pop time is a function of the message): no join.
+    pops = fx.accepted(tel).select(
+        "persist_key", (F.col("timestamp_ns") + F.col("k") * NS_PER_MINUTE).alias("sent_ns"))
     return depth.queue_depth(depth.depth_events(e, pops))
 
 
@@ -453,14 +455,19 @@ def write_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sources and sinks ---------------------------------------------------------------------------------------------
 
+def _value_text(key, value):
+    """The value column as text, with NaN, junk, overflow and a leading space mixed in by key."""
+    return (
+        F.when(key % 37 == 0, F.lit("NaN")).when(key % 41 == 0, F.lit("n/a")).when(key % 43 == 0, F.lit("1e999"))
+        .when(key % 47 == 0, F.concat(F.lit(" "), value.cast("string")))
+        .otherwise(value.cast("string"))
+    )
+
+
 def _csv_lines(tel: DataFrame) -> DataFrame:
     """Telemetry rendered as quoted CSV lines (recorded ns time first), with bad values and short rows mixed in."""
     key = F.col("persist_key")
-    value_text = (
-        F.when(key % 37 == 0, F.lit("NaN")).when(key % 41 == 0, F.lit("n/a")).when(key % 43 == 0, F.lit("1e999"))
-        .when(key % 47 == 0, F.concat(F.lit(" "), F.col("value").cast("string")))
-        .otherwise(F.col("value").cast("string"))
-    )
+    value_text = _value_text(key, F.col("value"))
     models = [F.coalesce(F.get(F.col("model_name"), i), F.lit("")) for i in range(4)]
     fields = [F.col("timestamp_ns").cast("string"), F.col("metric_name"), F.col("gpu_id"), F.col("device"),
               F.col("uuid"), *models, F.col("namespace"), value_text, F.col("labels_raw")]
@@ -599,3 +606,45 @@ def stream_ack_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = spark.read.schema(schema).parquet(f"{base}/out")
     return out.where(F.col("persist_key") != streams.FLUSH_EVENT_ID).select("message_id", "persist_key", "sent_ns",
                                                                              "reason")
+
+
+@query
+def stream_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: the telemetry CSV lines of ``csv_ingest`` as files arriving in a folder, ingested by a file stream one
+    file per trigger; the batch folders hold the same rows as the batch ingest."""
+    base = scratch_path(spark, "stream-csv")
+    _csv_lines(fx.telemetry(spark, sf_dir)).repartition(4).write.mode("overwrite").text(f"{base}/in")
+    rows = streams.read_metrics_csv_stream(spark, f"{base}/in", "node-a", event_time="recorded", header=False,
+                                           max_files_per_trigger=1)
+    flat = rows.select("timestamp_ns", "metric_name", "gpu_id", F.array_join("model_name", ",").alias("model_names"),
+                       "namespace", "value", "labels_raw", "reject_reason")
+    return _run_stream(spark, flat, "stream-csv-out").drop("batch_id")
+
+
+@query
+def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I6 + K12: one stream fanned out to two sinks (points folders and per-batch counters); totals summed from
+    the counter folder."""
+    base = scratch_path(spark, "stream-stats")
+    pts = streams.ingest_stream(streams.events_stream(spark, sf_dir)).select(
+        "persist_key", "timestamp_ns", "gpu_id", "series_id")
+    writer = streams.fan_out_writer([
+        streams.batch_dir_writer(f"{base}/points"),
+        streams.counting_writer(f"{base}/stats", [F.count(F.lit(1)).alias("points"),
+                                                  F.count_if(F.col("gpu_id").isNull()).alias("points_without_gpu")]),
+    ])
+    q = streams.start_batches(pts, writer, f"{base}/checkpoint")
+    q.awaitTermination()
+    stats = spark.read.schema("points long, points_without_gpu long, batch_id int").parquet(f"{base}/stats")
+    return stats.agg(F.coalesce(F.sum("points"), F.lit(0)).cast("long").alias("points"),
+                     F.coalesce(F.sum("points_without_gpu"), F.lit(0)).cast("long").alias("points_without_gpu"))
+
+
+@query
+def parse_value_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 + B4: the metric value texts of ``csv_ingest`` parsed strictly, each with its reject reason."""
+    tel = fx.telemetry(spark, sf_dir)
+    text = _value_text(F.col("persist_key"), F.col("value"))
+    return tel.select("persist_key", text.alias("value_text")).select(
+        "persist_key", "value_text", parse_value(F.col("value_text")).alias("value"),
+        value_reject_reason(F.col("value_text")).alias("reject_reason"))

@@ -461,3 +461,24 @@ SELECT persist_key, timestamp_ns, 'metric_name' AS _field, metric_name AS _value
 UNION ALL
 SELECT persist_key, timestamp_ns, 'value', CAST(NULL AS VARCHAR), value FROM points
 """)
+
+# The stream reads the same files as the batch ingest, so the expected rows are the same.
+ORACLE["stream_csv_ingest"] = ORACLE["csv_ingest"]
+
+oracle("stream_stats", ("points",), """
+SELECT count(*) AS points, count(*) FILTER (WHERE gpu_id IS NULL) AS points_without_gpu FROM points
+""")
+
+oracle("parse_value_rejects", ("telemetry",), f"""
+, src AS (
+  SELECT persist_key,
+    CASE WHEN persist_key % 37 = 0 THEN 'NaN' WHEN persist_key % 41 = 0 THEN 'n/a' WHEN persist_key % 43 = 0 THEN '1e999'
+         WHEN persist_key % 47 = 0 THEN ' ' || CAST(value AS VARCHAR) ELSE CAST(value AS VARCHAR) END AS vtext
+  FROM telemetry),
+parsed AS (SELECT *, CASE WHEN regexp_full_match(vtext, '{_FLOAT_RE}') THEN TRY_CAST(vtext AS DOUBLE) END AS v FROM src)
+SELECT persist_key, vtext AS value_text, CASE WHEN isfinite(v) THEN v END AS value,
+  CASE WHEN regexp_full_match(lower(vtext), '[+-]?(inf|infinity|nan)') THEN 'not finite'
+       WHEN NOT regexp_full_match(vtext, '{_FLOAT_RE}') THEN 'invalid value'
+       WHEN v IS NULL OR NOT isfinite(v) THEN 'invalid value' END AS reject_reason
+FROM parsed
+""")

@@ -7,7 +7,7 @@ lazy DataFrame over the whole table, so its work grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import datetime as dt
@@ -91,37 +91,40 @@ def enqueues(tel: DataFrame) -> DataFrame:
     )
 
 
-def _accepted(tel: DataFrame) -> DataFrame:
+def accepted(tel: DataFrame) -> DataFrame:
     # The outcome is a function of the key alone, so the accepted set needs no join back to `enqueues`.
     return tel.where((F.col("persist_key") % 50 != 0) & (F.col("persist_key") % 333 != 0))
 
 
-def dispatches(tel: DataFrame) -> DataFrame:
-    """First delivery for every accepted message; a second one 40 s later for some that were late or never acked."""
-    acc = _accepted(tel)
+def dispatches(tel: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """First delivery for every accepted message; a second one 40 s later for some that were late or never acked.
+    ``carry`` adds columns of the message row (each delivery is a function of its message: no join back)."""
+    acc = accepted(tel)
     first = acc.select(
         F.concat(F.lit("d1-"), _s(F.col("persist_key"))).alias("message_id"),
         "persist_key",
         F.col("timestamp_ns").alias("sent_ns"),
+        *carry,
     )
     second = redelivered(tel).select(
         F.concat(F.lit("d2-"), _s(F.col("persist_key"))).alias("message_id"),
         "persist_key",
         (F.col("timestamp_ns") + REDELIVERY_DELAY_NS).alias("sent_ns"),
+        *carry,
     )
     return first.unionByName(second)
 
 
 def redelivered(tel: DataFrame) -> DataFrame:
     """Accepted messages that get a second delivery (late or never acked, even keys)."""
-    return _accepted(tel).where(
+    return accepted(tel).where(
         ((F.col("metric_name") == "error") | (F.col("k") > 30)) & (F.col("persist_key") % 2 == 0))
 
 
 def acks(tel: DataFrame) -> DataFrame:
     """First deliveries acked after k seconds unless `error`; some second deliveries once or twice; unknown ids;
     empty ids. Derived row by row from `telemetry` (each dispatch is a function of its message)."""
-    acc = _accepted(tel)
+    acc = accepted(tel)
     first = acc.where(F.col("metric_name") != "error").select(
         F.concat(F.lit("d1-"), _s(F.col("persist_key"))).alias("message_id"),
         (F.col("timestamp_ns") + F.col("k") * NS_PER_SECOND).alias("ack_ns"),
@@ -144,22 +147,28 @@ def acks(tel: DataFrame) -> DataFrame:
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Send attempts per message from ``lineitem``; attempt order fixed by every column that could tie.
-    The window is per order (a handful of lines), so no task holds more than one order's lines."""
+
+    The attempt number is a running count per order. It is computed with ``running_sum`` bucketed by line number
+    (the leading sort column), so an order with very many lines is split over (order, line) partitions instead of
+    one window task."""
+    from devmetrics.operators.sequence import running_sum
+
     li = table(spark, sf_dir, "lineitem")
     order = [
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
         "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus",
     ]
-    w = Window.partitionBy("l_orderkey").orderBy(*order)
     code = (
         F.when(F.col("l_returnflag") == "A", "ResourceExhausted")
         .when(F.col("l_returnflag") == "R", "Unavailable")
         .when(F.col("l_linestatus") == "O", "OK")
         .otherwise("InvalidArgument")
     )
-    return li.select(
+    lines = li.select("l_orderkey", *order, F.lit(1).alias("_one"))
+    numbered = running_sum(lines, order, "_one", F.col("l_linenumber"), "_n", partition=("l_orderkey",))
+    return numbered.select(
         F.col("l_orderkey").alias("message_key"),
-        (F.row_number().over(w) - 1).cast("long").alias("attempt"),
+        (F.col("_n") - 1).cast("long").alias("attempt"),
         code.alias("code"),
     )
 
@@ -193,7 +202,7 @@ def sink_log(tel: DataFrame) -> DataFrame:
     succeeded when the ledger holds one for that delivery."""
     from devmetrics.operators.ledger import first_acks
 
-    d = dispatches(tel).join(tel.select("persist_key", "metric_name"), "persist_key")
+    d = dispatches(tel, carry=("metric_name",))
     d = d.join(first_acks(acks(tel)).select("message_id", F.lit(True).alias("_acked")), "message_id", "left")
     write_ok = F.col("metric_name") != "error"
     return d.select("message_id", write_ok.alias("write_ok"), (write_ok & F.col("_acked").isNotNull()).alias("ack_ok"))
