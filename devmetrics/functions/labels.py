@@ -115,8 +115,15 @@ def build_tags(
 
 
 def series_key(tags: Column) -> Column:
-    """Canonical tag set of a series: entries sorted by key (map order is not significant)."""
-    return F.array_sort(F.map_entries(tags))
+    """Canonical tag set of a series as one string: entries sorted by key, each written as
+    ``<len(k)>:<k><len(v)>:<v>`` (``-`` for a null value). Length prefixes make it injective -- unlike plain
+    ``k=v,`` text, no value containing ``,`` or ``=`` can collide -- and a string key hashes and sorts much faster
+    than an array of structs."""
+
+    def enc(s: Column) -> Column:
+        return F.when(s.isNull(), F.lit("-")).otherwise(F.concat(F.length(s).cast("string"), F.lit(":"), s))
+
+    return F.array_join(F.transform(F.array_sort(F.map_entries(tags)), lambda e: F.concat(enc(e["key"]), enc(e["value"]))), "")
 
 
 def tag_value(tags: Column, key: str) -> Column:
