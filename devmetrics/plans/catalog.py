@@ -386,7 +386,9 @@ def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _flat_points(spark, sf_dir).select("persist_key", "gpu_id", "metric_name", "timestamp_ns", "value")
     r = enrich.rolling_mean(p, P.ROLLING_WIDTH_NS, bucket_ns=NS_PER_DAY)
     return r.select("persist_key", "gpu_id", "metric_name", "timestamp_ns",
-                    F.round("rolling_mean", 6).alias("rolling_mean"), "window_points")
+                    # 9 decimals: exact means of 2-decimal values over small windows end within 8 decimals, so
+                    # summation-order noise cannot flip the rounding.
+                    F.round("rolling_mean", 9).alias("rolling_mean"), "window_points")
 
 
 @query

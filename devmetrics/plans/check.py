@@ -22,11 +22,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = True  # compare doubles bit for bit (the driver's value hash may not round)
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v

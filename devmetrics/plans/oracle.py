@@ -289,7 +289,7 @@ FROM points p ASOF LEFT JOIN assignments a ON p.gpu_id = a.gpu_id AND p.timestam
 
 oracle("rolling_mean", ("points",), f"""
 SELECT persist_key, gpu_id, metric_name, timestamp_ns,
-  round(avg(value) OVER w, 6) AS rolling_mean, count(*) OVER w AS window_points
+  round(avg(value) OVER w, 9) AS rolling_mean, count(*) OVER w AS window_points
 FROM points
 WINDOW w AS (PARTITION BY gpu_id, metric_name ORDER BY timestamp_ns
              RANGE BETWEEN {P.ROLLING_WIDTH_NS - 1} PRECEDING AND CURRENT ROW)
