@@ -21,6 +21,14 @@ def distinct_tag(points: DataFrame, key: str) -> DataFrame:
     return points.select(F.col("tags").getItem(key).alias(key)).where(F.col(key).isNotNull()).distinct()
 
 
+def distinct_tag_count(points: DataFrame, key: str, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """D2 as a size: number of distinct values of one tag; ``approx`` uses a fixed-size HyperLogLog++ sketch
+    (memory independent of the number of values) instead of an exact distinct aggregate."""
+    v = F.col("tags").getItem(key)
+    n = F.approx_count_distinct(v, rsd) if approx else F.count_distinct(v)
+    return points.agg(n.cast("long").alias(f"distinct_{key}"))
+
+
 def tag_keys(points: DataFrame) -> DataFrame:
     """D3: the set of tag keys present."""
     return points.select(F.explode(F.map_keys("tags")).alias("tag_key")).distinct()

@@ -14,13 +14,19 @@ from devmetrics.functions.values import NS_PER_MINUTE, truncate_ns
 from devmetrics.operators.sequence import running_sum
 
 
-def depth_events(enqueues: DataFrame, dispatches: DataFrame, requeues: DataFrame | None = None) -> DataFrame:
-    """(persist_key, event_ns, delta, kind) for every change of the ready list."""
+def depth_events(enqueues: DataFrame, dispatches: DataFrame, requeues: DataFrame | None = None,
+                 with_refusals: bool = False) -> DataFrame:
+    """(persist_key, event_ns, delta, kind) for every change of the ready list; ``with_refusals`` adds refused
+    sends as ``refusal`` events with delta 0 (they see the depth but do not change it)."""
     acc = enqueues.where(F.col("outcome") == "enqueued").select(
         "persist_key", F.col("enqueued_ns").alias("event_ns"), F.lit(1).alias("delta"), F.lit("accept").alias("kind"))
     pop = dispatches.select("persist_key", F.col("sent_ns").alias("event_ns"), F.lit(-1).alias("delta"),
                             F.lit("dispatch").alias("kind"))
     ev = acc.unionByName(pop)
+    if with_refusals:
+        ev = ev.unionByName(enqueues.where(F.col("outcome") == "rejected").select(
+            "persist_key", F.col("enqueued_ns").alias("event_ns"), F.lit(0).alias("delta"),
+            F.lit("refusal").alias("kind")))
     if requeues is not None:
         ev = ev.unionByName(requeues.select("persist_key", F.col("requeued_ns").alias("event_ns"), F.lit(1).alias("delta"),
                                             F.lit("requeue").alias("kind")))
@@ -45,6 +51,15 @@ def saturated(depth: DataFrame, max_size: int) -> DataFrame:
         "*", (F.col("depth") - 1 >= max_size).alias("would_reject"))
 
 
+def saturation_check(depth: DataFrame, max_size: int) -> DataFrame:
+    """E3 against the record: for every send (accepted or refused), the length it met and whether a queue of
+    ``max_size`` would refuse it (length >= max), counted per recorded outcome and prediction."""
+    sends = depth.where(F.col("kind").isin("accept", "refusal")).select(
+        F.when(F.col("kind") == "accept", "enqueued").otherwise("rejected").alias("recorded"),
+        ((F.col("depth") - F.col("delta")) >= max_size).alias("predicted_reject"))
+    return sends.groupBy("recorded", "predicted_reject").agg(F.count(F.lit(1)).alias("sends"))
+
+
 def fifo_order(backlog: DataFrame, bucket_keys: int = 1_000_000) -> DataFrame:
     """Position of each durable key in recovery order (ascending ``persist_key``), 1-based, as a distributed
     running count over key buckets."""

@@ -133,6 +133,12 @@ def distinct_source_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.distinct_tag(points(spark, sf_dir), "source_node")
 
 
+@query
+def source_node_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 as a size: number of distinct source nodes (exact; ``approx=True`` for a sketch)."""
+    return agg.distinct_tag_count(points(spark, sf_dir), "source_node")
+
+
 @query
 def count_by_source_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points per source node (balance check)."""
@@ -278,13 +284,13 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.latency_percentiles(m, "delivery")
 
 
-def _depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _depth(spark: SparkSession, sf_dir: str, with_refusals: bool = False) -> DataFrame:
     """Depth with consumer lag: each accepted message is popped k minutes after it was accepted."""
     tel, e, _, _ = _ledger(spark, sf_dir)
     # Derived row by row from the accepted messages (the pop time is a function of the message): no join.
     pops = fx.accepted(tel).select(
         "persist_key", (F.col("timestamp_ns") + F.col("k") * NS_PER_MINUTE).alias("sent_ns"))
-    return depth.queue_depth(depth.depth_events(e, pops))
+    return depth.queue_depth(depth.depth_events(e, pops, with_refusals=with_refusals))
 
 
 @query
@@ -307,6 +313,12 @@ def saturation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.where("would_reject").select("persist_key", "event_ns", "depth")
 
 
+@query
+def saturation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 vs. the record: sends per recorded outcome and predicted refusal by a queue of 25."""
+    return depth.saturation_check(_depth(spark, sf_dir, with_refusals=True), P.QUEUE_MAX)
+
+
 @query
 def fifo_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E4 + G1: recovery order of the backlog (unacked) plus requeued deliveries' keys, by durable key."""

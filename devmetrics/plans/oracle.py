@@ -482,3 +482,21 @@ SELECT persist_key, vtext AS value_text, CASE WHEN isfinite(v) THEN v END AS val
        WHEN v IS NULL OR NOT isfinite(v) THEN 'invalid value' END AS reject_reason
 FROM parsed
 """)
+
+oracle("source_node_count", ("points",), """
+SELECT count(DISTINCT source_node) AS distinct_source_node FROM points
+""")
+
+oracle("saturation_check", _L, f"""
+, ev AS (SELECT persist_key, enqueued_ns AS event_ns, 1 AS delta, 'accept' AS kind FROM enqueues WHERE outcome = 'enqueued'
+         UNION ALL
+         SELECT e.persist_key, e.enqueued_ns + t.k * 60000000000, -1, 'dispatch'
+         FROM enqueues e JOIN telemetry t ON e.persist_key = t.persist_key WHERE e.outcome = 'enqueued'
+         UNION ALL
+         SELECT persist_key, enqueued_ns, 0, 'refusal' FROM enqueues WHERE outcome = 'rejected'),
+dep AS (SELECT kind, delta, sum(delta) OVER (ORDER BY event_ns, delta, persist_key, kind ROWS UNBOUNDED PRECEDING) AS depth
+        FROM ev)
+SELECT CASE WHEN kind = 'accept' THEN 'enqueued' ELSE 'rejected' END AS recorded,
+       depth - delta >= {P.QUEUE_MAX} AS predicted_reject, count(*) AS sends
+FROM dep WHERE kind IN ('accept', 'refusal') GROUP BY 1, 2
+""")
