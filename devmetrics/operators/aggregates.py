@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from devmetrics.functions.values import NS_PER_MINUTE, NS_PER_SECOND, truncate_ns
 from devmetrics.operators.reads import time_range
 from devmetrics.operators.sequence import previous_row
+from devmetrics.session import materialize
 
 
 def distinct_tag(points: DataFrame, key: str) -> DataFrame:
@@ -57,19 +58,22 @@ def window_count(points: DataFrame, every_ns: int, start_ns: int, stop_ns: int,
 
     Output: ``by``, ``window_start_ns`` and ``window_end_ns`` (clipped; the end is the row's time, as the store
     stamps it), ``points``. With ``create_empty`` every group having a point in range gets every window, empty ones
-    with 0: the grid rows (groups x windows, bounded by the range / ``every``) are unioned with the data rows and
+    with 0: the grid rows (groups x windows, bounded by the range / ``every``) are unioned with the counts and
     summed in one aggregate, so there is no join.
     """
     rng = time_range(points, start_ns, stop_ns)
     ones = rng.select(*by, truncate_ns(F.col("timestamp_ns"), every_ns).alias("_w"), F.lit(1).cast("long").alias("_n"))
+    counts = ones.groupBy(*by, "_w").agg(F.sum("_n").alias("points"))
     if create_empty:
+        # The grid's groups come from the counts (one row per group and non-empty window), so the points are read
+        # once; the grid rows (groups x windows) are summed with the counts in one small aggregate, no join.
         first, last = _window_bounds(start_ns, stop_ns, every_ns)
-        grid = rng.select(*by).distinct().select(
+        counts = materialize(counts, "window-counts")  # small (groups x windows); read twice, computed once
+        grid = counts.select(*by).distinct().select(
             *by, F.explode(F.sequence(F.lit(first), F.lit(last), F.lit(every_ns))).alias("_w"),
-            F.lit(0).cast("long").alias("_n"),
+            F.lit(0).cast("long").alias("points"),
         )
-        ones = ones.unionByName(grid)
-    counts = ones.groupBy(*by, "_w").agg(F.sum("_n").alias("points"))
+        counts = counts.unionByName(grid).groupBy(*by, "_w").agg(F.sum("points").alias("points"))
     return counts.select(
         *by,
         F.greatest(F.col("_w"), F.lit(start_ns)).alias("window_start_ns"),
@@ -90,6 +94,7 @@ def continuity_gaps(points: DataFrame, every_ns: int, start_ns: int, stop_ns: in
     first, last = _window_bounds(start_ns, stop_ns, every_ns)
     rng = time_range(points, start_ns, stop_ns)
     nonempty = rng.select(*by, truncate_ns(F.col("timestamp_ns"), every_ns).alias("_w")).distinct()
+    nonempty = materialize(nonempty, "nonempty-windows")  # small (groups x windows); read twice, computed once
     groups = nonempty.select(*by).distinct()
     edges = groups.select(*by, F.explode(F.array(F.lit(first - every_ns), F.lit(last + every_ns))).alias("_w"))
     marks = nonempty.unionByName(edges)
@@ -130,10 +135,10 @@ def gpu_down(points: DataFrame, now_ns: int, threshold_ns: int) -> DataFrame:
     )
 
 
-def gpu_silences(points: DataFrame, threshold_ns: int, bucket_ns: int) -> DataFrame:
+def gpu_silences(points: DataFrame, threshold_ns: int, bucket_ns: int, materialize_input: bool = False) -> DataFrame:
     """K6 (history): closed silences, i.e. consecutive points of one GPU further apart than the threshold."""
     p = points.where(F.col("gpu_id").isNotNull()).select("gpu_id", "timestamp_ns", "persist_key")
-    withprev = previous_row(p, ["gpu_id"], "timestamp_ns", "persist_key", [], bucket_ns)
+    withprev = previous_row(p, ["gpu_id"], "timestamp_ns", "persist_key", [], bucket_ns, materialize=materialize_input)
     gaps = withprev.where(F.col("timestamp_ns") - F.col("prev_timestamp_ns") > threshold_ns)
     return gaps.select(
         "gpu_id", F.col("prev_timestamp_ns").alias("silent_from_ns"), F.col("timestamp_ns").alias("silent_to_ns"),

@@ -33,10 +33,12 @@ def depth_events(enqueues: DataFrame, dispatches: DataFrame, requeues: DataFrame
     return ev
 
 
-def queue_depth(events: DataFrame, bucket_ns: int = NS_PER_MINUTE, partition: tuple[str, ...] = ()) -> DataFrame:
-    """Depth after every event; at equal times -1 comes before +1, then by key and kind (a total order)."""
+def queue_depth(events: DataFrame, bucket_ns: int = NS_PER_MINUTE, partition: tuple[str, ...] = (),
+                materialize: bool = False) -> DataFrame:
+    """Depth after every event; at equal times -1 comes before +1, then by key and kind (a total order).
+    ``materialize`` computes the events once when they are derived by joins (see ``running_sum``)."""
     return running_sum(events, ["event_ns", "delta", "persist_key", "kind"], "delta",
-                       truncate_ns(F.col("event_ns"), bucket_ns), "depth", partition)
+                       truncate_ns(F.col("event_ns"), bucket_ns), "depth", partition, materialize)
 
 
 def high_water(depth: DataFrame, max_size: int, pct: int = 80) -> DataFrame:
@@ -60,10 +62,10 @@ def saturation_check(depth: DataFrame, max_size: int) -> DataFrame:
     return sends.groupBy("recorded", "predicted_reject").agg(F.count(F.lit(1)).alias("sends"))
 
 
-def fifo_order(backlog: DataFrame, bucket_keys: int = 1_000_000) -> DataFrame:
+def fifo_order(backlog: DataFrame, bucket_keys: int = 1_000_000, materialize: bool = False) -> DataFrame:
     """Position of each durable key in recovery order (ascending ``persist_key``), 1-based, as a distributed
     running count over key buckets."""
     ones = backlog.select("persist_key", F.lit(1).alias("_one"))
     pos = running_sum(ones, ["persist_key"], "_one", F.call_function("div", F.col("persist_key"), F.lit(bucket_keys)),
-                      "position")
+                      "position", materialize=materialize)
     return pos.drop("_one")

@@ -21,6 +21,12 @@ from pyspark.sql import functions as F
 from devmetrics.functions.values import truncate_ns
 
 
+def _materialize(df: DataFrame, name: str) -> DataFrame:
+    from devmetrics.session import materialize
+
+    return materialize(df, name)
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     """Equi-join on ``on`` where null keys match each other (a null GPU id is a group like any other)."""
     r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
@@ -29,19 +35,26 @@ def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], time_col: str, tiebreak: str, carry: Sequence[str],
-                 bucket_ns: int, prefix: str = "prev_") -> DataFrame:
+                 bucket_ns: int, prefix: str = "prev_", materialize: bool = False) -> DataFrame:
     """Add ``prev_<c>`` (for ``c`` in ``carry`` plus ``time_col``) from the previous row of the same key in
-    (time, tiebreak) order; null for a key's first row."""
+    (time, tiebreak) order; null for a key's first row.
+
+    The input feeds the window and the per-bucket summaries. Over a table scan that is two column-pruned reads;
+    when ``df`` is an expensive derivation pass ``materialize=True`` to compute it once."""
     carried = [time_col, *[c for c in carry if c != time_col]]
     b = df.withColumn("_bucket", truncate_ns(F.col(time_col), bucket_ns))
+    if materialize:
+        b = _materialize(b, "previous-row")
     order = [F.col(time_col), F.col(tiebreak)]
     w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     within = b.select(
         "*", *[F.lag(c).over(w).alias(prefix + c) for c in carried],
         (F.row_number().over(w) == 1).alias("_first_in_bucket"),
     )
-    # Last row of every (key, bucket), then the previous non-empty bucket's last row for each bucket.
-    last = b.groupBy(*keys, "_bucket").agg(
+    # Last row of every (key, bucket), taken from the window's output: it is already partitioned by (key, bucket),
+    # so this aggregate adds no shuffle and the source is read once (the exchange is reused). Then the previous
+    # non-empty bucket's last row for each bucket.
+    last = within.groupBy(*keys, "_bucket").agg(
         F.max_by(F.struct(*[F.col(c) for c in carried]), F.struct(*order)).alias("_last")
     )
     wb = Window.partitionBy(*keys).orderBy("_bucket")
@@ -66,23 +79,27 @@ def rolling_agg(df: DataFrame, keys: Sequence[str], time_col: str, width_ns: int
     """
     if width_ns > bucket_ns:
         raise ValueError("bucket_ns must be at least width_ns")
-    b = df.withColumn("_bucket", truncate_ns(F.col(time_col), bucket_ns)).withColumn("_ctx", F.lit(False))
-    spill = b.where(F.col(time_col) > F.col("_bucket") + (bucket_ns - width_ns)).withColumn(
-        "_bucket", F.col("_bucket") + bucket_ns
-    ).withColumn("_ctx", F.lit(True))
+    home = truncate_ns(F.col(time_col), bucket_ns)
+    near_next = F.col(time_col) > home + (bucket_ns - width_ns)
+    # One pass over the input: every row is emitted for its own bucket and, when within `width` of the next
+    # bucket's start, once more as context for that bucket (explode, not a self-union that would read twice).
+    copies = F.when(near_next, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    both = df.select("*", F.explode(copies).alias("_ctx")).withColumn(
+        "_bucket", home + F.when(F.col("_ctx"), F.lit(bucket_ns)).otherwise(F.lit(0)))
     w = Window.partitionBy(*keys, "_bucket").orderBy(time_col).rangeBetween(-(width_ns - 1), 0)
-    both = b.unionByName(spill)
     out = both.select("*", *[a.over(w).alias(name) for name, a in aggs.items()])
     return out.where(~F.col("_ctx")).drop("_bucket", "_ctx")
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str,
-              payload: Sequence[str], bucket_ns: int) -> DataFrame:
+              payload: Sequence[str], bucket_ns: int, materialize: bool = False) -> DataFrame:
     """Left join each left row to the latest right row of the same key with ``right_time <= left_time``.
 
     Within a (key, bucket) partition a running ``last(ignorenulls)`` over the union of both sides finds matches in
     the same bucket; the latest right row of any earlier bucket comes from per-bucket summaries.
     """
+    if materialize:
+        left = _materialize(left, "asof-left")
     lcols = left.columns
     pay = F.struct(F.col(right_time).alias("_rt"), *[F.col(p) for p in payload])
     lb = left.select(*lcols, F.lit(None).cast(right.select(pay.alias("p")).schema["p"].dataType).alias("_pay"),
@@ -96,7 +113,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
     r_last = right.withColumn("_bucket", truncate_ns(F.col(right_time), bucket_ns)).groupBy(*keys, "_bucket").agg(
         F.max_by(pay, F.col(right_time)).alias("_last"), F.lit(1).alias("_side")
     )
-    l_buckets = left.select(*keys, truncate_ns(F.col(left_time), bucket_ns).alias("_bucket")).distinct().select(
+    # Buckets holding left rows, from the window's output (already partitioned by key and bucket: no new scan).
+    l_buckets = within.select(*keys, "_bucket").distinct().select(
         *keys, "_bucket", F.lit(None).cast(r_last.schema["_last"].dataType).alias("_last"), F.lit(0).alias("_side")
     )
     wb = Window.partitionBy(*keys).orderBy("_bucket", "_side").rowsBetween(Window.unboundedPreceding, 0)
@@ -113,7 +131,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
 
 
 def running_sum(df: DataFrame, order: Sequence[str], value_col: str, bucket: Column, out_col: str,
-                partition: Sequence[str] = ()) -> DataFrame:
+                partition: Sequence[str] = (), materialize: bool = False) -> DataFrame:
     """Running total of ``value_col`` in ``order`` (within ``partition``), computed as a prefix sum of per-bucket
     totals plus a running sum inside each bucket: no window ever sees more than one bucket of rows, and the only
     unpartitioned window runs over one row per bucket.
@@ -121,13 +139,16 @@ def running_sum(df: DataFrame, order: Sequence[str], value_col: str, bucket: Col
     ``bucket`` must be monotone in ``order`` (for example the time truncated to a minute).
     """
     b = df.withColumn("_bucket", bucket)
-    totals = b.groupBy(*partition, "_bucket").agg(F.sum(value_col).alias("_tot"))
+    if materialize:
+        b = _materialize(b, "running-sum")
+    wi = Window.partitionBy(*partition, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    within = b.withColumn("_run", F.sum(value_col).over(wi))
+    # Bucket totals from the window's output (same partitioning: no new shuffle, the input is read once).
+    totals = within.groupBy(*partition, "_bucket").agg(F.max_by("_run", F.struct(*order)).alias("_tot"))
     wt = Window.partitionBy(*partition).orderBy("_bucket") if partition else Window.orderBy("_bucket")
     offsets = totals.select(
         *partition, "_bucket",
         F.coalesce(F.sum("_tot").over(wt.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
     )
-    wi = Window.partitionBy(*partition, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    within = b.withColumn("_run", F.sum(value_col).over(wi))
     j = _join_null_safe(within, offsets, [*partition, "_bucket"], "inner")
     return j.select(*df.columns, (F.col("_off") + F.col("_run")).cast("long").alias(out_col))

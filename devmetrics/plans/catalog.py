@@ -290,7 +290,7 @@ def _depth(spark: SparkSession, sf_dir: str, with_refusals: bool = False) -> Dat
     # Derived row by row from the accepted messages (the pop time is a function of the message): no join.
     pops = fx.accepted(tel).select(
         "persist_key", (F.col("timestamp_ns") + F.col("k") * NS_PER_MINUTE).alias("sent_ns"))
-    return depth.queue_depth(depth.depth_events(e, pops, with_refusals=with_refusals))
+    return depth.queue_depth(depth.depth_events(e, pops, with_refusals=with_refusals), materialize=True)
 
 
 @query
@@ -324,7 +324,7 @@ def fifo_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E4 + G1: recovery order of the backlog (unacked) plus requeued deliveries' keys, by durable key."""
     _, e, d, a = _ledger(spark, sf_dir)
     backlog = ledger.unacked(e, d, a).select("persist_key")
-    return depth.fifo_order(backlog, bucket_keys=1000)
+    return depth.fifo_order(backlog, bucket_keys=1000, materialize=True)
 
 
 @query

@@ -54,3 +54,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if path.startswith("/"):
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Used where an intermediate result feeds two consumers: without it each consumer recomputes the whole lineage
+    (Spark reuses an exchange only when both branches prune the same columns). The written table also cuts the
+    lineage, so a lost executor does not replay the upstream joins. Never a machine-local folder on a cluster
+    (see ``shared_dir``); never ``localCheckpoint``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
