@@ -47,11 +47,18 @@ def unacked(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame) -> Data
     return accepted.join(acked_keys(dispatches, acks), "persist_key", "left_anti")
 
 
-def expired_pending(dispatches: DataFrame, acks: DataFrame, as_of_ns: int, timeout_ns: int) -> DataFrame:
-    """C4: deliveries with no ack by ``as_of`` and sent more than ``timeout`` before it (strict)."""
+def expired_pending(dispatches: DataFrame, acks: DataFrame, as_of_ns: int, timeout_ns: int,
+                    scan_interval_ns: int | None = None, t0_ns: int = 0) -> DataFrame:
+    """C4: deliveries with no ack by ``as_of`` and sent more than ``timeout`` before it (strict).
+
+    With ``scan_interval_ns`` the expiry is only noticed at a scan tick (E5): the delivery must also have reached
+    its requeue tick by ``as_of``."""
     by_then = first_acks(acks.where(F.col("ack_ns") <= as_of_ns))
     waiting = dispatches.join(by_then, "message_id", "left_anti")
-    return waiting.where(F.lit(as_of_ns) - F.col("sent_ns") > timeout_ns)
+    expired = waiting.where(F.lit(as_of_ns) - F.col("sent_ns") > timeout_ns)
+    if scan_interval_ns is not None:
+        expired = expired.where(requeue_tick(F.col("sent_ns"), timeout_ns, scan_interval_ns, t0_ns) <= as_of_ns)
+    return expired
 
 
 def requeue_tick(sent_ns: Column, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> Column:

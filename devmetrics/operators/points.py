@@ -55,14 +55,15 @@ def build_points(telemetry: DataFrame, measurement: str = DEFAULT_MEASUREMENT, a
     return pts.select("*", series_id(F.col("tags")).alias("series_id"))
 
 
-def upsert_points(points: DataFrame, key: str = "metric", seq_col: str = "persist_key",
+def upsert_points(points: DataFrame, key: str = "metric", seq_col: str | Sequence[str] = "persist_key",
                   time_col: str = "timestamp_ns", tag_col: str = "tags") -> DataFrame:
     """One point per (measurement, tag set, time) -- plus ``fields.metric_name`` when ``key='metric'`` --
     keeping the last write (highest ``seq_col``).
 
     ``key='influx'`` is the store's literal rule; ``key='metric'`` (default) also keeps different metrics written
     at the same instant apart. ``max_by`` aggregates partially on the map side, so repeated writes of a hot key
-    collapse before the shuffle and no per-key sort is needed.
+    collapse before the shuffle and no per-key sort is needed. ``seq_col`` may list several columns, compared in
+    order (for example ``["batch_id", "persist_key"]`` for rows ingested by a stream).
     """
     if key not in ("metric", "influx"):
         raise ValueError("key must be 'metric' or 'influx'")
@@ -70,7 +71,8 @@ def upsert_points(points: DataFrame, key: str = "metric", seq_col: str = "persis
     if key == "metric":
         keys.append(F.col("fields.metric_name").alias("_metric"))
     others = [c for c in points.columns]
-    latest = points.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(seq_col)).alias("_w"))
+    seq = F.col(seq_col) if isinstance(seq_col, str) else F.struct(*[F.col(c) for c in seq_col])
+    latest = points.groupBy(*keys).agg(F.max_by(F.struct(*others), seq).alias("_w"))
     return latest.select("_w.*")
 
 

@@ -27,6 +27,11 @@ def field_count(line: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
+def has_min_fields(n_fields: Column, n: int = N_FIELDS) -> Column:
+    """The record has at least ``n`` fields (fewer -> rejected as an incomplete record)."""
+    return n_fields >= n
+
+
 def read_metrics_csv_raw(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """A1 reader: one row per CSV record with fields ``c0..c11`` and ``n_fields``.
 
@@ -55,7 +60,7 @@ def map_record(raw: DataFrame, source_node: str | Column, event_time: str = "arr
         ts = F.col("c0").try_cast("long")
     else:
         raise ValueError("event_time must be 'arrival' or 'recorded'")
-    ragged = F.col("n_fields") < N_FIELDS
+    ragged = ~has_min_fields(F.col("n_fields"))
     reason = F.when(ragged, F.lit("incomplete record")).otherwise(value_reject_reason(_s("c10")))
     return raw.select(
         ts.alias("timestamp_ns"),
@@ -71,6 +76,11 @@ def map_record(raw: DataFrame, source_node: str | Column, event_time: str = "arr
     )
 
 
+def stamp_arrival(df: DataFrame, col: str = "timestamp_ns") -> DataFrame:
+    """Replace the event time with the arrival time in ns (one value per query evaluation / micro-batch)."""
+    return df.withColumn(col, arrival_ns())
+
+
 def split_valid_rejects(mapped: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two filters of one frame: (valid rows without the reason column, rejected rows)."""
     valid = mapped.where(F.col("reject_reason").isNull()).drop("reject_reason")

@@ -183,3 +183,40 @@ def counting_writer(path: str, aggs: Sequence[F.Column]) -> Callable[[DataFrame,
             f"{path}/batch_id={batch_id}")
 
     return write
+
+
+def write_points_stream(points: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Points stream -> store. Each micro-batch lands in ``path/batch_id=n`` (overwrite), partitioned like the
+    batch store (measurement, UTC date); the checkpoint commit after the write is the acknowledgement, so a
+    replayed batch rewrites its own folder and duplicates across batches are resolved at read time (D9)."""
+    from devmetrics.functions.values import ns_to_utc_date
+
+    dated = points.withColumn("date", ns_to_utc_date(F.col("timestamp_ns")))
+    return start_batches(dated, batch_dir_writer(path, ("measurement", "date")), checkpoint,
+                         available_now=available_now)
+
+
+def ingest_csv_stream(spark: SparkSession, directory: str, path: str, checkpoint: str, source_node: str,
+                      event_time: str = "arrival", measurement: str = "gpu_metrics", rejects_path: str | None = None,
+                      available_now: bool = False) -> StreamingQuery:
+    """CSV files as they arrive (A2) -> validation with rejects (B1-B6) -> points (B12) -> store.
+    Rejected rows go to ``rejects_path`` (if given) from the same micro-batch (K12 fan-out), never to the store.
+    ``persist_key`` is unique within a micro-batch only; read the store with ``upsert_points(...,
+    seq_col=["batch_id", "persist_key"])`` (``batch_id`` comes from the folder names)."""
+    from devmetrics.functions.values import ns_to_utc_date
+
+    rows = read_metrics_csv_stream(spark, directory, source_node, event_time)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good = batch.where(F.col("reject_reason").isNull()).drop("reject_reason")
+            pts = build_points(good.withColumn("persist_key", F.monotonically_increasing_id()), measurement)
+            batch_dir_writer(path, ("measurement", "date"))(
+                pts.withColumn("date", ns_to_utc_date(F.col("timestamp_ns"))), batch_id)
+            if rejects_path:
+                batch_dir_writer(rejects_path)(batch.where(F.col("reject_reason").isNotNull()), batch_id)
+        finally:
+            batch.unpersist()
+
+    return start_batches(rows, write, checkpoint, available_now=available_now)

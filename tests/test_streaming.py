@@ -39,3 +39,38 @@ def test_fan_out_and_replay_idempotent(spark, tmp_dir):
     writer(df, 0)  # a replayed batch overwrites its own folder
     for sink in ("a", "b"):
         assert spark.read.parquet(f"{tmp_dir}/{sink}").count() == 10
+
+
+def test_ingest_csv_stream_end_to_end(spark, tmp_dir):
+    from devmetrics.sources.points_store import read_points
+
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.csv", "w") as fh:
+        fh.write(HEADER)
+        fh.write("1704067200000000000,temp,0,d,u,A100,PCIe,,,ns,25.5,rack=r1\n")
+        fh.write("1704153600000000000,temp,1,d,u,,,,,ns,NaN,\n")
+        fh.write("1704153600000000001,util,1,d,u,,,,,ns,80,zone=z\n")
+    q = streams.ingest_csv_stream(spark, f"{tmp_dir}/in", f"{tmp_dir}/store", f"{tmp_dir}/ckpt", "host-1",
+                                  event_time="recorded", rejects_path=f"{tmp_dir}/rejects", available_now=True)
+    q.awaitTermination()
+    pts = read_points(spark, f"{tmp_dir}/store", measurement="gpu_metrics")
+    got = {r.timestamp_ns: (r.gpu_id, r.model_name, r.source_node, r.date) for r in pts.collect()}
+    assert got == {1704067200000000000: ("0", "A100,PCIe,,", "host-1", __import__("datetime").date(2024, 1, 1)),
+                   1704153600000000001: ("1", ",,,", "host-1", __import__("datetime").date(2024, 1, 2))}
+    assert [r.reject_reason for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()] == ["not finite"]
+    from devmetrics.operators.points import upsert_points
+
+    latest = upsert_points(pts.drop("date"), seq_col=["batch_id", "persist_key"])
+    assert latest.count() == 2
+
+
+def test_expired_pending_scan_interval(spark):
+    from devmetrics.operators import ledger
+
+    S = 10**9
+    d = spark.createDataFrame([("m", 1, 5 * S)], "message_id string, persist_key long, sent_ns long")
+    a = spark.createDataFrame([], "message_id string, ack_ns long")
+    # Timed out at 35 s, but the first scan tick after that is 40 s.
+    assert ledger.expired_pending(d, a, 36 * S, 30 * S).count() == 1
+    assert ledger.expired_pending(d, a, 36 * S, 30 * S, scan_interval_ns=10 * S).count() == 0
+    assert ledger.expired_pending(d, a, 40 * S, 30 * S, scan_interval_ns=10 * S).count() == 1
