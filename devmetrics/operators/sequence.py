@@ -27,11 +27,12 @@ def _materialize(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Equi-join on ``on`` where null keys match each other (a null GPU id is a group like any other)."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
-    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in on]
-    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in on])
+def _key_struct(keys: Sequence[str], bucket: str | None = None) -> Column:
+    """Keys (and bucket) as one struct column. A struct is never null and compares null fields as equal, so a plain
+    equi-join on it is null-safe -- and, unlike ``<=>`` on each key, it joins on exactly the column the window was
+    hash-partitioned by, so the large side is not shuffled again."""
+    fields = [F.col(k) for k in keys] + ([F.col(bucket).alias(bucket)] if bucket else [])
+    return F.struct(*fields)
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], time_col: str, tiebreak: str, carry: Sequence[str],
@@ -45,21 +46,23 @@ def previous_row(df: DataFrame, keys: Sequence[str], time_col: str, tiebreak: st
     b = df.withColumn("_bucket", truncate_ns(F.col(time_col), bucket_ns))
     if materialize:
         b = _materialize(b, "previous-row")
+    b = b.withColumn("_kb", _key_struct(keys, "_bucket"))
     order = [F.col(time_col), F.col(tiebreak)]
-    w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    w = Window.partitionBy("_kb").orderBy(*order)
     within = b.select(
         "*", *[F.lag(c).over(w).alias(prefix + c) for c in carried],
         (F.row_number().over(w) == 1).alias("_first_in_bucket"),
     )
-    # Last row of every (key, bucket), taken from the window's output: it is already partitioned by (key, bucket),
-    # so this aggregate adds no shuffle and the source is read once (the exchange is reused). Then the previous
-    # non-empty bucket's last row for each bucket.
-    last = within.groupBy(*keys, "_bucket").agg(
+    # Last row of every (key, bucket), taken from the window's output: grouped by the window's own partitioning
+    # column, so this aggregate adds no shuffle. Then, over these summaries (one row per key and bucket), the
+    # previous non-empty bucket's last row for each bucket.
+    last = within.groupBy("_kb").agg(
         F.max_by(F.struct(*[F.col(c) for c in carried]), F.struct(*order)).alias("_last")
     )
-    wb = Window.partitionBy(*keys).orderBy("_bucket")
-    carry_in = last.select(*keys, "_bucket", F.lag("_last").over(wb).alias("_carry"))
-    joined = _join_null_safe(within, carry_in, [*keys, "_bucket"], "left")
+    key_of = F.struct(*[F.col("_kb").getField(k).alias(k) for k in keys])
+    wb = Window.partitionBy(key_of).orderBy(F.col("_kb").getField("_bucket"))
+    carry_in = last.select("_kb", F.lag("_last").over(wb).alias("_carry"))
+    joined = within.join(carry_in, "_kb", "left")
     out = joined.select(
         *[F.col(c) for c in df.columns],
         *[
@@ -102,30 +105,33 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
         left = _materialize(left, "asof-left")
     lcols = left.columns
     pay = F.struct(F.col(right_time).alias("_rt"), *[F.col(p) for p in payload])
-    lb = left.select(*lcols, F.lit(None).cast(right.select(pay.alias("p")).schema["p"].dataType).alias("_pay"),
-                     F.col(left_time).alias("_t"), F.lit(1).alias("_side"))
+    pay_type = right.select(pay.alias("p")).schema["p"].dataType
+    lb = left.select(*lcols, F.lit(None).cast(pay_type).alias("_pay"), F.col(left_time).alias("_t"),
+                     F.lit(1).alias("_side"))
     rb_cols = [F.lit(None).cast(left.schema[c].dataType).alias(c) if c not in keys else F.col(c) for c in lcols]
     rb = right.select(*rb_cols, pay.alias("_pay"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"))
-    u = lb.unionByName(rb).withColumn("_bucket", truncate_ns(F.col("_t"), bucket_ns))
-    w = Window.partitionBy(*keys, "_bucket").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    u = lb.unionByName(rb).withColumn("_bucket", truncate_ns(F.col("_t"), bucket_ns)).withColumn(
+        "_kb", _key_struct(keys, "_bucket"))
+    w = Window.partitionBy("_kb").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     within = u.withColumn("_match", F.last("_pay", ignorenulls=True).over(w)).where(F.col("_side") == 1)
 
-    r_last = right.withColumn("_bucket", truncate_ns(F.col(right_time), bucket_ns)).groupBy(*keys, "_bucket").agg(
-        F.max_by(pay, F.col(right_time)).alias("_last"), F.lit(1).alias("_side")
-    )
-    # Buckets holding left rows, from the window's output (already partitioned by key and bucket: no new scan).
-    l_buckets = within.select(*keys, "_bucket").distinct().select(
-        *keys, "_bucket", F.lit(None).cast(r_last.schema["_last"].dataType).alias("_last"), F.lit(0).alias("_side")
-    )
-    wb = Window.partitionBy(*keys).orderBy("_bucket", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    r_last = (right.withColumn("_bucket", truncate_ns(F.col(right_time), bucket_ns))
+              .groupBy(_key_struct(keys, "_bucket").alias("_kb"))
+              .agg(F.max_by(pay, F.col(right_time)).alias("_last"), F.lit(1).alias("_side")))
+    # Buckets holding left rows, from the window's output (grouped by its partitioning column: no new shuffle).
+    l_buckets = within.select("_kb").distinct().select(
+        "_kb", F.lit(None).cast(pay_type).alias("_last"), F.lit(0).alias("_side"))
+    key_of = F.struct(*[F.col("_kb").getField(k).alias(k) for k in keys])
+    wb = (Window.partitionBy(key_of).orderBy(F.col("_kb").getField("_bucket"), "_side")
+          .rowsBetween(Window.unboundedPreceding, 0))
     carry = (
         l_buckets.unionByName(r_last)
         .withColumn("_carry", F.last("_last", ignorenulls=True).over(wb))
         .where(F.col("_side") == 0)
-        .select(*keys, "_bucket", "_carry")
+        .select("_kb", "_carry")
     )
     # r_last rows at the same bucket sort after the left bucket row, so `_carry` only holds earlier buckets.
-    j = _join_null_safe(within, carry, [*keys, "_bucket"], "left")
+    j = within.join(carry, "_kb", "left")
     m = F.coalesce(F.col("_match"), F.col("_carry"))
     return j.select(*lcols, *[m.getField(p).alias(p) for p in payload], m.getField("_rt").alias(right_time))
 
@@ -141,14 +147,17 @@ def running_sum(df: DataFrame, order: Sequence[str], value_col: str, bucket: Col
     b = df.withColumn("_bucket", bucket)
     if materialize:
         b = _materialize(b, "running-sum")
-    wi = Window.partitionBy(*partition, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    b = b.withColumn("_kb", _key_struct(partition, "_bucket"))
+    wi = Window.partitionBy("_kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     within = b.withColumn("_run", F.sum(value_col).over(wi))
-    # Bucket totals from the window's output (same partitioning: no new shuffle, the input is read once).
-    totals = within.groupBy(*partition, "_bucket").agg(F.max_by("_run", F.struct(*order)).alias("_tot"))
-    wt = Window.partitionBy(*partition).orderBy("_bucket") if partition else Window.orderBy("_bucket")
+    # Bucket totals from the window's output (grouped by its partitioning column: no new shuffle).
+    totals = within.groupBy("_kb").agg(F.max_by("_run", F.struct(*order)).alias("_tot"))
+    bucket_of = F.col("_kb").getField("_bucket")
+    if partition:
+        wt = Window.partitionBy(F.struct(*[F.col("_kb").getField(k).alias(k) for k in partition])).orderBy(bucket_of)
+    else:
+        wt = Window.orderBy(bucket_of)
     offsets = totals.select(
-        *partition, "_bucket",
-        F.coalesce(F.sum("_tot").over(wt.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-    )
-    j = _join_null_safe(within, offsets, [*partition, "_bucket"], "inner")
+        "_kb", F.coalesce(F.sum("_tot").over(wt.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    j = within.join(offsets, "_kb", "inner")
     return j.select(*df.columns, (F.col("_off") + F.col("_run")).cast("long").alias(out_col))
