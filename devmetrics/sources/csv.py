@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from devmetrics.functions.values import append_source_node, arrival_ns, parse_value, value_reject_reason
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from devmetrics.functions.values import NS_PER_US, floor_div, ns_to_timestamp
+from devmetrics.functions.values import NS_PER_US, ns_to_timestamp
 from devmetrics.operators.points import build_points
 from devmetrics.sources.csv import FIELDS_SCHEMA, LINE_OPTIONS, PARSE_OPTIONS, field_count, map_record
 from devmetrics.sources.fixtures import telemetry_from_events
@@ -131,10 +131,6 @@ def ack_timeout_stream(dispatches: DataFrame, acks: DataFrame, timeout: str = "3
                                                    F.lit("timeout").alias("reason"))
 
 
-def micros(ns_col: str) -> F.Column:
-    return floor_div(F.col(ns_col), NS_PER_US)
-
-
 # Flush marker: an event far beyond any real data, fed after the data so the watermark passes every deadline.
 # It carries a metric and a delay so that it yields a row on every derived stream (a watermark over several
 # inputs is their minimum, so each input must move).

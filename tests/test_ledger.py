@@ -1,6 +1,5 @@
 """Queue and sender scenarios of the reference's tests, re-aimed as ledger queries."""
 
-from pyspark.sql import functions as F
 
 from devmetrics.operators import depth, ledger, sender
 

@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from devmetrics.operators.points import build_points
 from devmetrics.sources.backlog import read_backlog, write_backlog
