@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devmetrics.functions.values import NS_PER_MINUTE, truncate_ns
+from devmetrics.functions.values import NS_PER_DAY, NS_PER_MINUTE, truncate_ns
 from devmetrics.operators.sequence import running_sum
 
 
@@ -38,7 +38,8 @@ def queue_depth(events: DataFrame, bucket_ns: int = NS_PER_MINUTE, partition: tu
     """Depth after every event; at equal times -1 comes before +1, then by key and kind (a total order).
     ``materialize`` computes the events once when they are derived by joins (see ``running_sum``)."""
     return running_sum(events, ["event_ns", "delta", "persist_key", "kind"], "delta",
-                       truncate_ns(F.col("event_ns"), bucket_ns), "depth", partition, materialize)
+                       truncate_ns(F.col("event_ns"), bucket_ns), "depth", partition, materialize,
+                       super_bucket=truncate_ns(F.col("event_ns"), NS_PER_DAY))
 
 
 def high_water(depth: DataFrame, max_size: int, pct: int = 80) -> DataFrame:
@@ -67,5 +68,6 @@ def fifo_order(backlog: DataFrame, bucket_keys: int = 1_000_000, materialize: bo
     running count over key buckets."""
     ones = backlog.select("persist_key", F.lit(1).alias("_one"))
     pos = running_sum(ones, ["persist_key"], "_one", F.call_function("div", F.col("persist_key"), F.lit(bucket_keys)),
-                      "position", materialize=materialize)
+                      "position", materialize=materialize,
+                      super_bucket=F.call_function("div", F.col("persist_key"), F.lit(bucket_keys * 1000)))
     return pos.drop("_one")

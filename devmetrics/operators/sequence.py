@@ -137,27 +137,55 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
 
 
 def running_sum(df: DataFrame, order: Sequence[str], value_col: str, bucket: Column, out_col: str,
-                partition: Sequence[str] = (), materialize: bool = False) -> DataFrame:
+                partition: Sequence[str] = (), materialize: bool = False,
+                super_bucket: Column | None = None) -> DataFrame:
     """Running total of ``value_col`` in ``order`` (within ``partition``), computed as a prefix sum of per-bucket
-    totals plus a running sum inside each bucket: no window ever sees more than one bucket of rows, and the only
-    unpartitioned window runs over one row per bucket.
+    totals plus a running sum inside each bucket: no window ever sees more than one bucket of rows.
 
-    ``bucket`` must be monotone in ``order`` (for example the time truncated to a minute).
+    ``bucket`` must be monotone in ``order`` (for example the time truncated to a minute). Bucket offsets are a
+    prefix sum over one row per bucket. With ``super_bucket`` (monotone in ``bucket``, for example the day) that
+    prefix is taken in two levels -- over super-bucket totals, then inside each super-bucket -- so the only
+    sequential step (when there is no ``partition``) sees one row per super-bucket.
     """
     b = df.withColumn("_bucket", bucket)
+    if super_bucket is not None:
+        b = b.withColumn("_super", super_bucket)
     if materialize:
         b = _materialize(b, "running-sum")
     b = b.withColumn("_kb", _key_struct(partition, "_bucket"))
     wi = Window.partitionBy("_kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     within = b.withColumn("_run", F.sum(value_col).over(wi))
     # Bucket totals from the window's output (grouped by its partitioning column: no new shuffle).
-    totals = within.groupBy("_kb").agg(F.max_by("_run", F.struct(*order)).alias("_tot"))
+    extra = [F.max("_super").alias("_super")] if super_bucket is not None else []
+    totals = within.groupBy("_kb").agg(F.max_by("_run", F.struct(*order)).alias("_tot"), *extra)
     bucket_of = F.col("_kb").getField("_bucket")
-    if partition:
-        wt = Window.partitionBy(F.struct(*[F.col("_kb").getField(k).alias(k) for k in partition])).orderBy(bucket_of)
+    part = [F.col("_kb").getField(k).alias(k) for k in partition]
+    before = Window.unboundedPreceding, -1
+
+    def prefix(over: list[Column], by: Column) -> Window:
+        w = Window.partitionBy(*over).orderBy(by) if over else Window.orderBy(by)
+        return w.rowsBetween(*before)
+
+    if super_bucket is None:
+        offsets = totals.select(
+            "_kb", F.coalesce(F.sum("_tot").over(prefix(part, bucket_of)), F.lit(0)).alias("_off"))
     else:
-        wt = Window.orderBy(bucket_of)
-    offsets = totals.select(
-        "_kb", F.coalesce(F.sum("_tot").over(wt.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+        # Level 1: inside each super-bucket, partitioned by it. Level 2: over one row per super-bucket.
+        inner = totals.select(
+            "_kb", "_super", *part,
+            F.coalesce(F.sum("_tot").over(prefix([*part, F.col("_super")], bucket_of)), F.lit(0)).alias("_in"))
+        sup = totals.select(*part, "_super", "_tot").groupBy(*[F.col(k) for k in partition], "_super").agg(
+            F.sum("_tot").alias("_stot"))
+        sup_off = sup.select(*partition, "_super", F.coalesce(
+            F.sum("_stot").over(prefix([F.col(k) for k in partition], F.col("_super"))), F.lit(0)).alias("_soff"))
+        offsets = _join_keys(inner, sup_off, [*partition, "_super"]).select(
+            "_kb", (F.col("_in") + F.col("_soff")).alias("_off"))
     j = within.join(offsets, "_kb", "inner")
     return j.select(*df.columns, (F.col("_off") + F.col("_run")).cast("long").alias(out_col))
+
+
+def _join_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join of two small frames on ``on`` with null keys matching (via one struct key)."""
+    lk = left.withColumn("_jk", _key_struct(on))
+    rk = right.select(_key_struct(on).alias("_jk"), *[c for c in right.columns if c not in on])
+    return lk.join(rk, "_jk", "inner").drop("_jk")

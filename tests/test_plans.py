@@ -67,3 +67,16 @@ def test_scan_reads_only_needed_columns(spark):
     # The GPU list needs ids and labels only; the value column is never read.
     for cols in _scan_columns(_plan(entry_mod.queries()["list_gpus"](spark, SF_SMALL))):
         assert "value" not in cols
+
+
+@pytest.mark.parametrize("name", ["queue_depth", "fifo_order"])
+def test_only_super_bucket_totals_meet_in_one_task(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = _plan(entry_mod.queries()[name](spark, SF_SMALL)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    singles = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert singles, "expected the prefix over super-bucket totals"
+    for i in singles:
+        assert "HashAggregate(keys=[_super" in lines[i + 1], lines[i + 1]

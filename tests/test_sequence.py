@@ -51,3 +51,23 @@ def test_asof_join(spark, rows):
     for row in rows:
         cands = [x for x in right if x[0] == row[1] and x[1] <= row[2]]
         assert got[row[0]] == (max(cands, key=lambda x: x[1])[2] if cands else None)
+
+
+def test_running_sum_two_levels_matches_brute_force(spark):
+    from devmetrics.operators.sequence import running_sum
+
+    rnd = random.Random(11)
+    rows = [(i, rnd.choice(["p", "q", None]), rnd.randrange(0, 5000), rnd.randrange(-3, 4)) for i in range(800)]
+    df = spark.createDataFrame(rows, "id long, part string, t long, v long")
+    for sup in (None, F.call_function("div", F.col("t"), F.lit(1000))):
+        for partition in ((), ("part",)):
+            out = running_sum(df, ["t", "id"], "v", F.call_function("div", F.col("t"), F.lit(50)), "run",
+                              partition=partition, super_bucket=sup)
+            got = {r.id: r.run for r in out.collect()}
+            acc = {}
+            expected = {}
+            for i, p, t, v in sorted(rows, key=lambda r: (r[2], r[0])):
+                k = p if partition else None
+                acc[k] = acc.get(k, 0) + v
+                expected[i] = acc[k]
+            assert got == expected
