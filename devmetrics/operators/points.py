@@ -97,17 +97,15 @@ def widen_tags(df: DataFrame, keys: Sequence[str], tag_col: str = "tags") -> Dat
 
 def unpivot_fields(points: DataFrame) -> DataFrame:
     """The store's long shape, one row per field: (persist_key, measurement, tags, timestamp_ns, _field,
-    _value_string, _value_double). Typed value columns: no text round trip."""
-    base = points.select("persist_key", "measurement", "tags", "timestamp_ns", "fields")
-    name_rows = base.select(
-        "persist_key", "measurement", "tags", "timestamp_ns", F.lit("metric_name").alias("_field"),
-        F.col("fields.metric_name").alias("_value_string"), F.lit(None).cast("double").alias("_value_double"),
+    _value_string, _value_double). Typed value columns: no text round trip. One pass (explode), not a self-union."""
+    fields = F.array(
+        F.struct(F.lit("metric_name").alias("_field"), F.col("fields.metric_name").alias("_value_string"),
+                 F.lit(None).cast("double").alias("_value_double")),
+        F.struct(F.lit("value").alias("_field"), F.lit(None).cast("string").alias("_value_string"),
+                 F.col("fields.value").alias("_value_double")),
     )
-    value_rows = base.select(
-        "persist_key", "measurement", "tags", "timestamp_ns", F.lit("value").alias("_field"),
-        F.lit(None).cast("string").alias("_value_string"), F.col("fields.value").alias("_value_double"),
-    )
-    return name_rows.unionByName(value_rows)
+    return points.select("persist_key", "measurement", "tags", "timestamp_ns", F.explode(fields).alias("_f")).select(
+        "persist_key", "measurement", "tags", "timestamp_ns", "_f._field", "_f._value_string", "_f._value_double")
 
 
 def pivot_fields(long_df: DataFrame, row_key: Sequence[str] = ("persist_key",)) -> DataFrame:
