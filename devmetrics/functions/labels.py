@@ -41,7 +41,10 @@ def _label_entry(pair: Column) -> Column:
 
 
 def label_entries(labels_raw: Column) -> Column:
-    """ARRAY<STRUCT<k,v>> in text order, before duplicate keys are resolved (empty pieces and empty keys dropped)."""
+    """ARRAY<STRUCT<k,v>> in text order, before duplicate keys are resolved (empty pieces and empty keys dropped).
+
+    Splits on the single character ',' (a regex split would compile its pattern for every row) and trims with
+    the set-based ``trim``."""
     pieces = F.transform(F.split(F.coalesce(labels_raw, F.lit("")), ",", -1), unicode_trim)
     pieces = F.filter(pieces, lambda p: p != "")
     entries = F.transform(pieces, _label_entry)
@@ -94,23 +97,22 @@ def build_tags(
     """Labels first, then the message columns override them when non-empty.
 
     ``modelName`` overrides whenever the model list has at least one element (even if the joined text is empty).
-    An empty column leaves a label of the same name standing.
+    An empty column leaves a label of the same name standing. Built as one ``map`` of candidate overrides (null
+    where a column does not override) filtered once, plus the labels whose key has no override: two higher-order
+    functions per row.
     """
-    candidates = F.array(
-        *[
-            F.struct(F.lit(name).alias("k"), F.coalesce(c, F.lit("")).alias("v"), (F.coalesce(c, F.lit("")) != "").alias("use"))
-            for name, c in zip(TAG_COLUMNS, (gpu_id, device, uuid, namespace))
-        ],
-        F.struct(
-            F.lit(MODEL_TAG).alias("k"),
-            F.coalesce(join_model_name(model_name), F.lit("")).alias("v"),
-            F.coalesce(F.size(model_name) > 0, F.lit(False)).alias("use"),
-        ),
+    def nonempty(c: Column) -> Column:
+        return F.when(F.coalesce(c, F.lit("")) != "", c)
+
+    candidates = F.create_map(
+        F.lit("gpu_id"), nonempty(gpu_id),
+        F.lit("device"), nonempty(device),
+        F.lit("uuid"), nonempty(uuid),
+        F.lit("namespace"), nonempty(namespace),
+        F.lit(MODEL_TAG), F.when(F.coalesce(F.size(model_name) > 0, F.lit(False)), F.array_join(model_name, ",", "")),
     )
-    chosen = F.filter(candidates, lambda e: e["use"])
-    override_keys = F.transform(chosen, lambda e: e["k"])
-    overrides = F.map_from_arrays(override_keys, F.transform(chosen, lambda e: e["v"]))
-    kept = F.map_filter(labels, lambda k, v: ~F.array_contains(override_keys, k))
+    overrides = F.map_filter(candidates, lambda k, v: v.isNotNull())
+    kept = F.map_filter(labels, lambda k, v: F.element_at(candidates, k).isNull())
     return F.map_concat(kept, overrides)
 
 
@@ -123,7 +125,7 @@ def series_key(tags: Column) -> Column:
     def enc(s: Column) -> Column:
         return F.when(s.isNull(), F.lit("-")).otherwise(F.concat(F.length(s).cast("string"), F.lit(":"), s))
 
-    return F.array_join(F.transform(F.array_sort(F.map_entries(tags)), lambda e: F.concat(enc(e["key"]), enc(e["value"]))), "")
+    return F.array_join(F.transform(F.sort_array(F.map_entries(tags)), lambda e: F.concat(enc(e["key"]), enc(e["value"]))), "")
 
 
 def tag_value(tags: Column, key: str) -> Column:

@@ -25,7 +25,7 @@ def build_fields(metric_name: Column, value: Column) -> Column:
 def series_id(tags: Column) -> Column:
     """Readable text of a tag set (``k1=v1,k2=v2`` sorted by key); for output and display only -- it is not
     injective (values may hold ',' or '='), so grouping uses ``series_key``."""
-    return F.array_join(F.transform(F.array_sort(F.map_entries(tags)),
+    return F.array_join(F.transform(F.sort_array(F.map_entries(tags)),
                                     lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
 
 
