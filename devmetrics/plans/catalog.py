@@ -299,6 +299,21 @@ def queue_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _depth(spark, sf_dir).select("persist_key", "event_ns", "delta", "kind", "depth")
 
 
+@query
+def partitioned_queue_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 + E1: depth of each of 4 queues when messages are spread by GPU id (numeric ids modulo 4; messages
+    without a numeric id form their own queue), same consumer-lag model as ``queue_depth``."""
+    tel = fx.telemetry(spark, sf_dir)
+    part = enrich.partition_of("gpu_id", 4, method="integer").alias("partition")
+    acc = fx.accepted(tel)
+    accepts = acc.select("persist_key", F.col("timestamp_ns").alias("event_ns"), F.lit(1).alias("delta"),
+                         F.lit("accept").alias("kind"), part)
+    pops = acc.select("persist_key", (F.col("timestamp_ns") + F.col("k") * NS_PER_MINUTE).alias("event_ns"),
+                      F.lit(-1).alias("delta"), F.lit("dispatch").alias("kind"), part)
+    d = depth.queue_depth(accepts.unionByName(pops), partition=("partition",), materialize=True)
+    return d.select("partition", "persist_key", "event_ns", "delta", "kind", "depth")
+
+
 @query
 def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepts that leave the queue (max 25) at 80 % or more."""

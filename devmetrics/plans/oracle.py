@@ -500,3 +500,14 @@ SELECT CASE WHEN kind = 'accept' THEN 'enqueued' ELSE 'rejected' END AS recorded
        depth - delta >= {P.QUEUE_MAX} AS predicted_reject, count(*) AS sends
 FROM dep WHERE kind IN ('accept', 'refusal') GROUP BY 1, 2
 """)
+
+oracle("partitioned_queue_depth", ("telemetry",), """
+, acc AS (SELECT persist_key, timestamp_ns, k, CAST(TRY_CAST(gpu_id AS BIGINT) % 4 AS BIGINT) AS partition
+          FROM telemetry WHERE persist_key % 50 <> 0 AND persist_key % 333 <> 0),
+ev AS (SELECT partition, persist_key, timestamp_ns AS event_ns, 1 AS delta, 'accept' AS kind FROM acc
+       UNION ALL SELECT partition, persist_key, timestamp_ns + k * 60000000000, -1, 'dispatch' FROM acc)
+SELECT partition, persist_key, event_ns, CAST(delta AS INTEGER) AS delta, kind,
+  CAST(sum(delta) OVER (PARTITION BY partition ORDER BY event_ns, delta, persist_key, kind
+                        ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth
+FROM ev
+""")
