@@ -3,7 +3,8 @@
 Runs the registered queries named below over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` (default 8). Each query is executed in full with the ``noop`` sink (every row produced,
 nothing collected to the driver). Each query runs twice and the faster run is reported, so one-off JIT and
-file-listing costs are not counted twice.
+file-listing costs are not counted twice. The flagship is also timed on the read path used at scale: points
+written once to the date-partitioned store (reported under ``setup_sec``), then read back with pruning.
 """
 
 from __future__ import annotations
@@ -67,11 +68,32 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             best = min(best, time.perf_counter() - t0)
         timings[name] = round(best, 3)
+    # The read path at scale: points written once to the date-partitioned store, then the flagship read from it
+    # (date folders pruned, gpu_id pushed to the Parquet row groups).
+    from devmetrics.operators import reads
+    from devmetrics.plans import params as P
+    from devmetrics.plans.catalog import points
+    from devmetrics.session import scratch_path
+    from devmetrics.sources.points_store import read_points, write_points
+
+    store = scratch_path(spark, "bench-store")
+    t0 = time.perf_counter()
+    write_points(points(spark, sf_dir), store)
+    setup = {"points_store_write": round(time.perf_counter() - t0, 3)}
+    best = float("inf")
+    for _ in range(2):
+        t0 = time.perf_counter()
+        pts = read_points(spark, store, P.START_NS, P.END_NS, measurement="gpu_metrics")
+        reads.telemetry_by_gpu(pts, P.FLAGSHIP_GPU, P.RESPONSE_TAG_KEYS, P.FLAGSHIP_START, P.FLAGSHIP_END) \
+            .write.format("noop").mode("overwrite").save()
+        best = min(best, time.perf_counter() - t0)
+    timings["telemetry_by_gpu_from_store"] = round(best, 3)
+
     total = round(sum(timings.values()), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": timings,
                       "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf, "cpus": int(cpus),
-                      "spark": spark.version}))
+                      "setup_sec": setup, "spark": spark.version}))
     spark.stop()
 
 
