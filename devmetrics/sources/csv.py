@@ -47,11 +47,13 @@ def _s(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
-def map_record(raw: DataFrame, source_node: str | Column, event_time: str = "arrival") -> DataFrame:
+def map_record(raw: DataFrame, source_node: str | Column, event_time: str = "arrival",
+               mode: str = "permissive") -> DataFrame:
     """Positional fields -> canonical telemetry columns plus ``reject_reason`` (null for good rows).
 
     ``event_time='arrival'`` stamps the arrival time in ns (B5; the recorded column is discarded, as the sender
-    does); ``'recorded'`` keeps column 0 as an integer ns time.
+    does); ``'recorded'`` keeps column 0 as an integer ns time. ``mode='permissive'`` (default) sends short records
+    to the rejects; ``'failfast'`` fails the job on the first one.
     """
     if event_time == "arrival":
         ts = arrival_ns()
@@ -59,7 +61,12 @@ def map_record(raw: DataFrame, source_node: str | Column, event_time: str = "arr
         ts = F.col("c0").try_cast("long")
     else:
         raise ValueError("event_time must be 'arrival' or 'recorded'")
+    if mode not in ("permissive", "failfast"):
+        raise ValueError("mode must be 'permissive' or 'failfast'")
     ragged = ~has_min_fields(F.col("n_fields"))
+    if mode == "failfast":
+        # Strict: the job fails at the first short record, as a reader error ends the reference's pass.
+        ragged = F.when(ragged, F.raise_error(F.lit("incomplete record"))).otherwise(F.lit(False))
     reason = F.when(ragged, F.lit("incomplete record")).otherwise(value_reject_reason(_s("c10")))
     return raw.select(
         ts.alias("timestamp_ns"),
@@ -88,9 +95,9 @@ def split_valid_rejects(mapped: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_metrics_csv(spark: SparkSession, path: str, source_node: str, event_time: str = "arrival",
-                     header: bool = True) -> DataFrame:
+                     header: bool = True, mode: str = "permissive") -> DataFrame:
     """A1: read and map metric CSV files; rows carry ``reject_reason`` (use ``split_valid_rejects``)."""
-    return map_record(read_metrics_csv_raw(spark, path, header), source_node, event_time)
+    return map_record(read_metrics_csv_raw(spark, path, header), source_node, event_time, mode)
 
 
 def quote_csv_field(c: Column) -> Column:

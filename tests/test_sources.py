@@ -77,3 +77,13 @@ def test_points_store_prunes_dates(spark, tmp_dir):
     assert sorted(r.persist_key for r in got.collect()) == [2, 3, 4, 5]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "date" in plan
+
+
+def test_csv_failfast_mode(spark, tmp_dir):
+    import pytest
+
+    _write(f"{tmp_dir}/ok/m.csv", HEADER + "1,temp,0,d,u,a,b,c,d,ns,1.0,\n")
+    assert read_metrics_csv(spark, f"{tmp_dir}/ok", "h", event_time="recorded", mode="failfast").count() == 1
+    _write(f"{tmp_dir}/bad/m.csv", HEADER + "1,temp,0,d,u,a,b,c,d,ns,1.0,\n2,short\n")
+    with pytest.raises(Exception, match="incomplete record"):
+        read_metrics_csv(spark, f"{tmp_dir}/bad", "h", event_time="recorded", mode="failfast").collect()
