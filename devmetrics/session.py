@@ -67,3 +67,23 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    Initial shuffle partitions: enough for ``target_partition_bytes`` per partition of the *input* (shuffles here
+    move at most about the input, usually far less after partial aggregation), at least 3 waves of the cluster's
+    cores; AQE then coalesces small ones to the advisory size and splits skewed ones. Scans use 256 MB splits.
+    Streaming state (join buffers, dedup keys) goes to RocksDB so it is not bounded by executor heap."""
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024**2),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }

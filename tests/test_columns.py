@@ -135,3 +135,12 @@ def test_ns_from_timestamp_ntz_ignores_daylight_saving(spark):
     r = df.select(ns_from_timestamp_ntz(F.col("ts")).alias("a"), ns_from_timestamp_ntz(F.col("old")).alias("b")).first()
     assert r.a == 1719837296123456000
     assert r.b == -500_000_000
+
+
+def test_cluster_settings_for_100_tb():
+    from devmetrics.session import cluster_settings
+
+    s = cluster_settings(100 * 1024**4, total_cores=4000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409_600  # 100 TiB / 256 MiB
+    assert cluster_settings(10 * 1024**3, total_cores=4000)["spark.sql.shuffle.partitions"] == "12000"
+    assert s["spark.sql.adaptive.skewJoin.enabled"] == "true"
