@@ -90,8 +90,19 @@ def to_entries(points: DataFrame, tag_keys: Sequence[str]) -> DataFrame:
     )
 
 
-def widen_tags(df: DataFrame, keys: Sequence[str], tag_col: str = "tags") -> DataFrame:
-    """Each listed tag key as its own column (null when absent)."""
+def widen_tags(df: DataFrame, keys: Sequence[str] | None = None, tag_col: str = "tags",
+               max_keys: int = 1000) -> DataFrame:
+    """Each tag key as its own column (null when absent).
+
+    With ``keys=None`` the keys are found first (D3: a distinct aggregate whose result -- the set of key names --
+    defines the output schema and is the only thing brought to the driver). More than ``max_keys`` distinct keys
+    is an error, not a silent cut: an open-ended key space belongs in the map, not in columns."""
+    if keys is None:
+        found = (df.select(F.explode(F.map_keys(tag_col)).alias("k")).distinct().orderBy("k")
+                 .limit(max_keys + 1).collect())
+        if len(found) > max_keys:
+            raise ValueError(f"more than {max_keys} distinct tag keys; pass the keys to widen explicitly")
+        keys = [r.k for r in found]
     return df.select("*", *[F.col(tag_col).getItem(k).alias(k) for k in keys])
 
 
