@@ -16,6 +16,7 @@ EAGER = {"stream_ingest", "stream_dedup", "stream_window_count", "stream_ack_tim
 
 def shape(plan: str) -> dict[str, str]:
     scans = re.findall(r"FileScan (?:parquet|text|json|csv) [^\n]*?Location: \w+\([^)]*\)\[file:[^\]]*/([\w.-]+?)(?:\.parquet)?[\],]", plan)
+    scans = [re.sub(r"-[0-9a-f]{12}$", " (staged)", x) for x in scans]
     pushed = re.findall(r"PushedFilters: \[[^\]]*(?:GreaterThan|LessThan)[^\]]*\]", plan)
     hashx = len(re.findall(r"Exchange hashpartitioning", plan))
     rangex = len(re.findall(r"Exchange rangepartitioning", plan))
