@@ -28,26 +28,19 @@ def unicode_trim(c: Column) -> Column:
     return F.trim(c, F.lit(WHITE_SPACE_CHARS))
 
 
-def _label_entry(pair: Column) -> Column:
-    """One trimmed, non-empty ``key=value`` piece -> struct(k, v); split on the first '='."""
-    eq = F.instr(pair, "=")
-    return F.when(
-        eq > 0,
-        F.struct(
-            unicode_trim(F.substr(pair, F.lit(1), eq - 1)).alias("k"),
-            unicode_trim(F.substr(pair, eq + 1)).alias("v"),
-        ),
-    ).otherwise(F.struct(pair.alias("k"), F.lit("").alias("v")))
-
-
 def label_entries(labels_raw: Column) -> Column:
     """ARRAY<STRUCT<k,v>> in text order, before duplicate keys are resolved (empty pieces and empty keys dropped).
 
-    Splits on the single character ',' (a regex split would compile its pattern for every row) and trims with
-    the set-based ``trim``."""
-    pieces = F.transform(F.split(F.coalesce(labels_raw, F.lit("")), ",", -1), unicode_trim)
-    pieces = F.filter(pieces, lambda p: p != "")
-    entries = F.transform(pieces, _label_entry)
+    Splits on the single characters ',' and then '=' (limit 2: the first '=' only); single-character splits take
+    the fast path (a regex split would compile its pattern for every row). Key and value are trimmed with the
+    set-based ``trim``; a piece without '=' is a key with an empty value, and a piece that trims to nothing has an
+    empty key and is dropped."""
+    pieces = F.split(F.coalesce(labels_raw, F.lit("")), ",", -1)
+    halves = F.transform(pieces, lambda p: F.split(p, "=", 2))
+    entries = F.transform(halves, lambda kv: F.struct(
+        unicode_trim(kv.getItem(0)).alias("k"),
+        F.coalesce(unicode_trim(F.get(kv, 1)), F.lit("")).alias("v"),
+    ))
     return F.filter(entries, lambda e: e["k"] != "")
 
 
