@@ -30,20 +30,25 @@ def write_backlog(telemetry: DataFrame, path: str, mode: str = "overwrite") -> N
     ).write.mode(mode).json(path)
 
 
-def read_backlog(spark: SparkSession, path: str) -> DataFrame:
+def read_backlog(spark: SparkSession, path: str, with_position: bool = False) -> DataFrame:
     """A3: read backlog records, skipping corrupt lines and records whose key or value has the wrong type.
 
-    Returns canonical telemetry columns. Recovery order (ascending ``persist_key``) is not imposed here; use
-    ``depth.fifo_order`` when a position is needed."""
+    Returns canonical telemetry columns. Recovery order is ascending ``persist_key``; ``with_position`` adds it as
+    a 1-based ``position`` column (E4, a distributed running count, not a global sort into one task)."""
     parsed = spark.read.text(path).select(
         F.from_json("value", T.StructType([*BACKLOG_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())]),
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("r")
     ).select("r.*")
     good = parsed.where(F.col(_CORRUPT).isNull() & F.col("persist_key").isNotNull())
-    return good.select(
+    out = good.select(
         "persist_key", F.col("timestamp").alias("timestamp_ns"),
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("metric_name", "gpu_id", "device", "uuid")],
         F.coalesce(F.col("model_name"), F.array().cast("array<string>")).alias("model_name"),
         F.coalesce(F.col("namespace"), F.lit("")).alias("namespace"), "value",
         F.coalesce(F.col("labels_raw"), F.lit("")).alias("labels_raw"),
     )
+    if with_position:
+        from devmetrics.operators.depth import fifo_order
+
+        out = out.join(fifo_order(out.select("persist_key")), "persist_key")
+    return out

@@ -63,6 +63,8 @@ def test_backlog_skips_corrupt(spark, tmp_dir):
     back = read_backlog(spark, f"{tmp_dir}/backlog")
     assert sorted(r.persist_key for r in back.collect()) == [1, 2, 3, 4, 5]
     assert back.where("persist_key = 3").first().model_name == ["A100"]
+    ordered = read_backlog(spark, f"{tmp_dir}/backlog", with_position=True)
+    assert sorted((r.persist_key, r.position) for r in ordered.collect()) == [(k, k) for k in range(1, 6)]
 
 
 def test_points_store_prunes_dates(spark, tmp_dir):
