@@ -55,3 +55,15 @@ def entries_to_json(df: DataFrame, cols: list[str] | None = None) -> Column:
 def write_entries_json(df: DataFrame, path: str) -> None:
     """A8 as files: JSON lines, null keys omitted (an empty result writes no rows)."""
     df.write.mode("overwrite").option("ignoreNullFields", "true").json(path)
+
+
+def compact_points(spark: SparkSession, src: str, dst: str, key: str = "metric") -> None:
+    """Store compaction: every point of ``src`` (batch folders from streams, repeated writes from redelivery)
+    reduced to its last write (D9) and rewritten to a new store ``dst`` with the same layout. A batch job over a
+    new directory: readers keep using ``src`` until they are pointed at ``dst``."""
+    from devmetrics.operators.points import upsert_points
+
+    pts = spark.read.parquet(src)
+    seq = ["batch_id", "persist_key"] if "batch_id" in pts.columns else ["persist_key"]
+    latest = upsert_points(pts.drop("date"), key=key, seq_col=seq)
+    write_points(latest.drop("batch_id") if "batch_id" in latest.columns else latest, dst, mode="overwrite")

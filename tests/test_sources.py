@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 
 from devmetrics.operators.points import build_points
 from devmetrics.sources.backlog import read_backlog, write_backlog
@@ -89,3 +91,24 @@ def test_csv_failfast_mode(spark, tmp_dir):
     _write(f"{tmp_dir}/bad/m.csv", HEADER + "1,temp,0,d,u,a,b,c,d,ns,1.0,\n2,short\n")
     with pytest.raises(Exception, match="incomplete record"):
         read_metrics_csv(spark, f"{tmp_dir}/bad", "h", event_time="recorded", mode="failfast").collect()
+
+
+def test_compaction_keeps_last_write(spark, tmp_dir):
+    from devmetrics.sources.points_store import compact_points
+    from devmetrics.streaming.streams import batch_dir_writer
+
+    base = 1704067200 * 10**9
+    schema = ("persist_key long, timestamp_ns long, metric_name string, gpu_id string, device string, uuid string, "
+              "model_name array<string>, namespace string, value double, labels_raw string")
+    first = spark.createDataFrame([(1, base, "temp", "0", "d", "u", [], "ns", 1.0, "")], schema)
+    again = spark.createDataFrame([(1, base, "temp", "0", "d", "u", [], "ns", 2.0, ""),   # redelivered, corrected
+                                   (2, base, "util", "0", "d", "u", [], "ns", 5.0, "")], schema)
+    from devmetrics.functions.values import ns_to_utc_date
+
+    w = batch_dir_writer(f"{tmp_dir}/store", ("measurement", "date"))
+    for batch_id, df in enumerate([first, again]):
+        w(build_points(df).withColumn("date", ns_to_utc_date(F.col("timestamp_ns"))), batch_id)
+    assert spark.read.parquet(f"{tmp_dir}/store").count() == 3
+    compact_points(spark, f"{tmp_dir}/store", f"{tmp_dir}/compacted")
+    got = {r.fields.metric_name: r.fields.value for r in read_points(spark, f"{tmp_dir}/compacted").collect()}
+    assert got == {"temp": 2.0, "util": 5.0}
