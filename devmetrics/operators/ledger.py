@@ -192,3 +192,24 @@ def latency_percentiles(matched: DataFrame, by: str, accuracy: int = 10_000) ->
     return matched.groupBy(by).agg(q.alias("_q"), F.count(F.lit(1)).alias("acked")).select(
         by, "acked", F.col("_q")[0].alias("p50_ns"), F.col("_q")[1].alias("p95_ns"), F.col("_q")[2].alias("p99_ns")
     )
+
+
+def exact_percentiles(df: DataFrame, by: str, value_col: str, quantiles: dict[str, float],
+                      value_bucket: Column) -> DataFrame:
+    """K11 exactly: nearest-rank percentiles (the value at rank ``max(1, ceil(n*q))`` in ascending order) per group.
+
+    The rank is a distributed running count (``running_sum`` partitioned by group and split by ``value_bucket``,
+    which must be monotone in the value), so a group holding most rows is still spread over many tasks; no group
+    is ever collected. Then one row per group and quantile is picked by an equi-join on the target rank."""
+    from devmetrics.operators.sequence import running_sum
+
+    vals = df.select(by, value_col, F.lit(1).alias("_one"), F.monotonically_increasing_id().alias("_tie"))
+    ranked = running_sum(vals, [value_col, "_tie"], "_one", value_bucket, "_rank", partition=(by,))
+    n = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    targets = n.select(by, "_n", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("_q"), F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(q))).cast("long").alias("_rank"))
+        for name, q in quantiles.items()])).alias("_t")).select(by, "_n", "_t._q", "_t._rank")
+    picked = ranked.join(targets, [by, "_rank"])
+    return picked.groupBy(by).agg(
+        F.first("_n").alias("acked"),
+        *[F.max(F.when(F.col("_q") == name, F.col(value_col))).alias(name) for name in quantiles])

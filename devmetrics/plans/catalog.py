@@ -284,6 +284,16 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.latency_percentiles(m, "delivery")
 
 
+@query
+def latency_percentiles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K11 exactly: nearest-rank p50/p95/p99 ack latency per delivery round from distributed ranks (value
+    buckets of one second), same definition as the sketch query's oracle."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    m = ledger.match_acks(d, a, P.ACK_TIMEOUT_NS).withColumn("delivery", F.substring("message_id", 1, 2))
+    return ledger.exact_percentiles(m, "delivery", "latency_ns", {"p50_ns": 0.5, "p95_ns": 0.95, "p99_ns": 0.99},
+                                    F.call_function("div", F.col("latency_ns"), F.lit(1_000_000_000)))
+
+
 def _depth(spark: SparkSession, sf_dir: str, with_refusals: bool = False) -> DataFrame:
     """Depth with consumer lag: each accepted message is popped k minutes after it was accepted."""
     tel, e, _, _ = _ledger(spark, sf_dir)

@@ -511,3 +511,6 @@ SELECT partition, persist_key, event_ns, CAST(delta AS INTEGER) AS delta, kind,
                         ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth
 FROM ev
 """)
+
+# Same definition (nearest rank) as the sketch query: the exact form must give the same rows.
+ORACLE["latency_percentiles_exact"] = ORACLE["latency_percentiles"]

@@ -5,6 +5,8 @@ from devmetrics.operators import depth, ledger, sender
 
 S = 10**9
 
+from pyspark.sql import functions as F  # noqa: E402
+
 
 def _ledger(spark, enq, disp, acks):
     e = spark.createDataFrame(enq, "persist_key long, enqueued_ns long, outcome string")
@@ -112,3 +114,20 @@ def test_sink_rollup(spark):
                                 "message_id string, write_ok boolean, ack_ok boolean")
     r = ledger.sink_rollup(log).first()
     assert (r.processed, r.write_failed, r.ack_failed) == (3, 1, 1)
+
+
+def test_exact_percentiles_hot_group(spark):
+    import math
+    import random
+
+    rnd = random.Random(5)
+    rows = [("hot" if i % 4 else rnd.choice(["a", "b"]), rnd.randrange(0, 100_000)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    qs = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p0": 0.0}
+    out = ledger.exact_percentiles(df, "g", "v", qs, F.call_function("div", F.col("v"), F.lit(1000)))
+    got = {r.g: (r.acked, r.p50, r.p95, r.p99, r.p0) for r in out.collect()}
+    for g in {"hot", "a", "b"}:
+        vals = sorted(v for k, v in rows if k == g)
+        n = len(vals)
+        pick = [vals[max(1, math.ceil(n * q)) - 1] for q in qs.values()]
+        assert got[g] == (n, *pick)
