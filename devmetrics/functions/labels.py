@@ -55,10 +55,16 @@ def parse_labels(labels_raw: Column) -> Column:
 
 
 def labels_from_entries(entries: Column) -> Column:
-    """Entries (text order) -> map with the last value of each key."""
-    keys = F.array_distinct(F.transform(entries, lambda e: e["k"]))
-    values = F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["k"] == k), -1)["v"])
-    return F.map_from_arrays(keys, values)
+    """Entries (text order) -> map with the last value of each key.
+
+    Repeated keys are rare, so rows whose keys are already distinct take ``map_from_entries`` directly; only the
+    others pay for the per-key last-value lookup."""
+    keys = F.transform(entries, lambda e: e["k"])
+    distinct_keys = F.array_distinct(keys)
+    last_values = F.transform(distinct_keys,
+                              lambda k: F.element_at(F.filter(entries, lambda e: e["k"] == k), -1)["v"])
+    return F.when(F.size(distinct_keys) == F.size(keys), F.map_from_entries(entries)).otherwise(
+        F.map_from_arrays(distinct_keys, last_values))
 
 
 def join_model_name(model_name: Column) -> Column:
