@@ -74,3 +74,18 @@ def test_expired_pending_scan_interval(spark):
     assert ledger.expired_pending(d, a, 36 * S, 30 * S).count() == 1
     assert ledger.expired_pending(d, a, 36 * S, 30 * S, scan_interval_ns=10 * S).count() == 0
     assert ledger.expired_pending(d, a, 40 * S, 30 * S, scan_interval_ns=10 * S).count() == 1
+
+
+def test_write_points_stream_matches_batch(spark, tmp_dir):
+    from devmetrics.operators.points import build_points
+    from devmetrics.sources import fixtures as fx
+    from devmetrics.sources.points_store import read_points
+    from tests.conftest import SF_SMALL
+
+    stream_pts = build_points(fx.telemetry_from_events(streams.events_stream(spark, SF_SMALL)))
+    q = streams.write_points_stream(stream_pts.drop("tags"), f"{tmp_dir}/store", f"{tmp_dir}/ckpt", available_now=True)
+    q.awaitTermination()
+    got = read_points(spark, f"{tmp_dir}/store", measurement="gpu_metrics")
+    batch = build_points(fx.telemetry(spark, SF_SMALL))
+    cols = ["persist_key", "timestamp_ns", "gpu_id", "series_id"]
+    assert sorted(got.select(cols).collect()) == sorted(batch.select(cols).collect())
