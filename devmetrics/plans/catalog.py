@@ -83,12 +83,18 @@ def tags_effective(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hourly_identity_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points restamped to the hour and tagged only with the GPU identity tags, so that writes collide."""
-    ident = F.array(*[F.lit(k) for k in IDENTITY_TAGS])
-    p = points(spark, sf_dir).select("persist_key", "measurement", "timestamp_ns", "tags", "fields")
-    return p.withColumn("timestamp_ns", truncate_ns(F.col("timestamp_ns"), NS_PER_HOUR)).withColumn(
-        "tags", F.map_filter("tags", lambda k, v: F.array_contains(ident, k))
-    )
+    """Points restamped to the hour and tagged only with the GPU identity tags, so that writes collide.
+
+    The identity tags are the promoted tag columns, so the restricted map is built from them directly and the full
+    tag map is never computed (Catalyst prunes it)."""
+    p = points(spark, sf_dir)
+    promoted = {"gpu_id": "gpu_id", "device": "device", "uuid": "uuid", "namespace": "namespace",
+                "modelName": "model_name"}
+    ident = F.map_filter(F.create_map(*[x for k in IDENTITY_TAGS for x in (F.lit(k), F.col(promoted[k]))]),
+                         lambda k, v: v.isNotNull())
+    return p.select("persist_key", "measurement",
+                    truncate_ns(F.col("timestamp_ns"), NS_PER_HOUR).alias("timestamp_ns"),
+                    ident.alias("tags"), "fields")
 
 
 def _upsert_output(df: DataFrame) -> DataFrame:
