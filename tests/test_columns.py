@@ -144,3 +144,21 @@ def test_cluster_settings_for_100_tb():
     assert int(s["spark.sql.shuffle.partitions"]) == 409_600  # 100 TiB / 256 MiB
     assert cluster_settings(10 * 1024**3, total_cores=4000)["spark.sql.shuffle.partitions"] == "12000"
     assert s["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_arrival_stamp_and_time_resolution(spark):
+    from devmetrics.functions.values import ns_to_timestamp, resolve_time
+    from devmetrics.sources.csv import stamp_arrival
+
+    df = spark.range(1000).select(F.col("id").alias("timestamp_ns"))
+    stamped = stamp_arrival(df)
+    # One arrival value per query evaluation (B5), in ns, recent.
+    vals = {r.timestamp_ns for r in stamped.collect()}
+    assert len(vals) == 1 and next(iter(vals)) > 1_700_000_000 * 10**9
+    r = spark.createDataFrame([(0,), (123,)], "t long").select(
+        resolve_time(F.col("t"), F.lit(999)).alias("r")).collect()
+    assert [x.r for x in r] == [999, 123]  # B11: zero means now
+    # Ns -> microsecond timestamp, flooring (also before 1970).
+    ts = spark.createDataFrame([(1_500,), (-1_500,)], "ns long").select(
+        F.unix_micros(ns_to_timestamp(F.col("ns"))).alias("us")).collect()
+    assert [x.us for x in ts] == [1, -2]
