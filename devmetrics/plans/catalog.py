@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from devmetrics.functions.labels import parse_labels, tag_value
+from devmetrics.functions.labels import parse_labels, series_key, tag_value
 from devmetrics.functions.times import parse_rfc3339_ns
 from devmetrics.functions.values import (NS_PER_DAY, NS_PER_HOUR, NS_PER_MINUTE, backoff_bound_ms, is_retryable,
                                          is_safe_identifier, parse_value, truncate_ns, value_reject_reason)
@@ -160,8 +160,8 @@ def tag_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def count_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points per series over the day before END."""
-    return agg.count_recent(points(spark, sf_dir, P.END_NS - NS_PER_DAY, P.END_NS), P.END_NS, minutes=24 * 60,
-                            by=("series_id",))
+    p = points(spark, sf_dir, P.END_NS - NS_PER_DAY, P.END_NS).withColumn("_series", series_key(F.col("tags")))
+    return agg.count_recent(p, P.END_NS, minutes=24 * 60, by=("_series", "series_id")).drop("_series")
 
 
 @query
@@ -178,6 +178,15 @@ def window_count_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
                             by=("gpu_id",), create_empty=False)
 
 
+@query
+def window_count_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 in the store's literal grouping: hourly counts per full series (tag set) over [START, END), non-empty
+    windows (with empty ones the grid is series x windows)."""
+    p = points(spark, sf_dir, P.START_NS, P.END_NS).withColumn("_series", series_key(F.col("tags")))
+    counts = agg.window_count(p, NS_PER_HOUR, P.START_NS, P.END_NS, by=("_series", "series_id"), create_empty=False)
+    return counts.drop("_series")  # grouped by the injective key; the readable text rides along
+
+
 @query
 def continuity_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged runs of empty hourly windows per GPU over [START, END)."""

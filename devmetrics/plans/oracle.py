@@ -514,3 +514,10 @@ FROM ev
 
 # Same definition (nearest rank) as the sketch query: the exact form must give the same rows.
 ORACLE["latency_percentiles_exact"] = ORACLE["latency_percentiles"]
+
+oracle("window_count_series", ("points",), f"""
+SELECT series_id, greatest(timestamp_ns - timestamp_ns % {HOUR}, {P.START_NS}) AS window_start_ns,
+       least(timestamp_ns - timestamp_ns % {HOUR} + {HOUR}, {P.END_NS}) AS window_end_ns, count(*) AS points
+FROM points WHERE timestamp_ns >= {P.START_NS} AND timestamp_ns < {P.END_NS}
+GROUP BY 1, 2, 3
+""")
