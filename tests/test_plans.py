@@ -80,3 +80,12 @@ def test_only_super_bucket_totals_meet_in_one_task(spark, name):
     assert singles, "expected the prefix over super-bucket totals"
     for i in singles:
         assert "HashAggregate(keys=[_super" in lines[i + 1], lines[i + 1]
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_outputs_are_flat_scalars(spark, name):
+    from pyspark.sql.types import ArrayType, MapType, StructType
+
+    schema = entry_mod.queries()[name](spark, SF_SMALL).schema
+    nested = [f.name for f in schema.fields if isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    assert nested == [], f"{name}: nested output columns {nested}"
