@@ -4,20 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from devmetrics.llm import mixing, url_filter
+from devmetrics.llm import langid, mixing, simhash, toxicity, url_filter
 from devmetrics.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_mix_sources": op3_mix_sources,
+    "op7_simhash": op7_simhash,
+    "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
 }
 
