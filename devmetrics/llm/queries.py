@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from devmetrics.llm import langid, mixing, simhash, toxicity, url_filter
+from devmetrics.llm import langid, mixing, simhash, token_files, toxicity, url_filter
 from devmetrics.llm.common import table
 
 
@@ -16,6 +16,12 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,6 +37,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_mix_sources": op3_mix_sources,
+    "op5_token_files": op5_token_files,
     "op7_simhash": op7_simhash,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
