@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from devmetrics.llm import langid, mixing, simhash, token_files, toxicity, url_filter
+from devmetrics.llm import ann, langid, mixing, sentence_pieces, simhash, token_files, toxicity, url_filter
 from devmetrics.llm.common import table
 
 
@@ -12,6 +12,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = ann.usable(table(spark, sf_dir, "embeddings"))
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -26,6 +31,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
@@ -36,9 +48,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_nearest": op2_nearest,
     "op3_mix_sources": op3_mix_sources,
     "op5_token_files": op5_token_files,
     "op7_simhash": op7_simhash,
+    "op8_sentence_pieces": op8_sentence_pieces,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
 }
