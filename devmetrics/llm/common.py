@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,10 +19,38 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives this package to the session's Python workers, once (what ``--py-files`` does): operators with Python
+    parts then work wherever the session was started."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if any(f.rpartition("/")[2] == "devmetrics.zip" for f in context.listFiles):
+        return
+    path = Path(tempfile.mkdtemp(prefix="devmetrics-py-")) / "devmetrics.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(package.rglob("*.py")):
+            out.write(f, f"devmetrics/{f.relative_to(package)}")
+    context.addPyFile(str(path))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_sample(rows: DataFrame, by: str, limit: Column, most: int) -> DataFrame:
+    """Of rows (doc_id, ``by``) at most ``limit`` (a column; ``most`` at most) for each value, those first in the
+    order of md5(doc_id).
+
+    A share of the hash range that holds about twice as many is cut out first, so that what meets in the window of
+    a value doesn't grow with the input."""
+    place = F.md5(F.col("doc_id").cast("string"))
+    share = F.conv(F.substring(place, 1, 8), 16, 10).cast("double") / 2.0**32
+    sizes = rows.groupBy(by).agg(F.count("*").alias("__size"))
+    near = rows.join(sizes, by).where(share * F.col("__size") < 2 * most + 100)
+    order = Window.partitionBy(by).orderBy(place, "doc_id")
+    return near.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= limit).drop("__n", "__size")
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

@@ -23,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devmetrics.llm.common import crc32_mod
+from devmetrics.llm.common import bounded_sample, crc32_mod
 from devmetrics.llm.wordhash import ByteWords, Memo, pieces
 
 ORDER = 5
@@ -243,9 +243,8 @@ def learnable():
 def fit(docs: DataFrame, usable=None, per_language: int = PER_LANGUAGE) -> Model:
     usable = F.lit(True) if usable is None else usable
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).where(usable)
-    order = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    chosen = (rows.select("lang", "doc_id").withColumn("__n", F.row_number().over(order))
-              .where(F.col("__n") <= per_language).select("lang", "doc_id").distinct())
+    ids = rows.select("lang", "doc_id").distinct()
+    chosen = bounded_sample(ids, "lang", F.lit(per_language), per_language)
     picked = rows.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"])
     found = picked.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).collect()
     found.sort(key=lambda r: (r.lang, r.doc_id))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from devmetrics.llm import ann, langid, mixing, sentence_pieces, simhash, token_files, toxicity, url_filter
+from devmetrics.llm import ann, langid, mixing, quality, secrets, sentence_pieces, simhash, token_files, toxicity, url_filter
 from devmetrics.llm.common import table
 
 
@@ -21,12 +21,20 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_files.token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,7 +58,9 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_nearest": op2_nearest,
     "op3_mix_sources": op3_mix_sources,
+    "op4_quality": op4_quality,
     "op5_token_files": op5_token_files,
+    "op6_secrets": op6_secrets,
     "op7_simhash": op7_simhash,
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_language_id": op9_language_id,

@@ -234,7 +234,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", seed: int
     rows = docs.select(*keep, F.col("text").alias("__text"), F.coalesce(F.xxhash64(key), F.lit(0)).alias("__key"))
     more = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.IntegerType()), T.StructField("lossless", T.BooleanType())])
     schema = T.StructType([*docs.select(*keep).schema.fields, *more.fields])
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = sampler(path, theta)
@@ -248,7 +248,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", seed: int
                 lists = pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(ids), mask=pa.array(null))
                 sizes = pa.array(np.diff(borders).astype(np.int32), mask=null)
                 same = pa.array([None if t is None else t == b for t, b in zip(texts, back)], pa.bool_())
-                kept = [c.cast(f.type) for c, f in zip(part.columns, arrow)][:len(keep)]
+                kept = [c.cast(f.type) for c, f in zip(part.columns[:len(keep)], arrow)]
                 yield pa.RecordBatch.from_arrays([*kept, lists.cast(arrow.field("ids").type), sizes, same], schema=arrow)
 
     return rows.mapInArrow(run, schema)
@@ -257,7 +257,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", seed: int
 def decode_documents(encoded: DataFrame, path: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` with the text that the ids stand for."""
     schema = T.StructType([*encoded.select(*keep).schema.fields, T.StructField("text", T.StringType())])
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = sampler(path).vocabulary
@@ -266,7 +266,7 @@ def decode_documents(encoded: DataFrame, path: str, keep: list[str]) -> DataFram
             sizes = np.array([len(x) if x is not None else 0 for x in lists.to_pylist()], np.int64)
             texts = vocabulary.decode(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.append(0, np.cumsum(sizes)))
             texts = [t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist())]
-            kept = [c.cast(f.type) for c, f in zip(batch.columns, arrow)][:len(keep)]
+            kept = [c.cast(f.type) for c, f in zip(batch.columns[:len(keep)], arrow)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], schema=arrow)
 
     return encoded.select(*keep, "ids").mapInArrow(run, schema)

@@ -241,7 +241,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                     fs, base = arrow_fs.FileSystem.from_uri(folder)
                     fs.create_dir(base, recursive=True)
                     name = f"part-{part:06d}-{uuid.uuid4().hex}.zst"
-                    writer = FileWriter(fs.open_output_stream(f"{base}/{name}"))
+                    writer = FileWriter(fs.open_output_stream(f"{base}/{name}", compression=None))
                 for doc_id, ids in zip(doc_ids, words.encode(texts)):
                     writer.add(doc_id, np.append(ids, np.uint32(end_id)))
         if writer is not None:

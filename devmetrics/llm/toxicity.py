@@ -23,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devmetrics.llm.common import crc32_mod
+from devmetrics.llm.common import bounded_sample, crc32_mod
 from devmetrics.llm.wordhash import ByteWords, Memo, pieces
 
 TOXIC_SAMPLE = 1200
@@ -43,13 +43,11 @@ ENDS[[ord(c) for c in ".!?\n"]] = True
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, value: str, usable, limits: tuple[int, int]) -> DataFrame:
-    """At most ``limits[label]`` documents of each label, first in the order of md5(doc_id): (doc_id, text, label).
-    The group limit is applied before the shuffle, so no task gets more than that of a hot label."""
+    """At most ``limits[label]`` documents of each label, first in the order of md5(doc_id): (doc_id, text, label)."""
     marked = (labels.where(F.col(value).isNotNull() & F.col("doc_id").isNotNull()).where(usable)
               .groupBy("doc_id").agg(F.max((F.col(value) > 0).cast("int")).alias("label")))
-    order = Window.partitionBy("label").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    chosen = marked.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= max(limits))
-    chosen = chosen.where(F.col("__n") <= F.when(F.col("label") == 1, limits[1]).otherwise(limits[0])).drop("__n")
+    limit = F.when(F.col("label") == 1, limits[1]).otherwise(limits[0])
+    chosen = bounded_sample(marked, "label", limit, max(limits))
     return (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")))
 
