@@ -1,0 +1,85 @@
+import re
+from collections import Counter
+
+import numpy as np
+
+from devmetrics.llm import quality
+from tests.conftest import SF_CHECK
+from tests.llm.conftest import DOCS
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {j for i in range(len(words) - 2) if windows[tuple(words[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered),
+            len(words) < 50 or 100 * len(covered) > 50 * len(words))
+
+
+def base(r):
+    return (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+
+
+def test_base_and_verdicts(spark):
+    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    got = quality.judge_quality(docs, labels).collect()
+    assert len(got) == len(texts) and all(base(r) == brute(texts[r.doc_id]) for r in got)
+    assert not any(r.kept and r.base_failed for r in got)
+    good, bad = ([r.kept for r in got if not r.base_failed and marks.get(r.doc_id) == q] for q in (1, 0))
+    assert np.mean(good) > 0.97 and np.mean(bad) < 0.4
+
+
+def test_repeats_in_random_texts(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(60):
+        words = [f"w{x}" for x in rng.integers(0, rng.integers(2, 30), rng.integers(0, 200))]
+        rows.append((i, "".join(w + str(rng.choice([" ", "\n", "\t", " \n", "\r\n"])) for w in words), None, None, None))
+    docs = spark.createDataFrame(rows, DOCS)
+    got = quality.judge_quality(docs, spark.createDataFrame([], "doc_id long, quality int")).collect()
+    assert all(base(r) == brute(rows[r.doc_id][1]) for r in got)
+    assert all(r.kept == (not r.base_failed) for r in got)  # nothing is trusted
+
+
+def test_ratio_against_counts(spark):
+    """Weights and scores from counts kept in Python."""
+    texts = ["a b c", "a b", "c c c d", None, "", "e"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    trusted = spark.createDataFrame([(0,), (1,)], "doc_id long")
+    weights = {r.bucket: r.weight for r in quality.bucket_weights(docs, trusted, buckets=64, shrink=5.0).collect()}
+    grams = {r.doc_id: r.g for r in docs.selectExpr("doc_id", "coalesce(text, '') AS text").select(
+        "doc_id", quality.let(quality.word_hashes(docs.text), lambda h: quality.ngram_buckets(h, 64)).alias("g")).collect()}
+    assert [len(grams[i] or []) for i in range(6)] == [5, 3, 7, 0, 0, 1]
+    raw = Counter(g for i in grams for g in grams[i] or [])
+    target = Counter(g for i in (0, 1) for g in grams[i])
+    for g in raw:
+        p, q = raw[g] / raw.total(), (target[g] + 5 * raw[g] / raw.total()) / (target.total() + 5)
+        assert abs(weights[g] - np.log(q / p)) < 1e-12
+    table = quality.weight_list(quality.bucket_weights(docs, trusted, 64, 5.0), 64)
+    scores = docs.select("doc_id", quality.let(quality.word_hashes(docs.text), lambda h: quality.score_column(h, table, 64)).alias("s")).collect()
+    for r in scores:
+        if grams[r.doc_id]:
+            assert abs(r.s - np.mean([weights[g] for g in grams[r.doc_id]])) < 1e-5
+
+
+def test_odd_rows(spark, odd, empty, labels):
+    marks = labels([(1, 1, 0), (6, 0, 0), (3, None, None), (None, 1, 1), (1, 0, 0)])
+    got = quality.judge_quality(odd, marks).collect()
+    texts = Counter(brute(r.text) for r in odd.collect())
+    assert Counter(base(r) for r in got) == texts
+    assert quality.judge_quality(empty, marks).collect() == []
+
+
+def test_no_python_in_the_plan(spark, odd, labels):
+    plan = quality.judge_quality(odd, labels([(1, 1, 0)]))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
