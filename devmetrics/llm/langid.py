@@ -176,10 +176,11 @@ class Identifier:
         return out
 
     def judge(self, texts: list[str | None]) -> pd.DataFrame:
-        model, sums = self.model, self.sums(texts)
-        n = sums[:, 0]
+        model = self.model
         if not model.languages:
-            return pd.DataFrame({"lang_pred": ["und"] * len(texts), "score": 0.0, "cross_entropy": None, "rejected": True})
+            return pd.DataFrame({"lang_pred": ["und"] * len(texts), "score": 0.0, "cross_entropy": np.nan, "rejected": True})
+        sums = self.sums(texts)
+        n = sums[:, 0]
         entropy = sums[:, 1:] / np.maximum(n, 1)[:, None]
         best = entropy.argmin(axis=1)
         low = entropy[np.arange(len(n)), best]

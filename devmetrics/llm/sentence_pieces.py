@@ -165,11 +165,12 @@ class Sampler:
         row = mix(keys.astype(np.uint64) ^ mix(np.uint64([seed])))
         flat, counts, begun = [], np.zeros(len(texts), np.int64), {}
         for part in pieces(texts):
-            lead = [(" " if i not in begun and t else "") + t for i, t in part]
-            # a piece's place in its text, so that all its random numbers depend on the text alone
-            ahead = np.array([begun.get(i, 0) for i, _ in part], np.int64)
-            for (i, _), t in zip(part, lead):
-                begun[i] = begun.get(i, 0) + len(t)
+            lead, ahead = [], []  # ahead: a piece's place in its text, so that random numbers depend on the text alone
+            for i, t in part:
+                lead.append((" " if i not in begun and t else "") + t)
+                ahead.append(begun.get(i, 0))
+                begun[i] = ahead[-1] + len(lead[-1])
+            ahead = np.array(ahead, np.int64)
             sizes = np.array([len(t) for t in lead], np.int64)
             if not sizes.sum():
                 continue
@@ -183,7 +184,8 @@ class Sampler:
             self.codes, self.sums = codes, prefix_sums(codes)
             self.starts = np.flatnonzero(begins)
             self.ends = np.append(self.starts[1:], len(codes))
-            rows = self.memo.rows[self.memo(span_hashes(self.sums, self.starts, self.ends))]
+            at = self.memo(span_hashes(self.sums, self.starts, self.ends))
+            rows = self.memo.rows[at]
             node, left, end = rows[:, 0], rows[:, 1], self.ends.copy()
             which = piece[self.starts]
             owner = np.array([i for i, _ in part])[which]

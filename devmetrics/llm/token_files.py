@@ -121,7 +121,8 @@ class WordTokenizer:
             parts[i].append(np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32))
         for part in pieces("" if i in whole else t for i, t in enumerate(texts)):
             self.units = Units([t for _, t in part])
-            rows = self.memo.rows[self.memo(self.units.hashes())]
+            at = self.memo(self.units.hashes())
+            rows = self.memo.rows[at]
             offsets, lengths = rows[:, 0], rows[:, 1]
             total = np.cumsum(lengths)
             size = int(total[-1]) if len(total) else 0

@@ -150,10 +150,14 @@ class Scorer:
         total, spans = np.zeros(len(texts)), [[] for _ in texts]
         begun: dict[int, int] = {}
         for part in pieces(texts):
-            owner = np.array([i for i, _ in part])
+            owner, ahead = np.array([i for i, _ in part]), []
+            for i, t in part:
+                ahead.append(begun.get(i, 0))
+                begun[i] = ahead[-1] + len(t)
             self.words, sentence = sentence_words([t for _, t in part])
             if len(sentence):
-                weight = self.memo.rows[self.memo(self.words.hashes()), 0].astype(np.float64)
+                at = self.memo(self.words.hashes())
+                weight = self.memo.rows[at, 0].astype(np.float64)
                 first = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1]))
                 z = self.model.bias + np.add.reduceat(weight, first)
                 which = self.words.which[first]
@@ -165,10 +169,8 @@ class Scorer:
                         start = int(self.words.starts[first[k]])
                         end = int(ends[np.searchsorted(ends, start)])
                         raw, i = self.words.raw, int(owner[which[k]])
-                        before = len(raw[low:start].tobytes().decode()) + begun.get(i, 0)
+                        before = len(raw[low:start].tobytes().decode()) + ahead[int(which[k])]
                         spans[i].append((before, before + len(raw[start:end].tobytes().decode()), float(1 / (1 + np.exp(-z[k])))))
-            for i, t in part:
-                begun[i] = begun.get(i, 0) + len(t)
         return -np.expm1(-total), spans
 
 

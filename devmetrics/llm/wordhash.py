@@ -61,7 +61,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def pieces(texts: Iterable[str | None], size: int = 1 << 20) -> Iterator[list[tuple[int, str]]]:
     """Lists of (text's number, piece) of about ``size`` characters: many short texts, or parts of a long one.
 
-    A text over ``size`` is cut before a line feed or a space; where it has none, the part is as long as need be."""
+    A text over ``size`` is cut before a line feed, else before a space; where it has none, the part is as long as need be."""
     held: list[tuple[int, str]] = []
     n = 0
     for i, text in enumerate(texts):
@@ -69,7 +69,9 @@ def pieces(texts: Iterable[str | None], size: int = 1 << 20) -> Iterator[list[tu
         while True:
             end = len(text)
             if end - at > size:
-                end = max(text.rfind("\n", at + 1, at + size), text.rfind(" ", at + 1, at + size))
+                end = text.rfind("\n", at + 1, at + size)
+                if end < 0:
+                    end = text.rfind(" ", at + 1, at + size)
                 if end < 0:
                     end = min([x for x in (text.find("\n", at + size), text.find(" ", at + size)) if x >= 0], default=len(text))
             held.append((i, text[at:end]))

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from devmetrics.llm import quality
 from tests.conftest import SF_CHECK
@@ -58,7 +59,7 @@ def test_ratio_against_counts(spark):
     trusted = spark.createDataFrame([(0,), (1,)], "doc_id long")
     weights = {r.bucket: r.weight for r in quality.bucket_weights(docs, trusted, buckets=64, shrink=5.0).collect()}
     grams = {r.doc_id: r.g for r in docs.selectExpr("doc_id", "coalesce(text, '') AS text").select(
-        "doc_id", quality.let(quality.word_hashes(docs.text), lambda h: quality.ngram_buckets(h, 64)).alias("g")).collect()}
+        "doc_id", quality.let(quality.word_hashes(F.col("text")), lambda h: quality.ngram_buckets(h, 64)).alias("g")).collect()}
     assert [len(grams[i] or []) for i in range(6)] == [5, 3, 7, 0, 0, 1]
     raw = Counter(g for i in grams for g in grams[i] or [])
     target = Counter(g for i in (0, 1) for g in grams[i])
@@ -66,7 +67,7 @@ def test_ratio_against_counts(spark):
         p, q = raw[g] / raw.total(), (target[g] + 5 * raw[g] / raw.total()) / (target.total() + 5)
         assert abs(weights[g] - np.log(q / p)) < 1e-12
     table = quality.weight_list(quality.bucket_weights(docs, trusted, 64, 5.0), 64)
-    scores = docs.select("doc_id", quality.let(quality.word_hashes(docs.text), lambda h: quality.score_column(h, table, 64)).alias("s")).collect()
+    scores = docs.select("doc_id", quality.let(quality.word_hashes(F.col("text")), lambda h: quality.score_column(h, table, 64)).alias("s")).collect()
     for r in scores:
         if grams[r.doc_id]:
             assert abs(r.s - np.mean([weights[g] for g in grams[r.doc_id]])) < 1e-5

@@ -45,6 +45,15 @@ def test_offsets_count_code_points():
     assert [text[a:b] for a, b, _ in spans] == ["so bád é bad, yes"]
 
 
+def test_long_text_in_pieces(monkeypatch):
+    from devmetrics.llm import wordhash
+
+    monkeypatch.setattr(toxicity, "pieces", lambda texts: wordhash.pieces(texts, 50))
+    text = "é ok.\nso bad, yes\nfin é fin\n" * 30
+    (spans,) = toxicity.Scorer(toxicity.Model({"bad": 9.0}, -4.0)).score([text], locate=0.5)[1]
+    assert [text[a:b] for a, b, _ in spans] == ["so bad, yes"] * 30
+
+
 def test_degenerate_training():
     assert toxicity.train(["a", "b"], [0, 0]).weights == {}
     assert toxicity.Scorer(toxicity.train([], [])).score(["x y", "", None])[0].max() < 1e-9
