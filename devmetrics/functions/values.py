@@ -64,11 +64,6 @@ def backoff_bound_ms(attempt: Column, initial_ms: float = 100.0, factor: float =
     return F.least(F.lit(float(initial_ms)) * F.pow(F.lit(float(factor)), attempt.cast("double")), F.lit(float(max_ms)))
 
 
-def backoff_wait_ms(attempt: Column, seed: int, **bound_kwargs) -> Column:
-    """Full-jitter wait: uniform in [0, bound). Random; for simulations only, never in oracle queries."""
-    return F.rand(seed) * backoff_bound_ms(attempt, **bound_kwargs)
-
-
 def ns_from_timestamp_ntz(ts: Column) -> Column:
     """Nanoseconds since the epoch of a TIMESTAMP_NTZ read as UTC, independent of the session zone.
 

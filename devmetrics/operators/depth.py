@@ -49,14 +49,15 @@ def high_water(depth: DataFrame, max_size: int, pct: int = 80) -> DataFrame:
 
 
 def saturated(depth: DataFrame, max_size: int) -> DataFrame:
-    """Accepts that a queue of ``max_size`` would have refused (length before the accept >= max)."""
+    """Accepts that found the recorded queue at ``max_size`` or above. A predicate on the recorded depth: had the
+    first of them been refused, the depth after it would have been smaller."""
     return depth.where(F.col("kind") == "accept").select(
         "*", (F.col("depth") - 1 >= max_size).alias("would_reject"))
 
 
 def saturation_check(depth: DataFrame, max_size: int) -> DataFrame:
     """E3 against the record: for every send (accepted or refused), the length it met and whether a queue of
-    ``max_size`` would refuse it (length >= max), counted per recorded outcome and prediction."""
+    ``max_size`` of that recorded length would refuse it (length >= max), per recorded outcome and prediction."""
     sends = depth.where(F.col("kind").isin("accept", "refusal")).select(
         F.when(F.col("kind") == "accept", "enqueued").otherwise("rejected").alias("recorded"),
         ((F.col("depth") - F.col("delta")) >= max_size).alias("predicted_reject"))
@@ -65,8 +66,9 @@ def saturation_check(depth: DataFrame, max_size: int) -> DataFrame:
 
 def fifo_order(backlog: DataFrame, bucket_keys: int = 1_000_000, materialize: bool = False) -> DataFrame:
     """Position of each durable key in recovery order (ascending ``persist_key``), 1-based, as a distributed
-    running count over key buckets."""
-    ones = backlog.select("persist_key", F.lit(1).alias("_one"))
+    running count over key buckets; other columns ride along. One row per super-bucket (a thousand buckets of keys)
+    meets in the only unpartitioned step."""
+    ones = backlog.withColumn("_one", F.lit(1))
     pos = running_sum(ones, ["persist_key"], "_one", F.call_function("div", F.col("persist_key"), F.lit(bucket_keys)),
                       "position", materialize=materialize,
                       super_bucket=F.call_function("div", F.col("persist_key"), F.lit(bucket_keys * 1000)))

@@ -1,8 +1,7 @@
 """Enrichment of points named by the reference's documents (K1-K5, K9).
 
-Small parameter tables (allowlists, model tiers) are broadcast only after their row count is checked on the
-driver; above the bound the same join runs as a shuffle join. Per-GPU ordered work goes through
-``devmetrics.operators.sequence``, which splits a hot GPU by time bucket.
+Joins with parameter tables (allowlists, model tiers) carry no hint: Spark broadcasts a side by its measured size.
+Per-GPU ordered work goes through ``devmetrics.operators.sequence``, which splits a hot GPU by time bucket.
 """
 
 from __future__ import annotations
@@ -13,17 +12,6 @@ from pyspark.sql import functions as F
 from devmetrics.functions.values import NS_PER_SECOND
 from devmetrics.operators.sequence import asof_join, previous_row, rolling_agg
 
-# Parameter tables at or below this many rows are broadcast; larger ones are shuffle-joined.
-BROADCAST_MAX_ROWS = 100_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a parameter table whose size was checked (a ``limit`` count, never a full scan of a big
-    table); without the hint when it is larger than ``max_rows``."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def attach_owner(points: DataFrame, assignments: DataFrame, bucket_ns: int, key: str = "gpu_id") -> DataFrame:
     """K1: who owned the GPU at each point's time: the latest assignment at or before it (as-of join), or null."""
     a = assignments.select(F.col("gpu_id").alias(key), "from_ns", "owner")
@@ -38,13 +26,13 @@ def rolling_mean(points: DataFrame, width_ns: int, bucket_ns: int, keys: tuple[s
 
 def allow_namespaces(points: DataFrame, allowlist: DataFrame) -> DataFrame:
     """K3: points whose namespace is on the allowlist (left semi join)."""
-    return points.join(bounded_broadcast(allowlist.select("namespace").distinct()), "namespace", "left_semi")
+    return points.join(allowlist.select("namespace").distinct(), "namespace", "left_semi")
 
 
 def map_sla_tier(points: DataFrame, model_tiers: DataFrame, default_tier: str = "standard",
                  model_col: str = "model_name") -> DataFrame:
     """K4: SLA tier by model list; models not in the table get the default tier."""
-    tiers = bounded_broadcast(model_tiers.select(F.col("model_name_csv").alias(model_col), "tier"))
+    tiers = model_tiers.select(F.col("model_name_csv").alias(model_col), "tier")
     joined = points.join(tiers, model_col, "left")
     return joined.withColumn("tier", F.coalesce(F.col("tier"), F.lit(default_tier)))
 

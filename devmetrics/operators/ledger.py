@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from devmetrics.functions.values import non_empty
 
+#: What a send can end with.
+SEND_OUTCOMES = ("enqueued", "rejected", "invalid", "closed", "persist_failed")
+
 
 def first_acks(acks: DataFrame) -> DataFrame:
     """Earliest ack per non-empty message id: a second ack for the same id has no further effect."""
@@ -36,15 +39,51 @@ def invalid_acks(acks: DataFrame) -> DataFrame:
     return acks.where(~non_empty(F.col("message_id")))
 
 
-def acked_keys(dispatches: DataFrame, acks: DataFrame) -> DataFrame:
-    """Durable keys with at least one acked delivery."""
-    return dispatches.join(first_acks(acks), "message_id", "left_semi").select("persist_key").distinct()
+def message_states(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
+    """One row per message id of either side: persist_key, sent_ns, requeue_tick_ns, first_ack_ns, n_acks, effective.
+
+    An ack has an effect only while its delivery is pending: at or after the sending and before the requeue tick. A
+    later one finds no pending entry and does not delete the durable copy. One union and one aggregate on the id,
+    combined before the shuffle, so repeated acks of an id collapse; acks without an id meet in the group ''."""
+    null = F.lit(None).cast("long")
+    rows = dispatches.select("message_id", "persist_key", "sent_ns", null.alias("ack_ns")).unionByName(acks.select(
+        F.coalesce(F.col("message_id"), F.lit("")).alias("message_id"), null.alias("persist_key"), null.alias("sent_ns"), "ack_ns"))
+    g = rows.groupBy("message_id").agg(F.max("persist_key").alias("persist_key"), F.max("sent_ns").alias("sent_ns"),
+                                       F.min("ack_ns").alias("first_ack_ns"), F.count("ack_ns").alias("n_acks"))
+    tick = requeue_tick(F.col("sent_ns"), timeout_ns, scan_ns, t0_ns)
+    ok = (F.col("first_ack_ns") >= F.col("sent_ns")) & (F.col("first_ack_ns") < tick) & (F.col("message_id") != "")
+    return g.select("*", tick.alias("requeue_tick_ns"), F.coalesce(ok, F.lit(False)).alias("effective"))
+
+
+def effective_acks(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
+    """Deliveries that an ack completed in time: (message_id, persist_key, ack_ns). Only these delete the durable copy."""
+    done = message_states(dispatches, acks, timeout_ns, scan_ns, t0_ns).where("effective")
+    return done.select("message_id", "persist_key", F.col("first_ack_ns").alias("ack_ns"))
+
+
+def ack_classes(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
+    """C2 in full: every ack in one class, as (ack_class, acks) rows that add up to all acks: effective, repeated
+    (after an effective one), late (of a requeued delivery), unknown (never dispatched), invalid (no id)."""
+    s = message_states(dispatches, acks, timeout_ns, scan_ns, t0_ns)
+    n, sent = F.col("n_acks"), F.col("sent_ns").isNotNull()
+    total = lambda cond, value=n: F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
+    named = F.col("message_id") != ""
+    return _as_rows(s.agg(
+        total(F.col("effective"), F.lit(1)).alias("effective"), total(F.col("effective"), n - 1).alias("repeated"),
+        total(named & sent & ~F.col("effective")).alias("late"), total(named & ~sent).alias("unknown"),
+        total(~named).alias("invalid")), "ack_class", "acks")
+
+
+def acked_keys(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
+    """Durable keys with at least one effectively acked delivery."""
+    return effective_acks(dispatches, acks, timeout_ns, scan_ns, t0_ns).select("persist_key").distinct()
 
 
-def unacked(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame) -> DataFrame:
-    """Accepted messages never acked on any delivery: the backlog a restart recovers."""
+def unacked(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int,
+            t0_ns: int = 0) -> DataFrame:
+    """Accepted messages that no ack completed in time: their durable copy is still there, a restart recovers it."""
     accepted = enqueues.where(F.col("outcome") == "enqueued")
-    return accepted.join(acked_keys(dispatches, acks), "persist_key", "left_anti")
+    return accepted.join(acked_keys(dispatches, acks, timeout_ns, scan_ns, t0_ns), "persist_key", "left_anti")
 
 
 def expired_pending(dispatches: DataFrame, acks: DataFrame, as_of_ns: int, timeout_ns: int,
@@ -82,21 +121,35 @@ def requeues(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: i
                     F.lit("timeout").alias("reason"))
 
 
-def ready_after_requeue(backlog: DataFrame, requeued: DataFrame) -> DataFrame:
-    """G1: requeued messages rejoin the ready list behind the recovered backlog: (persist_key, source, ready_ns);
-    the backlog is ready at restart (``ready_ns`` null), a requeued delivery at its requeue tick."""
-    return backlog.select("persist_key", F.lit("backlog").alias("source"), F.lit(None).cast("long").alias("ready_ns")) \
-        .unionByName(requeued.select("persist_key", F.lit("requeue").alias("source"),
-                                     F.col("requeued_ns").alias("ready_ns")))
+def ready_after_requeue(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame, as_of_ns: int, timeout_ns: int,
+                        scan_ns: int, t0_ns: int = 0) -> DataFrame:
+    """G1: the ready list at ``as_of``: (persist_key, source, ready_ns), one row per key that is still durable and not
+    pending. ``backlog``: accepted and never sent, ready since it was accepted; ``requeue``: its latest delivery
+    timed out, ready since the scan tick that noticed. Pending deliveries are not on the list (a restart drops the
+    pending state and recovers every durable key: that list is C3)."""
+    by_then = lambda df, col: df.where(F.col(col) <= as_of_ns)
+    states = message_states(by_then(dispatches, "sent_ns"), by_then(acks, "ack_ns"), timeout_ns, scan_ns, t0_ns)
+    sent = states.where(F.col("persist_key").isNotNull()).select(
+        "persist_key", F.col("sent_ns"), F.col("requeue_tick_ns").alias("tick"), F.col("effective").cast("int").alias("done"),
+        F.lit(None).cast("long").alias("enqueued_ns"))
+    accepted = by_then(enqueues, "enqueued_ns").where(F.col("outcome") == "enqueued").select(
+        "persist_key", F.lit(None).cast("long").alias("sent_ns"), F.lit(None).cast("long").alias("tick"),
+        F.lit(None).cast("int").alias("done"), "enqueued_ns")
+    # Ticks grow with the sending time, so the largest tick belongs to the latest delivery.
+    keys = sent.unionByName(accepted).groupBy("persist_key").agg(
+        F.max("enqueued_ns").alias("enqueued_ns"), F.max("tick").alias("tick"), F.max("done").alias("done"))
+    durable = keys.where(F.col("enqueued_ns").isNotNull() & (F.coalesce("done", F.lit(0)) == 0)
+                         & (F.col("tick").isNull() | (F.col("tick") <= as_of_ns)))
+    return durable.select("persist_key", F.when(F.col("tick").isNull(), "backlog").otherwise("requeue").alias("source"),
+                          F.coalesce("tick", "enqueued_ns").alias("ready_ns"))
 
 
 def late_acks(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
-    """Acks that arrive after their delivery was requeued: accepted, but without effect on ``acked``."""
-    d = dispatches.select("message_id", "sent_ns", requeue_tick(F.col("sent_ns"), timeout_ns, scan_ns, t0_ns)
-                          .alias("requeue_tick_ns"))
+    """Acks of deliveries that were requeued: accepted, but without effect. A further ack of a delivery that was
+    acked in time is a repeated one, not a late one (``ack_classes``)."""
+    lost = requeue_times(dispatches, acks, timeout_ns, scan_ns, t0_ns).where("requeued").select("message_id", "requeue_tick_ns")
     a = acks.where(non_empty(F.col("message_id")))
-    return a.join(d, "message_id").where(F.col("ack_ns") >= F.col("requeue_tick_ns")).select(
-        "message_id", "ack_ns", "requeue_tick_ns")
+    return a.join(lost, "message_id").select("message_id", "ack_ns", "requeue_tick_ns")
 
 
 def deliveries(dispatches: DataFrame) -> DataFrame:
@@ -104,75 +157,84 @@ def deliveries(dispatches: DataFrame) -> DataFrame:
     return dispatches.groupBy("persist_key").agg(F.count(F.lit(1)).alias("deliveries"))
 
 
-def dead_letters(dispatches: DataFrame, acks: DataFrame, max_deliveries: int) -> DataFrame:
-    """Keys delivered at least ``max_deliveries`` times and never acked."""
-    d = deliveries(dispatches).where(F.col("deliveries") >= max_deliveries)
-    return d.join(acked_keys(dispatches, acks), "persist_key", "left_anti")
+def dead_letters(dispatches: DataFrame, acks: DataFrame, max_deliveries: int, timeout_ns: int, scan_ns: int,
+                 t0_ns: int = 0) -> DataFrame:
+    """Keys delivered at least ``max_deliveries`` times and never effectively acked (one row per delivery, then
+    one aggregate per key)."""
+    s = message_states(dispatches, acks, timeout_ns, scan_ns, t0_ns).where(F.col("persist_key").isNotNull())
+    keys = s.groupBy("persist_key").agg(F.count(F.lit(1)).alias("deliveries"), F.max("effective").alias("_acked"))
+    return keys.where((F.col("deliveries") >= max_deliveries) & ~F.col("_acked")).drop("_acked")
 
 
-def _as_rows(wide: DataFrame, name_col: str = "counter") -> DataFrame:
+def _as_rows(wide: DataFrame, name_col: str = "counter", value_col: str = "value") -> DataFrame:
     """One-row frame of LONG counters -> (name, value) rows (``stack``: no join, no extra pass)."""
     cols = wide.columns
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS BIGINT)" for c in cols)
-    return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (`{name_col}`, value)")
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def queue_counters(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame, timeout_ns: int,
-                   scan_ns: int) -> DataFrame:
-    """The queue's counters as (counter, value) rows. Five single-row aggregates (one per derived table),
-    unpivoted: no cross join.
-
-    ``acked`` counts deliveries acked before their requeue tick (a later ack finds no pending entry); ``recovered``
-    is what a restart would reload (C3)."""
+    return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (`{name_col}`, `{value_col}`)")
+
+
+def queue_counters(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame, as_of_ns: int, timeout_ns: int,
+                   scan_ns: int, t0_ns: int = 0) -> DataFrame:
+    """The queue's counters at ``as_of`` as (counter, value) rows.
+
+    One aggregate per message id (``message_states``), one per durable key over these and the sends, one over the
+    keys: each table is read once. ``acked`` counts effective acks, ``requeued`` deliveries noticed as timed out by
+    then, ``pending`` those still waited for, ``queue`` the length of the ready list (accepted - dispatched +
+    requeued), ``recovered`` the accepted keys that a restart would reload (C3)."""
+    by_then = lambda df, col: df.where(F.col(col) <= as_of_ns)
+    s = message_states(by_then(dispatches, "sent_ns"), by_then(acks, "ack_ns"), timeout_ns, scan_ns, t0_ns)
+    named, sent, done = F.col("message_id") != "", F.col("sent_ns").isNotNull(), F.col("effective")
+    expired = sent & ~done & (F.col("requeue_tick_ns") <= as_of_ns)
+    none, one = F.lit(0).cast("long"), lambda c: c.cast("long")
+    messages = s.select("persist_key", none.alias("accepted"), *[none.alias(o) for o in SEND_OUTCOMES],
+                        one(sent).alias("dispatched"), one(done).alias("acked"), one(expired).alias("requeued"),
+                        one(sent & ~done & ~expired).alias("pending"),
+                        F.when(named & ~sent, F.col("n_acks")).otherwise(0).alias("unknown_acks"),
+                        F.when(~named, F.col("n_acks")).otherwise(0).alias("invalid_acks"))
     outcome = F.col("outcome")
-    e = enqueues.agg(
-        F.count_if(outcome == "enqueued").alias("enqueued"),
-        F.count_if(outcome == "rejected").alias("rejected"),
-        F.count_if(outcome == "invalid").alias("invalid"),
-    )
-    rq = requeue_times(dispatches, acks, timeout_ns, scan_ns).agg(
-        F.count(F.lit(1)).alias("dispatched"),
-        F.count_if(F.col("acked_in_time")).alias("acked"),
-        F.count_if(F.col("requeued")).alias("requeued"),
-    )
-    unknown = unknown_acks(dispatches, acks).agg(F.count(F.lit(1)).alias("unknown_acks"))
-    invalid = invalid_acks(acks).agg(F.count(F.lit(1)).alias("invalid_acks"))
-    recovered = unacked(enqueues, dispatches, acks).agg(F.count(F.lit(1)).alias("recovered"))
-    return _union([_as_rows(x) for x in (e, rq, unknown, invalid, recovered)])
+    sends = by_then(enqueues, "enqueued_ns").select(
+        "persist_key", one(outcome == "enqueued").alias("accepted"), *[one(outcome == o).alias(o) for o in SEND_OUTCOMES],
+        *[none.alias(c) for c in messages.columns[2 + len(SEND_OUTCOMES):]])
+    counts = messages.columns[2:]
+    keys = messages.unionByName(sends).groupBy("persist_key").agg(F.max("accepted").alias("accepted"), *[F.sum(c).alias(c) for c in counts])
+    recovered = (F.col("accepted") == 1) & (F.col("acked") == 0)
+    totals = keys.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts], F.count_if(recovered).alias("recovered"))
+    queue = F.col("enqueued") - F.col("dispatched") + F.col("requeued")
+    return _as_rows(totals.select("*", queue.alias("queue")))
 
 
 def sink_rollup(sink_log: DataFrame) -> DataFrame:
-    """Processed, write failures and ack failures (an ack is only tried after a good write)."""
+    """Processed (written; a failed write is not counted as processed and is not acked), write failures and ack
+    failures among the written."""
     return sink_log.agg(
-        F.count(F.lit(1)).alias("processed"),
+        F.count_if(F.col("write_ok")).cast("long").alias("processed"),
         F.count_if(~F.col("write_ok")).cast("long").alias("write_failed"),
         F.count_if(F.col("write_ok") & ~F.col("ack_ok")).cast("long").alias("ack_failed"),
     )
 
 
-def at_least_once_audit(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame) -> DataFrame:
-    """Accepted vs. uniquely acked vs. dispatched, as (check, value) rows. One row per accepted key with its
-    delivery count and acked flag (two joins on the unique key), then one aggregate; ``missing`` counts the accepted
-    keys never acked (the keys themselves are C3)."""
-    accepted = enqueues.where(F.col("outcome") == "enqueued").select("persist_key")
-    per_key = deliveries(dispatches)
-    acked = acked_keys(dispatches, acks).withColumn("_acked", F.lit(True))
-    acc = accepted.join(per_key, "persist_key", "left").join(acked, "persist_key", "left")
-    acc_stats = acc.agg(
-        F.count(F.lit(1)).alias("accepted"),
-        F.count_if(F.col("_acked").isNotNull()).alias("unique_acked"),
-        F.count_if(F.col("_acked").isNull()).alias("missing"),
-        F.count_if(F.col("deliveries").isNull()).alias("never_dispatched"),
-    )
-    disp_stats = per_key.agg(F.count(F.lit(1)).alias("dispatched_keys"), F.sum("deliveries").alias("dispatches"))
-    return _union([_as_rows(acc_stats, "check"), _as_rows(disp_stats, "check")])
+def at_least_once_audit(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int,
+                        t0_ns: int = 0) -> DataFrame:
+    """Accepted vs. acked vs. dispatched, as (check, value) rows.
+
+    ``unique_acked`` counts accepted keys with an ack call that succeeded on any delivery (late or not), as a client
+    sees it; ``effective_acked`` those whose durable copy is gone, ``missing`` those whose copy is still there. One
+    aggregate per message id, one per key, one over the keys."""
+    s = message_states(dispatches, acks, timeout_ns, scan_ns, t0_ns).where(F.col("persist_key").isNotNull())
+    one = lambda c: c.cast("long")
+    zero = F.lit(0).cast("long")
+    rows = s.select("persist_key", zero.alias("accepted"), one(F.lit(True)).alias("n"), one(F.col("n_acks") > 0).alias("acked"),
+                    one(F.col("effective")).alias("done"))
+    sends = enqueues.where(F.col("outcome") == "enqueued").select("persist_key", one(F.lit(True)).alias("accepted"),
+                                                                  *[zero.alias(c) for c in ("n", "acked", "done")])
+    keys = rows.unionByName(sends).groupBy("persist_key").agg(F.max("accepted").alias("accepted"), F.sum("n").alias("n"),
+                                                              F.max("acked").alias("acked"), F.max("done").alias("done"))
+    acc = F.col("accepted") == 1
+    return _as_rows(keys.agg(
+        F.count_if(acc).alias("accepted"), F.count_if(acc & (F.col("acked") == 1)).alias("unique_acked"),
+        F.count_if(acc & (F.col("done") == 1)).alias("effective_acked"), F.count_if(acc & (F.col("done") == 0)).alias("missing"),
+        F.count_if(acc & (F.col("n") == 0)).alias("never_dispatched"), F.count_if(F.col("n") > 0).alias("dispatched_keys"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("dispatches")), "check")
 
 
 def reject_rate(enqueues: DataFrame) -> DataFrame:
@@ -184,10 +246,9 @@ def reject_rate(enqueues: DataFrame) -> DataFrame:
     )
 
 
-def latency_percentiles(matched: DataFrame, by: str, accuracy: int = 10_000) -> DataFrame:
-    """p50 / p95 / p99 of ack latency per group with a bounded-memory sketch (``percentile_approx``).
-
-    The sketch returns stored values, so below ~``accuracy`` rows per group the result is exact (nearest rank)."""
+def latency_sketch(matched: DataFrame, by: str, accuracy: int = 10_000) -> DataFrame:
+    """K11 approximately: p50 / p95 / p99 of ack latency per group with a bounded-memory sketch
+    (``percentile_approx``): the rank of a returned value is off by at most ``rows / accuracy``."""
     q = F.percentile_approx("latency_ns", [0.5, 0.95, 0.99], accuracy)
     return matched.groupBy(by).agg(q.alias("_q"), F.count(F.lit(1)).alias("acked")).select(
         by, "acked", F.col("_q")[0].alias("p50_ns"), F.col("_q")[1].alias("p95_ns"), F.col("_q")[2].alias("p99_ns")
@@ -198,18 +259,16 @@ def exact_percentiles(df: DataFrame, by: str, value_col: str, quantiles: dict[st
                       value_bucket: Column) -> DataFrame:
     """K11 exactly: nearest-rank percentiles (the value at rank ``max(1, ceil(n*q))`` in ascending order) per group.
 
-    The rank is a distributed running count (``running_sum`` partitioned by group and split by ``value_bucket``,
-    which must be monotone in the value), so a group holding most rows is still spread over many tasks; no group
-    is ever collected. Then one row per group and quantile is picked by an equi-join on the target rank."""
+    Rows are counted per group and value first (combined before the shuffle: a value that all rows share is one
+    row). The running count over distinct values is a prefix over buckets of values (``running_sum``;
+    ``value_bucket`` must be monotone in the value), so a group of very many values is spread over many tasks."""
     from devmetrics.operators.sequence import running_sum
 
-    vals = df.select(by, value_col, F.lit(1).alias("_one"), F.monotonically_increasing_id().alias("_tie"))
-    ranked = running_sum(vals, [value_col, "_tie"], "_one", value_bucket, "_rank", partition=(by,))
+    counts = df.groupBy(by, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running_sum(counts, [value_col], "_c", value_bucket, "_upto", partition=(by,))
     n = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    targets = n.select(by, "_n", F.explode(F.array(*[
-        F.struct(F.lit(name).alias("_q"), F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(q))).cast("long").alias("_rank"))
-        for name, q in quantiles.items()])).alias("_t")).select(by, "_n", "_t._q", "_t._rank")
-    picked = ranked.join(targets, [by, "_rank"])
-    return picked.groupBy(by).agg(
-        F.first("_n").alias("acked"),
-        *[F.max(F.when(F.col("_q") == name, F.col(value_col))).alias(name) for name in quantiles])
+    rows = ranked.join(n, ranked[by].eqNullSafe(n[by])).drop(n[by])
+    rank = lambda q: F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(q))).cast("long")
+    picked = [F.max(F.when((F.col("_upto") >= rank(q)) & (F.col("_upto") - F.col("_c") < rank(q)), F.col(value_col))).alias(name)
+              for name, q in quantiles.items()]
+    return rows.groupBy(by).agg(F.max("_n").alias("acked"), *picked)

@@ -61,8 +61,8 @@ def upsert_points(points: DataFrame, key: str = "metric", seq_col: str | Sequenc
     keeping the last write (highest ``seq_col``).
 
     ``key='influx'`` is the store's literal rule; ``key='metric'`` (default) also keeps different metrics written
-    at the same instant apart. ``max_by`` aggregates partially on the map side, so repeated writes of a hot key
-    collapse before the shuffle and no per-key sort is needed. ``seq_col`` may list several columns, compared in
+    at the same instant apart. ``max_by`` over a struct plans as a sort aggregate: it sorts before and after the
+    shuffle, and in between repeated writes of a hot key have collapsed to one row per task. ``seq_col`` may list several columns, compared in
     order (for example ``["batch_id", "persist_key"]`` for rows ingested by a stream).
     """
     if key not in ("metric", "influx"):
@@ -76,33 +76,33 @@ def upsert_points(points: DataFrame, key: str = "metric", seq_col: str | Sequenc
     return latest.select("_w.*")
 
 
-def to_entries(points: DataFrame, tag_keys: Sequence[str]) -> DataFrame:
-    """B21 + B22: response rows: ``timestamp_ns``, ``measurement``, one column per tag key, then the fields.
+def sorted_tags(tags: Column) -> Column:
+    """The tag map in the order of its keys."""
+    return F.map_from_entries(F.sort_array(F.map_entries(tags)))
 
-    Tag keys are given (or found with D3 ``tag_keys``), so the schema is fixed before the job runs.
-    """
-    return points.select(
-        "timestamp_ns",
-        "measurement",
-        *[F.col("tags").getItem(k).alias(k) for k in tag_keys],
-        F.col("fields.metric_name").alias("metric_name"),
-        F.col("fields.value").alias("value"),
-    )
 
+def entry_json(timestamp_ns: Column, measurement: Column, tags: Column, metric_name: Column, value: Column) -> Column:
+    """B21 as text: one JSON object with the fixed columns first and then every tag that is present, in the order of
+    its keys. Absent values are left out; a tag named like a fixed column gives way to it."""
+    fixed = F.to_json(F.struct(timestamp_ns.alias("timestamp_ns"), measurement.alias("measurement"),
+                               metric_name.alias("metric_name"), value.alias("value")))
+    own = F.map_filter(tags, lambda k, v: v.isNotNull() & ~k.isin("timestamp_ns", "measurement", "metric_name", "value"))
+    more = F.to_json(sorted_tags(own))
+    return F.when(F.size(own) > 0, F.concat(F.substring(fixed, F.lit(1), F.length(fixed) - 1), F.lit(","),
+                                            F.substring(more, F.lit(2), F.length(more)))).otherwise(fixed)
+
+
+def to_entries(points: DataFrame) -> DataFrame:
+    """Response rows: the fixed columns and ``entry``, the open row as JSON (whatever tags a point has)."""
+    metric, value = F.col("fields.metric_name"), F.col("fields.value")
+    return points.select(
+        "timestamp_ns", "measurement", F.col("gpu_id"), metric.alias("metric_name"), value.alias("value"),
+        entry_json(F.col("timestamp_ns"), F.col("measurement"), F.col("tags"), metric, value).alias("entry"))
 
-def widen_tags(df: DataFrame, keys: Sequence[str] | None = None, tag_col: str = "tags",
-               max_keys: int = 1000) -> DataFrame:
-    """Each tag key as its own column (null when absent).
 
-    With ``keys=None`` the keys are found first (D3: a distinct aggregate whose result -- the set of key names --
-    defines the output schema and is the only thing brought to the driver). More than ``max_keys`` distinct keys
-    is an error, not a silent cut: an open-ended key space belongs in the map, not in columns."""
-    if keys is None:
-        found = (df.select(F.explode(F.map_keys(tag_col)).alias("k")).distinct().orderBy("k")
-                 .limit(max_keys + 1).collect())
-        if len(found) > max_keys:
-            raise ValueError(f"more than {max_keys} distinct tag keys; pass the keys to widen explicitly")
-        keys = [r.k for r in found]
+def widen_tags(df: DataFrame, keys: Sequence[str], tag_col: str = "tags") -> DataFrame:
+    """Each named tag key as its own column (null when absent). The keys are the caller's choice, so the schema
+    is fixed before the job runs; an open key set stays in the map (``to_entries`` gives all of it)."""
     return df.select("*", *[F.col(tag_col).getItem(k).alias(k) for k in keys])
 
 

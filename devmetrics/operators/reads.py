@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,18 +59,18 @@ def order_by_time(df: DataFrame, *tie_breakers: str) -> DataFrame:
     return df.orderBy("timestamp_ns", *tie_breakers)
 
 
-def telemetry_by_gpu(points: DataFrame, gpu_id: str, tag_keys: Sequence[str], start: str | int | None = None,
+def telemetry_by_gpu(points: DataFrame, gpu_id: str, start: str | int | None = None,
                      end: str | int | None = None, now_ns: int | None = None,
                      measurement: str = DEFAULT_MEASUREMENT, upsert_key: str = "metric") -> DataFrame:
     """F2, the flagship read: identifier and time checks on the driver (B19, B16), then range, measurement and GPU
-    filters, last-write-wins (D9), response rows (B21/B22), ordered by time (F1)."""
+    filters, last-write-wins (D9), open response rows (B21), ordered by time (F1)."""
     check_identifier(gpu_id)
     if now_ns is None and (start in (None, "") or end in (None, "")):
         raise ValueError("now_ns is required when start or end defaults to now")
     s, e = time_range_ns(start, end, now_ns or 0, NS_PER_HOUR)
     pts = filter_gpu(filter_measurement(time_range(points, s, e), measurement), gpu_id)
     latest = upsert_points(pts, key=upsert_key)
-    return order_by_time(to_entries(latest, tag_keys), "metric_name", "value")
+    return order_by_time(to_entries(latest), "metric_name", "value")
 
 
 def telemetry_by_gpu_closed(points: DataFrame, gpu_id: str, start: str | None = None, end: str | None = None) -> DataFrame:

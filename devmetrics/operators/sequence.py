@@ -78,10 +78,10 @@ def rolling_agg(df: DataFrame, keys: Sequence[str], time_col: str, width_ns: int
     """Aggregates over the trailing range ``(t - width, t]`` of the same key (peers at equal time included).
 
     Rows are bucketed by time; a row is also copied into the next bucket when it lies within ``width`` of that
-    bucket's start, so every window is complete inside one (key, bucket) partition. Needs ``width <= bucket``.
+    bucket's start, so every window is complete inside one (key, bucket) partition. Buckets are as wide as the
+    window at least.
     """
-    if width_ns > bucket_ns:
-        raise ValueError("bucket_ns must be at least width_ns")
+    bucket_ns = max(bucket_ns, width_ns)
     home = truncate_ns(F.col(time_col), bucket_ns)
     near_next = F.col(time_col) > home + (bucket_ns - width_ns)
     # One pass over the input: every row is emitted for its own bucket and, when within `width` of the next
@@ -155,9 +155,10 @@ def running_sum(df: DataFrame, order: Sequence[str], value_col: str, bucket: Col
     b = b.withColumn("_kb", _key_struct(partition, "_bucket"))
     wi = Window.partitionBy("_kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     within = b.withColumn("_run", F.sum(value_col).over(wi))
-    # Bucket totals from the window's output (grouped by its partitioning column: no new shuffle).
+    # Bucket totals from the rows, combined before their shuffle (a row per bucket and task), so that the window
+    # over all rows is worked out once; a sum doesn't depend on the order of rows that tie.
     extra = [F.max("_super").alias("_super")] if super_bucket is not None else []
-    totals = within.groupBy("_kb").agg(F.max_by("_run", F.struct(*order)).alias("_tot"), *extra)
+    totals = b.groupBy("_kb").agg(F.sum(value_col).alias("_tot"), *extra)
     bucket_of = F.col("_kb").getField("_bucket")
     part = [F.col("_kb").getField(k).alias(k) for k in partition]
     before = Window.unboundedPreceding, -1

@@ -1,4 +1,5 @@
-"""Registered queries: each takes (spark, sf_dir) and returns a lazy DataFrame over the whole driver tables.
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame over the whole driver tables. Those that write
+and read back (sources, sinks, streams) or stage a small aggregate run jobs while they are built; the others are lazy.
 
 Outputs are flat scalar columns (times as LONG ns, counts as LONG) so they compare value for value with the DuckDB
 oracles in ``devmetrics.plans.oracle``.
@@ -18,14 +19,14 @@ from devmetrics.functions.values import (NS_PER_DAY, NS_PER_HOUR, NS_PER_MINUTE,
                                          is_safe_identifier, parse_value, truncate_ns, value_reject_reason)
 from devmetrics.operators import aggregates as agg
 from devmetrics.operators import depth, enrich, ledger, reads, sender
-from devmetrics.operators.points import build_points, pivot_fields, series_id, unpivot_fields, upsert_points
+from devmetrics.operators.points import build_points, pivot_fields, series_id, sorted_tags, unpivot_fields, upsert_points, widen_tags
 from devmetrics.plans import params as P
 from devmetrics.session import scratch_path
 from devmetrics.streaming import streams
-from devmetrics.sources import fixtures as fx
+from devmetrics.plans import fixtures as fx
 from devmetrics.sources.backlog import read_backlog, write_backlog
-from devmetrics.sources.csv import quote_csv_field, read_metrics_csv
-from devmetrics.sources.points_store import entries_to_json, read_points, write_points
+from devmetrics.sources.csv import quote_csv_field, read_metrics_csv, stamp_arrival
+from devmetrics.sources.points_store import read_points, write_points
 
 IDENTITY_TAGS = ("gpu_id", "device", "uuid", "namespace", "modelName")
 
@@ -46,9 +47,7 @@ def points(spark: SparkSession, sf_dir: str, start_ns: int | None = None, stop_n
 @query
 def telemetry_by_gpu(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 flagship: one GPU's points in [start, end), last write wins, open response rows."""
-    return reads.telemetry_by_gpu(
-        points(spark, sf_dir, P.START_NS, P.END_NS), P.FLAGSHIP_GPU, P.RESPONSE_TAG_KEYS, P.FLAGSHIP_START, P.FLAGSHIP_END
-    )
+    return reads.telemetry_by_gpu(points(spark, sf_dir, P.START_NS, P.END_NS), P.FLAGSHIP_GPU, P.FLAGSHIP_START, P.FLAGSHIP_END)
 
 
 @query
@@ -75,11 +74,15 @@ def labels_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tags_effective(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B8 + B22 + B30: the effective tags of every point, one column per tag key, plus the series text."""
+    """B8 + B30: all effective tags of every point, as JSON in the order of their keys, plus the series text."""
     p = points(spark, sf_dir)
-    return p.select(
-        "persist_key", *[tag_value(F.col("tags"), k).alias(k) for k in P.RESPONSE_TAG_KEYS], "series_id"
-    )
+    return p.select("persist_key", F.to_json(sorted_tags(F.col("tags"))).alias("tags"), "series_id")
+
+
+@query
+def tags_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen label keys as columns (null when absent)."""
+    return widen_tags(points(spark, sf_dir), ("k", "flag", "expr")).select("persist_key", "k", "flag", "expr")
 
 
 def _hourly_identity_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,10 +183,10 @@ def window_count_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def window_count_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D6 in the store's literal grouping: hourly counts per full series (tag set) over [START, END), non-empty
-    windows (with empty ones the grid is series x windows)."""
+    """D6 in the store's literal form: daily counts per full series (tag set) over [START, END), empty windows
+    included (series x windows rows: the query's feature)."""
     p = points(spark, sf_dir, P.START_NS, P.END_NS).withColumn("_series", series_key(F.col("tags")))
-    counts = agg.window_count(p, NS_PER_HOUR, P.START_NS, P.END_NS, by=("_series", "series_id"), create_empty=False)
+    counts = agg.window_count(p, NS_PER_DAY, P.START_NS, P.END_NS, by=("_series", "series_id"))
     return counts.drop("_series")  # grouped by the injective key; the readable text rides along
 
 
@@ -222,6 +225,20 @@ def unknown_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.unknown_acks(d, a)
 
 
+@query
+def ack_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 in full: every ack is effective, repeated, late, unknown or invalid."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    return ledger.ack_classes(d, a, *P.SCAN)
+
+
+@query
+def effective_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries completed by an ack before their requeue tick."""
+    _, _, d, a = _ledger(spark, sf_dir)
+    return ledger.effective_acks(d, a, *P.SCAN)
+
+
 @query
 def invalid_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acks with an empty id."""
@@ -231,9 +248,9 @@ def invalid_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def unacked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted messages never acked (what a restart recovers)."""
+    """Accepted messages that no ack completed in time (what a restart recovers)."""
     _, e, d, a = _ledger(spark, sf_dir)
-    return ledger.unacked(e, d, a).select("persist_key", "enqueued_ns")
+    return ledger.unacked(e, d, a, *P.SCAN).select("persist_key", "enqueued_ns")
 
 
 @query
@@ -259,16 +276,16 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys delivered at least twice and never acked."""
+    """Keys delivered at least twice and never effectively acked."""
     _, _, d, a = _ledger(spark, sf_dir)
-    return ledger.dead_letters(d, a, P.MAX_DELIVERIES)
+    return ledger.dead_letters(d, a, P.MAX_DELIVERIES, *P.SCAN)
 
 
 @query
 def queue_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The queue's counters as (counter, value) rows."""
+    """The queue's counters at an instant as (counter, value) rows."""
     _, e, d, a = _ledger(spark, sf_dir)
-    return ledger.queue_counters(e, d, a, P.ACK_TIMEOUT_NS, P.SCAN_INTERVAL_NS)
+    return ledger.queue_counters(e, d, a, P.COUNTERS_NS, *P.SCAN)
 
 
 @query
@@ -281,7 +298,7 @@ def sink_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def at_least_once_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted vs. acked vs. dispatched."""
     _, e, d, a = _ledger(spark, sf_dir)
-    return ledger.at_least_once_audit(e, d, a)
+    return ledger.at_least_once_audit(e, d, a, *P.SCAN)
 
 
 @query
@@ -293,20 +310,29 @@ def reject_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """p50/p95/p99 ack latency per delivery round (first or second delivery)."""
+    """Nearest-rank p50/p95/p99 ack latency per delivery round (first or second), from counts per distinct
+    latency."""
     _, _, d, a = _ledger(spark, sf_dir)
     m = ledger.match_acks(d, a, P.ACK_TIMEOUT_NS).withColumn("delivery", F.substring("message_id", 1, 2))
-    return ledger.latency_percentiles(m, "delivery")
+    return ledger.exact_percentiles(m, "delivery", "latency_ns", {"p50_ns": 0.5, "p95_ns": 0.95, "p99_ns": 0.99},
+                                    F.call_function("div", F.col("latency_ns"), F.lit(1_000_000_000)))
 
 
 @query
-def latency_percentiles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K11 exactly: nearest-rank p50/p95/p99 ack latency per delivery round from distributed ranks (value
-    buckets of one second), same definition as the sketch query's oracle."""
-    _, _, d, a = _ledger(spark, sf_dir)
-    m = ledger.match_acks(d, a, P.ACK_TIMEOUT_NS).withColumn("delivery", F.substring("message_id", 1, 2))
-    return ledger.exact_percentiles(m, "delivery", "latency_ns", {"p50_ns": 0.5, "p95_ns": 0.95, "p99_ns": 0.99},
-                                    F.call_function("div", F.col("latency_ns"), F.lit(1_000_000_000)))
+def stamped_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 as an invariant: every message's time replaced by its arrival, which is one instant no earlier than any
+    recorded time; the other columns are untouched."""
+    tel = fx.telemetry(spark, sf_dir)
+    both = stamp_arrival(tel.withColumn("recorded_ns", F.col("timestamp_ns")))
+    return both.select("persist_key", "recorded_ns", (F.col("timestamp_ns") > F.col("recorded_ns")).alias("arrived_later"))
+
+
+@query
+def resolved_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages without a time (every 11th, set to 0) get the arrival time, all others keep theirs."""
+    tel = fx.telemetry(spark, sf_dir).withColumn(
+        "timestamp_ns", F.when(F.col("persist_key") % 11 == 0, F.lit(0).cast("long")).otherwise(F.col("timestamp_ns")))
+    return build_points(tel, arrival_ns=F.lit(P.NOW_NS)).select("persist_key", "timestamp_ns")
 
 
 def _depth(spark: SparkSession, sf_dir: str, with_refusals: bool = False) -> DataFrame:
@@ -315,7 +341,7 @@ def _depth(spark: SparkSession, sf_dir: str, with_refusals: bool = False) -> Dat
     # Derived row by row from the accepted messages (the pop time is a function of the message): no join.
     pops = fx.accepted(tel).select(
         "persist_key", (F.col("timestamp_ns") + F.col("k") * NS_PER_MINUTE).alias("sent_ns"))
-    return depth.queue_depth(depth.depth_events(e, pops, with_refusals=with_refusals), materialize=True)
+    return depth.queue_depth(depth.depth_events(e, pops, with_refusals=with_refusals))
 
 
 @query
@@ -324,6 +350,14 @@ def queue_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _depth(spark, sf_dir).select("persist_key", "event_ns", "delta", "kind", "depth")
 
 
+@query
+def queue_depth_requeues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 with its third leg: +1 per accept and per requeue tick, -1 per delivery."""
+    _, e, d, a = _ledger(spark, sf_dir)
+    events = depth.depth_events(e, d, ledger.requeues(d, a, *P.SCAN))
+    return depth.queue_depth(events).select("persist_key", "event_ns", "delta", "kind", "depth")
+
+
 @query
 def partitioned_queue_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9 + E1: depth of each of 4 queues when messages are spread by GPU id (numeric ids modulo 4; messages
@@ -335,7 +369,7 @@ def partitioned_queue_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("accept").alias("kind"), part)
     pops = acc.select("persist_key", (F.col("timestamp_ns") + F.col("k") * NS_PER_MINUTE).alias("event_ns"),
                       F.lit(-1).alias("delta"), F.lit("dispatch").alias("kind"), part)
-    d = depth.queue_depth(accepts.unionByName(pops), partition=("partition",), materialize=True)
+    d = depth.queue_depth(accepts.unionByName(pops), partition=("partition",))
     return d.select("partition", "persist_key", "event_ns", "delta", "kind", "depth")
 
 
@@ -361,9 +395,9 @@ def saturation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fifo_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E4 + G1: recovery order of the backlog (unacked) plus requeued deliveries' keys, by durable key."""
+    """Recovery order of the durable backlog (C3), by durable key."""
     _, e, d, a = _ledger(spark, sf_dir)
-    backlog = ledger.unacked(e, d, a).select("persist_key")
+    backlog = ledger.unacked(e, d, a, *P.SCAN).select("persist_key")
     return depth.fifo_order(backlog, bucket_keys=1000, materialize=True)
 
 
@@ -376,10 +410,9 @@ def requeue_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ready_after_requeue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G1: the ready list after a restart: recovered backlog plus requeued deliveries' keys."""
+    """G1: the ready list at an instant: durable keys that wait for a (further) delivery."""
     _, e, d, a = _ledger(spark, sf_dir)
-    backlog = ledger.unacked(e, d, a)
-    return ledger.ready_after_requeue(backlog, ledger.requeues(d, a, P.ACK_TIMEOUT_NS, P.SCAN_INTERVAL_NS))
+    return ledger.ready_after_requeue(e, d, a, P.END_NS, *P.SCAN)
 
 
 @query
@@ -394,15 +427,13 @@ def late_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def retryable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retry decision for every status code in the attempts ledger."""
-    a = fx.attempts(spark, sf_dir)
-    return a.select("code").distinct().select("code", is_retryable(F.col("code")).alias("retryable"))
+    return fx.attempt_codes(spark, sf_dir).distinct().select("code", is_retryable(F.col("code")).alias("retryable"))
 
 
 @query
 def backoff_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wait bound (ms) before every retry number seen in the ledger (100 ms, x2, max 5 s)."""
-    a = fx.attempts(spark, sf_dir)
-    return a.select("attempt").distinct().select("attempt", backoff_bound_ms(F.col("attempt")).alias("bound_ms"))
+    return fx.attempt_numbers(spark, sf_dir).select("attempt", backoff_bound_ms(F.col("attempt")).alias("bound_ms"))
 
 
 @query
@@ -500,6 +531,15 @@ def partition_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.partition_depth(points(spark, sf_dir), 16, method="integer")
 
 
+@query
+def partition_depth_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 by hash: points spread over 16 partitions; every GPU id is in one partition only."""
+    p = points(spark, sf_dir).withColumn("partition", enrich.partition_of("gpu_id", 16))
+    per_gpu = p.groupBy("gpu_id").agg(F.count(F.lit(1)).alias("points"), F.count_distinct("partition").alias("partitions"),
+                                      F.count_if((F.col("partition") < 0) | (F.col("partition") >= 16)).alias("out_of_range"))
+    return per_gpu
+
+
 @query
 def write_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily write rate per source node."""
@@ -543,13 +583,13 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backlog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4 then A3: the un-acked backlog (C3) written as JSON lines and recovered."""
+    """A4 then A3: the un-acked backlog (C3) written as JSON lines and recovered, with its recovery position."""
     tel, e, d, a = _ledger(spark, sf_dir)
-    backlog = tel.join(ledger.unacked(e, d, a).select("persist_key"), "persist_key", "left_semi")
+    backlog = tel.join(ledger.unacked(e, d, a, *P.SCAN).select("persist_key"), "persist_key", "left_semi")
     path = scratch_path(spark, "backlog")
     write_backlog(backlog, path)
-    back = read_backlog(spark, path)
-    return back.select("persist_key", "timestamp_ns", "metric_name", "gpu_id",
+    back = read_backlog(spark, path, with_position=True)
+    return back.select("persist_key", "position", "timestamp_ns", "metric_name", "gpu_id",
                        F.array_join("model_name", ",").alias("model_names"), "namespace", "value", "labels_raw")
 
 
@@ -566,9 +606,8 @@ def points_store_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def entries_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship's response rows as JSON objects, absent tags omitted."""
-    rows = telemetry_by_gpu(spark, sf_dir)
-    return rows.select("timestamp_ns", entries_to_json(rows).alias("entry"))
+    """The flagship's response rows as JSON objects with every tag that is present."""
+    return telemetry_by_gpu(spark, sf_dir).select("timestamp_ns", "entry")
 
 
 @query
@@ -614,52 +653,80 @@ def _run_stream(spark: SparkSession, df: DataFrame, name: str, output_mode: str
     return spark.read.schema(schema).parquet(out)
 
 
+def _events_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """The events as four files in no order of time, one file per micro-batch."""
+    events = fx.table(spark, sf_dir, "events")
+    events.repartition(4, F.xxhash64("event_id")).write.mode("overwrite").parquet(f"{base}/events")
+    return streams.table_stream(spark, f"{base}/events", max_files_per_trigger=1)
+
+
+def _run(df: DataFrame, writer, checkpoint: str) -> None:
+    q = streams.start_batches(df, writer, checkpoint)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I5 + A6 (+ I6 statistics): events stream -> points -> idempotent batch folders, read back."""
-    pts = streams.ingest_stream(streams.events_stream(spark, sf_dir))
-    flat = pts.select("persist_key", "timestamp_ns", "gpu_id", "device", "namespace", "source_node", "series_id")
-    out = _run_stream(spark, flat, "stream-ingest")
-    return out.drop("batch_id")
+    """I5 + A6 (+ I6 statistics): events stream -> points -> idempotent batch folders, read back. Reads the table as
+    it is: a file or a folder of files."""
+    tel = fx.telemetry_from_events(streams.table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    flat = streams.ingest_stream(tel).select("persist_key", "timestamp_ns", "gpu_id", "device", "namespace", "source_node", "series_id")
+    return _run_stream(spark, flat, "stream-ingest").drop("batch_id")
 
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every delivery writes its message's point (a redelivery repeats it); the stream keeps one per key."""
-    tel = fx.telemetry_from_events(streams.events_stream(spark, sf_dir))
-    pts = build_points(tel)
-    copies = build_points(fx.redelivered(tel))
-    both = pts.unionByName(copies).select("persist_key", "timestamp_ns", "series_id",
-                                          F.col("fields.metric_name").alias("metric_name"))
-    out = _run_stream(spark, streams.dedup_stream(both), "stream-dedup")
-    return out.select("persist_key", "timestamp_ns", "series_id", "metric_name")
+    """Every delivery writes its message's point (a redelivery repeats it), over four micro-batches out of order;
+    one per key is read."""
+    base = scratch_path(spark, "stream-dedup")
+    tel = fx.telemetry_from_events(_events_stream(spark, sf_dir, base))
+    both = build_points(tel).unionByName(build_points(fx.redelivered(tel))).select(
+        "persist_key", "timestamp_ns", "series_id", F.col("fields.metric_name").alias("metric_name"))
+    _run(both, streams.batch_dir_writer(f"{base}/out"), f"{base}/checkpoint")
+    return streams.dedup_at_read(spark, f"{base}/out").select("persist_key", "timestamp_ns", "series_id", "metric_name")
 
 
 @query
 def stream_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I4: hourly counts per GPU on the stream (update mode), latest update per window read back."""
-    pts = build_points(fx.telemetry_from_events(streams.events_stream(spark, sf_dir)))
-    counts = streams.window_count_stream(pts, "1 hour", "1 hour", by=("gpu_id",))
+    """I4: hourly counts per GPU, kept per micro-batch (four, out of order) and summed at read."""
     base = scratch_path(spark, "stream-window-count")
-    q = streams.start_batches(counts, streams.batch_dir_writer(f"{base}/out"), f"{base}/checkpoint", "update")
-    q.awaitTermination()
-    return streams.latest_window_counts(spark, f"{base}/out", by=("gpu_id",))
+    pts = build_points(fx.telemetry_from_events(_events_stream(spark, sf_dir, base)))
+    _run(pts, streams.window_count_writer(f"{base}/out", NS_PER_HOUR), f"{base}/checkpoint")
+    return streams.summed_window_counts(spark, f"{base}/out")
 
 
 @query
 def stream_ack_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries not acked within 30 s, from a stream-stream outer join with watermarks (flushed at the end
-    of the replay by a marker event, which is dropped from the result)."""
+    """Deliveries not acked within 30 s; both sides arrive over four micro-batches out of order."""
     base = scratch_path(spark, "stream-ack-timeout")
-    events = streams.events_with_flush(spark, sf_dir, f"{base}/flush")
-    tel = fx.telemetry_from_events(events)
-    timed_out = streams.ack_timeout_stream(fx.dispatches(tel), fx.acks(tel))
-    streams.run_to_end_with_flush(spark, sf_dir, f"{base}/flush", timed_out,
-                                  streams.batch_dir_writer(f"{base}/out"), f"{base}/checkpoint")
-    schema = T.StructType([*timed_out.schema.fields, T.StructField("batch_id", T.IntegerType())])
-    out = spark.read.schema(schema).parquet(f"{base}/out")
-    return out.where(F.col("persist_key") != streams.FLUSH_EVENT_ID).select("message_id", "persist_key", "sent_ns",
-                                                                             "reason")
+    tel = fx.telemetry_from_events(_events_stream(spark, sf_dir, base))
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        streams.batch_dir_writer(f"{base}/dispatches")(fx.dispatches(batch), batch_id)
+        streams.batch_dir_writer(f"{base}/acks")(fx.acks(batch), batch_id)
+
+    _run(tel, streams.fan_out_writer([both]), f"{base}/checkpoint")
+    return streams.ack_timeout_at_read(spark, f"{base}/dispatches", f"{base}/acks", P.ACK_TIMEOUT_NS)
+
+
+@query
+def stream_csv_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I5 from end to end: CSV files as they arrive -> rejects and points -> store, both read back."""
+    base = scratch_path(spark, "stream-csv-store")
+    _csv_lines(fx.telemetry(spark, sf_dir)).repartition(4).write.mode("overwrite").text(f"{base}/in")
+    q = streams.ingest_csv_stream(spark, f"{base}/in", f"{base}/store", f"{base}/checkpoint", "node-a", event_time="recorded",
+                                  rejects_path=f"{base}/rejects", available_now=True, header=False, max_files_per_trigger=1)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    pts = spark.read.parquet(f"{base}/store").select("timestamp_ns", F.col("fields.metric_name").alias("metric_name"),
+                                                     F.col("fields.value").alias("value"), "source_node",
+                                                     F.lit(None).cast("string").alias("reject_reason"))
+    bad = spark.read.parquet(f"{base}/rejects").select("timestamp_ns", "metric_name", "value",
+                                                       F.lit(None).cast("string").alias("source_node"), "reject_reason")
+    return pts.unionByName(bad)
 
 
 @query
@@ -680,7 +747,7 @@ def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I6 + K12: one stream fanned out to two sinks (points folders and per-batch counters); totals summed from
     the counter folder."""
     base = scratch_path(spark, "stream-stats")
-    pts = streams.ingest_stream(streams.events_stream(spark, sf_dir)).select(
+    pts = streams.ingest_stream(fx.telemetry_from_events(_events_stream(spark, sf_dir, base))).select(
         "persist_key", "timestamp_ns", "gpu_id", "series_id")
     writer = streams.fan_out_writer([
         streams.batch_dir_writer(f"{base}/points"),

@@ -1,4 +1,5 @@
-"""Views over the driver's Parquet tables that stand in for the reference's inputs at scale.
+"""Views over the driver's Parquet tables that stand in for recorded inputs at scale (for the registered queries only;
+the library doesn't depend on them).
 
 ``telemetry`` is derived from ``events``; the ledger tables (``enqueues``, ``dispatches``, ``acks``, ``requeues``,
 ``sink_log``) from ``telemetry``; ``attempts`` from ``lineitem``; ``assignments`` from ``orders``. Every view is a
@@ -7,7 +8,7 @@ lazy DataFrame over the whole table, so its work grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import datetime as dt
@@ -149,32 +150,36 @@ def acks(tel: DataFrame) -> DataFrame:
     return a.select("_r.message_id", "_r.ack_ns")
 
 
-def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Send attempts per message from ``lineitem``; attempt order fixed by every column that could tie.
+def _code():
+    return (
+        F.when(F.col("l_returnflag") == "A", "ResourceExhausted")
+        .when(F.col("l_returnflag") == "R", "Unavailable")
+        .when(F.col("l_linestatus") == "O", "OK")
+        .otherwise("InvalidArgument")
+    )
+
+
+def attempt_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status code of every attempt, without its number (no window needed)."""
+    return table(spark, sf_dir, "lineitem").select(_code().alias("code"))
 
-    The attempt number is a running count per order. It is computed with ``running_sum`` bucketed by line number
-    (the leading sort column), so an order with very many lines is split over (order, line) partitions instead of
-    one window task."""
-    from devmetrics.operators.sequence import running_sum
 
+def attempt_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every attempt number that occurs: 0 up to the most attempts of a message, from counts per message."""
+    per = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.max("n").alias("n")).where("n > 0").select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("attempt"))
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Send attempts per message from ``lineitem``; attempt order fixed by every column that could tie. One window by
+    message (a message has as many rows as attempts, a handful)."""
     li = table(spark, sf_dir, "lineitem")
     order = [
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
         "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus",
     ]
-    code = (
-        F.when(F.col("l_returnflag") == "A", "ResourceExhausted")
-        .when(F.col("l_returnflag") == "R", "Unavailable")
-        .when(F.col("l_linestatus") == "O", "OK")
-        .otherwise("InvalidArgument")
-    )
-    lines = li.select("l_orderkey", *order, F.lit(1).alias("_one"))
-    numbered = running_sum(lines, order, "_one", F.col("l_linenumber"), "_n", partition=("l_orderkey",))
-    return numbered.select(
-        F.col("l_orderkey").alias("message_key"),
-        (F.col("_n") - 1).cast("long").alias("attempt"),
-        code.alias("code"),
-    )
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order))
+    return li.select(F.col("l_orderkey").alias("message_key"), (number - 1).cast("long").alias("attempt"), _code().alias("code"))
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:

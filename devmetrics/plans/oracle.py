@@ -12,9 +12,14 @@ def oracle(name: str, views: tuple[str, ...], body: str) -> None:
     ORACLE[name] = with_views(views, body)
 
 
+# Every tag of a point, from the long form, as JSON members in the order of the keys.
+_TAG_MEMBERS = """(SELECT string_agg(to_json(g.k)::VARCHAR || ':' || to_json(g.v)::VARCHAR, ',' ORDER BY g.k)
+  FROM tags_long g WHERE g.persist_key = points.persist_key)"""
+_ENTRY = f"""left(json_object('timestamp_ns', timestamp_ns, 'measurement', measurement, 'metric_name', metric_name, 'value', value)::VARCHAR, -1)
+  || coalesce(',' || {_TAG_MEMBERS}, '') || '}}'"""
+
 oracle("telemetry_by_gpu", ("points",), f"""
-SELECT timestamp_ns, measurement, gpu_id, device, uuid, namespace, model_name AS "modelName", source_node,
-       tag_k AS k, tag_flag AS flag, tag_expr AS expr, metric_name, value
+SELECT timestamp_ns, measurement, gpu_id, metric_name, value, {_ENTRY} AS entry
 FROM points
 WHERE timestamp_ns >= {P.START_NS} AND timestamp_ns < {P.END_NS} AND measurement = 'gpu_metrics'
   AND gpu_id = '{P.FLAGSHIP_GPU}'
@@ -29,7 +34,6 @@ WHERE timestamp_ns >= {P.NOW_NS} - 30 * 86400000000000 AND timestamp_ns < {P.NOW
 """)
 
 HOUR = 3_600_000_000_000
-_TAGS = 'gpu_id, device, uuid, namespace, model_name AS "modelName", source_node, tag_k AS k, tag_flag AS flag, tag_expr AS expr'
 _FIRST_W = P.START_NS - P.START_NS % HOUR
 _LAST_W = (P.END_NS - 1) - (P.END_NS - 1) % HOUR
 
@@ -45,7 +49,11 @@ SELECT persist_key, k AS label_key, v AS label_value FROM label_kv
 """)
 
 oracle("tags_effective", ("points",), f"""
-SELECT persist_key, {_TAGS}, series_id FROM points
+SELECT persist_key, '{{' || coalesce({_TAG_MEMBERS}, '') || '}}' AS tags, series_id FROM points
+""")
+
+oracle("tags_widened", ("points",), """
+SELECT persist_key, tag_k AS k, tag_flag AS flag, tag_expr AS expr FROM points
 """)
 
 _IDENT = 'gpu_id, device, uuid, namespace, model_name AS "modelName"'
@@ -138,10 +146,31 @@ oracle("invalid_acks", _L, """
 SELECT message_id, ack_ns FROM acks WHERE message_id IS NULL OR message_id = ''
 """)
 
-oracle("unacked", _L, """
-SELECT persist_key, enqueued_ns FROM enqueues e WHERE outcome = 'enqueued'
-  AND NOT EXISTS (SELECT 1 FROM dispatches d JOIN acks a ON a.message_id = d.message_id
-                  WHERE d.persist_key = e.persist_key AND a.message_id <> '')
+# An ack finds its delivery pending from the sending until the scan tick that requeues it; only then is the durable
+# copy deleted. Any other ack changes nothing.
+_IN_TIME = f"a.message_id = d.message_id AND a.ack_ns >= d.sent_ns AND a.ack_ns < {_TICK}"
+_EFF = f", eff AS (SELECT d.message_id, d.persist_key, min(a.ack_ns) AS ack_ns FROM dispatches d JOIN acks a ON {_IN_TIME} GROUP BY ALL)"
+_EFF_KEYS = "SELECT persist_key FROM eff"
+
+oracle("effective_acks", _L, f"""
+{_EFF}
+SELECT message_id, persist_key, ack_ns FROM eff
+""")
+
+oracle("ack_classes", _L, f"""
+{_EFF},
+n AS (SELECT coalesce(message_id, '') AS message_id, count(*) AS n FROM acks GROUP BY 1)
+SELECT 'effective' AS ack_class, count(*) AS acks FROM eff
+UNION ALL SELECT 'repeated', coalesce(sum(n - 1), 0)::BIGINT FROM n JOIN eff USING (message_id)
+UNION ALL SELECT 'late', coalesce(sum(n), 0)::BIGINT FROM n WHERE message_id IN (SELECT message_id FROM dispatches)
+  AND message_id NOT IN (SELECT message_id FROM eff)
+UNION ALL SELECT 'unknown', coalesce(sum(n), 0)::BIGINT FROM n WHERE message_id <> '' AND message_id NOT IN (SELECT message_id FROM dispatches)
+UNION ALL SELECT 'invalid', coalesce(sum(n), 0)::BIGINT FROM n WHERE message_id = ''
+""")
+
+oracle("unacked", _L, f"""
+{_EFF}
+SELECT persist_key, enqueued_ns FROM enqueues WHERE outcome = 'enqueued' AND persist_key NOT IN ({_EFF_KEYS})
 """)
 
 oracle("expired_pending", _L, f"""
@@ -164,41 +193,47 @@ SELECT persist_key, count(*) AS deliveries FROM dispatches GROUP BY persist_key
 _ACKED_KEYS = "SELECT DISTINCT d.persist_key FROM dispatches d JOIN acks a ON a.message_id = d.message_id WHERE a.message_id <> ''"
 
 oracle("dead_letters", _L, f"""
+{_EFF}
 SELECT persist_key, count(*) AS deliveries FROM dispatches
-WHERE persist_key NOT IN ({_ACKED_KEYS})
+WHERE persist_key NOT IN ({_EFF_KEYS})
 GROUP BY persist_key HAVING count(*) >= {P.MAX_DELIVERIES}
 """)
 
 oracle("queue_counters", _L, f"""
-{_FA},
-rq AS (SELECT coalesce(fa.ack_ns < {_TICK}, false) AS ok FROM dispatches d LEFT JOIN fa ON d.message_id = fa.message_id)
-SELECT 'enqueued' AS counter, count(*) FILTER (WHERE outcome = 'enqueued') AS value FROM enqueues
-UNION ALL SELECT 'rejected', count(*) FILTER (WHERE outcome = 'rejected') FROM enqueues
-UNION ALL SELECT 'invalid', count(*) FILTER (WHERE outcome = 'invalid') FROM enqueues
-UNION ALL SELECT 'dispatched', count(*) FROM dispatches
-UNION ALL SELECT 'acked', count(*) FILTER (WHERE ok) FROM rq
-UNION ALL SELECT 'requeued', count(*) FILTER (WHERE NOT ok) FROM rq
-UNION ALL SELECT 'unknown_acks', count(*) FROM acks a WHERE message_id <> ''
-  AND NOT EXISTS (SELECT 1 FROM dispatches d WHERE d.message_id = a.message_id)
-UNION ALL SELECT 'invalid_acks', count(*) FROM acks WHERE message_id IS NULL OR message_id = ''
-UNION ALL SELECT 'recovered', count(*) FROM enqueues WHERE outcome = 'enqueued' AND persist_key NOT IN ({_ACKED_KEYS})
+, e AS (SELECT * FROM enqueues WHERE enqueued_ns <= {P.COUNTERS_NS}), d AS (SELECT * FROM dispatches WHERE sent_ns <= {P.COUNTERS_NS}),
+a AS (SELECT * FROM acks WHERE ack_ns <= {P.COUNTERS_NS}),
+ok AS (SELECT DISTINCT d.message_id, d.persist_key FROM d JOIN a ON {_IN_TIME}),
+open AS (SELECT *, {_TICK} AS tick FROM d WHERE message_id NOT IN (SELECT message_id FROM ok)),
+c AS (
+SELECT (SELECT count(*) FROM e WHERE outcome = 'enqueued') AS enqueued, (SELECT count(*) FROM e WHERE outcome = 'rejected') AS rejected,
+  (SELECT count(*) FROM e WHERE outcome = 'invalid') AS invalid, (SELECT count(*) FROM e WHERE outcome = 'closed') AS closed,
+  (SELECT count(*) FROM e WHERE outcome = 'persist_failed') AS persist_failed, (SELECT count(*) FROM d) AS dispatched,
+  (SELECT count(*) FROM ok) AS acked, (SELECT count(*) FROM open WHERE tick <= {P.COUNTERS_NS}) AS requeued,
+  (SELECT count(*) FROM open WHERE tick > {P.COUNTERS_NS}) AS pending,
+  (SELECT count(*) FROM a WHERE message_id <> '' AND message_id NOT IN (SELECT message_id FROM d)) AS unknown_acks,
+  (SELECT count(*) FROM a WHERE message_id = '') AS invalid_acks,
+  (SELECT count(*) FROM e WHERE outcome = 'enqueued' AND persist_key NOT IN (SELECT persist_key FROM ok)) AS recovered),
+w AS (SELECT *, enqueued - dispatched + requeued AS queue FROM c)
+SELECT counter, value FROM w UNPIVOT (value FOR counter IN (enqueued, rejected, invalid, closed, persist_failed, dispatched, acked,
+  requeued, pending, unknown_acks, invalid_acks, recovered, queue))
 """)
 
 oracle("sink_rollup", _L, f"""
 {_FA},
 sl AS (SELECT t.metric_name <> 'error' AS write_ok, (t.metric_name <> 'error') AND fa.ack_ns IS NOT NULL AS ack_ok
        FROM dispatches d JOIN telemetry t ON d.persist_key = t.persist_key LEFT JOIN fa ON d.message_id = fa.message_id)
-SELECT count(*) AS processed, count(*) FILTER (WHERE NOT write_ok) AS write_failed,
+SELECT count(*) FILTER (WHERE write_ok) AS processed, count(*) FILTER (WHERE NOT write_ok) AS write_failed,
        count(*) FILTER (WHERE write_ok AND NOT ack_ok) AS ack_failed FROM sl
 """)
 
 oracle("at_least_once_audit", _L, f"""
-, acc AS (SELECT persist_key FROM enqueues WHERE outcome = 'enqueued')
+{_EFF}, acc AS (SELECT persist_key FROM enqueues WHERE outcome = 'enqueued')
 SELECT 'accepted' AS "check", count(*) AS value FROM acc
 UNION ALL SELECT 'dispatched_keys', count(DISTINCT persist_key) FROM dispatches
 UNION ALL SELECT 'dispatches', count(*) FROM dispatches
 UNION ALL SELECT 'unique_acked', count(*) FROM acc WHERE persist_key IN ({_ACKED_KEYS})
-UNION ALL SELECT 'missing', count(*) FROM acc WHERE persist_key NOT IN ({_ACKED_KEYS})
+UNION ALL SELECT 'effective_acked', count(*) FROM acc WHERE persist_key IN ({_EFF_KEYS})
+UNION ALL SELECT 'missing', count(*) FROM acc WHERE persist_key NOT IN ({_EFF_KEYS})
 UNION ALL SELECT 'never_dispatched', count(*) FROM acc WHERE persist_key NOT IN (SELECT persist_key FROM dispatches)
 """)
 
@@ -243,8 +278,9 @@ SELECT persist_key, event_ns, depth FROM dep WHERE kind = 'accept' AND depth - 1
 """)
 
 oracle("fifo_order", _L, f"""
+{_EFF}
 SELECT persist_key, CAST(row_number() OVER (ORDER BY persist_key) AS BIGINT) AS position
-FROM enqueues WHERE outcome = 'enqueued' AND persist_key NOT IN ({_ACKED_KEYS})
+FROM enqueues WHERE outcome = 'enqueued' AND persist_key NOT IN ({_EFF_KEYS})
 """)
 
 # --- sender --------------------------------------------------------------------------------------------------------
@@ -371,10 +407,11 @@ FROM parsed
 """)
 
 oracle("backlog_roundtrip", _L, f"""
-SELECT persist_key, timestamp_ns, metric_name, gpu_id,
+{_EFF}
+SELECT persist_key, CAST(row_number() OVER (ORDER BY persist_key) AS BIGINT) AS position, timestamp_ns, metric_name, gpu_id,
   CASE WHEN model_name_csv = '' THEN '' ELSE model_name_csv END AS model_names, namespace, value, labels_raw
 FROM telemetry WHERE persist_key IN (SELECT persist_key FROM enqueues WHERE outcome = 'enqueued')
-  AND persist_key NOT IN ({_ACKED_KEYS})
+  AND persist_key NOT IN ({_EFF_KEYS})
 """)
 
 oracle("points_store_read", ("points",), f"""
@@ -383,11 +420,7 @@ WHERE timestamp_ns >= {P.START_NS} AND timestamp_ns < {P.END_NS} AND gpu_id = '{
 """)
 
 oracle("entries_json", ("points",), f"""
-SELECT timestamp_ns, regexp_replace(
-  json_object('timestamp_ns', timestamp_ns, 'measurement', measurement, 'gpu_id', gpu_id, 'device', device,
-              'uuid', uuid, 'namespace', namespace, 'modelName', model_name, 'source_node', source_node,
-              'k', tag_k, 'flag', tag_flag, 'expr', tag_expr, 'metric_name', metric_name, 'value', value)::VARCHAR,
-  ',"[A-Za-z_]+":null', '', 'g') AS entry
+SELECT timestamp_ns, {_ENTRY} AS entry
 FROM points
 WHERE timestamp_ns >= {P.START_NS} AND timestamp_ns < {P.END_NS} AND gpu_id = '{P.FLAGSHIP_GPU}'
 """)
@@ -441,18 +474,21 @@ WHERE NOT coalesce(fa.ack_ns < {_TICK}, false)
 """)
 
 oracle("ready_after_requeue", _L, f"""
-{_FA}
-SELECT persist_key, 'backlog' AS source, CAST(NULL AS BIGINT) AS ready_ns FROM enqueues
-WHERE outcome = 'enqueued' AND persist_key NOT IN ({_ACKED_KEYS})
-UNION ALL
-SELECT d.persist_key, 'requeue', {_TICK} FROM dispatches d LEFT JOIN fa ON d.message_id = fa.message_id
-WHERE NOT coalesce(fa.ack_ns < {_TICK}, false)
+, d AS (SELECT *, {_TICK} AS tick FROM dispatches WHERE sent_ns <= {P.END_NS}),
+done AS (SELECT DISTINCT d.persist_key FROM d JOIN acks a ON a.message_id = d.message_id AND a.ack_ns >= d.sent_ns AND a.ack_ns < d.tick
+         WHERE a.ack_ns <= {P.END_NS}),
+latest AS (SELECT persist_key, arg_max(tick, sent_ns) AS tick FROM d GROUP BY persist_key)
+SELECT e.persist_key, CASE WHEN l.tick IS NULL THEN 'backlog' ELSE 'requeue' END AS source, coalesce(l.tick, e.enqueued_ns) AS ready_ns
+FROM enqueues e LEFT JOIN latest l USING (persist_key)
+WHERE e.outcome = 'enqueued' AND e.enqueued_ns <= {P.END_NS} AND e.persist_key NOT IN (SELECT persist_key FROM done)
+  AND (l.tick IS NULL OR l.tick <= {P.END_NS})
 """)
 
 oracle("late_acks", _L, f"""
+{_EFF}
 SELECT a.message_id, a.ack_ns, {_TICK} AS requeue_tick_ns
 FROM acks a JOIN dispatches d ON a.message_id = d.message_id
-WHERE a.message_id <> '' AND a.ack_ns >= {_TICK}
+WHERE a.message_id <> '' AND d.message_id NOT IN (SELECT message_id FROM eff)
 """)
 
 oracle("fields_long", ("points",), """
@@ -512,12 +548,40 @@ SELECT partition, persist_key, event_ns, CAST(delta AS INTEGER) AS delta, kind,
 FROM ev
 """)
 
-# Same definition (nearest rank) as the sketch query: the exact form must give the same rows.
-ORACLE["latency_percentiles_exact"] = ORACLE["latency_percentiles"]
-
 oracle("window_count_series", ("points",), f"""
-SELECT series_id, greatest(timestamp_ns - timestamp_ns % {HOUR}, {P.START_NS}) AS window_start_ns,
-       least(timestamp_ns - timestamp_ns % {HOUR} + {HOUR}, {P.END_NS}) AS window_end_ns, count(*) AS points
-FROM points WHERE timestamp_ns >= {P.START_NS} AND timestamp_ns < {P.END_NS}
-GROUP BY 1, 2, 3
+, rng AS (SELECT series_id, timestamp_ns - timestamp_ns % {DAY} AS w FROM points WHERE timestamp_ns >= {P.START_NS} AND timestamp_ns < {P.END_NS}),
+grid AS (SELECT s.series_id, r.range AS w FROM (SELECT DISTINCT series_id FROM rng) s,
+         range({P.START_NS - P.START_NS % DAY}, {(P.END_NS - 1) - (P.END_NS - 1) % DAY + 1}, {DAY}) r)
+SELECT g.series_id, greatest(g.w, {P.START_NS}) AS window_start_ns, least(g.w + {DAY}, {P.END_NS}) AS window_end_ns,
+       count(rng.w) AS points
+FROM grid g LEFT JOIN rng ON g.series_id IS NOT DISTINCT FROM rng.series_id AND g.w = rng.w GROUP BY ALL
+""")
+
+oracle("stamped_arrivals", ("telemetry",), """
+SELECT persist_key, timestamp_ns AS recorded_ns, true AS arrived_later FROM telemetry
+""")
+
+oracle("resolved_times", ("telemetry",), f"""
+SELECT persist_key, CASE WHEN persist_key % 11 = 0 THEN {P.NOW_NS} ELSE timestamp_ns END AS timestamp_ns FROM telemetry
+""")
+
+oracle("queue_depth_requeues", _L, f"""
+{_FA},
+ev AS (SELECT persist_key, enqueued_ns AS event_ns, 1 AS delta, 'accept' AS kind FROM enqueues WHERE outcome = 'enqueued'
+       UNION ALL SELECT persist_key, sent_ns, -1, 'dispatch' FROM dispatches
+       UNION ALL SELECT d.persist_key, {_TICK}, 1, 'requeue' FROM dispatches d LEFT JOIN fa ON d.message_id = fa.message_id
+       WHERE NOT coalesce(fa.ack_ns < {_TICK}, false))
+SELECT persist_key, event_ns, CAST(delta AS INTEGER) AS delta, kind,
+       CAST(sum(delta) OVER (ORDER BY event_ns, delta, persist_key, kind ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth
+FROM ev
 """)
+
+oracle("partition_depth_hash", ("points",), """
+SELECT gpu_id, count(*) AS points, CAST(1 AS BIGINT) AS partitions, CAST(0 AS BIGINT) AS out_of_range FROM points GROUP BY gpu_id
+""")
+
+# Messages and rejects of the CSV rules (csv_ingest); the node added on ingest is the last of a repeated label, so it wins.
+ORACLE["stream_csv_to_store"] = f"""WITH ingested AS (
+{ORACLE["csv_ingest"]}
+)
+SELECT timestamp_ns, metric_name, value, CASE WHEN reject_reason IS NULL THEN 'node-a' END AS source_node, reject_reason FROM ingested"""

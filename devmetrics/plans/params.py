@@ -17,6 +17,7 @@ QUEUE_MAX = 25
 HIGH_WATER_PCT = 80
 ROLLING_WIDTH_NS = 6 * 3600 * NS_PER_SECOND
 AROUND_NS = 1_705_276_800 * NS_PER_SECOND  # 2024-01-15T00:00:00Z
-
-# Tag keys of the open response rows (as listed by the `tag_keys` query over the data).
-RESPONSE_TAG_KEYS = ("gpu_id", "device", "uuid", "namespace", "modelName", "source_node", "k", "flag", "expr")
+#: Ack timeout and scan interval, as the ledger operators take them.
+SCAN = (ACK_TIMEOUT_NS, SCAN_INTERVAL_NS)
+# 2024-01-15T00:00:20Z: an instant with deliveries pending, for the counters.
+COUNTERS_NS = AROUND_NS + 20 * NS_PER_SECOND

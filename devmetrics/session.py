@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,10 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-path of the shared folder for one job's intermediate output."""
     base = shared_dir(spark)
-    path = f"{base}/devmetrics/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/"):
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+    return f"{base}/devmetrics/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Deletes what this library left in the shared folder. For the end of a job: results that still read from a
+    staged table must have been written by then."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/devmetrics")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str = "stage"):

@@ -31,24 +31,27 @@ def write_backlog(telemetry: DataFrame, path: str, mode: str = "overwrite") -> N
 
 
 def read_backlog(spark: SparkSession, path: str, with_position: bool = False) -> DataFrame:
-    """A3: read backlog records, skipping corrupt lines and records whose key or value has the wrong type.
+    """A3: read backlog records, skipping corrupt lines and records with a value of a wrong type.
 
+    Absent values are the type's zero value (0, 0.0, '', an empty list), as the record's plain fields have it.
     Returns canonical telemetry columns. Recovery order is ascending ``persist_key``; ``with_position`` adds it as
-    a 1-based ``position`` column (E4, a distributed running count, not a global sort into one task)."""
-    parsed = spark.read.text(path).select(
+    a 1-based ``position`` (E4, a distributed running count). Records that repeat a key keep one row and one position
+    each, in an order among them that isn't fixed."""
+    parsed = spark.read.text(path).where(F.trim("value") != "").select(
         F.from_json("value", T.StructType([*BACKLOG_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())]),
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("r")
     ).select("r.*")
-    good = parsed.where(F.col(_CORRUPT).isNull() & F.col("persist_key").isNotNull())
+    good = parsed.where(F.col(_CORRUPT).isNull())
+    zero = F.lit(0).cast("long")
     out = good.select(
-        "persist_key", F.col("timestamp").alias("timestamp_ns"),
+        F.coalesce("persist_key", zero).alias("persist_key"), F.coalesce("timestamp", zero).alias("timestamp_ns"),
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("metric_name", "gpu_id", "device", "uuid")],
         F.coalesce(F.col("model_name"), F.array().cast("array<string>")).alias("model_name"),
-        F.coalesce(F.col("namespace"), F.lit("")).alias("namespace"), "value",
+        F.coalesce(F.col("namespace"), F.lit("")).alias("namespace"), F.coalesce("value", F.lit(0.0)).alias("value"),
         F.coalesce(F.col("labels_raw"), F.lit("")).alias("labels_raw"),
     )
     if with_position:
         from devmetrics.operators.depth import fifo_order
 
-        out = out.join(fifo_order(out.select("persist_key")), "persist_key")
+        out = fifo_order(out)
     return out

@@ -1,8 +1,12 @@
 """Metric CSV ingest with rejects (A1, A2 schema, B1-B6).
 
 Positional columns, never inferred: 0 recorded time, 1 metric, 2 gpu id, 3 device, 4 uuid, 5-8 model names,
-9 namespace, 10 value, 11 labels; later columns are ignored. A row with another field count is flagged by the
-field count of the line. Bad rows are kept apart with a reason, counted neither as sent nor as dropped.
+9 namespace, 10 value, 11 labels; later columns are ignored. A record with fewer fields is a reject, and so is a line
+whose quote isn't closed. Bad rows are kept apart with a reason, counted neither as sent nor as dropped; every
+input record comes out once, as a message or as a reject.
+
+Two readers: by line (the default; files are split) or, with ``multi_line``, by record, where quoted fields may
+hold line feeds (a file is then one task). Blank lines are no records in either.
 """
 
 from __future__ import annotations
@@ -15,9 +19,12 @@ from devmetrics.functions.values import append_source_node, arrival_ns, parse_va
 N_FIELDS = 12
 FIELDS_SCHEMA = ", ".join(f"c{i} STRING" for i in range(N_FIELDS))
 PARSE_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-# Whole lines: a separator and a quote that never occur, so each record arrives as one string.
-LINE_OPTIONS = {"sep": "\u0001", "quote": "\u0000", "multiLine": "false"}
-QUOTED_FIELD = '"(?:[^"]|"")*"'
+# Whole lines: a separator of many characters and no quote, so each line arrives as one string, whatever single
+# character it holds (the CSV source, not the text source, as it skips each file's header).
+LINE_OPTIONS = {"sep": "\u0001\ue0f1line\ue0f2\u0002", "quote": "", "multiLine": "false"}
+# One quoted stretch: a doubled quote ends one and begins the next, so no alternative is needed (linear, no recursion).
+QUOTED_FIELD = '"[^"]*"'
+_RECORD = "_record"
 
 
 def field_count(line: Column) -> Column:
@@ -26,20 +33,36 @@ def field_count(line: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
+def unclosed_quote(line: Column) -> Column:
+    """An odd number of quotes: the line ends inside a quoted field."""
+    return F.regexp_replace(line, QUOTED_FIELD, "").contains('"')
+
+
 def has_min_fields(n_fields: Column, n: int = N_FIELDS) -> Column:
     """The record has at least ``n`` fields (fewer -> rejected as an incomplete record)."""
     return n_fields >= n
 
 
-def read_metrics_csv_raw(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """A1 reader: one row per CSV record with fields ``c0..c11`` and ``n_fields``.
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Lines (column ``line``) -> fields ``c0..c11``, ``n_fields`` and ``unclosed``."""
+    return lines.select(F.from_csv("line", FIELDS_SCHEMA, PARSE_OPTIONS).alias("f"), field_count(F.col("line")).alias("n_fields"),
+                        unclosed_quote(F.col("line")).alias("unclosed")).select("f.*", "n_fields", "unclosed")
+
+
+def read_metrics_csv_raw(spark: SparkSession, path: str, header: bool = True, multi_line: bool = False) -> DataFrame:
+    """A1 reader: one row per CSV record with fields ``c0..c11``, ``n_fields`` and ``unclosed``.
 
-    Spark's CSV reader pads short rows with nulls without flagging them, so the record is read whole (header
-    skipping stays with the reader, files stay splittable) and parsed with ``from_csv``; the field count comes
-    from the line itself."""
-    lines = spark.read.schema("line STRING").options(header=str(header).lower(), **LINE_OPTIONS).csv(path)
-    return lines.select(F.from_csv("line", FIELDS_SCHEMA, PARSE_OPTIONS).alias("f"),
-                        field_count(F.col("line")).alias("n_fields")).select("f.*", "n_fields")
+    By line, the field count comes from the line itself. By record, Spark's reader gives the whole record in an
+    extra column where its field count isn't the schema's, and the count comes from there."""
+    read = spark.read.option("header", str(header).lower())
+    if not multi_line:
+        return parse_lines(read.schema("line STRING").options(**LINE_OPTIONS).csv(path))
+    rows = read.schema(f"{FIELDS_SCHEMA}, {_RECORD} STRING").options(
+        **PARSE_OPTIONS, multiLine="true", columnNameOfCorruptRecord=_RECORD).csv(path)
+    other = F.col(_RECORD)
+    return rows.select(*[f"c{i}" for i in range(N_FIELDS)],
+                       F.when(other.isNull(), N_FIELDS).otherwise(field_count(other)).alias("n_fields"),
+                       F.coalesce(unclosed_quote(other), F.lit(False)).alias("unclosed"))
 
 
 def _s(c: str) -> Column:
@@ -67,7 +90,8 @@ def map_record(raw: DataFrame, source_node: str | Column, event_time: str = "arr
     if mode == "failfast":
         # Strict: the job fails at the first short record, as a reader error ends the reference's pass.
         ragged = F.when(ragged, F.raise_error(F.lit("incomplete record"))).otherwise(F.lit(False))
-    reason = F.when(ragged, F.lit("incomplete record")).otherwise(value_reject_reason(_s("c10")))
+    reason = (F.when(F.col("unclosed"), F.lit("unclosed quote")).when(ragged, F.lit("incomplete record"))
+              .otherwise(value_reject_reason(_s("c10"))))
     return raw.select(
         ts.alias("timestamp_ns"),
         _s("c1").alias("metric_name"),
@@ -76,7 +100,7 @@ def map_record(raw: DataFrame, source_node: str | Column, event_time: str = "arr
         _s("c4").alias("uuid"),
         F.array(*[_s(f"c{i}") for i in range(5, 9)]).alias("model_name"),
         _s("c9").alias("namespace"),
-        parse_value(_s("c10")).alias("value"),
+        F.when(~F.col("unclosed"), parse_value(_s("c10"))).alias("value"),
         append_source_node(_s("c11"), source_node).alias("labels_raw"),
         reason.alias("reject_reason"),
     )
@@ -95,9 +119,9 @@ def split_valid_rejects(mapped: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_metrics_csv(spark: SparkSession, path: str, source_node: str, event_time: str = "arrival",
-                     header: bool = True, mode: str = "permissive") -> DataFrame:
+                     header: bool = True, mode: str = "permissive", multi_line: bool = False) -> DataFrame:
     """A1: read and map metric CSV files; rows carry ``reject_reason`` (use ``split_valid_rejects``)."""
-    return map_record(read_metrics_csv_raw(spark, path, header), source_node, event_time, mode)
+    return map_record(read_metrics_csv_raw(spark, path, header, multi_line), source_node, event_time, mode)
 
 
 def quote_csv_field(c: Column) -> Column:

@@ -42,9 +42,11 @@ def read_points(spark: SparkSession, path: str, start_ns: int | None = None, sto
                 measurement: str | None = None) -> DataFrame:
     """Scan the store for ``[start, stop)`` and one measurement.
 
-    The ns range is also stated on the ``date`` partition column (Catalyst cannot derive it from the ns predicate),
-    so folders outside the range are never listed for reading."""
-    df = spark.read.parquet(path)
+    With a measurement and both ends given, the ``date=`` folders of the range are named to the reader (a pattern
+    per day under ``basePath``; days without points are skipped), so folders outside it aren't even listed. In any
+    case the range is also stated on the ``date`` partition column, which prunes what is read (Catalyst can't derive
+    it from the ns predicate)."""
+    df = _days(spark, path, start_ns, stop_ns, measurement)
     if measurement is not None:
         df = df.where(F.col("measurement") == measurement)
     if start_ns is not None:
@@ -54,6 +56,20 @@ def read_points(spark: SparkSession, path: str, start_ns: int | None = None, sto
     return df
 
 
+def _days(spark: SparkSession, path: str, start_ns: int | None, stop_ns: int | None, measurement: str | None) -> DataFrame:
+    if measurement is None or start_ns is None or stop_ns is None or stop_ns <= start_ns:
+        return spark.read.parquet(path)
+    days = [_date(start_ns) + dt.timedelta(days=i) for i in range((_date(stop_ns - 1) - _date(start_ns)).days + 1)]
+    jvm = spark.sparkContext._jvm
+    folders = [f"{path}/measurement={measurement}/date={d}" for d in days]
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = [f for f in folders if fs.exists(jvm.org.apache.hadoop.fs.Path(f))]
+    if not there:
+        return spark.read.parquet(path)
+    return spark.read.option("basePath", path).parquet(*there)
+
+
 def entries_to_json(df: DataFrame, cols: list[str] | None = None) -> Column:
     """One JSON object per row; absent (null) keys are omitted."""
     return F.to_json(F.struct(*(cols or df.columns)), {"ignoreNullFields": "true"})

@@ -4,6 +4,11 @@ Sources are file streams (new files are new data); sinks are ``foreachBatch`` wr
 into its own ``batch_id=<n>`` folder in overwrite mode, so a replayed batch (after a lost executor or a restart)
 replaces its own output instead of adding to it. The checkpoint commit plays the role of the ack: a batch counts
 as delivered only once its files are written. Duplicates across batches are resolved at read time (D9).
+
+Files arrive in any order, so no exact result here depends on a watermark: counts are kept per micro-batch and
+summed at read (I4), duplicates are written and resolved at read (I3), deliveries and acks are stored as they come
+and matched at read (I1). The watermark forms beside them bound their state and drop what comes later than that;
+``late_rows_writer`` keeps such rows.
 """
 
 from __future__ import annotations
@@ -14,21 +19,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from devmetrics.functions.values import NS_PER_US, ns_to_timestamp
+from devmetrics.functions.values import NS_PER_US, ns_to_timestamp, truncate_ns
 from devmetrics.operators.points import build_points
-from devmetrics.sources.csv import FIELDS_SCHEMA, LINE_OPTIONS, PARSE_OPTIONS, field_count, map_record
-from devmetrics.sources.fixtures import telemetry_from_events
+from devmetrics.sources.csv import LINE_OPTIONS, map_record, parse_lines
 
 EVENT_TIME = "event_time"
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The driver's ``events`` table as a file stream (only that file of the folder is picked up)."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+def table_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A Parquet table as a file stream: a folder of files, or a single file."""
+    table = spark.read.parquet(path)
+    single = [f for f in table.inputFiles() if f.rstrip("/").endswith("/" + path.rstrip("/").rpartition("/")[2])]
+    r = spark.readStream.schema(table.schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    if single:  # a file source takes folders: the file's own, with all other names filtered out
+        folder, _, name = path.rstrip("/").rpartition("/")
+        return r.option("pathGlobFilter", name).parquet(folder)
+    return r.parquet(path)
 
 
 def read_metrics_csv_stream(spark: SparkSession, directory: str, source_node: str, event_time: str = "arrival",
@@ -36,9 +44,7 @@ def read_metrics_csv_stream(spark: SparkSession, directory: str, source_node: st
     """A2: metric CSV files as they arrive in ``directory`` (the endless replay becomes new-file ingest)."""
     lines = (spark.readStream.schema("line STRING").options(header=str(header).lower(), **LINE_OPTIONS)
              .option("maxFilesPerTrigger", max_files_per_trigger).csv(directory))
-    raw = lines.select(F.from_csv("line", FIELDS_SCHEMA, PARSE_OPTIONS).alias("f"),
-                       field_count(F.col("line")).alias("n_fields")).select("f.*", "n_fields")
-    return map_record(raw, source_node, event_time)
+    return map_record(parse_lines(lines), source_node, event_time)
 
 
 def with_event_time(df: DataFrame, ns_col: str = "timestamp_ns") -> DataFrame:
@@ -82,45 +88,90 @@ def start_batches(df: DataFrame, writer: Callable[[DataFrame, int], None], check
     return w.start()
 
 
-def ingest_stream(events: DataFrame, measurement: str = "gpu_metrics") -> DataFrame:
-    """Messages -> points, stateless (row by row), with stream statistics (I6) observed per batch."""
-    pts = build_points(telemetry_from_events(events), measurement)
+def ingest_stream(telemetry: DataFrame, measurement: str = "gpu_metrics") -> DataFrame:
+    """Canonical messages -> points, stateless (row by row), with stream statistics (I6) observed per batch."""
+    pts = build_points(telemetry, measurement)
     return pts.observe("ingest_stats", F.count(F.lit(1)).alias("points"),
                        F.count_if(F.col("gpu_id").isNull()).alias("points_without_gpu"))
 
 
+def dedup_at_read(spark: SparkSession, path: str, key: Sequence[str] = ("series_id", "timestamp_ns", "metric_name"),
+                  seq: str = "persist_key") -> DataFrame:
+    """I3, exact: the batch folders hold every copy; the last write per key (batch, then sequence) is kept, whatever
+    order the copies came in."""
+    rows = spark.read.parquet(path)
+    last = rows.groupBy(*key).agg(F.max_by(F.struct(*rows.columns), F.struct("batch_id", seq)).alias("_w"))
+    return last.select("_w.*")
+
+
 def dedup_stream(points: DataFrame, watermark: str = "10 minutes",
                  key: Sequence[str] = ("series_id", "timestamp_ns", "metric_name")) -> DataFrame:
-    """A redelivered point gives no second row while its copy is within the watermark (state is dropped after
-    that; exact last-write-wins stays with D9 at read time)."""
+    """I3 as an optimisation before the sink: a copy within the watermark gives no second row. Rows that come later
+    than the watermark are dropped by Spark (``numRowsDroppedByWatermark`` of the progress counts them), so use it
+    only where events arrive in order to within ``watermark``; ``dedup_at_read`` needs no such promise."""
     return with_event_time(points).withWatermark(EVENT_TIME, watermark).dropDuplicatesWithinWatermark(list(key))
 
 
+def window_count_writer(path: str, every_ns: int, by: Sequence[str] = ("gpu_id",)) -> Callable[[DataFrame, int], None]:
+    """I4, exact: each micro-batch's own counts per epoch-aligned window and group, into its batch folder. No state
+    and no watermark: rows of any age count. Sum them with ``summed_window_counts``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        start = truncate_ns(F.col("timestamp_ns"), every_ns)
+        counts = batch.groupBy(*by, start.alias("window_start_ns")).agg(F.count(F.lit(1)).alias("points"))
+        counts.select(*by, "window_start_ns", (F.col("window_start_ns") + every_ns).alias("window_end_ns"), "points",
+                      F.lit(batch_id).alias("batch")).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def summed_window_counts(spark: SparkSession, path: str, by: Sequence[str] = ("gpu_id",)) -> DataFrame:
+    """Read side of I4: one row per window and group over all batch folders."""
+    return spark.read.parquet(path).groupBy(*by, "window_start_ns", "window_end_ns").agg(F.sum("points").alias("points"))
+
+
 def window_count_stream(points: DataFrame, every: str = "1 hour", watermark: str = "1 hour",
                         by: Sequence[str] = ("gpu_id",)) -> DataFrame:
-    """I4: D6 on a stream: counts per epoch-aligned window and group. Run in ``update`` mode into batch folders
-    and keep the latest row per window at read time (``latest_window_counts``); empty windows are not produced
-    (fill them with D6 in batch)."""
+    """I4 with state, for live updates: counts per window in ``update`` mode. Rows later than the watermark are
+    dropped (counted in the progress); exact counts come from ``window_count_writer``."""
     t = with_event_time(points).withWatermark(EVENT_TIME, watermark)
     return t.groupBy(F.window(EVENT_TIME, every).alias("w"), *by).agg(F.count(F.lit(1)).alias("points")).select(
         *by, (F.unix_micros(F.col("w.start")) * NS_PER_US).alias("window_start_ns"),
         (F.unix_micros(F.col("w.end")) * NS_PER_US).alias("window_end_ns"), "points")
 
 
-def latest_window_counts(spark: SparkSession, path: str, by: Sequence[str] = ("gpu_id",)) -> DataFrame:
-    """Read side of I4: the last update of every (window, group) over all batch folders."""
-    rows = spark.read.parquet(path)
-    return rows.groupBy(*by, "window_start_ns", "window_end_ns").agg(
-        F.max_by("points", "batch_id").alias("points"))
+def late_rows_writer(path: str, ns_col: str, delay_ns: int) -> Callable[[DataFrame, int], None]:
+    """For use beside a watermark form (K12 fan-out): rows older than the newest event of earlier micro-batches less
+    ``delay_ns`` -- those its watermark drops -- go to a side folder, ``path/late/batch_id=n``, and each batch's newest
+    event to ``path/newest/batch_id=n``, from which a restart goes on."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.agg(F.max(ns_col).alias("newest")).write.mode("overwrite").parquet(f"{path}/newest/batch_id={batch_id}")
+        seen = spark.read.parquet(f"{path}/newest").where(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+        late = batch.where(F.col(ns_col) < (seen - delay_ns)) if seen is not None else batch.limit(0)
+        late.write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+
+    return write
+
+
+def ack_timeout_at_read(spark: SparkSession, dispatches_path: str, acks_path: str, timeout_ns: int) -> DataFrame:
+    """I1, exact: deliveries without an ack within ``timeout`` of the sending, over all batch folders of both sides.
+    Give the folders of the micro-batches up to now; whatever order files came in, the result is the same."""
+    d, a = spark.read.parquet(dispatches_path), spark.read.parquet(acks_path)
+    acked = (d.join(a.where(F.col("message_id") != "").select("message_id", "ack_ns"), "message_id")
+             .where((F.col("ack_ns") >= F.col("sent_ns")) & (F.col("ack_ns") <= F.col("sent_ns") + timeout_ns)).select("message_id"))
+    return d.join(acked, "message_id", "left_anti").select("message_id", "persist_key", "sent_ns", F.lit("timeout").alias("reason"))
 
 
 def ack_timeout_stream(dispatches: DataFrame, acks: DataFrame, timeout: str = "30 seconds",
                        watermark: str = "1 minute") -> DataFrame:
-    """Deliveries with no ack within ``timeout`` of sending -> requeue rows.
+    """I1 with state: deliveries with no ack within ``timeout`` of sending -> requeue rows as the watermark passes.
 
     Stream-stream left outer join on the id with ``sent <= ack <= sent + timeout``; watermarks on both sides bound
-    the state. A delivery's row appears once the watermark has passed its deadline (a late ack after that falls
-    outside the join range -- I2 -- and is reported by the batch audits C2/C4)."""
+    the state. Rows that arrive later than the watermark are dropped from either side, so their deliveries may be
+    missing or reported although acked: use it where files arrive in order to within ``watermark``, and
+    ``ack_timeout_at_read`` for exact results."""
     d = dispatches.withColumn("sent_time", ns_to_timestamp(F.col("sent_ns"))).withWatermark("sent_time", watermark)
     a = (acks.where(F.col("message_id") != "").select(F.col("message_id").alias("ack_id"), "ack_ns")
          .withColumn("ack_time", ns_to_timestamp(F.col("ack_ns"))).withWatermark("ack_time", watermark))
@@ -131,44 +182,6 @@ def ack_timeout_stream(dispatches: DataFrame, acks: DataFrame, timeout: str = "3
                                                    F.lit("timeout").alias("reason"))
 
 
-# Flush marker: an event far beyond any real data, fed after the data so the watermark passes every deadline.
-# It carries a metric and a delay so that it yields a row on every derived stream (a watermark over several
-# inputs is their minimum, so each input must move).
-FLUSH_EVENT_ID = -1
-FLUSH_TS = "2100-01-01 00:00:00"
-FLUSH_FIELDS = {"event_id": FLUSH_EVENT_ID, "ts": FLUSH_TS, "user_id": 0, "event_type": "flush", "value": 0.0,
-                "props": '{"k": 0}'}
-
-
-def events_with_flush(spark: SparkSession, sf_dir: str, flush_dir: str) -> DataFrame:
-    """``events`` as a stream, plus a second file stream where a flush marker can be dropped later."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(flush_dir)
-    flush = spark.readStream.schema(schema).parquet(flush_dir)
-    return events_stream(spark, sf_dir).unionByName(flush)
-
-
-def write_flush_marker(spark: SparkSession, sf_dir: str, flush_dir: str) -> None:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    marker = spark.range(1).select(
-        *[F.lit(FLUSH_FIELDS.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
-    marker.write.mode("append").parquet(flush_dir)
-
-
-def run_to_end_with_flush(spark: SparkSession, sf_dir: str, flush_dir: str, df: DataFrame,
-                          writer: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Process all data (availableNow), then restart on the same checkpoint with the flush marker, so outputs
-    that wait for the watermark (outer joins, appended windows) are emitted. Marker rows must be filtered by the
-    caller (``persist_key = FLUSH_EVENT_ID``)."""
-    for step in range(2):
-        if step == 1:
-            write_flush_marker(spark, sf_dir, flush_dir)
-        q = start_batches(df, writer, checkpoint)
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"stream failed: {q.exception()}")
-
-
 def counting_writer(path: str, aggs: Sequence[F.Column]) -> Callable[[DataFrame, int], None]:
     """I6 (exact form): per micro-batch counters written as one row to ``path/batch_id=n`` (overwrite, so a replay
     does not count twice). Sum the folder for totals; ``observe`` metrics in ``recentProgress`` are for live
@@ -194,14 +207,14 @@ def write_points_stream(points: DataFrame, path: str, checkpoint: str, available
 
 def ingest_csv_stream(spark: SparkSession, directory: str, path: str, checkpoint: str, source_node: str,
                       event_time: str = "arrival", measurement: str = "gpu_metrics", rejects_path: str | None = None,
-                      available_now: bool = False) -> StreamingQuery:
+                      available_now: bool = False, header: bool = True, max_files_per_trigger: int = 100) -> StreamingQuery:
     """CSV files as they arrive (A2) -> validation with rejects (B1-B6) -> points (B12) -> store.
     Rejected rows go to ``rejects_path`` (if given) from the same micro-batch (K12 fan-out), never to the store.
     ``persist_key`` is unique within a micro-batch only; read the store with ``upsert_points(...,
     seq_col=["batch_id", "persist_key"])`` (``batch_id`` comes from the folder names)."""
     from devmetrics.functions.values import ns_to_utc_date
 
-    rows = read_metrics_csv_stream(spark, directory, source_node, event_time)
+    rows = read_metrics_csv_stream(spark, directory, source_node, event_time, header, max_files_per_trigger)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from devmetrics.functions.values import NS_PER_DAY, NS_PER_HOUR
 from devmetrics.operators import enrich
 from devmetrics.operators.points import build_points
-from devmetrics.sources import fixtures as fx
+from devmetrics.plans import fixtures as fx
 from tests.conftest import SF_CHECK
 
 

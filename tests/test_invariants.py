@@ -66,7 +66,7 @@ def test_fixture_figures(q):
 def test_asof_owner_figure_on_raw_gpu_id(spark):
     from devmetrics.functions.values import NS_PER_DAY
     from devmetrics.operators.enrich import attach_owner
-    from devmetrics.sources import fixtures as fx
+    from devmetrics.plans import fixtures as fx
 
     tel = fx.telemetry(spark, SF_CHECK).select("persist_key", "gpu_id", "timestamp_ns")
     owned = attach_owner(tel, fx.assignments(spark, SF_CHECK), bucket_ns=NS_PER_DAY)
@@ -78,7 +78,7 @@ def test_upsert_key_figures_on_raw_gpu_id(spark):
 
     from devmetrics.functions.values import NS_PER_HOUR, truncate_ns
     from devmetrics.operators.points import upsert_points
-    from devmetrics.sources import fixtures as fx
+    from devmetrics.plans import fixtures as fx
 
     tel = fx.telemetry(spark, SF_CHECK)
     pts = tel.select("persist_key", F.lit("gpu_metrics").alias("measurement"),

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from devmetrics.plans.catalog import QUERIES
-from devmetrics.plans.check import compare
+from tests.oracle_check import compare
 from tests.conftest import SF_SMALL
 
 

@@ -78,7 +78,7 @@ def test_expired_pending_scan_interval(spark):
 
 def test_write_points_stream_matches_batch(spark, tmp_dir):
     from devmetrics.operators.points import build_points
-    from devmetrics.sources import fixtures as fx
+    from devmetrics.plans import fixtures as fx
     from devmetrics.sources.points_store import read_points
     from tests.conftest import SF_SMALL
 
