@@ -84,7 +84,7 @@ def main() -> None:
     for _ in range(2):
         t0 = time.perf_counter()
         pts = read_points(spark, store, P.START_NS, P.END_NS, measurement="gpu_metrics")
-        reads.telemetry_by_gpu(pts, P.FLAGSHIP_GPU, P.RESPONSE_TAG_KEYS, P.FLAGSHIP_START, P.FLAGSHIP_END) \
+        reads.telemetry_by_gpu(pts, P.FLAGSHIP_GPU, P.FLAGSHIP_START, P.FLAGSHIP_END) \
             .write.format("noop").mode("overwrite").save()
         best = min(best, time.perf_counter() - t0)
     timings["telemetry_by_gpu_from_store"] = round(best, 3)

@@ -135,10 +135,10 @@ def gpu_down(points: DataFrame, now_ns: int, threshold_ns: int) -> DataFrame:
     )
 
 
-def gpu_silences(points: DataFrame, threshold_ns: int, bucket_ns: int, materialize_input: bool = False) -> DataFrame:
+def gpu_silences(points: DataFrame, threshold_ns: int, bucket_ns: int, materialize_input: bool = False, split_rows: int | None = None) -> DataFrame:
     """K6 (history): closed silences, i.e. consecutive points of one GPU further apart than the threshold."""
     p = points.where(F.col("gpu_id").isNotNull()).select("gpu_id", "timestamp_ns", "persist_key")
-    withprev = previous_row(p, ["gpu_id"], "timestamp_ns", "persist_key", [], bucket_ns, materialize=materialize_input)
+    withprev = previous_row(p, ["gpu_id"], "timestamp_ns", "persist_key", [], bucket_ns, materialize=materialize_input, split_rows=split_rows)
     gaps = withprev.where(F.col("timestamp_ns") - F.col("prev_timestamp_ns") > threshold_ns)
     return gaps.select(
         "gpu_id", F.col("prev_timestamp_ns").alias("silent_from_ns"), F.col("timestamp_ns").alias("silent_to_ns"),

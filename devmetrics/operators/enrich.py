@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from devmetrics.functions.values import NS_PER_SECOND
 from devmetrics.operators.sequence import asof_join, previous_row, rolling_agg
 
-def attach_owner(points: DataFrame, assignments: DataFrame, bucket_ns: int, key: str = "gpu_id") -> DataFrame:
+def attach_owner(points: DataFrame, assignments: DataFrame, bucket_ns: int, key: str = "gpu_id", split_rows: int | None = None) -> DataFrame:
     """K1: who owned the GPU at each point's time: the latest assignment at or before it (as-of join), or null."""
     a = assignments.select(F.col("gpu_id").alias(key), "from_ns", "owner")
-    return asof_join(points, a, [key], "timestamp_ns", "from_ns", ["owner"], bucket_ns)
+    return asof_join(points, a, [key], "timestamp_ns", "from_ns", ["owner"], bucket_ns, split_rows=split_rows)
 
 
 def rolling_mean(points: DataFrame, width_ns: int, bucket_ns: int, keys: tuple[str, ...] = ("gpu_id", "metric_name")) -> DataFrame:
@@ -38,10 +38,10 @@ def map_sla_tier(points: DataFrame, model_tiers: DataFrame, default_tier: str =
 
 
 def derivative(points: DataFrame, bucket_ns: int, keys: tuple[str, ...] = ("gpu_id", "metric_name"),
-               tiebreak: str = "persist_key") -> DataFrame:
+               tiebreak: str = "persist_key", split_rows: int | None = None) -> DataFrame:
     """K5: change per second against the previous point of the same GPU and metric; null for the first point and
     when both points share a time."""
-    p = previous_row(points, list(keys), "timestamp_ns", tiebreak, ["value"], bucket_ns)
+    p = previous_row(points, list(keys), "timestamp_ns", tiebreak, ["value"], bucket_ns, split_rows=split_rows)
     dt = F.col("timestamp_ns") - F.col("prev_timestamp_ns")
     rate = F.when(dt != 0, (F.col("value") - F.col("prev_value")) / (dt / F.lit(float(NS_PER_SECOND))))
     return p.withColumn("per_second", rate)

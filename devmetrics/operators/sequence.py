@@ -35,17 +35,43 @@ def _key_struct(keys: Sequence[str], bucket: str | None = None) -> Column:
     return F.struct(*fields)
 
 
+#: Parts that a (key, bucket) with too many rows is cut into.
+HOT_PARTS = 64
+
+
+def hot_bounds(df: DataFrame, keys: Sequence[str], time_col: str, bucket_ns: int, split_rows: int) -> DataFrame:
+    """For every (key, bucket) with more than ``split_rows`` rows: inner boundaries at quantiles of its times, so that
+    the parts hold about equally many rows wherever in the bucket they lie. Counts and sketches are combined before
+    the shuffle; the result has one row per hot (key, bucket)."""
+    rows = df.select(_key_struct(keys).alias("_k"), truncate_ns(F.col(time_col), bucket_ns).alias("_base"), F.col(time_col).alias("_t"))
+    hot = rows.groupBy("_k", "_base").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows).drop("_n")
+    at = [i / HOT_PARTS for i in range(1, HOT_PARTS)]
+    return rows.join(hot, ["_k", "_base"]).groupBy("_k", "_base").agg(F.percentile_approx("_t", at, 2000).alias("_bounds"))
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], time_col: str, bucket_ns: int, bounds: DataFrame | None) -> DataFrame:
+    """``_bucket``: (bucket, part), monotone in time within a key; the part is 0 where the bucket isn't hot."""
+    base = truncate_ns(F.col(time_col), bucket_ns)
+    if bounds is None:
+        return df.withColumn("_bucket", F.struct(base.alias("base"), F.lit(0).alias("part")))
+    j = df.withColumn("_k", _key_struct(keys)).withColumn("_base", base).join(bounds, ["_k", "_base"], "left")
+    part = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col(time_col))), F.lit(0))
+    # (the size of a null array is null under ANSI rules and -1 otherwise)
+    return j.withColumn("_bucket", F.struct(F.col("_base").alias("base"), F.greatest(part, F.lit(0)).alias("part"))).drop("_k", "_base", "_bounds")
+
+
 def previous_row(df: DataFrame, keys: Sequence[str], time_col: str, tiebreak: str, carry: Sequence[str],
-                 bucket_ns: int, prefix: str = "prev_", materialize: bool = False) -> DataFrame:
+                 bucket_ns: int, prefix: str = "prev_", materialize: bool = False, split_rows: int | None = None) -> DataFrame:
     """Add ``prev_<c>`` (for ``c`` in ``carry`` plus ``time_col``) from the previous row of the same key in
     (time, tiebreak) order; null for a key's first row.
 
     The input feeds the window and the per-bucket summaries. Over a table scan that is two column-pruned reads;
-    when ``df`` is an expensive derivation pass ``materialize=True`` to compute it once."""
+    when ``df`` is an expensive derivation pass ``materialize=True`` to compute it once. With ``split_rows`` a (key,
+    bucket) of more rows is cut into parts of about equal size (``hot_bounds``), at the price of counting first."""
     carried = [time_col, *[c for c in carry if c != time_col]]
-    b = df.withColumn("_bucket", truncate_ns(F.col(time_col), bucket_ns))
     if materialize:
-        b = _materialize(b, "previous-row")
+        df = _materialize(df, "previous-row")
+    b = with_bucket(df, keys, time_col, bucket_ns, hot_bounds(df, keys, time_col, bucket_ns, split_rows) if split_rows else None)
     b = b.withColumn("_kb", _key_struct(keys, "_bucket"))
     order = [F.col(time_col), F.col(tiebreak)]
     w = Window.partitionBy("_kb").orderBy(*order)
@@ -95,27 +121,28 @@ def rolling_agg(df: DataFrame, keys: Sequence[str], time_col: str, width_ns: int
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str,
-              payload: Sequence[str], bucket_ns: int, materialize: bool = False) -> DataFrame:
+              payload: Sequence[str], bucket_ns: int, materialize: bool = False, split_rows: int | None = None) -> DataFrame:
     """Left join each left row to the latest right row of the same key with ``right_time <= left_time``.
 
     Within a (key, bucket) partition a running ``last(ignorenulls)`` over the union of both sides finds matches in
-    the same bucket; the latest right row of any earlier bucket comes from per-bucket summaries.
+    the same bucket; the latest right row of any earlier bucket comes from per-bucket summaries. ``split_rows``: see
+    ``previous_row``; the boundaries are those of the left side, for both sides.
     """
     if materialize:
         left = _materialize(left, "asof-left")
     lcols = left.columns
+    bounds = hot_bounds(left, keys, left_time, bucket_ns, split_rows) if split_rows else None
     pay = F.struct(F.col(right_time).alias("_rt"), *[F.col(p) for p in payload])
     pay_type = right.select(pay.alias("p")).schema["p"].dataType
     lb = left.select(*lcols, F.lit(None).cast(pay_type).alias("_pay"), F.col(left_time).alias("_t"),
                      F.lit(1).alias("_side"))
     rb_cols = [F.lit(None).cast(left.schema[c].dataType).alias(c) if c not in keys else F.col(c) for c in lcols]
     rb = right.select(*rb_cols, pay.alias("_pay"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"))
-    u = lb.unionByName(rb).withColumn("_bucket", truncate_ns(F.col("_t"), bucket_ns)).withColumn(
-        "_kb", _key_struct(keys, "_bucket"))
+    u = with_bucket(lb.unionByName(rb), keys, "_t", bucket_ns, bounds).withColumn("_kb", _key_struct(keys, "_bucket"))
     w = Window.partitionBy("_kb").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     within = u.withColumn("_match", F.last("_pay", ignorenulls=True).over(w)).where(F.col("_side") == 1)
 
-    r_last = (right.withColumn("_bucket", truncate_ns(F.col(right_time), bucket_ns))
+    r_last = (with_bucket(right, keys, right_time, bucket_ns, bounds)
               .groupBy(_key_struct(keys, "_bucket").alias("_kb"))
               .agg(F.max_by(pay, F.col(right_time)).alias("_last"), F.lit(1).alias("_side")))
     # Buckets holding left rows, from the window's output (grouped by its partitioning column: no new shuffle).

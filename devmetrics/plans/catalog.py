@@ -460,7 +460,7 @@ def _flat_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attach_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: owner of the GPU at each point's time (as-of join on assignments)."""
     p = _flat_points(spark, sf_dir).select("persist_key", "gpu_id", "timestamp_ns")
-    return enrich.attach_owner(p, fx.assignments(spark, sf_dir), bucket_ns=NS_PER_DAY)
+    return enrich.attach_owner(p, fx.assignments(spark, sf_dir), bucket_ns=NS_PER_DAY, split_rows=P.SPLIT_ROWS)
 
 
 @query
@@ -492,7 +492,7 @@ def sla_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def derivative(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: change per second against the previous point of the same GPU and metric."""
     p = _flat_points(spark, sf_dir).select("persist_key", "gpu_id", "metric_name", "timestamp_ns", "value")
-    d = enrich.derivative(p, bucket_ns=NS_PER_DAY)
+    d = enrich.derivative(p, bucket_ns=NS_PER_DAY, split_rows=P.SPLIT_ROWS)
     return d.select("persist_key", "gpu_id", "metric_name", "timestamp_ns", "prev_timestamp_ns",
                     F.round("per_second", 6).alias("per_second"))
 
@@ -506,7 +506,7 @@ def gpu_down(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gpu_silences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: closed silences longer than two days per GPU."""
-    return agg.gpu_silences(points(spark, sf_dir), 2 * NS_PER_DAY, bucket_ns=NS_PER_DAY)
+    return agg.gpu_silences(points(spark, sf_dir), 2 * NS_PER_DAY, bucket_ns=NS_PER_DAY, split_rows=P.SPLIT_ROWS)
 
 
 @query

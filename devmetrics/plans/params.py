@@ -21,3 +21,5 @@ AROUND_NS = 1_705_276_800 * NS_PER_SECOND  # 2024-01-15T00:00:00Z
 SCAN = (ACK_TIMEOUT_NS, SCAN_INTERVAL_NS)
 # 2024-01-15T00:00:20Z: an instant with deliveries pending, for the counters.
 COUNTERS_NS = AROUND_NS + 20 * NS_PER_SECOND
+# A (GPU, day) of more rows than this is cut into parts before its rows meet in a window.
+SPLIT_ROWS = 2_000_000

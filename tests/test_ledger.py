@@ -22,7 +22,51 @@ def test_ack_known_unknown_empty(spark):
     assert [(r.message_id, r.ack_ns, r.on_time) for r in m] == [("m1", 1 * S, True)]  # second ack has no effect
     assert [r.message_id for r in ledger.unknown_acks(d, a).collect()] == ["ghost"]
     assert ledger.invalid_acks(a).count() == 1
-    assert ledger.unacked(e, d, a).count() == 0
+    assert ledger.unacked(e, d, a, 30 * S, 10 * S).count() == 0
+
+
+def _mixed(spark):
+    """Sent at 0, 30 s timeout, scans every 10 s: the requeue tick is 40 s."""
+    enq = [(k, 0, "enqueued") for k in range(1, 7)] + [(9, 0, "rejected")]
+    disp = [(f"m{k}", k, 0) for k in range(1, 6)] + [("n3", 3, 50 * S)]
+    acks = [("m1", 5 * S), ("m1", 60 * S), ("m1", 5 * S),  # in time, then twice more
+            ("m2", 40 * S), ("m2", 70 * S),  # at the tick: too late
+            ("m3", 45 * S), ("n3", 55 * S),  # first delivery late, second in time
+            ("m4", 39 * S), ("ghost", 1 * S), ("", 1 * S), (None, 2 * S)]
+    return _ledger(spark, enq, disp, acks)
+
+
+def test_only_acks_in_time_delete_the_durable_copy(spark):
+    e, d, a = _mixed(spark)
+    done = ledger.effective_acks(d, a, 30 * S, 10 * S).collect()
+    assert sorted((r.message_id, r.ack_ns) for r in done) == [("m1", 5 * S), ("m4", 39 * S), ("n3", 55 * S)]
+    assert sorted(r.persist_key for r in ledger.unacked(e, d, a, 30 * S, 10 * S).collect()) == [2, 5, 6]
+    classes = {r.ack_class: r.acks for r in ledger.ack_classes(d, a, 30 * S, 10 * S).collect()}
+    assert classes == {"effective": 3, "repeated": 2, "late": 3, "unknown": 1, "invalid": 2}
+    assert sum(classes.values()) == a.count()
+    late = sorted((r.message_id, r.ack_ns) for r in ledger.late_acks(d, a, 30 * S, 10 * S).collect())
+    assert late == [("m2", 40 * S), ("m2", 70 * S), ("m3", 45 * S)]
+    assert [r.persist_key for r in ledger.dead_letters(d, a, 1, 30 * S, 10 * S).orderBy("persist_key").collect()] == [2, 5]
+
+
+def test_counters_and_ready_list_at_an_instant(spark):
+    e, d, a = _mixed(spark)
+    c = {r.counter: r.value for r in ledger.queue_counters(e, d, a, 45 * S, 30 * S, 10 * S).collect()}
+    # by 45 s: five deliveries, m1 and m4 acked, three requeued at 40 s, none pending; key 6 was never sent
+    assert c == {"enqueued": 6, "rejected": 1, "invalid": 0, "closed": 0, "persist_failed": 0, "dispatched": 5, "acked": 2,
+                 "requeued": 3, "pending": 0, "unknown_acks": 1, "invalid_acks": 2, "recovered": 4, "queue": 4}
+    ready = {r.persist_key: (r.source, r.ready_ns) for r in ledger.ready_after_requeue(e, d, a, 45 * S, 30 * S, 10 * S).collect()}
+    assert ready == {2: ("requeue", 40 * S), 3: ("requeue", 40 * S), 5: ("requeue", 40 * S), 6: ("backlog", 0)}
+    # at 52 s the second delivery of key 3 is pending; at 20 s all five are
+    assert {r.persist_key for r in ledger.ready_after_requeue(e, d, a, 52 * S, 30 * S, 10 * S).collect()} == {2, 5, 6}
+    early = {r.counter: r.value for r in ledger.queue_counters(e, d, a, 20 * S, 30 * S, 10 * S).collect()}
+    assert (early["pending"], early["requeued"], early["queue"]) == (4, 0, 1)
+
+
+def test_depth_with_requeues(spark):
+    e, d, a = _mixed(spark)
+    got = depth.queue_depth(depth.depth_events(e, d, ledger.requeues(d, a, 30 * S, 10 * S))).orderBy("event_ns", "delta", "persist_key").collect()
+    assert [r.depth for r in got if r.kind == "requeue"] == [2, 3, 4] and got[-1].depth == 3
 
 
 def test_timeout_is_strict(spark):
@@ -39,8 +83,8 @@ def test_recovery_counts(spark):
     enq = [(k, k * S, "enqueued") for k in range(1, 4)]
     disp = [(f"m{k}", k, k * S) for k in range(1, 4)]
     e, d, a = _ledger(spark, enq, disp, [("m2", 5 * S)])
-    assert sorted(r.persist_key for r in ledger.unacked(e, d, a).collect()) == [1, 3]
-    order = depth.fifo_order(ledger.unacked(e, d, a).select("persist_key"), bucket_keys=2).orderBy("persist_key")
+    assert sorted(r.persist_key for r in ledger.unacked(e, d, a, 30 * S, 10 * S).collect()) == [1, 3]
+    order = depth.fifo_order(ledger.unacked(e, d, a, 30 * S, 10 * S).select("persist_key"), bucket_keys=2).orderBy("persist_key")
     assert [(r.persist_key, r.position) for r in order.collect()] == [(1, 1), (3, 2)]
 
 
@@ -50,7 +94,7 @@ def test_requeue_keeps_key_new_id(spark):
     assert r[0].requeued and r[0].requeue_tick_ns == 40 * S  # first tick with tick - sent > 30 s
     assert not r[1].requeued
     assert ledger.deliveries(d).first().deliveries == 2
-    assert ledger.unacked(e, d, a).count() == 0
+    assert ledger.unacked(e, d, a, 30 * S, 10 * S).count() == 0
 
 
 def test_lost_acks_audit(spark):
@@ -59,7 +103,7 @@ def test_lost_acks_audit(spark):
     disp = [(f"a{k}", k, k) for k in range(n)] + [(f"b{k}", k, k + 40 * S) for k in range(0, n, 10)]
     acks = [(f"a{k}", k + S) for k in range(n) if k % 10] + [(f"b{k}", k + 41 * S) for k in range(0, n, 10)]
     e, d, a = _ledger(spark, enq, disp, acks)
-    audit = {r.check: r.value for r in ledger.at_least_once_audit(e, d, a).collect()}
+    audit = {r.check: r.value for r in ledger.at_least_once_audit(e, d, a, 30 * S, 10 * S).collect()}
     assert audit["accepted"] == n and audit["unique_acked"] == n and audit["missing"] == 0
     assert audit["dispatches"] > n
 
@@ -113,7 +157,7 @@ def test_sink_rollup(spark):
     log = spark.createDataFrame([("a", True, True), ("b", True, False), ("c", False, False)],
                                 "message_id string, write_ok boolean, ack_ok boolean")
     r = ledger.sink_rollup(log).first()
-    assert (r.processed, r.write_failed, r.ack_failed) == (3, 1, 1)
+    assert (r.processed, r.write_failed, r.ack_failed) == (2, 1, 1)
 
 
 def test_exact_percentiles_hot_group(spark):

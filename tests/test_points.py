@@ -1,4 +1,4 @@
-"""Point building, upsert, pivot and response shapes against the reference's collector and queue cases."""
+"""Point building, upsert, pivot and response shapes on small hand-made messages."""
 
 from pyspark.sql import functions as F
 
@@ -10,7 +10,7 @@ TEL = ("persist_key long, timestamp_ns long, metric_name string, gpu_id string,
        "model_name array<string>, namespace string, value double, labels_raw string")
 
 
-def test_reference_point(spark):
+def test_point_of_a_message(spark):
     tel = spark.createDataFrame([(1, 1700000000000000000, "gpu_temp", "0", "nvidia0", "uuid-123", ["A100", "PCIe"],
                                   "ai-prod", 75.5, "rack=R1,zone=z2")], TEL)
     p = build_points(tel).first()
@@ -54,10 +54,11 @@ def test_pivot_roundtrip_and_entries(spark):
     assert long_rows.count() == 4
     back = {r.persist_key: (r.metric_name, r.value) for r in pivot_fields(long_rows).collect()}
     assert back == {1: ("temp", 1.5), 2: ("util", None)}
-    e = to_entries(p, ["gpu_id", "k"]).orderBy("timestamp_ns").collect()
-    assert e[0].asDict() == {"timestamp_ns": 10, "measurement": "gpu_metrics", "gpu_id": "0", "k": "v",
-                             "metric_name": "temp", "value": 1.5}
-    assert e[1].k is None
+    e = to_entries(p).orderBy("timestamp_ns").collect()
+    assert e[0].asDict() == {"timestamp_ns": 10, "measurement": "gpu_metrics", "gpu_id": "0", "metric_name": "temp", "value": 1.5,
+                             "entry": '{"timestamp_ns":10,"measurement":"gpu_metrics","metric_name":"temp","value":1.5,'
+                                      '"device":"d","gpu_id":"0","k":"v","uuid":"u"}'}
+    assert '"k"' not in e[1].entry and '"value"' not in e[1].entry
     legacy = legacy_projection(p).orderBy("timestamp_ns").collect()
     assert legacy[1].value == 0.0 and legacy[1].device == "d"  # missing value -> zero value
 
@@ -66,21 +67,27 @@ def test_recovery_of_all_unacked(spark):
     e = spark.createDataFrame([(k, k, "enqueued") for k in range(500)], "persist_key long, enqueued_ns long, outcome string")
     d = spark.createDataFrame([], "message_id string, persist_key long, sent_ns long")
     a = spark.createDataFrame([], "message_id string, ack_ns long")
-    backlog = ledger.unacked(e, d, a)
+    backlog = ledger.unacked(e, d, a, 30 * 10**9, 10 * 10**9)
     assert backlog.count() == 500
     pos = depth.fifo_order(backlog.select("persist_key"), bucket_keys=64)
     assert sorted((r.persist_key, r.position) for r in pos.collect()) == [(k, k + 1) for k in range(500)]
 
 
-def test_widen_tags_discovers_keys(spark):
-    import pytest
+def test_entries_carry_tags_that_nobody_listed(spark):
+    import json
 
+    rows = [(1, 10, "temp", "0", "", "", [], "", 1.5, 'shelf=S9,"q"=x,measurement=own,zone=é'), (2, 11, "temp", "0", "", "", [], "", 2.0, "")]
+    got = [json.loads(r.entry) for r in to_entries(build_points(spark.createDataFrame(rows, TEL))).orderBy("timestamp_ns").collect()]
+    assert got[0] == {"timestamp_ns": 10, "measurement": "gpu_metrics", "metric_name": "temp", "value": 1.5, "gpu_id": "0",
+                      "shelf": "S9", '"q"': "x", "zone": "é"}  # a label named like a fixed column gives way
+    assert got[1] == {"timestamp_ns": 11, "measurement": "gpu_metrics", "metric_name": "temp", "value": 2.0, "gpu_id": "0"}
+
+
+def test_widen_tags(spark):
     from devmetrics.operators.points import widen_tags
 
     rows = [(1, 10, "temp", "0", "d", "u", [], "", 1.5, "k=v"), (2, 20, "util", "1", "d", "u", [], "", 2.0, "z=1")]
     p = build_points(spark.createDataFrame(rows, TEL)).select("persist_key", "tags")
-    w = widen_tags(p)
-    assert w.columns == ["persist_key", "tags", "device", "gpu_id", "k", "uuid", "z"]
+    w = widen_tags(p, ("k", "z"))
+    assert w.columns == ["persist_key", "tags", "k", "z"]
     assert {r.persist_key: (r.k, r.z) for r in w.collect()} == {1: ("v", None), 2: (None, "1")}
-    with pytest.raises(ValueError):
-        widen_tags(p, max_keys=3)

@@ -31,6 +31,40 @@ def test_previous_row(spark, rows):
             assert got[r[0]] == ((None, None) if i == 0 else (seq[i - 1][2], seq[i - 1][3]))
 
 
+@pytest.mark.parametrize("split_rows", [5, 50])
+def test_hot_buckets_are_cut(spark, split_rows):
+    """Nearly all rows of one key within one minute of one day: the same results, and the largest window group is a
+    small share of the rows."""
+    from devmetrics.operators.sequence import _key_struct, hot_bounds, with_bucket
+
+    rnd = random.Random(9)
+    day = 24 * 3600 * S
+    data = [(i, "hot" if i % 3 else "cold", (rnd.randrange(60) if i % 10 else rnd.randrange(5 * 86400)) * S + rnd.randrange(S), float(i)) for i in range(3000)]
+    df = spark.createDataFrame(data, "id long, k string, t long, v double")
+    got = {r.id: (r.prev_t, r.prev_v) for r in previous_row(df, ["k"], "t", "id", ["v"], day, split_rows=split_rows).collect()}
+    want, last = {}, {}
+    for i, k, t, v in sorted(data, key=lambda r: (r[2], r[0])):
+        want[i] = last.get(k, (None, None))
+        last[k] = (t, v)
+    assert got == want
+    right = [(k, rnd.randrange(60) * S, f"o{i}") for i, k in enumerate(["hot"] * 30 + ["cold"] * 5)]
+    r = spark.createDataFrame(right, "k string, from_t long, owner string")
+    owners = {x.id: x.from_t for x in asof_join(df, r, ["k"], "t", "from_t", ["owner"], day, split_rows=split_rows).collect()}
+    assert owners == {i: max((f for c, f, _ in right if c == k and f <= t), default=None) for i, k, t, _ in data}
+    cut = with_bucket(df, ["k"], "t", day, hot_bounds(df, ["k"], "t", day, split_rows))
+    largest = cut.groupBy(_key_struct(["k"], "_bucket")).count().agg({"count": "max"}).first()[0]
+    assert largest <= 0.1 * len(data)
+
+
+def test_running_sum_of_ties(spark):
+    """Rows that tie on every order column: totals carried to later buckets are those of all rows."""
+    from devmetrics.operators.sequence import running_sum
+
+    df = spark.createDataFrame([(t // 4, 1) for t in range(200)], "t long, v long")
+    out = running_sum(df, ["t"], "v", F.call_function("div", F.col("t"), F.lit(5)), "run").groupBy("t").agg(F.max("run").alias("m")).collect()
+    assert {r.t: r.m for r in out} == {t: 4 * (t + 1) for t in range(50)}
+
+
 def test_rolling_agg(spark, rows):
     width = 2 * 3600 * S
     df = spark.createDataFrame(rows, "id long, k string, t long, v double")

@@ -32,6 +32,46 @@ def test_csv_stream_matches_batch(spark, tmp_dir):
     assert rejects.count() == 6
 
 
+def _out_of_order(spark, tmp_dir, n=4):
+    """sf0.001 events as a folder of files in no order of time."""
+    from tests.conftest import SF_SMALL
+
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(n, F.xxhash64("event_id")).write.parquet(f"{tmp_dir}/events.parquet")
+    return f"{tmp_dir}/events.parquet"
+
+
+def test_table_stream_reads_files_and_folders(spark, tmp_dir):
+    from tests.conftest import SF_SMALL
+
+    path = _out_of_order(spark, tmp_dir)
+    for source, batches in ((path, 4), (f"{SF_SMALL}/events.parquet", 1)):
+        out = f"{tmp_dir}/out{batches}"
+        q = streams.start_batches(streams.table_stream(spark, source, 1), streams.batch_dir_writer(out), f"{out}-ckpt")
+        q.awaitTermination()
+        got = spark.read.parquet(out)
+        assert got.count() == spark.read.parquet(source).count() and got.select("batch_id").distinct().count() == batches
+
+
+def test_replayed_counts_are_not_added(spark, tmp_dir):
+    S = 10**9
+    batch = spark.createDataFrame([("a", 5 * S), ("a", 6 * S), ("b", 15 * S)], "gpu_id string, timestamp_ns long")
+    write = streams.window_count_writer(f"{tmp_dir}/counts", 10 * S)
+    for n in (0, 1, 1):
+        write(batch, n)
+    got = streams.summed_window_counts(spark, f"{tmp_dir}/counts").collect()
+    assert sorted((r.gpu_id, r.window_start_ns, r.window_end_ns, r.points) for r in got) == [("a", 0, 10 * S, 4), ("b", 10 * S, 20 * S, 2)]
+
+
+def test_late_rows_go_to_the_side(spark, tmp_dir):
+    S = 10**9
+    rows = lambda *t: spark.createDataFrame([(x * S,) for x in t], "timestamp_ns long")
+    write = streams.late_rows_writer(f"{tmp_dir}/side", "timestamp_ns", 60 * S)
+    for n, df in enumerate((rows(100, 500), rows(450, 430, 900), rows(839, 841))):
+        write(df, n)
+    got = spark.read.parquet(f"{tmp_dir}/side/late").collect()
+    assert sorted((r.batch_id, r.timestamp_ns // S) for r in got) == [(1, 430), (2, 839)]
+
+
 def test_fan_out_and_replay_idempotent(spark, tmp_dir):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     writer = streams.fan_out_writer([streams.batch_dir_writer(f"{tmp_dir}/a"), streams.batch_dir_writer(f"{tmp_dir}/b")])
@@ -82,7 +122,7 @@ def test_write_points_stream_matches_batch(spark, tmp_dir):
     from devmetrics.sources.points_store import read_points
     from tests.conftest import SF_SMALL
 
-    stream_pts = build_points(fx.telemetry_from_events(streams.events_stream(spark, SF_SMALL)))
+    stream_pts = build_points(fx.telemetry_from_events(streams.table_stream(spark, f"{SF_SMALL}/events.parquet")))
     q = streams.write_points_stream(stream_pts.drop("tags"), f"{tmp_dir}/store", f"{tmp_dir}/ckpt", available_now=True)
     q.awaitTermination()
     got = read_points(spark, f"{tmp_dir}/store", measurement="gpu_metrics")
