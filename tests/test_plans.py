@@ -4,13 +4,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_mod
+from devmetrics.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
 # Queries that run a stream or write files while being built; their final plan is a plain file scan.
 EAGER = {"stream_ingest", "stream_dedup", "stream_window_count", "stream_ack_timeout", "csv_ingest",
-         "backlog_roundtrip", "points_store_read", "stream_csv_ingest", "stream_stats"}
-BATCH = sorted(set(entry_mod.queries()) - EAGER)
+         "backlog_roundtrip", "points_store_read", "stream_csv_ingest", "stream_csv_to_store", "stream_stats"}
+BATCH = sorted(set(QUERIES) - EAGER)
 
 
 def _plan(df) -> str:
@@ -19,7 +19,7 @@ def _plan(df) -> str:
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_cartesian_no_python(spark, name):
-    plan = _plan(entry_mod.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in plan, f"{name}: {bad}"
@@ -33,7 +33,7 @@ def _window_specs(plan: str) -> list[str]:
 @pytest.mark.parametrize("name", ["rolling_mean", "derivative", "gpu_silences", "attach_owner", "queue_depth",
                                   "fifo_order", "high_water"])
 def test_ordered_operators_split_hot_keys(spark, name):
-    plan = _plan(entry_mod.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     specs = _window_specs(plan)
     assert specs, plan
     # Windows over rows are partitioned by the (key, time bucket) struct `_kb` (or `_bucket` in the rolling window);
@@ -52,7 +52,7 @@ def test_ordered_operators_split_hot_keys(spark, name):
 @pytest.mark.parametrize("name", ["telemetry_by_gpu", "telemetry_by_gpu_closed", "list_gpus", "window_count_nonempty",
                                   "retention", "count_recent", "points_around"])
 def test_time_range_reaches_the_scan(spark, name):
-    plan = entry_mod.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*(GreaterThanOrEqual|LessThanOrEqual)\(ts,", plan), name
 
 
@@ -62,10 +62,10 @@ def _scan_columns(plan: str) -> list[list[str]]:
 
 def test_scan_reads_only_needed_columns(spark):
     # Dispatches need the key, time, metric and k (for redelivery); never the value or the user.
-    for cols in _scan_columns(_plan(entry_mod.queries()["deliveries"](spark, SF_SMALL))):
+    for cols in _scan_columns(_plan(QUERIES["deliveries"](spark, SF_SMALL))):
         assert "value" not in cols and "event_id" in cols
     # The GPU list needs ids and labels only; the value column is never read.
-    for cols in _scan_columns(_plan(entry_mod.queries()["list_gpus"](spark, SF_SMALL))):
+    for cols in _scan_columns(_plan(QUERIES["list_gpus"](spark, SF_SMALL))):
         assert "value" not in cols
 
 
@@ -73,7 +73,7 @@ def test_scan_reads_only_needed_columns(spark):
 def test_only_super_bucket_totals_meet_in_one_task(spark, name):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        lines = _plan(entry_mod.queries()[name](spark, SF_SMALL)).splitlines()
+        lines = _plan(QUERIES[name](spark, SF_SMALL)).splitlines()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     singles = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
@@ -86,6 +86,40 @@ def test_only_super_bucket_totals_meet_in_one_task(spark, name):
 def test_outputs_are_flat_scalars(spark, name):
     from pyspark.sql.types import ArrayType, MapType, StructType
 
-    schema = entry_mod.queries()[name](spark, SF_SMALL).schema
+    schema = QUERIES[name](spark, SF_SMALL).schema
     nested = [f.name for f in schema.fields if isinstance(f.dataType, (ArrayType, MapType, StructType))]
     assert nested == [], f"{name}: nested output columns {nested}"
+
+
+def _counts(spark, name) -> dict[str, int]:
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return {"scans": plan.count("FileScan parquet"), "shuffles": plan.count("Exchange hashpartitioning"),
+            "windows": len(re.findall(r"Window \[", plan)), "joins": len(re.findall(r"(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin)", plan))}
+
+
+def test_passes_of_the_ledger_queries(spark):
+    """Each table once: one shuffle by message, one by key."""
+    for name in ("queue_counters", "at_least_once_audit"):
+        c = _counts(spark, name)
+        assert c["scans"] <= 3 and c["shuffles"] <= 2 and c["joins"] == 0 and c["windows"] == 0, (name, c)
+    assert _counts(spark, "dead_letters")["shuffles"] <= 2
+    c = _counts(spark, "unacked")
+    assert c["scans"] <= 3 and c["joins"] == 1, c
+
+
+def test_depth_has_one_window_over_events(spark):
+    plan = _plan(QUERIES["queue_depth"](spark, SF_SMALL))
+    over_rows = [s for s in _window_specs(plan) if "_kb" in s]
+    assert len(over_rows) == 1, over_rows
+
+
+def test_sender_queries_have_no_self_join(spark):
+    assert _counts(spark, "sender_rollup")["joins"] == 0 and _counts(spark, "sender_rollup")["windows"] == 1
+    c = _counts(spark, "retryable")
+    assert c["windows"] == 0 and c["joins"] == 0
