@@ -69,5 +69,6 @@ QUERIES = {
 
 ORACLE = {
     "op3_mix_sources": mixing.oracle_sql(),
+    "op6_secrets": secrets.oracle_sql(),
     "op10_url_filter": url_filter.oracle_sql(),
 }

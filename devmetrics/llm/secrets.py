@@ -175,3 +175,48 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with secrets masked in the text and n_chars brought up to date; a null text stays null."""
     found = with_secrets(docs).withColumn("text", redacted(F.col("text"), F.col("__spans"))).drop("__spans")
     return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
+
+
+def oracle_sql() -> str:
+    """The same scan in SQL: places from the parts between matches, entropies window by window from the start."""
+    q = lambda p: p.replace("'", "''")
+
+    def spans(kind: int, pattern: str, keep: str = "true") -> str:
+        return f"""
+  SELECT rid, {kind} AS kind, start, start + lens[i] AS "end", m[i] AS found FROM (
+    SELECT rid, m, i, lens, {keep} AS kept,
+           list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(lens[1:i - 1]), 0) AS start
+    FROM (SELECT rid, m, v, string_split_regex(text, '{q(pattern)}') AS gaps, list_transform(m, lambda x: length(x)) AS lens,
+                 unnest(generate_series(1, len(m))) AS i
+          FROM (SELECT rid, text, regexp_extract_all(text, '{q(pattern)}', 0) AS m, regexp_extract_all(text, '{q(pattern)}', {2 if kind == 1 else 0}) AS v
+                FROM docs)))
+  WHERE kept"""
+
+    w = WINDOW
+    label = "list_transform(s, lambda x: ['" + "', '".join(KINDS) + "'][x.kind] || ':' || x.start || ':' || x.\"end\")"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({spans(1, ASSIGN, "length(v[i]) >= 6")}
+UNION ALL {spans(2, ACCESS, "lens[i] >= 20")}
+UNION ALL {spans(3, HEX, "lens[i] >= 24")}),
+candidates AS ({spans(4, "[A-Za-z0-9+/_=-]{20,}")}),
+classed AS (
+  SELECT *, CASE WHEN regexp_full_match(found, '[0-9A-Fa-f]+') AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Fa-f]') THEN {CLASSES[0][1]}
+                 WHEN regexp_matches(found, '[0-9]') AND regexp_matches(found, '[a-z]') AND regexp_matches(found, '[A-Z]') THEN {CLASSES[1][1]} END AS bits
+  FROM candidates
+  WHERE NOT regexp_matches(found, '{ALLOWED[0]}') AND NOT regexp_matches(found, '{ALLOWED[2]}') AND NOT regexp_matches(found, '{ALLOWED[3]}')
+    AND len(list_filter(range(1, length(found) - 4), lambda i: found[i:i + 5] = repeat(found[i], 6))) = 0),
+high AS (
+  SELECT *, list_filter(range(0, length(found) - {w} + 1),
+                        lambda i: list_aggregate(string_split(substr(found, i + 1, {w}), ''), 'entropy') >= bits - 1e-9) AS found_at
+  FROM classed WHERE bits IS NOT NULL),
+entropy AS (SELECT rid, 4 AS kind, start + found_at[1] AS start, start + found_at[-1] + {w} AS "end" FROM high WHERE len(found_at) > 0),
+every AS (
+  SELECT rid, kind, start, "end" FROM base
+  UNION ALL SELECT rid, kind, start, "end" FROM entropy e
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = e.rid AND b.start <= e.start AND e."end" <= b."end")),
+lists AS (SELECT rid, list({{'kind': kind, 'start': start::BIGINT, 'end': "end"::BIGINT}} ORDER BY start, kind) AS s FROM every GROUP BY rid),
+whole AS (SELECT doc_id, coalesce(s, []) AS s, list_filter(coalesce(s, []), lambda x: x.kind <= 3) AS b FROM docs LEFT JOIN lists USING (rid))
+SELECT doc_id, {", ".join(f"len(list_filter(s, lambda x: x.kind = {i + 1})) AS n_{k}" for i, k in enumerate(KINDS))},
+       sha256(array_to_string({label.replace("(s,", "(b,")}, ',')) AS base_sha256, array_to_string({label}, ',') AS spans
+FROM whole"""

@@ -77,5 +77,16 @@ def test_redaction(spark):
         assert r.text == out + text[at:] and r.n_chars == len(r.text)
 
 
+def test_oracle(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create table documents(doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", list(enumerate(TEXTS)))
+    want = con.sql(secrets.oracle_sql() + " ORDER BY doc_id").fetchall()
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    assert [tuple(r) for r in secrets.find_secrets(docs).orderBy("doc_id").collect()] == want
+
+
 def test_no_python_in_the_plan(spark, odd):
     assert not re.search("Python|Pandas|Arrow", secrets.find_secrets(odd)._jdf.queryExecution().toString())
