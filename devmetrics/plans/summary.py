@@ -1,8 +1,8 @@
 """Physical-plan shape of every registered batch query, as a Markdown table.
 
 ``python -m devmetrics.plans.summary [sf_dir] > PLANS.md``. Plans are taken with AQE off and size-based broadcasts
-off (``autoBroadcastJoinThreshold=-1``), i.e. as they would plan when every table is large: only explicit,
-size-checked broadcasts remain.
+off (``autoBroadcastJoinThreshold=-1``), i.e. as they would plan when every table is large. The plan text isn't
+truncated, and aggregates are given by kind.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import sys
 
-EAGER = {"stream_ingest", "stream_dedup", "stream_window_count", "stream_ack_timeout", "stream_csv_ingest",
+EAGER = {"stream_ingest", "stream_dedup", "stream_window_count", "stream_ack_timeout", "stream_csv_ingest", "stream_csv_to_store",
          "stream_stats"}
 
 
@@ -25,7 +25,7 @@ def shape(plan: str) -> dict[str, str]:
     joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)"
                        r"[^\n]*?(Inner|LeftOuter|LeftSemi|LeftAnti|FullOuter|RightOuter)", plan)
     windows = len(re.findall(r"\bWindow \[", plan))
-    aggs = len(re.findall(r"(HashAggregate|SortAggregate|ObjectHashAggregate)\(keys?=", plan))
+    kinds = re.findall(r"(ObjectHash|Hash|Sort)Aggregate\(keys?=", plan)
     return {
         "scans": ", ".join(sorted(set(scans))) + (f" (x{len(scans)})" if len(scans) > 1 else ""),
         "pushed": "yes" if pushed else "",
@@ -34,7 +34,7 @@ def shape(plan: str) -> dict[str, str]:
         "broadcast": str(bcast) if bcast else "",
         "joins": ", ".join(f"{j[0].replace('Join', '')} {j[1]}" for j in joins),
         "windows": str(windows) if windows else "",
-        "aggregates": str(aggs) if aggs else "",
+        "aggregates": " ".join(f"{k.lower()} {kinds.count(k)}" for k in ("Hash", "ObjectHash", "Sort") if k in kinds),
     }
 
 
@@ -47,13 +47,13 @@ def main(argv: list[str]) -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     cols = ["scans", "pushed", "shuffles", "broadcast", "joins", "windows", "aggregates"]
     print("# PLANS\n")
     print("Physical-plan shape of every registered batch query (generated by `python -m devmetrics.plans.summary`),")
-    print("planned as if every table were large: AQE off, size-based broadcasts off, so only explicit size-checked")
-    print("broadcasts remain. `single` counts exchanges into one partition: the final step of a global aggregate (one")
+    print("planned as if every table were large: AQE off, size-based broadcasts off. `single` counts exchanges into one partition: the final step of a global aggregate (one")
     print("partial row per task) or the prefix sum over per-day totals (see README). Aggregates count partial and final")
-    print("steps. Streaming queries are left out (micro-batch plans); queries that stage data show the staged table.\n")
+    print("steps by kind (`sort`: buffers that a hash aggregate can't hold, with a sort before it). Streaming queries are left out (micro-batch plans); queries that stage data show the staged table.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
     for name, fn in QUERIES.items():
