@@ -102,9 +102,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, rows: int = ROWS
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def plain(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        t = t.combine_chunks()
         ids = t.column("vec_id").to_numpy()
-        return ids, np.array(t.column("v").to_pylist(), np.float64).reshape(len(ids), -1)
+        return ids, t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
 
     def search(here: pa.Table, asked: pa.Table) -> pa.Table:
         if not here.num_rows or not asked.num_rows:
