@@ -32,6 +32,14 @@ HEADLINE = [
     "rolling_mean",
     "derivative",
     "latency_percentiles",
+    "at_least_once_audit",
+    "dead_letters",
+    "queue_depth_requeues",
+    "gpu_silences",
+    "stream_ingest",
+    "stream_dedup",
+    "stream_window_count",
+    "stream_ack_timeout",
     "csv_ingest",
 ]
 
