@@ -30,6 +30,9 @@ from devmetrics.llm.wordhash import Memo, mix, pieces, prefix_sums, span_hashes
 
 THETA = 1.0
 SEED = 8
+#: Characters worked on at once, and rows: they bound what a task holds beside its memory of words.
+PIECE = 1 << 18
+ROWS = 250
 BLANK = 0x2581
 _LITERAL = 0x110000 + BLANK  # a U+2581 of the text: no piece has this code
 _BYTES = 1 << 24  # codes from here on: a character to be written as bytes
@@ -48,6 +51,8 @@ class Pieces:
         if any("▁" in n.lstrip("▁") for n in names):
             raise ValueError("a piece reaches over the beginning of a word")
         self.longest = max(map(len, names))
+        if self.longest > 255:
+            raise ValueError("a piece is longer than 255 characters")
         self.byte_ids = np.zeros(256, np.int32)
         for i in range(model.get_piece_size()):
             if model.is_byte(i):
@@ -82,16 +87,16 @@ class Pieces:
 class Sampler:
     """Encodes texts; keeps the lattices of distinct words while there is room."""
 
-    def __init__(self, vocabulary: Pieces, bits: int = 19):
+    def __init__(self, vocabulary: Pieces, bits: int = 18):
         self.vocabulary = vocabulary
         self.memo = Memo(self._filter, 2, np.int64, bits=bits)
         self._clear()
 
     def _clear(self) -> None:
         self.n_nodes = self.n_edges = 0
-        self.first = np.zeros(1 << 16, np.int64)  # per node: its first edge
+        self.first = np.zeros(1 << 16, np.int32)  # per node: its first edge
         self.share = np.zeros(1 << 16, np.float32)  # per edge: shares up to and with it
-        self.back = np.zeros(1 << 16, np.int32)  # per edge: its length
+        self.back = np.zeros(1 << 16, np.uint8)  # per edge: its length
         self.code = np.zeros(1 << 16, np.int32)  # per edge: piece id or character for bytes
 
     def _room(self, nodes: int, edges: int) -> None:
@@ -164,7 +169,7 @@ class Sampler:
         """All ids and the n + 1 borders of the texts' runs. keys: 64-bit row keys."""
         row = mix(keys.astype(np.uint64) ^ mix(np.uint64([seed])))
         flat, counts, begun = [], np.zeros(len(texts), np.int64), {}
-        for part in pieces(texts):
+        for part in pieces(texts, PIECE):
             lead, ahead = [], []  # ahead: a piece's place in its text, so that random numbers depend on the text alone
             for i, t in part:
                 lead.append((" " if i not in begun and t else "") + t)
@@ -194,11 +199,11 @@ class Sampler:
             while len(node):
                 draw = mix(own ^ ((end + shift).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
                 u = ((draw >> np.uint64(40)).astype(np.float32)) * np.float32(2.0**-24)
-                edge, on = self.first[node], np.arange(len(node))
+                edge, on = self.first[node].astype(np.int64), np.arange(len(node))
                 while len(on):
                     on = on[u[on] >= self.share[edge[on]]]
                     edge[on] += 1
-                length = self.back[edge]
+                length = self.back[edge].astype(np.int64)
                 end = end - length
                 out[end] = self.code[edge]
                 left = left - length
@@ -241,8 +246,8 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", seed: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = sampler(path, theta)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 texts = part.column(len(keep)).to_pylist()
                 ids, borders = encoder.encode(texts, part.column(len(keep) + 1).to_numpy(zero_copy_only=False).astype(np.int64), seed)
                 back = encoder.vocabulary.decode(ids, borders)

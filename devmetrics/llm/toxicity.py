@@ -12,7 +12,7 @@ text, in tasks of Spark.
 Defined cases: null, empty or blank text: no sentence, score 0; null doc_id: scored, never learned from, held_out
 null counts as false; several labels for an id: toxic if any says so; null labels are ignored; without labels of
 both kinds every score is 0; repeated rows are scored row by row; empty table: empty result; other columns are not
-read; a sentence over 2^20 characters is cut at white space.
+read; a sentence over 2^18 characters may be cut at white space.
 """
 
 from __future__ import annotations

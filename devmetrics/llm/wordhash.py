@@ -58,7 +58,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pieces(texts: Iterable[str | None], size: int = 1 << 20) -> Iterator[list[tuple[int, str]]]:
+def pieces(texts: Iterable[str | None], size: int = 1 << 18) -> Iterator[list[tuple[int, str]]]:
     """Lists of (text's number, piece) of about ``size`` characters: many short texts, or parts of a long one.
 
     A text over ``size`` is cut before a line feed, else before a space; where it has none, the part is as long as need be."""
