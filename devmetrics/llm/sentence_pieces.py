@@ -235,9 +235,9 @@ def sampler(path: str, theta: float = THETA) -> Sampler:
 
 
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", seed: int = SEED, theta: float = THETA, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all but text, if not given) with ids, n_ids and lossless: whether decoding the ids gave
-    back the text, as tried for every row."""
-    keep = [c for c in docs.columns if c != "text"] if keep is None else keep
+    """The columns ``keep`` (if not given: all but text and those named like the new ones) with ids, n_ids and lossless:
+    whether decoding the ids gave back the text, as tried for every row."""
+    keep = [c for c in docs.columns if c not in ("text", "ids", "n_ids", "lossless")] if keep is None else keep
     rows = docs.select(*keep, F.col("text").alias("__text"), F.coalesce(F.xxhash64(key), F.lit(0)).alias("__key"))
     more = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.IntegerType()), T.StructField("lossless", T.BooleanType())])
     schema = T.StructType([*docs.select(*keep).schema.fields, *more.fields])

@@ -86,3 +86,5 @@ def test_documents(spark, odd, empty):
     again = {r.doc_id: r.ids for r in sp.encode_documents(docs.repartition(5), PATH).collect()}
     assert again == {r.doc_id: r.ids for r in sp.encode_documents(docs, PATH).collect()}
     assert sp.encode_documents(empty, PATH).collect() == []
+    clash = docs.withColumnRenamed("lang", "ids").withColumnRenamed("source", "lossless")
+    assert sp.encode_documents(clash, PATH).columns == ["doc_id", "n_chars", "ids", "n_ids", "lossless"]
