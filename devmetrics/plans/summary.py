@@ -15,7 +15,7 @@ EAGER = {"stream_ingest", "stream_dedup", "stream_window_count", "stream_ack_tim
 
 
 def shape(plan: str) -> dict[str, str]:
-    scans = re.findall(r"FileScan (?:parquet|text|json|csv) [^\n]*?Location: \w+\([^)]*\)\[file:[^\]]*/([\w.-]+?)(?:\.parquet)?[\],]", plan)
+    scans = re.findall(r"Location: \w+\(\d+ paths\)\[file:[^\],]*/([\w.-]+?)(?:\.parquet)?[\],]", plan)
     scans = [re.sub(r"-[0-9a-f]{12}$", " (staged)", x) for x in scans]
     pushed = re.findall(r"PushedFilters: \[[^\]]*(?:GreaterThan|LessThan)[^\]]*\]", plan)
     hashx = len(re.findall(r"Exchange hashpartitioning", plan))
@@ -51,8 +51,9 @@ def main(argv: list[str]) -> None:
     cols = ["scans", "pushed", "shuffles", "broadcast", "joins", "windows", "aggregates"]
     print("# PLANS\n")
     print("Physical-plan shape of every registered batch query (generated by `python -m devmetrics.plans.summary`),")
-    print("planned as if every table were large: AQE off, size-based broadcasts off. `single` counts exchanges into one partition: the final step of a global aggregate (one")
-    print("partial row per task) or the prefix sum over per-day totals (see README). Aggregates count partial and final")
+    print("planned as if every table were large: AQE off, size-based broadcasts off. `single` counts exchanges into one")
+    print("partition: the final step of a global aggregate (one partial row per task) or the prefix sum over per-day")
+    print("totals (see README). Aggregates count partial and final")
     print("steps by kind (`sort`: buffers that a hash aggregate can't hold, with a sort before it). Streaming queries are left out (micro-batch plans); queries that stage data show the staged table.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
