@@ -41,12 +41,13 @@ def bounded_sample(rows: DataFrame, by: str, limit: Column, most: int) -> DataFr
     """Of rows (doc_id, ``by``) at most ``limit`` (a column; ``most`` at most) for each value, those first in the
     order of md5(doc_id).
 
-    A share of the hash range that holds about twice as many is cut out first, so that what meets in the window of
-    a value doesn't grow with the input."""
+    A share of the hash range that holds about twice as many is cut out first, where the rows are read, so that what
+    meets in the window of a value doesn't grow with the input. The sizes that this takes (one row per label or
+    language) are broadcast."""
     place = F.md5(F.col("doc_id").cast("string"))
     share = F.conv(F.substring(place, 1, 8), 16, 10).cast("double") / 2.0**32
     sizes = rows.groupBy(by).agg(F.count("*").alias("__size"))
-    near = rows.join(sizes, by).where(share * F.col("__size") < 2 * most + 100)
+    near = rows.join(F.broadcast(sizes), by).where(share * F.col("__size") < 2 * most + 100)
     order = Window.partitionBy(by).orderBy(place, "doc_id")
     return near.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= limit).drop("__n", "__size")
 
