@@ -5,6 +5,10 @@ their noisy-or, 1 - product of (1 - p): a document is toxic if at least one sent
 labels; training moves the sentence weights through the noisy-or, so that afterwards the sentences that carry the
 label stand out and are returned as spans.
 
+A text's score must not grow with its length alone. So in a fitted model a sentence without any feature adds nothing,
+and of the sentences under a probability of ``FLOOR`` (the level at which a sentence is returned as offending) only
+the strongest adds: a text of any length without an offending sentence scores less than ``FLOOR``.
+
 The classifier is fitted on the driver on a bounded sample of the labelled rows: at most ``TOXIC_SAMPLE`` toxic and
 ``CLEAN_SAMPLE`` other documents, those first in the order of md5(doc_id), and at most ``VOCABULARY`` features. Scoring reads every whole
 text, in tasks of Spark.
@@ -36,6 +40,7 @@ MIN_ASSOCIATION = 16.0
 #: Lengths of the word beginnings that are features beside the words.
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
+FLOOR = 0.5
 
 #: Bytes that end a sentence.
 ENDS = np.zeros(256, bool)
@@ -72,6 +77,9 @@ def sentence_bags(text: str | None) -> Iterator[list[str]]:
 class Model:
     weights: dict[str, float]
     bias: float
+    #: None: the noisy-or of all sentences. Else sentences without a feature don't count, and of those under this
+    #: probability only the strongest does.
+    floor: float | None = None
 
 
 def word_features(word: str) -> list[str]:
@@ -130,24 +138,25 @@ def train(texts: list[str], labels: list[int], rounds: int = 400, rate: float =
         move = rate * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)
         weights -= move[:-1]
         bias -= move[-1]
-    return Model({f: float(x) for f, x in zip(kept, weights)}, float(bias))
+    return Model({f: float(x) for f, x in zip(kept, weights)}, float(bias), FLOOR)
 
 
 class Scorer:
-    """Scores texts; remembers the weight of each distinct word of its task."""
+    """Scores texts; remembers the weight and the number of features of each distinct word of its task."""
 
     def __init__(self, model: Model):
-        self.model, self.memo = model, Memo(self._weights, 1)
+        self.model, self.memo = model, Memo(self._weights, 2)
 
     def _weights(self, places: np.ndarray) -> np.ndarray:
         data, get = self.words.raw.tobytes(), self.model.weights.get
         spans = zip(self.words.starts[places].tolist(), self.words.ends[places].tolist())
         words = (data[s:e].decode("utf-8", "replace").lower() for s, e in spans)
-        return np.array([sum(get(f, 0.0) for f in word_features(w)) for w in words], np.float32).reshape(-1, 1)
+        found = ([get(f) for f in word_features(w)] for w in words)
+        return np.array([(sum(x for x in f if x is not None), sum(x is not None for x in f)) for f in found], np.float32).reshape(-1, 2)
 
     def score(self, texts: list[str | None], locate: float | None = None) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
         """Probabilities; with ``locate``, also (start, end, p) in code points of sentences that reach it."""
-        total, spans = np.zeros(len(texts)), [[] for _ in texts]
+        total, weak, spans = np.zeros(len(texts)), np.zeros(len(texts)), [[] for _ in texts]
         begun: dict[int, int] = {}
         for part in pieces(texts):
             owner, ahead = np.array([i for i, _ in part]), []
@@ -157,21 +166,26 @@ class Scorer:
             self.words, sentence = sentence_words([t for _, t in part])
             if len(sentence):
                 at = self.memo(self.words.hashes())
-                weight = self.memo.rows[at, 0].astype(np.float64)
                 first = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1]))
-                z = self.model.bias + np.add.reduceat(weight, first)
+                weight, features = np.add.reduceat(self.memo.rows[at].astype(np.float64), first).T
+                z = self.model.bias + weight
+                if self.model.floor is not None:
+                    z[features == 0] = -np.inf
+                p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
                 which = self.words.which[first]
-                total += np.bincount(owner[which], weights=np.logaddexp(0, z), minlength=len(texts))
+                own, share, counted = owner[which], np.logaddexp(0, z), p >= (self.model.floor or 0.0)
+                total += np.bincount(own[counted], weights=share[counted], minlength=len(texts))
+                np.maximum.at(weak, own[~counted], share[~counted])
                 if locate is not None:
                     ends = np.flatnonzero(ENDS[self.words.raw])
-                    for k in np.flatnonzero(1 / (1 + np.exp(-np.clip(z, -40, 40))) >= locate):
+                    for k in np.flatnonzero(p >= locate):
                         low = int(self.words.offsets[which[k]])
                         start = int(self.words.starts[first[k]])
                         end = int(ends[np.searchsorted(ends, start)])
                         raw, i = self.words.raw, int(owner[which[k]])
                         before = len(raw[low:start].tobytes().decode()) + ahead[int(which[k])]
                         spans[i].append((before, before + len(raw[start:end].tobytes().decode()), float(1 / (1 + np.exp(-z[k])))))
-        return -np.expm1(-total), spans
+        return -np.expm1(-total - weak), spans
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable=None, limits: tuple[int, int] = (CLEAN_SAMPLE, TOXIC_SAMPLE)) -> Model:

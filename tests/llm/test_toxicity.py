@@ -85,3 +85,36 @@ def test_odd_rows(spark, odd, empty, labels):
     assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
     assert toxicity.toxicity(empty, marks).collect() == []
     assert len(toxicity.toxicity(odd, labels([])).collect()) == odd.count()
+
+
+def joined_to(texts, size):
+    text = "\n".join(texts)
+    return "\n".join([text] * (size // len(text) + 1))[:size].rpartition("\n")[0]
+
+
+def test_length_alone_rejects_nothing():
+    texts, labels = corpus()
+    scorer = toxicity.Scorer(toxicity.train(texts, labels))
+    clean = [t for t, y in zip(texts, labels) if not y]
+    # "indeed" goes with toxic documents; alone it is weak, however often it stands
+    for own in (clean, clean + ["the lake, indeed."]):
+        long = [joined_to(own, n) for n in (1_000_000, 10_000_000)]
+        scores, spans = scorer.score([own[-1], *long], locate=0.5)
+        assert (scores < 0.5).all() and (scores == scores[0]).all() and spans == [[], [], []]
+    text = long[1] + "\nyou are a moron indeed. bye"
+    (score,), (found,) = scorer.score([text], locate=0.5)
+    assert score >= 0.7 and [text[a:b] for a, b, _ in found] == ["you are a moron indeed"]
+
+
+def test_long_held_out_clean_text(spark):
+    """Clean texts that each score low, joined to 1 and 10 MB, stay under the threshold; one toxic text among them is found."""
+    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    marks = {r.doc_id: r.toxic for r in labels.collect()}
+    scorer = toxicity.Scorer(toxicity.fit(docs, labels, toxicity.learnable()))
+    held = [r for r in docs.select("doc_id", "text").collect() if r.doc_id in marks and zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    scores = scorer.score([r.text for r in held])[0]
+    clean = [r.text for r, s in zip(held, scores) if not marks[r.doc_id] and s < 0.3]
+    long = [joined_to(clean, n) for n in (1_000_000, 10_000_000)]
+    assert (scorer.score(long)[0] < 0.3).all()
+    bad = next(r.text for r, s in zip(held, scores) if marks[r.doc_id] and s >= 0.7)
+    assert scorer.score([long[1] + "\n" + bad])[0][0] >= 0.7
