@@ -1,11 +1,11 @@
 """Quality rules with a hashed n-gram log-likelihood ratio (DataFrame operations only).
 
 Words and pairs of neighbouring words are hashed into ``BUCKETS`` buckets. Two multinomials are counted over the
-buckets: that of the raw corpus, from every document, and that of a trusted target, from a bounded documented
-sample of documents labelled as good (at most ``TRUSTED``, those first in the order of md5(doc_id)). A document's
-score is the sum of log(p_target / p_raw) over its n-grams, divided by their number. A document is kept if its score
-reaches the threshold: a low quantile, less a margin, of the scores of trusted documents that the counts don't hold
-(every other one of the sample). No document is drawn at random. The base rules (too short, repetitive) come first.
+buckets: that of the raw corpus, from every document, and that of a trusted target, from every document labelled as
+good whose id falls in one of two hash folds. A document's score is the sum of log(p_target / p_raw) over its n-grams,
+divided by their number. A document is kept if its score reaches the threshold: a low quantile, less a margin, of the
+scores of all trusted documents of the other fold, which the counts don't hold. No document is drawn at random. The
+base rules (too short, repetitive) come first.
 
 Defined cases: null, empty or blank text: no words, all counts 0, base_failed; without trusted documents the ratio
 is 0 everywhere and only the base rules decide; several labels for an id: good if any says so; null ids or labels:
@@ -18,12 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devmetrics.llm.common import bounded_sample
 from devmetrics.llm.secrets import let
 from devmetrics.session import materialize
 
 BUCKETS = 1 << 15
-TRUSTED = 10_000
 #: Weight of the raw distribution in the target's, in n-grams.
 SHRINK = 20_000.0
 QUANTILE, MARGIN = 0.005, 0.05
@@ -103,21 +101,27 @@ def base_columns(text: Column, hashes: Column) -> dict[str, Column]:
     }
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
-    """(doc_id, counted) of at most ``limit`` documents labelled as good; ``counted``: whether it makes the target
-    or is held back for the threshold."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, counted) of all documents labelled as good; ``counted``: whether it makes the target or is held back
+    for the threshold."""
     good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("q")).where(F.col("q") > 0)
-    return bounded_sample(good.select("doc_id", F.lit(1).alias("one")), "one", F.lit(limit), limit).select(
-        "doc_id", (F.xxhash64("doc_id") % 2 == 0).alias("counted"))
+    return good.select("doc_id", (F.xxhash64("doc_id") % 2 == 0).alias("counted"))
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, shrink: float = SHRINK) -> DataFrame:
-    """(bucket, weight): log-ratio of the target's share of the bucket to the raw corpus's. At most ``buckets`` rows.
+    """(bucket, weight), with the documents of the ids ``trusted`` as the target; see ``log_ratios``."""
+    return log_ratios(docs, docs.select("doc_id", "text").join(trusted.select("doc_id"), "doc_id"), buckets, shrink)
+
+
+def log_ratios(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, shrink: float = SHRINK) -> DataFrame:
+    """(bucket, weight): log-ratio of the share that the bucket has in ``target`` (some rows of ``docs``) to the raw
+    corpus's. At most ``buckets`` rows.
 
     Counts are combined before the shuffle, so a task never gets more than one row per bucket and task."""
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("good"))), "doc_id", "left")
-    grams = marked.select(F.explode(let(word_hashes(F.col("text")), lambda h: ngram_buckets(h, buckets))).alias("bucket"), "good")
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good").alias("target"))
+    grams = lambda rows, raw: rows.select(
+        F.explode(let(word_hashes(F.col("text")), lambda h: ngram_buckets(h, buckets))).alias("bucket")).groupBy("bucket").agg(
+        F.count("*").alias("n")).select("bucket", *((F.col("n") if own == raw else F.lit(0).cast("long")).alias(own) for own in ("raw", "target")))
+    counts = grams(docs, "raw").unionByName(grams(target, "target")).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     counts = materialize(counts, "quality-counts")
     n_raw, n_target = (float(x or 0) for x in counts.agg(F.sum("raw"), F.sum("target")).first())
     p_raw = F.col("raw") / n_raw if n_raw else F.lit(1.0)
@@ -142,11 +146,11 @@ def score_column(hashes: Column, weights: Column, buckets: int = BUCKETS) -> Col
 
 def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score per document."""
-    trusted = materialize(trusted_ids(labels), "quality-trusted")
-    weights = weight_list(bucket_weights(docs, trusted.where("counted")))
+    # joined once and written, as a join of large tables moves all texts; no hint: the ids grow with the labels
+    trusted = materialize(docs.select("doc_id", "text").join(trusted_ids(labels), "doc_id").select("text", "counted"), "quality-trusted")
+    weights = weight_list(log_ratios(docs, trusted.where("counted")))
     whole = F.coalesce(F.col("text"), F.lit(""))
-    scored = (docs.select("doc_id", "text").join(F.broadcast(trusted.where("not counted")), "doc_id")
-              .select(let(word_hashes(whole), lambda h: score_column(h, weights)).alias("score")))
+    scored = trusted.where("not counted").select(let(word_hashes(whole), lambda h: score_column(h, weights)).alias("score"))
     low = scored.agg(F.percentile_approx("score", F.lit(quantile), F.lit(10_000))).first()[0]
     threshold = -1e9 if low is None else low - margin
     found = docs.select("doc_id", let(word_hashes(whole), lambda h: F.struct(

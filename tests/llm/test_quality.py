@@ -1,3 +1,4 @@
+import hashlib
 import re
 from collections import Counter
 
@@ -84,3 +85,17 @@ def test_odd_rows(spark, odd, empty, labels):
 def test_no_python_in_the_plan(spark, odd, labels):
     plan = quality.judge_quality(odd, labels([(1, 1, 0)]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_every_trusted_document_counts(spark):
+    """A good source outside the 10,000 ids that come first by md5 has its n-grams in the target and is kept."""
+    order = sorted(range(24_000), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    minority = set(order[-240:])
+    common = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"z{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, other if i in minority else common) for i in range(24_000)], "doc_id long, text string")
+    marks = docs.selectExpr("doc_id", "1 AS quality")
+    folds = {r.counted: r["count"] for r in quality.trusted_ids(marks).groupBy("counted").count().collect()}
+    assert sum(folds.values()) == 24_000 and min(folds.values()) > 11_000
+    got = quality.judge_quality(docs, marks).where("kept").collect()
+    assert len(got) == 24_000
