@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from devmetrics.llm import ann, langid, mixing, quality, secrets, sentence_pieces, simhash, token_files, toxicity, url_filter
+from devmetrics.llm import ann, langid, mixing, quality, resampling, secrets, sentence_pieces, simhash, token_files, toxicity, url_filter, warc, whitening
 from devmetrics.llm.common import table
 
 
@@ -54,6 +54,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark, table(spark, sf_dir, "pages"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_nearest": op2_nearest,
@@ -65,10 +78,14 @@ QUERIES = {
     "op8_sentence_pieces": op8_sentence_pieces,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "op11_warc": op11_warc,
+    "op12_whitening": op12_whitening,
+    "op13_resampling": op13_resampling,
 }
 
 ORACLE = {
     "op3_mix_sources": mixing.oracle_sql(),
     "op6_secrets": secrets.oracle_sql(),
     "op10_url_filter": url_filter.oracle_sql(),
+    "op11_warc": warc.oracle_sql(),
 }
