@@ -1,13 +1,13 @@
 """At-least-once delivery audits over recorded ledger tables.
 
 The queue's in-memory state (pending map, ready list, counters) is re-aimed as joins and aggregates over
-``enqueues``, ``dispatches`` and ``acks``. Joins are on unique keys after a partial aggregate (the first ack per
-message), and the empty message id -- the one value that could be hot -- is split off before any join.
+``enqueues``, ``dispatches`` and ``acks``. An ack is judged against the sending of its id (``in_order``), by one rule for
+all queries; the empty message id -- the one value that could be hot -- is spread over many groups.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from devmetrics.functions.values import non_empty
@@ -15,23 +15,52 @@ from devmetrics.functions.values import non_empty
 #: What a send can end with.
 SEND_OUTCOMES = ("enqueued", "rejected", "invalid", "closed", "persist_failed")
 
+#: Groups over which acks without an id are spread.
+NAMELESS_PARTS = 64
 
-def first_acks(acks: DataFrame) -> DataFrame:
-    """Earliest ack per non-empty message id: a second ack for the same id has no further effect."""
-    return acks.where(non_empty(F.col("message_id"))).groupBy("message_id").agg(F.min("ack_ns").alias("ack_ns"))
+
+def in_order(dispatches: DataFrame, acks: DataFrame) -> DataFrame:
+    """Sendings and acks in one frame (message_id, persist_key, sent_ns, ack_ns), with what was known of an id at each
+    row's time: ``_sent`` (its sending, null before it) and ``_first`` (its first ack since then).
+
+    One shuffle by id; the rows of an id are sorted and streamed, never held. At equal times the sending comes first. An
+    id has as many acks as its receiver repeated; acks without an id, which may be many, are spread over ``''`` groups."""
+    null = F.lit(None).cast("long")
+    rows = dispatches.select("message_id", "persist_key", "sent_ns", null.alias("ack_ns")).unionByName(acks.select(
+        F.coalesce(F.col("message_id"), F.lit("")).alias("message_id"), null.alias("persist_key"), null.alias("sent_ns"), "ack_ns"))
+    spread = F.when(F.col("message_id") == "", F.pmod(F.xxhash64("ack_ns"), F.lit(NAMELESS_PARTS)))
+    rows = rows.withColumn("_id", F.struct("message_id", spread.alias("part")))
+    w = (Window.partitionBy("_id").orderBy(F.coalesce("sent_ns", "ack_ns"), F.col("sent_ns").isNull())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    known = rows.withColumn("_sent", F.last("sent_ns", ignorenulls=True).over(w))
+    return known.withColumn("_first", F.min(F.when(F.col("_sent").isNotNull(), F.col("ack_ns"))).over(w))
+
+
+def delivery_acks(dispatches: DataFrame, acks: DataFrame) -> DataFrame:
+    """One row per message id of either side: persist_key, sent_ns (null: never sent), first_ack_ns (the first ack at or
+    after the sending), n_acks, and n_unknown of them that came before it. This is the one matching rule: an ack that
+    comes before its sending finds nothing to complete, and a later one may still complete the delivery.
+
+    Ids are those of single deliveries. Acks without an id come as several rows of the id ``''``."""
+    early = F.when(F.col("_sent").isNull(), F.col("ack_ns"))
+    return in_order(dispatches, acks).groupBy("_id").agg(
+        F.max("persist_key").alias("persist_key"), F.max("sent_ns").alias("sent_ns"), F.min("_first").alias("first_ack_ns"),
+        F.count("ack_ns").alias("n_acks"), F.count(early).alias("n_unknown"),
+    ).select("_id.message_id", "persist_key", "sent_ns", "first_ack_ns", "n_acks", "n_unknown")
 
 
 def match_acks(dispatches: DataFrame, acks: DataFrame, timeout_ns: int) -> DataFrame:
     """Dispatches matched with their first ack; latency and whether it was within the timeout (inclusive)."""
-    m = dispatches.join(first_acks(acks), "message_id", "inner")
-    lat = F.col("ack_ns") - F.col("sent_ns")
-    return m.select("message_id", "persist_key", "sent_ns", "ack_ns", lat.alias("latency_ns"),
+    m = delivery_acks(dispatches, acks).where(F.col("first_ack_ns").isNotNull())
+    lat = F.col("first_ack_ns") - F.col("sent_ns")
+    return m.select("message_id", "persist_key", "sent_ns", F.col("first_ack_ns").alias("ack_ns"), lat.alias("latency_ns"),
                     (lat <= timeout_ns).alias("on_time"))
 
 
 def unknown_acks(dispatches: DataFrame, acks: DataFrame) -> DataFrame:
-    """Acks for ids never dispatched; accepted but without effect."""
-    return acks.where(non_empty(F.col("message_id"))).join(dispatches.select("message_id"), "message_id", "left_anti")
+    """Acks for ids that weren't dispatched by then (or ever); accepted but without effect."""
+    rows = in_order(dispatches, acks.where(non_empty(F.col("message_id"))))
+    return rows.where(F.col("ack_ns").isNotNull() & F.col("_sent").isNull()).select("message_id", "ack_ns")
 
 
 def invalid_acks(acks: DataFrame) -> DataFrame:
@@ -40,19 +69,11 @@ def invalid_acks(acks: DataFrame) -> DataFrame:
 
 
 def message_states(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
-    """One row per message id of either side: persist_key, sent_ns, requeue_tick_ns, first_ack_ns, n_acks, effective.
-
-    An ack has an effect only while its delivery is pending: at or after the sending and before the requeue tick. A
-    later one finds no pending entry and does not delete the durable copy. One union and one aggregate on the id,
-    combined before the shuffle, so repeated acks of an id collapse; acks without an id meet in the group ''."""
-    null = F.lit(None).cast("long")
-    rows = dispatches.select("message_id", "persist_key", "sent_ns", null.alias("ack_ns")).unionByName(acks.select(
-        F.coalesce(F.col("message_id"), F.lit("")).alias("message_id"), null.alias("persist_key"), null.alias("sent_ns"), "ack_ns"))
-    g = rows.groupBy("message_id").agg(F.max("persist_key").alias("persist_key"), F.max("sent_ns").alias("sent_ns"),
-                                       F.min("ack_ns").alias("first_ack_ns"), F.count("ack_ns").alias("n_acks"))
+    """``delivery_acks`` with requeue_tick_ns and ``effective``: whether the first ack since the sending came before the
+    requeue tick. A later one finds no pending entry and does not delete the durable copy."""
     tick = requeue_tick(F.col("sent_ns"), timeout_ns, scan_ns, t0_ns)
-    ok = (F.col("first_ack_ns") >= F.col("sent_ns")) & (F.col("first_ack_ns") < tick) & (F.col("message_id") != "")
-    return g.select("*", tick.alias("requeue_tick_ns"), F.coalesce(ok, F.lit(False)).alias("effective"))
+    ok = (F.col("first_ack_ns") < tick) & (F.col("message_id") != "")
+    return delivery_acks(dispatches, acks).select("*", tick.alias("requeue_tick_ns"), F.coalesce(ok, F.lit(False)).alias("effective"))
 
 
 def effective_acks(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
@@ -63,15 +84,15 @@ def effective_acks(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan
 
 def ack_classes(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
     """C2 in full: every ack in one class, as (ack_class, acks) rows that add up to all acks: effective, repeated
-    (after an effective one), late (of a requeued delivery), unknown (never dispatched), invalid (no id)."""
+    (after an effective one), late (of a requeued delivery), unknown (not dispatched by then, or never), invalid (no id)."""
     s = message_states(dispatches, acks, timeout_ns, scan_ns, t0_ns)
-    n, sent = F.col("n_acks"), F.col("sent_ns").isNotNull()
-    total = lambda cond, value=n: F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
+    n, since = F.col("n_acks"), F.col("n_acks") - F.col("n_unknown")
+    total = lambda cond, value: F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
     named = F.col("message_id") != ""
     return _as_rows(s.agg(
-        total(F.col("effective"), F.lit(1)).alias("effective"), total(F.col("effective"), n - 1).alias("repeated"),
-        total(named & sent & ~F.col("effective")).alias("late"), total(named & ~sent).alias("unknown"),
-        total(~named).alias("invalid")), "ack_class", "acks")
+        total(F.col("effective"), F.lit(1)).alias("effective"), total(F.col("effective"), since - 1).alias("repeated"),
+        total(named & ~F.col("effective"), since).alias("late"), total(named, F.col("n_unknown")).alias("unknown"),
+        total(~named, n).alias("invalid")), "ack_class", "acks")
 
 
 def acked_keys(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
@@ -88,12 +109,12 @@ def unacked(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame, timeout
 
 def expired_pending(dispatches: DataFrame, acks: DataFrame, as_of_ns: int, timeout_ns: int,
                     scan_interval_ns: int | None = None, t0_ns: int = 0) -> DataFrame:
-    """C4: deliveries with no ack by ``as_of`` and sent more than ``timeout`` before it (strict).
+    """C4: deliveries with no ack since their sending by ``as_of`` and sent more than ``timeout`` before it (strict).
 
     With ``scan_interval_ns`` the expiry is only noticed at a scan tick (E5): the delivery must also have reached
     its requeue tick by ``as_of``."""
-    by_then = first_acks(acks.where(F.col("ack_ns") <= as_of_ns))
-    waiting = dispatches.join(by_then, "message_id", "left_anti")
+    states = delivery_acks(dispatches, acks.where(F.col("ack_ns") <= as_of_ns))
+    waiting = states.where(F.col("first_ack_ns").isNull()).select("message_id", "persist_key", "sent_ns")
     expired = waiting.where(F.lit(as_of_ns) - F.col("sent_ns") > timeout_ns)
     if scan_interval_ns is not None:
         expired = expired.where(requeue_tick(F.col("sent_ns"), timeout_ns, scan_interval_ns, t0_ns) <= as_of_ns)
@@ -107,11 +128,9 @@ def requeue_tick(sent_ns: Column, timeout_ns: int, scan_ns: int, t0_ns: int = 0)
 
 def requeue_times(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
     """E5: per delivery, the scan tick that requeues it unless its first ack came before that tick."""
-    d = dispatches.join(first_acks(acks), "message_id", "left")
-    tick = requeue_tick(F.col("sent_ns"), timeout_ns, scan_ns, t0_ns)
-    acked = F.coalesce(F.col("ack_ns") < tick, F.lit(False))
-    return d.select("message_id", "persist_key", "sent_ns", tick.alias("requeue_tick_ns"),
-                    F.col("ack_ns").alias("first_ack_ns"), acked.alias("acked_in_time"), (~acked).alias("requeued"))
+    d = message_states(dispatches, acks, timeout_ns, scan_ns, t0_ns).where(F.col("sent_ns").isNotNull())
+    return d.select("message_id", "persist_key", "sent_ns", "requeue_tick_ns", "first_ack_ns", F.col("effective").alias("acked_in_time"),
+                    (~F.col("effective")).alias("requeued"))
 
 
 def requeues(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
@@ -146,10 +165,10 @@ def ready_after_requeue(enqueues: DataFrame, dispatches: DataFrame, acks: DataFr
 
 def late_acks(dispatches: DataFrame, acks: DataFrame, timeout_ns: int, scan_ns: int, t0_ns: int = 0) -> DataFrame:
     """Acks of deliveries that were requeued: accepted, but without effect. A further ack of a delivery that was
-    acked in time is a repeated one, not a late one (``ack_classes``)."""
-    lost = requeue_times(dispatches, acks, timeout_ns, scan_ns, t0_ns).where("requeued").select("message_id", "requeue_tick_ns")
-    a = acks.where(non_empty(F.col("message_id")))
-    return a.join(lost, "message_id").select("message_id", "ack_ns", "requeue_tick_ns")
+    acked in time is a repeated one, not a late one, and one from before the sending is unknown (``ack_classes``)."""
+    tick = requeue_tick(F.col("_sent"), timeout_ns, scan_ns, t0_ns)
+    rows = in_order(dispatches, acks.where(non_empty(F.col("message_id"))))
+    return rows.where(F.col("ack_ns").isNotNull() & (F.col("_first") >= tick)).select("message_id", "ack_ns", tick.alias("requeue_tick_ns"))
 
 
 def deliveries(dispatches: DataFrame) -> DataFrame:
@@ -189,7 +208,7 @@ def queue_counters(enqueues: DataFrame, dispatches: DataFrame, acks: DataFrame,
     messages = s.select("persist_key", none.alias("accepted"), *[none.alias(o) for o in SEND_OUTCOMES],
                         one(sent).alias("dispatched"), one(done).alias("acked"), one(expired).alias("requeued"),
                         one(sent & ~done & ~expired).alias("pending"),
-                        F.when(named & ~sent, F.col("n_acks")).otherwise(0).alias("unknown_acks"),
+                        F.when(named, F.col("n_unknown")).otherwise(0).alias("unknown_acks"),
                         F.when(~named, F.col("n_acks")).otherwise(0).alias("invalid_acks"))
     outcome = F.col("outcome")
     sends = by_then(enqueues, "enqueued_ns").select(

@@ -209,9 +209,7 @@ def allowlist(spark: SparkSession) -> DataFrame:
 def sink_log(tel: DataFrame) -> DataFrame:
     """The collector's per-delivery log: the write fails for `error` metrics (then no ack is tried); the ack
     succeeded when the ledger holds one for that delivery."""
-    from devmetrics.operators.ledger import first_acks
-
     d = dispatches(tel, carry=("metric_name",))
-    d = d.join(first_acks(acks(tel)).select("message_id", F.lit(True).alias("_acked")), "message_id", "left")
+    d = d.join(acks(tel).select("message_id", F.lit(True).alias("_acked")).distinct(), "message_id", "left")
     write_ok = F.col("metric_name") != "error"
     return d.select("message_id", write_ok.alias("write_ok"), (write_ok & F.col("_acked").isNotNull()).alias("ack_ok"))

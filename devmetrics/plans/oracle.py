@@ -127,7 +127,10 @@ SELECT persist_key, timestamp_ns FROM points WHERE timestamp_ns >= {P.NOW_NS - 3
 
 # --- delivery ledger -----------------------------------------------------------------------------------------------
 _L = ("telemetry", "enqueues", "dispatches", "acks")
-_FA = ", fa AS (SELECT message_id, min(ack_ns) AS ack_ns FROM acks WHERE message_id IS NOT NULL AND message_id <> '' GROUP BY message_id)"
+# A delivery's first ack is looked for among those since its sending: before it the id isn't pending, and the ack is unknown.
+_FA = (", fa AS (SELECT a.message_id, min(a.ack_ns) AS ack_ns FROM acks a JOIN dispatches d ON a.message_id = d.message_id AND a.ack_ns >= d.sent_ns "
+       "WHERE a.message_id <> '' GROUP BY a.message_id)")
+_UNKNOWN = "a.message_id <> '' AND NOT EXISTS (SELECT 1 FROM dispatches d WHERE d.message_id = a.message_id AND d.sent_ns <= a.ack_ns)"
 _TICK = f"(((sent_ns + {P.ACK_TIMEOUT_NS}) // {P.SCAN_INTERVAL_NS}) + 1) * {P.SCAN_INTERVAL_NS}"
 
 oracle("match_acks", _L, f"""
@@ -137,9 +140,8 @@ SELECT d.message_id, d.persist_key, d.sent_ns, fa.ack_ns, fa.ack_ns - d.sent_ns
 FROM dispatches d JOIN fa ON d.message_id = fa.message_id
 """)
 
-oracle("unknown_acks", _L, """
-SELECT message_id, ack_ns FROM acks a WHERE message_id <> ''
-  AND NOT EXISTS (SELECT 1 FROM dispatches d WHERE d.message_id = a.message_id)
+oracle("unknown_acks", _L, f"""
+SELECT message_id, ack_ns FROM acks a WHERE {_UNKNOWN}
 """)
 
 oracle("invalid_acks", _L, """
@@ -159,13 +161,12 @@ SELECT message_id, persist_key, ack_ns FROM eff
 
 oracle("ack_classes", _L, f"""
 {_EFF},
-n AS (SELECT coalesce(message_id, '') AS message_id, count(*) AS n FROM acks GROUP BY 1)
+since AS (SELECT a.message_id, count(*) AS n FROM acks a JOIN dispatches d ON a.message_id = d.message_id AND a.ack_ns >= d.sent_ns GROUP BY 1)
 SELECT 'effective' AS ack_class, count(*) AS acks FROM eff
-UNION ALL SELECT 'repeated', coalesce(sum(n - 1), 0)::BIGINT FROM n JOIN eff USING (message_id)
-UNION ALL SELECT 'late', coalesce(sum(n), 0)::BIGINT FROM n WHERE message_id IN (SELECT message_id FROM dispatches)
-  AND message_id NOT IN (SELECT message_id FROM eff)
-UNION ALL SELECT 'unknown', coalesce(sum(n), 0)::BIGINT FROM n WHERE message_id <> '' AND message_id NOT IN (SELECT message_id FROM dispatches)
-UNION ALL SELECT 'invalid', coalesce(sum(n), 0)::BIGINT FROM n WHERE message_id = ''
+UNION ALL SELECT 'repeated', coalesce(sum(n - 1), 0)::BIGINT FROM since JOIN eff USING (message_id)
+UNION ALL SELECT 'late', coalesce(sum(n), 0)::BIGINT FROM since WHERE message_id NOT IN (SELECT message_id FROM eff)
+UNION ALL SELECT 'unknown', count(*) FROM acks a WHERE {_UNKNOWN}
+UNION ALL SELECT 'invalid', count(*) FROM acks WHERE coalesce(message_id, '') = ''
 """)
 
 oracle("unacked", _L, f"""
@@ -175,7 +176,7 @@ SELECT persist_key, enqueued_ns FROM enqueues WHERE outcome = 'enqueued' AND per
 
 oracle("expired_pending", _L, f"""
 SELECT message_id, persist_key, sent_ns FROM dispatches d
-WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.message_id = d.message_id AND a.ack_ns <= {P.NOW_NS})
+WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.message_id = d.message_id AND a.ack_ns >= d.sent_ns AND a.ack_ns <= {P.NOW_NS})
   AND {P.NOW_NS} - sent_ns > {P.ACK_TIMEOUT_NS}
 """)
 
@@ -210,7 +211,7 @@ SELECT (SELECT count(*) FROM e WHERE outcome = 'enqueued') AS enqueued, (SELECT
   (SELECT count(*) FROM e WHERE outcome = 'persist_failed') AS persist_failed, (SELECT count(*) FROM d) AS dispatched,
   (SELECT count(*) FROM ok) AS acked, (SELECT count(*) FROM open WHERE tick <= {P.COUNTERS_NS}) AS requeued,
   (SELECT count(*) FROM open WHERE tick > {P.COUNTERS_NS}) AS pending,
-  (SELECT count(*) FROM a WHERE message_id <> '' AND message_id NOT IN (SELECT message_id FROM d)) AS unknown_acks,
+  (SELECT count(*) FROM a WHERE {_UNKNOWN}) AS unknown_acks,
   (SELECT count(*) FROM a WHERE message_id = '') AS invalid_acks,
   (SELECT count(*) FROM e WHERE outcome = 'enqueued' AND persist_key NOT IN (SELECT persist_key FROM ok)) AS recovered),
 w AS (SELECT *, enqueued - dispatched + requeued AS queue FROM c)
@@ -219,9 +220,8 @@ SELECT counter, value FROM w UNPIVOT (value FOR counter IN (enqueued, rejected,
 """)
 
 oracle("sink_rollup", _L, f"""
-{_FA},
-sl AS (SELECT t.metric_name <> 'error' AS write_ok, (t.metric_name <> 'error') AND fa.ack_ns IS NOT NULL AS ack_ok
-       FROM dispatches d JOIN telemetry t ON d.persist_key = t.persist_key LEFT JOIN fa ON d.message_id = fa.message_id)
+, sl AS (SELECT t.metric_name <> 'error' AS write_ok, (t.metric_name <> 'error') AND d.message_id IN (SELECT message_id FROM acks) AS ack_ok
+         FROM dispatches d JOIN telemetry t ON d.persist_key = t.persist_key)
 SELECT count(*) FILTER (WHERE write_ok) AS processed, count(*) FILTER (WHERE NOT write_ok) AS write_failed,
        count(*) FILTER (WHERE write_ok AND NOT ack_ok) AS ack_failed FROM sl
 """)
@@ -487,7 +487,7 @@ WHERE e.outcome = 'enqueued' AND e.enqueued_ns <= {P.END_NS} AND e.persist_key N
 oracle("late_acks", _L, f"""
 {_EFF}
 SELECT a.message_id, a.ack_ns, {_TICK} AS requeue_tick_ns
-FROM acks a JOIN dispatches d ON a.message_id = d.message_id
+FROM acks a JOIN dispatches d ON a.message_id = d.message_id AND a.ack_ns >= d.sent_ns
 WHERE a.message_id <> '' AND d.message_id NOT IN (SELECT message_id FROM eff)
 """)
 

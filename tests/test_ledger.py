@@ -175,3 +175,79 @@ def test_exact_percentiles_hot_group(spark):
         n = len(vals)
         pick = [vals[max(1, math.ceil(n * q)) - 1] for q in qs.values()]
         assert got[g] == (n, *pick)
+
+
+def _brute(disp, acks, timeout, scan):
+    """The queue's own rule, event by event: sendings put an id into the pending map, a scan tick takes overdue ones out,
+    an ack completes a pending id."""
+    pending, done, classes, first = {}, {}, [], {}
+    keys = {m: k for m, k, _ in disp}
+    events = sorted([(t, 1, m, None) for m, _, t in disp] + [(t, 2, m or "", i) for i, (m, t) in enumerate(acks)])
+    ticks = sorted({((t + timeout) // scan + 1) * scan for _, _, t in disp})
+    events = sorted([*events, *[(t, 0, "", None) for t in ticks]], key=lambda e: e[:3])
+    sent, late = {}, []
+    for t, what, m, i in events:
+        if what == 0:
+            for x in [x for x, s in pending.items() if t - s > timeout]:
+                del pending[x]
+        elif what == 1:
+            pending[m] = sent[m] = t
+        elif not m:
+            classes.append("invalid")
+        elif m not in sent:
+            classes.append("unknown")
+        else:
+            first.setdefault(m, t)
+            if m in pending:
+                del pending[m]
+                done[m] = t
+                classes.append("effective")
+            elif m in done:
+                classes.append("repeated")
+            else:
+                classes.append("late")
+                late.append((m, t))
+    return done, classes, first, late, {keys[m] for m in done}
+
+
+def test_acks_before_on_in_and_after_the_window(spark):
+    """Any mix of acks around sending (100 s), timeout and tick (140 s), for every delivery, against the queue's rule."""
+    import itertools
+    from collections import Counter
+
+    at = [50, 99, 100, 101, 130, 131, 139, 140, 141, 200]
+    mixes = [c for n in (0, 1, 2, 3) for c in itertools.combinations_with_replacement(at, n)]
+    disp, acks, enq = [], [("", 5 * S), (None, 7 * S), ("ghost", 100 * S), ("ghost", 1 * S)], [(10**6, 0, "enqueued")]
+    for k, mix in enumerate(mixes):
+        disp.append((f"m{k}", k, 100 * S))
+        enq.append((k, 90 * S, "enqueued"))
+        acks += [(f"m{k}", t * S) for t in mix]
+    e, d, a = _ledger(spark, enq, disp, acks)
+    scan = (30 * S, 10 * S)
+    done, classes, first, late, keys = _brute(disp, acks, *scan)
+    assert {r.message_id: r.ack_ns for r in ledger.effective_acks(d, a, *scan).collect()} == done
+    got = {r.ack_class: r.acks for r in ledger.ack_classes(d, a, *scan).collect()}
+    assert got == {c: Counter(classes)[c] for c in ("effective", "repeated", "late", "unknown", "invalid")}
+    assert sorted((r.message_id, r.ack_ns) for r in ledger.late_acks(d, a, *scan).collect()) == sorted(late)
+    assert ledger.unknown_acks(d, a).count() == got["unknown"]
+    times = {r.message_id: r for r in ledger.requeue_times(d, a, *scan).collect()}
+    assert {m for m, r in times.items() if r.acked_in_time} == set(done) and len(times) == len(disp)
+    assert all(r.requeued != r.acked_in_time and r.first_ack_ns == first.get(m) for m, r in times.items())
+    matched = {r.message_id: (r.ack_ns, r.latency_ns, r.on_time) for r in ledger.match_acks(d, a, 30 * S).collect()}
+    assert matched == {m: (t, t - 100 * S, t - 100 * S <= 30 * S) for m, t in first.items()}
+    accepted = {k for k, _, _ in enq}
+    assert {r.persist_key for r in ledger.unacked(e, d, a, *scan).collect()} == accepted - keys
+    assert {r.persist_key for r in ledger.dead_letters(d, a, 1, *scan).collect()} == {k for _, k, _ in disp} - keys
+    waiting = {r.message_id for r in ledger.expired_pending(d, a, 300 * S, 30 * S).collect()}
+    assert waiting == {m for m, _, _ in disp} - set(first)
+    audit = {r.check: r.value for r in ledger.at_least_once_audit(e, d, a, *scan).collect()}
+    assert audit["effective_acked"] == len(keys) and audit["missing"] == len(accepted - keys)
+    ready = {r.persist_key for r in ledger.ready_after_requeue(e, d, a, 300 * S, *scan).collect()}
+    assert ready == accepted - keys
+    for as_of in (60, 100, 120, 139, 140, 150, 300):
+        by = [x for x in acks if x[1] <= as_of * S], [x for x in disp if x[2] <= as_of * S]
+        c = {r.counter: r.value for r in ledger.queue_counters(e, d, a, as_of * S, *scan).collect()}
+        done_by, classes_by, *_ = _brute(by[1], by[0], *scan)
+        n = Counter(classes_by)
+        assert (c["acked"], c["unknown_acks"], c["invalid_acks"]) == (len(done_by), n["unknown"], n["invalid"])
+        assert c["requeued"] + c["pending"] == len(by[1]) - len(done_by) and (c["pending"] == 0 or as_of < 140)
