@@ -34,12 +34,13 @@ def depth_events(enqueues: DataFrame, dispatches: DataFrame, requeues: DataFrame
 
 
 def queue_depth(events: DataFrame, bucket_ns: int = NS_PER_MINUTE, partition: tuple[str, ...] = (),
-                materialize: bool = False) -> DataFrame:
+                materialize: bool = False, split_rows: int | None = None) -> DataFrame:
     """Depth after every event; at equal times -1 comes before +1, then by key and kind (a total order).
-    ``materialize`` computes the events once when they are derived by joins (see ``running_sum``)."""
+    ``materialize`` computes the events once when they are derived by joins; with ``split_rows`` a bucket of more
+    events is cut (see ``running_totals``)."""
     return running_sum(events, ["event_ns", "delta", "persist_key", "kind"], "delta",
                        truncate_ns(F.col("event_ns"), bucket_ns), "depth", partition, materialize,
-                       super_bucket=truncate_ns(F.col("event_ns"), NS_PER_DAY))
+                       super_bucket=truncate_ns(F.col("event_ns"), NS_PER_DAY), split_rows=split_rows)
 
 
 def high_water(depth: DataFrame, max_size: int, pct: int = 80) -> DataFrame:

@@ -9,19 +9,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devmetrics.functions.values import NS_PER_SECOND
-from devmetrics.operators.sequence import asof_join, previous_row, rolling_agg
+from devmetrics.functions.values import NS_PER_SECOND, truncate_ns
+from devmetrics.operators.sequence import asof_join, previous_row, rolling_agg, rolling_sums
+from devmetrics.session import materialize
+
 
 def attach_owner(points: DataFrame, assignments: DataFrame, bucket_ns: int, key: str = "gpu_id", split_rows: int | None = None) -> DataFrame:
-    """K1: who owned the GPU at each point's time: the latest assignment at or before it (as-of join), or null."""
+    """K1: who owned the GPU at each point's time: the latest assignment at or before it (as-of join), or null. Of
+    assignments of one time, the owner who is last in the order of names."""
     a = assignments.select(F.col("gpu_id").alias(key), "from_ns", "owner")
-    return asof_join(points, a, [key], "timestamp_ns", "from_ns", ["owner"], bucket_ns, split_rows=split_rows)
-
-
-def rolling_mean(points: DataFrame, width_ns: int, bucket_ns: int, keys: tuple[str, ...] = ("gpu_id", "metric_name")) -> DataFrame:
-    """K2: mean of the trailing ``width`` (``(t - width, t]``) per GPU and metric, and the number of points in it."""
-    return rolling_agg(points, list(keys), "timestamp_ns", width_ns,
-                       {"rolling_mean": F.avg("value"), "window_points": F.count(F.lit(1))}, bucket_ns)
+    tiebreak = "persist_key" if "persist_key" in points.columns else None
+    return asof_join(points, a, [key], "timestamp_ns", "from_ns", ["owner"], bucket_ns, split_rows=split_rows, tiebreak=tiebreak)
+
+
+def rolling_mean(points: DataFrame, width_ns: int, bucket_ns: int, keys: tuple[str, ...] = ("gpu_id", "metric_name"),
+                 split_rows: int | None = None) -> DataFrame:
+    """K2: mean of the trailing ``width`` (``(t - width, t]``) per GPU and metric, and the number of points in it.
+
+    A window over the rows of a (GPU, metric, bucket) holds them in one task and adds up every range anew. With
+    ``split_rows``, GPUs and metrics that have more rows than that in a bucket take ``rolling_sums`` instead, whose
+    largest task doesn't depend on them; the others stay as they are. (Both give the mean of the same values; the
+    order of addition may show in the last digit.)"""
+    means = {"rolling_mean": F.avg("value"), "window_points": F.count(F.lit(1))}
+    plain = lambda rows: rolling_agg(rows, list(keys), "timestamp_ns", width_ns, means, bucket_ns)
+    if not split_rows:
+        return plain(points)
+    key = F.struct(*[F.col(k) for k in keys])
+    counts = points.groupBy(key.alias("_key"), truncate_ns(F.col("timestamp_ns"), max(bucket_ns, width_ns))).agg(F.count(F.lit(1)).alias("_n"))
+    hot = materialize(counts.where(F.col("_n") > split_rows).select("_key").distinct(), "rolling-hot")
+    if hot.isEmpty():
+        return plain(points)
+    rows = points.withColumn("_key", key)
+    busy = rows.join(hot, "_key", "left_semi")
+    sums = rolling_sums(busy, keys, "timestamp_ns", "value", width_ns, bucket_ns, split_rows)
+    sums = sums.select(F.struct(*[F.col(k) for k in keys], "timestamp_ns").alias("_at"), F.col("_mean").alias("rolling_mean"), F.col("_points").alias("window_points"))
+    found = busy.withColumn("_at", F.struct(*[F.col(k) for k in keys], "timestamp_ns")).join(sums, "_at")
+    rest = plain(rows.join(hot, "_key", "left_anti").select(*points.columns))
+    return rest.unionByName(found.select(*rest.columns))
 
 
 def allow_namespaces(points: DataFrame, allowlist: DataFrame) -> DataFrame:
@@ -31,8 +55,9 @@ def allow_namespaces(points: DataFrame, allowlist: DataFrame) -> DataFrame:
 
 def map_sla_tier(points: DataFrame, model_tiers: DataFrame, default_tier: str = "standard",
                  model_col: str = "model_name") -> DataFrame:
-    """K4: SLA tier by model list; models not in the table get the default tier."""
-    tiers = model_tiers.select(F.col("model_name_csv").alias(model_col), "tier")
+    """K4: SLA tier by model list; models not in the table get the default tier. A model that is listed more than
+    once has the tier that comes first in the order of names: every point stays one row."""
+    tiers = model_tiers.groupBy(F.col("model_name_csv").alias(model_col)).agg(F.min("tier").alias("tier"))
     joined = points.join(tiers, model_col, "left")
     return joined.withColumn("tier", F.coalesce(F.col("tier"), F.lit(default_tier)))
 

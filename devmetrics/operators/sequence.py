@@ -3,12 +3,14 @@
 A window partitioned only by a key (``gpu_id``) puts all of a hot key's rows into one task, and an unpartitioned
 window puts everything into one task. Here every window is partitioned by (key, time bucket); what crosses a bucket
 boundary travels through per-bucket summaries (one row per key and bucket, bounded by the time span / bucket width,
-not by the row count) and is joined back on (key, bucket).
+not by the row count) and is joined back on (key, bucket). A bucket that holds too many rows is cut by their total
+order (``bucketed``).
 
 - ``previous_row``: the previous row of the same key in time order (lag), for derivatives and silences (K5, K6).
-- ``rolling_agg``: aggregates over a trailing time range, for rolling means (K2).
+- ``rolling_agg``: aggregates over a trailing time range, for rolling means (K2); ``rolling_sums`` for ranges of
+  very many rows.
 - ``asof_join``: the latest right row at or before each left row's time (K1).
-- ``running_sum``: a running total in a global order, for queue depth and FIFO positions (E1, E4).
+- ``running_sum``, ``running_totals``: running totals in a global order, for queue depth and FIFO positions (E1, E4).
 """
 
 from __future__ import annotations
@@ -27,37 +29,49 @@ def _materialize(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
-def _key_struct(keys: Sequence[str], bucket: str | None = None) -> Column:
-    """Keys (and bucket) as one struct column. A struct is never null and compares null fields as equal, so a plain
-    equi-join on it is null-safe -- and, unlike ``<=>`` on each key, it joins on exactly the column the window was
-    hash-partitioned by, so the large side is not shuffled again."""
-    fields = [F.col(k) for k in keys] + ([F.col(bucket).alias(bucket)] if bucket else [])
-    return F.struct(*fields)
+def _key_struct(keys: Sequence[str]) -> Column:
+    """Keys as one struct column. A struct is never null and compares null fields as equal, so a plain equi-join on it
+    is null-safe -- and, unlike ``<=>`` on each key, it joins on exactly the column the window was hash-partitioned by,
+    so the large side is not shuffled again."""
+    return F.struct(*[F.col(k) for k in keys])
 
 
-#: Parts that a (key, bucket) with too many rows is cut into.
-HOT_PARTS = 64
+def bucketed(df: DataFrame, keys: Sequence[str], base: Column, order: Sequence[str], facts: dict[str, Column], name: str,
+             split_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``_kb`` = (keys, _bucket = (base, part)), and a summary: one row per ``_kb`` with the aggregates
+    ``facts``, combined before its shuffle. ``base`` must be monotone in ``order``; so is ``_bucket``, within a key.
 
+    With ``split_rows`` the summary also counts rows. It is needed anyway and written once, so looking for (key, bucket)
+    groups of more than ``split_rows`` rows costs no pass over the input. Where there are none, the part is 0 and
+    that is all. The rows of those that are found are dealt out by Spark's range partitioning on (keys, base, order), to
+    tasks of ``split_rows`` rows on average, and written with their task as the part: a group is cut wherever its total
+    order says, also between rows of one time that differ in a later column of ``order``."""
+    def keyed(rows: DataFrame, part: Column) -> DataFrame:
+        bucket = F.struct(base.alias("base"), part.cast("int").alias("part")).alias("_bucket")
+        return rows.withColumn("_kb", F.struct(*[F.col(k) for k in keys], bucket))
 
-def hot_bounds(df: DataFrame, keys: Sequence[str], time_col: str, bucket_ns: int, split_rows: int) -> DataFrame:
-    """For every (key, bucket) with more than ``split_rows`` rows: inner boundaries at quantiles of its times, so that
-    the parts hold about equally many rows wherever in the bucket they lie. Counts and sketches are combined before
-    the shuffle; the result has one row per hot (key, bucket)."""
-    rows = df.select(_key_struct(keys).alias("_k"), truncate_ns(F.col(time_col), bucket_ns).alias("_base"), F.col(time_col).alias("_t"))
-    hot = rows.groupBy("_k", "_base").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows).drop("_n")
-    at = [i / HOT_PARTS for i in range(1, HOT_PARTS)]
-    return rows.join(hot, ["_k", "_base"]).groupBy("_k", "_base").agg(F.percentile_approx("_t", at, 2000).alias("_bounds"))
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("_kb").agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in facts.items()])
 
+    rows = keyed(df, F.lit(0))
+    if not split_rows:
+        return rows, summed(rows)
+    summary = _materialize(summed(rows), f"{name}-buckets")
+    hot = summary.where(F.col("_rows") > split_rows).select("_kb", "_rows")
+    n = hot.agg(F.sum("_rows")).first()[0]
+    if n is None:
+        return rows, summary
+    hot = hot.select("_kb")
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // split_rows))
+    places = [*keys, base, *[F.col(c) for c in order]]
+    cut = rows.join(hot, "_kb", "left_semi").drop("_kb").repartitionByRange(tasks, *places).withColumn("_at", F.monotonically_increasing_id())
+    cut = keyed(_materialize(cut, f"{name}-hot"), F.shiftright("_at", 33)).drop("_at")
+    return (rows.join(hot, "_kb", "left_anti").select(*rows.columns).unionByName(cut),
+            summary.join(hot, "_kb", "left_anti").unionByName(summed(cut)))
 
-def with_bucket(df: DataFrame, keys: Sequence[str], time_col: str, bucket_ns: int, bounds: DataFrame | None) -> DataFrame:
-    """``_bucket``: (bucket, part), monotone in time within a key; the part is 0 where the bucket isn't hot."""
-    base = truncate_ns(F.col(time_col), bucket_ns)
-    if bounds is None:
-        return df.withColumn("_bucket", F.struct(base.alias("base"), F.lit(0).alias("part")))
-    j = df.withColumn("_k", _key_struct(keys)).withColumn("_base", base).join(bounds, ["_k", "_base"], "left")
-    part = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col(time_col))), F.lit(0))
-    # (the size of a null array is null under ANSI rules and -1 otherwise)
-    return j.withColumn("_bucket", F.struct(F.col("_base").alias("base"), F.greatest(part, F.lit(0)).alias("part"))).drop("_k", "_base", "_bounds")
+
+def _key_of(keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col("_kb").getField(k).alias(k) for k in keys])
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], time_col: str, tiebreak: str, carry: Sequence[str],
@@ -65,38 +79,31 @@ def previous_row(df: DataFrame, keys: Sequence[str], time_col: str, tiebreak: st
     """Add ``prev_<c>`` (for ``c`` in ``carry`` plus ``time_col``) from the previous row of the same key in
     (time, tiebreak) order; null for a key's first row.
 
-    The input feeds the window and the per-bucket summaries. Over a table scan that is two column-pruned reads;
-    when ``df`` is an expensive derivation pass ``materialize=True`` to compute it once. With ``split_rows`` a (key,
-    bucket) of more rows is cut into parts of about equal size (``hot_bounds``), at the price of counting first."""
+    The input feeds the window and the per-bucket summaries (each bucket's last row). Over a table scan that is two
+    column-pruned reads; when ``df`` is an expensive derivation pass ``materialize=True`` to compute it once.
+    ``split_rows``: see ``bucketed``."""
     carried = [time_col, *[c for c in carry if c != time_col]]
     if materialize:
         df = _materialize(df, "previous-row")
-    b = with_bucket(df, keys, time_col, bucket_ns, hot_bounds(df, keys, time_col, bucket_ns, split_rows) if split_rows else None)
-    b = b.withColumn("_kb", _key_struct(keys, "_bucket"))
     order = [F.col(time_col), F.col(tiebreak)]
+    last = F.max_by(F.struct(*[F.col(c) for c in carried]), F.struct(*order))
+    b, summary = bucketed(df, keys, truncate_ns(F.col(time_col), bucket_ns), [time_col, tiebreak], {"_last": last}, "previous-row", split_rows)
     w = Window.partitionBy("_kb").orderBy(*order)
     within = b.select(
         "*", *[F.lag(c).over(w).alias(prefix + c) for c in carried],
         (F.row_number().over(w) == 1).alias("_first_in_bucket"),
     )
-    # Last row of every (key, bucket), taken from the window's output: grouped by the window's own partitioning
-    # column, so this aggregate adds no shuffle. Then, over these summaries (one row per key and bucket), the
-    # previous non-empty bucket's last row for each bucket.
-    last = within.groupBy("_kb").agg(
-        F.max_by(F.struct(*[F.col(c) for c in carried]), F.struct(*order)).alias("_last")
-    )
-    key_of = F.struct(*[F.col("_kb").getField(k).alias(k) for k in keys])
-    wb = Window.partitionBy(key_of).orderBy(F.col("_kb").getField("_bucket"))
-    carry_in = last.select("_kb", F.lag("_last").over(wb).alias("_carry"))
+    # over the summaries: the previous non-empty bucket's last row for each bucket
+    wb = Window.partitionBy(_key_of(keys)).orderBy(F.col("_kb").getField("_bucket"))
+    carry_in = summary.select("_kb", F.lag("_last").over(wb).alias("_carry"))
     joined = within.join(carry_in, "_kb", "left")
-    out = joined.select(
+    return joined.select(
         *[F.col(c) for c in df.columns],
         *[
             F.when(F.col("_first_in_bucket"), F.col("_carry").getField(c)).otherwise(F.col(prefix + c)).alias(prefix + c)
             for c in carried
         ],
     )
-    return out
 
 
 def rolling_agg(df: DataFrame, keys: Sequence[str], time_col: str, width_ns: int, aggs: dict[str, Column],
@@ -120,44 +127,59 @@ def rolling_agg(df: DataFrame, keys: Sequence[str], time_col: str, width_ns: int
     return out.where(~F.col("_ctx")).drop("_bucket", "_ctx")
 
 
+def rolling_sums(df: DataFrame, keys: Sequence[str], time_col: str, value_col: str, width_ns: int, bucket_ns: int,
+                 split_rows: int | None = None) -> DataFrame:
+    """Mean of a value (``_mean``) and number of rows (``_points``) over the trailing range ``(t - width, t]``, one row
+    per key and time, however many rows a range holds.
+
+    Rows of one key and time are added up first. The sums over a range are differences of running totals: that at ``t``
+    less that of the latest time at or before ``t - width`` (an as-of join of the totals with themselves). Decimal
+    totals make the differences exact; they hold values under a million in size with at most 20 decimals, as
+    all doubles of telemetry size are written. A range with any other value takes the difference of double totals."""
+    exact = F.when(F.abs(value_col) < 1e6, F.col(value_col)).cast("decimal(38,20)")
+    fits = exact.cast("double") == F.col(value_col)
+    odd = F.col(value_col).isNotNull() & ~F.coalesce(fits, F.lit(False))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    each = df.groupBy(*keys, time_col).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(value_col).alias("_values"), F.count_if(odd).alias("_odd"),
+        total(F.when(fits, exact)).cast("decimal(38,20)").alias("_exact"), total(value_col).cast("double").alias("_double"))
+    sums = ["_rows", "_values", "_odd", "_exact", "_double"]
+    upto = running_totals(each, [time_col], {f"{c}_upto": c for c in sums}, truncate_ns(F.col(time_col), bucket_ns), keys, split_rows=split_rows)
+    upto = _materialize(upto.select(*keys, time_col, *[f"{c}_upto" for c in sums]), "rolling-totals")
+    earlier = upto.select(*keys, F.col(time_col).alias("_low_time"), *[F.col(f"{c}_upto").alias(f"{c}_low") for c in sums])
+    both = asof_join(upto.withColumn("_low", F.col(time_col) - width_ns), earlier, keys, "_low", "_low_time",
+                     [f"{c}_low" for c in sums], bucket_ns, split_rows=split_rows, tiebreak="_low")
+    inside = {c: F.col(f"{c}_upto") - F.coalesce(F.col(f"{c}_low"), F.lit(0)) for c in sums}
+    added = F.when(inside["_odd"] == 0, inside["_exact"].cast("double")).otherwise(inside["_double"])
+    return both.select(*keys, time_col, F.when(inside["_values"] > 0, added / inside["_values"]).alias("_mean"), inside["_rows"].alias("_points"))
+
+
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str,
-              payload: Sequence[str], bucket_ns: int, materialize: bool = False, split_rows: int | None = None) -> DataFrame:
-    """Left join each left row to the latest right row of the same key with ``right_time <= left_time``.
+              payload: Sequence[str], bucket_ns: int, materialize: bool = False, split_rows: int | None = None,
+              tiebreak: str | None = None) -> DataFrame:
+    """Left join each left row to the latest right row of the same key with ``right_time <= left_time``; of right rows
+    of one time, to that with the largest payload.
 
     Within a (key, bucket) partition a running ``last(ignorenulls)`` over the union of both sides finds matches in
     the same bucket; the latest right row of any earlier bucket comes from per-bucket summaries. ``split_rows``: see
-    ``previous_row``; the boundaries are those of the left side, for both sides.
+    ``bucketed``; with ``tiebreak`` (a left column) left rows of one time are cut apart, too.
     """
     if materialize:
         left = _materialize(left, "asof-left")
     lcols = left.columns
-    bounds = hot_bounds(left, keys, left_time, bucket_ns, split_rows) if split_rows else None
     pay = F.struct(F.col(right_time).alias("_rt"), *[F.col(p) for p in payload])
     pay_type = right.select(pay.alias("p")).schema["p"].dataType
     lb = left.select(*lcols, F.lit(None).cast(pay_type).alias("_pay"), F.col(left_time).alias("_t"),
                      F.lit(1).alias("_side"))
     rb_cols = [F.lit(None).cast(left.schema[c].dataType).alias(c) if c not in keys else F.col(c) for c in lcols]
     rb = right.select(*rb_cols, pay.alias("_pay"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"))
-    u = with_bucket(lb.unionByName(rb), keys, "_t", bucket_ns, bounds).withColumn("_kb", _key_struct(keys, "_bucket"))
-    w = Window.partitionBy("_kb").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    order = ["_t", "_side", "_pay", *([tiebreak] if tiebreak else [])]
+    u, summary = bucketed(lb.unionByName(rb), keys, truncate_ns(F.col("_t"), bucket_ns), order, {"_last": F.max("_pay")}, "asof", split_rows)
+    w = Window.partitionBy("_kb").orderBy("_t", "_side", "_pay").rowsBetween(Window.unboundedPreceding, 0)
     within = u.withColumn("_match", F.last("_pay", ignorenulls=True).over(w)).where(F.col("_side") == 1)
-
-    r_last = (with_bucket(right, keys, right_time, bucket_ns, bounds)
-              .groupBy(_key_struct(keys, "_bucket").alias("_kb"))
-              .agg(F.max_by(pay, F.col(right_time)).alias("_last"), F.lit(1).alias("_side")))
-    # Buckets holding left rows, from the window's output (grouped by its partitioning column: no new shuffle).
-    l_buckets = within.select("_kb").distinct().select(
-        "_kb", F.lit(None).cast(pay_type).alias("_last"), F.lit(0).alias("_side"))
-    key_of = F.struct(*[F.col("_kb").getField(k).alias(k) for k in keys])
-    wb = (Window.partitionBy(key_of).orderBy(F.col("_kb").getField("_bucket"), "_side")
-          .rowsBetween(Window.unboundedPreceding, 0))
-    carry = (
-        l_buckets.unionByName(r_last)
-        .withColumn("_carry", F.last("_last", ignorenulls=True).over(wb))
-        .where(F.col("_side") == 0)
-        .select("_kb", "_carry")
-    )
-    # r_last rows at the same bucket sort after the left bucket row, so `_carry` only holds earlier buckets.
+    # (the largest payload of a bucket is its latest: it begins with the time)
+    wb = Window.partitionBy(_key_of(keys)).orderBy(F.col("_kb").getField("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select("_kb", F.last("_last", ignorenulls=True).over(wb).alias("_carry"))
     j = within.join(carry, "_kb", "left")
     m = F.coalesce(F.col("_match"), F.col("_carry"))
     return j.select(*lcols, *[m.getField(p).alias(p) for p in payload], m.getField("_rt").alias(right_time))
@@ -165,51 +187,51 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time:
 
 def running_sum(df: DataFrame, order: Sequence[str], value_col: str, bucket: Column, out_col: str,
                 partition: Sequence[str] = (), materialize: bool = False,
-                super_bucket: Column | None = None) -> DataFrame:
-    """Running total of ``value_col`` in ``order`` (within ``partition``), computed as a prefix sum of per-bucket
-    totals plus a running sum inside each bucket: no window ever sees more than one bucket of rows.
-
-    ``bucket`` must be monotone in ``order`` (for example the time truncated to a minute). Bucket offsets are a
-    prefix sum over one row per bucket. With ``super_bucket`` (monotone in ``bucket``, for example the day) that
-    prefix is taken in two levels -- over super-bucket totals, then inside each super-bucket -- so the only
-    sequential step (when there is no ``partition``) sees one row per super-bucket.
+                super_bucket: Column | None = None, split_rows: int | None = None) -> DataFrame:
+    """``running_totals`` of one column of whole numbers."""
+    out = running_totals(df, order, {out_col: value_col}, bucket, partition, materialize, super_bucket, split_rows)
+    return out.withColumn(out_col, F.col(out_col).cast("long"))
+
+
+def running_totals(df: DataFrame, order: Sequence[str], sums: dict[str, str], bucket: Column, partition: Sequence[str] = (),
+                   materialize: bool = False, super_bucket: Column | None = None, split_rows: int | None = None) -> DataFrame:
+    """Running totals in ``order`` (within ``partition``), for each output column of ``sums`` that of an input column,
+    computed as a prefix sum of per-bucket totals plus a running sum inside each bucket: no window ever sees more than
+    one bucket of rows.
+
+    ``bucket`` must be monotone in ``order`` (for example the time truncated to a minute); ``split_rows``: see
+    ``bucketed``. Bucket offsets are a prefix sum over one row per bucket. With ``super_bucket`` (monotone in
+    ``bucket``, for example the day) that prefix is taken in two levels -- over super-bucket totals, then inside each
+    super-bucket -- so the only sequential step (when there is no ``partition``) sees one row per super-bucket.
     """
-    b = df.withColumn("_bucket", bucket)
-    if super_bucket is not None:
-        b = b.withColumn("_super", super_bucket)
     if materialize:
-        b = _materialize(b, "running-sum")
-    b = b.withColumn("_kb", _key_struct(partition, "_bucket"))
-    wi = Window.partitionBy("_kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    within = b.withColumn("_run", F.sum(value_col).over(wi))
+        df = _materialize(df, "running-sum")
+    tot = {f"_tot{i}": c for i, c in enumerate(sums.values())}
     # Bucket totals from the rows, combined before their shuffle (a row per bucket and task), so that the window
     # over all rows is worked out once; a sum doesn't depend on the order of rows that tie.
-    extra = [F.max("_super").alias("_super")] if super_bucket is not None else []
-    totals = b.groupBy("_kb").agg(F.sum(value_col).alias("_tot"), *extra)
+    facts = {t: F.sum(c) for t, c in tot.items()} | ({"_super": F.max(super_bucket)} if super_bucket is not None else {})
+    b, totals = bucketed(df, partition, bucket, order, facts, "running-sum", split_rows)
+    wi = Window.partitionBy("_kb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    within = b.select("*", *[F.sum(c).over(wi).alias(f"_run{i}") for i, c in enumerate(sums.values())])
     bucket_of = F.col("_kb").getField("_bucket")
     part = [F.col("_kb").getField(k).alias(k) for k in partition]
-    before = Window.unboundedPreceding, -1
 
-    def prefix(over: list[Column], by: Column) -> Window:
-        w = Window.partitionBy(*over).orderBy(by) if over else Window.orderBy(by)
-        return w.rowsBetween(*before)
+    def earlier(prefix: str, name: str, over: list[Column], by: Column) -> list[Column]:
+        w = (Window.partitionBy(*over).orderBy(by) if over else Window.orderBy(by)).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.coalesce(F.sum(f"{name}{i}").over(w), F.lit(0)).alias(f"{prefix}{i}") for i in range(len(sums))]
 
     if super_bucket is None:
-        offsets = totals.select(
-            "_kb", F.coalesce(F.sum("_tot").over(prefix(part, bucket_of)), F.lit(0)).alias("_off"))
+        offsets = totals.select("_kb", *earlier("_off", "_tot", part, bucket_of))
     else:
         # Level 1: inside each super-bucket, partitioned by it. Level 2: over one row per super-bucket.
-        inner = totals.select(
-            "_kb", "_super", *part,
-            F.coalesce(F.sum("_tot").over(prefix([*part, F.col("_super")], bucket_of)), F.lit(0)).alias("_in"))
-        sup = totals.select(*part, "_super", "_tot").groupBy(*[F.col(k) for k in partition], "_super").agg(
-            F.sum("_tot").alias("_stot"))
-        sup_off = sup.select(*partition, "_super", F.coalesce(
-            F.sum("_stot").over(prefix([F.col(k) for k in partition], F.col("_super"))), F.lit(0)).alias("_soff"))
+        inner = totals.select("_kb", "_super", *part, *earlier("_in", "_tot", [*part, F.col("_super")], bucket_of))
+        sup = totals.select(*part, "_super", *tot).groupBy(*[F.col(k) for k in partition], "_super").agg(
+            *[F.sum(t).alias(f"_stot{i}") for i, t in enumerate(tot)])
+        sup_off = sup.select(*partition, "_super", *earlier("_soff", "_stot", [F.col(k) for k in partition], F.col("_super")))
         offsets = _join_keys(inner, sup_off, [*partition, "_super"]).select(
-            "_kb", (F.col("_in") + F.col("_soff")).alias("_off"))
+            "_kb", *[(F.col(f"_in{i}") + F.col(f"_soff{i}")).alias(f"_off{i}") for i in range(len(sums))])
     j = within.join(offsets, "_kb", "inner")
-    return j.select(*df.columns, (F.col("_off") + F.col("_run")).cast("long").alias(out_col))
+    return j.select(*df.columns, *[(F.col(f"_off{i}") + F.col(f"_run{i}")).alias(out) for i, out in enumerate(sums)])
 
 
 def _join_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -341,7 +341,7 @@ def _depth(spark: SparkSession, sf_dir: str, with_refusals: bool = False) -> Dat
     # Derived row by row from the accepted messages (the pop time is a function of the message): no join.
     pops = fx.accepted(tel).select(
         "persist_key", (F.col("timestamp_ns") + F.col("k") * NS_PER_MINUTE).alias("sent_ns"))
-    return depth.queue_depth(depth.depth_events(e, pops, with_refusals=with_refusals))
+    return depth.queue_depth(depth.depth_events(e, pops, with_refusals=with_refusals), split_rows=P.SPLIT_ROWS)
 
 
 @query
@@ -355,7 +355,7 @@ def queue_depth_requeues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 with its third leg: +1 per accept and per requeue tick, -1 per delivery."""
     _, e, d, a = _ledger(spark, sf_dir)
     events = depth.depth_events(e, d, ledger.requeues(d, a, *P.SCAN))
-    return depth.queue_depth(events).select("persist_key", "event_ns", "delta", "kind", "depth")
+    return depth.queue_depth(events, split_rows=P.SPLIT_ROWS).select("persist_key", "event_ns", "delta", "kind", "depth")
 
 
 @query
@@ -369,7 +369,7 @@ def partitioned_queue_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("accept").alias("kind"), part)
     pops = acc.select("persist_key", (F.col("timestamp_ns") + F.col("k") * NS_PER_MINUTE).alias("event_ns"),
                       F.lit(-1).alias("delta"), F.lit("dispatch").alias("kind"), part)
-    d = depth.queue_depth(accepts.unionByName(pops), partition=("partition",))
+    d = depth.queue_depth(accepts.unionByName(pops), partition=("partition",), split_rows=P.SPLIT_ROWS)
     return d.select("partition", "persist_key", "event_ns", "delta", "kind", "depth")
 
 
@@ -467,7 +467,7 @@ def attach_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: trailing 6-hour mean per GPU and metric."""
     p = _flat_points(spark, sf_dir).select("persist_key", "gpu_id", "metric_name", "timestamp_ns", "value")
-    r = enrich.rolling_mean(p, P.ROLLING_WIDTH_NS, bucket_ns=NS_PER_DAY)
+    r = enrich.rolling_mean(p, P.ROLLING_WIDTH_NS, bucket_ns=NS_PER_DAY, split_rows=P.SPLIT_ROWS)
     return r.select("persist_key", "gpu_id", "metric_name", "timestamp_ns",
                     # 9 decimals: exact means of 2-decimal values over small windows end within 8 decimals, so
                     # summation-order noise cannot flip the rounding.
