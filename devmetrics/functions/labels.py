@@ -57,14 +57,14 @@ def parse_labels(labels_raw: Column) -> Column:
 def labels_from_entries(entries: Column) -> Column:
     """Entries (text order) -> map with the last value of each key.
 
-    Repeated keys are rare, so rows whose keys are already distinct take ``map_from_entries`` directly; only the
-    others pay for the per-key last-value lookup."""
+    Repeated keys are rare, so rows whose keys are already distinct take ``map_from_entries`` directly. In the others
+    the entries are sorted by key and place, and the last one of each key is kept (n log n in the number of labels)."""
+    placed = F.sort_array(F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"), e["v"].alias("v"))))
+    last_of_key = lambda s: F.filter(s, lambda e, i: ~F.coalesce(F.get(s, i + 1)["k"] == e["k"], F.lit(False)))
+    # the sorted array is bound by `transform`: named inside the filter, it would be sorted anew for each entry
+    last = F.get(F.transform(F.array(placed), lambda s: F.transform(last_of_key(s), lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v")))), 0)
     keys = F.transform(entries, lambda e: e["k"])
-    distinct_keys = F.array_distinct(keys)
-    last_values = F.transform(distinct_keys,
-                              lambda k: F.element_at(F.filter(entries, lambda e: e["k"] == k), -1)["v"])
-    return F.when(F.size(distinct_keys) == F.size(keys), F.map_from_entries(entries)).otherwise(
-        F.map_from_arrays(distinct_keys, last_values))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_entries(entries)).otherwise(F.map_from_entries(last))
 
 
 def join_model_name(model_name: Column) -> Column:
