@@ -4,17 +4,22 @@ Words and pairs of neighbouring words are hashed into ``BUCKETS`` buckets. Two m
 buckets: that of the raw corpus, from every document, and that of a trusted target, from every document labelled as
 good whose id falls in one of two hash folds. A document's score is the sum of log(p_target / p_raw) over its n-grams,
 divided by their number. A document is kept if its score reaches the threshold: a low quantile, less a margin, of the
-scores of all trusted documents of the other fold, which the counts don't hold. No document is drawn at random. The
-base rules (too short, repetitive) come first.
+scores of all trusted documents of the other fold, which the counts don't hold. The quantile is exact and no document is
+drawn at random, so the threshold doesn't depend on how rows are dealt out. The base rules (too short, repetitive) come
+first.
 
 Defined cases: null, empty or blank text: no words, all counts 0, base_failed; without trusted documents the ratio
 is 0 everywhere and only the base rules decide; several labels for an id: good if any says so; null ids or labels:
-not trusted; repeated rows are judged row by row and each counts for the corpus; empty table: empty result; other
+not trusted; repeated rows are judged row by row and each counts for the corpus; scores that tie with the threshold are
+kept; very long texts are read whole, by one task, as arrays of their words' hashes; empty table: empty result; other
 columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,28 +61,40 @@ def word_hashes(text: Column) -> Column:
 def repeated_words(hashes: Column) -> Column:
     """Words covered by 3-word windows that occur twice or more.
 
-    Windows are told apart by their 64-bit hash. Only where some repeat, hash and place are packed into one number
-    (the place in the low bits, as many as the text needs), sorted, and compared with their neighbours."""
+    Windows are told apart by their 64-bit hash. Only where some repeat, they are sorted with their places and compared
+    with their neighbours. What is sorted is one number, the hash with its low bits replaced by the place (as many as
+    the text needs); where two different hashes agree in the bits that are left, pairs of hash and place are sorted."""
 
     def covered(windows: Column) -> Column:
         bits = F.ceil(F.log2(F.size(windows) + F.lit(2.0))).cast("int")
+        pairs = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i")))
 
         def with_bits(k: Column) -> Column:
-            packed = F.sort_array(F.transform(windows, lambda h, i: F.call_function("shiftleft", F.call_function("shiftright", h, k), k).bitwiseOR(i.cast("long"))))
+            packed = F.transform(windows, lambda h, i: F.call_function("shiftleft", F.call_function("shiftright", h, k), k).bitwiseOR(i.cast("long")))
             high = lambda x: F.call_function("shiftright", x, k)
+            low = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1)
+            whole = lambda x: F.get(windows, low(x).cast("int"))
+            mixed = lambda s: F.exists(neighbours(s, lambda a, b: (high(a) == high(b)) & (whole(a) != whole(b))), lambda e: e)
+            by_pair = let(F.sort_array(pairs), lambda s: count(places(s, lambda x: x["h"], lambda x: x["i"])))
+            return let(F.sort_array(packed), lambda s: F.when(mixed(s), by_pair).otherwise(count(places(s, high, low))))
+
+        return let(bits, with_bits)
 
-            def places(s: Column) -> Column:
-                same = F.zip_with(F.slice(s, F.lit(1), F.size(s) - 1), F.slice(s, F.lit(2), F.size(s)), lambda a, b: high(a) == high(b))
-                # a window counts if it equals the one before or the one after it
-                either = F.zip_with(F.concat(F.array(F.lit(False)), same), F.concat(same, F.array(F.lit(False))), lambda a, b: a | b)
-                low = F.zip_with(s, either, lambda x, e: F.when(e, x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1)))
-                return F.sort_array(F.filter(low, lambda p: p.isNotNull()))
+    def neighbours(s: Column, test: Callable[[Column, Column], Column]) -> Column:
+        return F.zip_with(F.slice(s, F.lit(1), F.size(s) - 1), F.slice(s, F.lit(2), F.size(s)), test)
 
-            step = lambda acc, p: F.struct((acc["n"] + F.least(F.lit(3).cast("long"), p - acc["last"])).alias("n"), p.alias("last"))
-            start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last"))
-            return F.aggregate(let(packed, places), start, step)["n"]
+    def places(s: Column, key: Callable[[Column], Column], place: Callable[[Column], Column]) -> Column:
+        """In order, the places of windows that equal the one before or the one after them."""
+        same = neighbours(s, lambda a, b: key(a) == key(b))
+        none = F.array(F.lit(False))
+        either = F.zip_with(F.concat(none, same), F.concat(same, none), lambda a, b: a | b)
+        return F.sort_array(F.filter(F.zip_with(s, either, lambda x, e: F.when(e, place(x))), lambda p: p.isNotNull()))
 
-        return let(bits, with_bits)
+    def count(found: Column) -> Column:
+        """Words that windows of three at these places cover."""
+        step = lambda acc, p: F.struct((acc["n"] + F.least(F.lit(3).cast("long"), p - acc["last"])).alias("n"), p.alias("last"))
+        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last"))
+        return F.aggregate(found, start, step)["n"]
 
     def of_windows(windows: Column) -> Column:
         return F.when(F.size(F.array_distinct(windows)) < F.size(windows), covered(windows)).otherwise(F.lit(0).cast("long"))
@@ -101,11 +118,22 @@ def base_columns(text: Column, hashes: Column) -> dict[str, Column]:
     }
 
 
+def counts_for_target(doc_id: Column) -> Column:
+    """Whether a trusted document of this id makes the target; the others are held back for the threshold."""
+    return F.xxhash64(doc_id) % 2 == 0
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """(doc_id, counted) of all documents labelled as good; ``counted``: whether it makes the target or is held back
-    for the threshold."""
+    """(doc_id, counted) of all documents labelled as good; ``counted``: ``counts_for_target``."""
     good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("q")).where(F.col("q") > 0)
-    return good.select("doc_id", (F.xxhash64("doc_id") % 2 == 0).alias("counted"))
+    return good.select("doc_id", counts_for_target(F.col("doc_id")).alias("counted"))
+
+
+def target_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The texts that make the target. The documents are cut to the fold before they meet the ids, and both sides are
+    dealt out by id whatever their size (a broadcast of ids would grow with the labels): half the texts move once."""
+    rows = docs.where(counts_for_target(F.col("doc_id"))).select("doc_id", "text")
+    return rows.join(trusted.where("counted").select("doc_id").hint("merge"), "doc_id").select("text")
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, shrink: float = SHRINK) -> DataFrame:
@@ -144,17 +172,46 @@ def score_column(hashes: Column, weights: Column, buckets: int = BUCKETS) -> Col
     return let(grams, lambda g: F.when(F.size(g) > 0, total(g)).otherwise(F.lit(0.0)))
 
 
+def exact_quantile(values: DataFrame, quantile: float) -> float | None:
+    """Of a column ``score``, the value of rank ceil(quantile * rows) (from 1), in ten-thousandths rounded down; null
+    without rows.
+
+    Rows are counted, first by tenths, then by ten-thousandths within the tenth that holds the rank: the driver gets a
+    row for each tenth between the least and the largest score (mean log-ratios, tens at most), and a thousand."""
+    places = values.where(F.col("score").isNotNull()).select(F.floor(F.col("score") * 10_000).cast("long").alias("v"))
+
+    def counted(rows: DataFrame, by: Column) -> list[tuple[int, int]]:
+        return sorted((r[0], r[1]) for r in rows.groupBy(by.alias("b")).agg(F.count("*").alias("n")).collect())
+
+    tenths = counted(places, F.floor(F.col("v") / 1000).cast("long"))
+    rank = max(1, math.ceil(quantile * sum(n for _, n in tenths)))
+    for tenth, n in tenths:
+        if rank <= n:
+            break
+        rank -= n
+    else:
+        return None
+    for value, n in counted(places.where(F.floor(F.col("v") / 1000) == tenth), F.col("v")):
+        if rank <= n:
+            return value / 10_000
+        rank -= n
+    raise AssertionError("the scores changed between two passes")
+
+
 def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score per document."""
-    # joined once and written, as a join of large tables moves all texts; no hint: the ids grow with the labels
-    trusted = materialize(docs.select("doc_id", "text").join(trusted_ids(labels), "doc_id").select("text", "counted"), "quality-trusted")
-    weights = weight_list(log_ratios(docs, trusted.where("counted")))
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score per document.
+
+    Every text is scored once; the threshold comes from the scores of the held-back ids, which are written, without
+    their texts."""
+    trusted = materialize(trusted_ids(labels), "quality-trusted")
+    weights = weight_list(log_ratios(docs, target_texts(docs, trusted)))
     whole = F.coalesce(F.col("text"), F.lit(""))
-    scored = trusted.where("not counted").select(let(word_hashes(whole), lambda h: score_column(h, weights)).alias("score"))
-    low = scored.agg(F.percentile_approx("score", F.lit(quantile), F.lit(10_000))).first()[0]
-    threshold = -1e9 if low is None else low - margin
     found = docs.select("doc_id", let(word_hashes(whole), lambda h: F.struct(
         *(c.alias(n) for n, c in base_columns(whole, h).items()), score_column(h, weights).alias("score"))).alias("f")).select("doc_id", "f.*")
+    found = materialize(found, "quality-scores")
+    held = found.where(~counts_for_target(F.col("doc_id"))).select("doc_id", "score")
+    low = exact_quantile(held.join(trusted.where("not counted").hint("merge"), "doc_id"), quantile)
+    threshold = -1e9 if low is None else low - margin
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
                         (~failed & (F.col("score") >= threshold)).alias("kept"), "score")

@@ -99,3 +99,46 @@ def test_every_trusted_document_counts(spark):
     assert sum(folds.values()) == 24_000 and min(folds.values()) > 11_000
     got = quality.judge_quality(docs, marks).where("kept").collect()
     assert len(got) == 24_000
+
+
+def test_exact_quantile(spark):
+    rng = np.random.default_rng(8)
+    scores = [*rng.normal(-1, 2, 5000).tolist(), *[-2.5] * 300, None]
+    want = np.sort(np.floor(np.array(scores[:-1]) * 10_000).astype(int))
+    for parts in (1, 7, 40):
+        df = spark.createDataFrame([(s,) for s in scores], "score double").repartition(parts)
+        for q in (0.0, 0.005, 0.25, 0.5, 1.0):
+            assert quality.exact_quantile(df, q) == want[max(1, int(np.ceil(q * len(want)))) - 1] / 10_000
+    assert quality.exact_quantile(df.limit(0), 0.5) is None
+
+
+def test_threshold_and_verdicts_against_python(spark):
+    """kept: the score against the quantile of the held-back trusted scores, however the rows are dealt out."""
+    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    rows = sorted(quality.judge_quality(docs, labels).collect())
+    held = {r.doc_id for r in quality.trusted_ids(labels).where("not counted").collect()}
+    scores = sorted(np.floor(r.score * 10_000) for r in rows if r.doc_id in held)
+    low = scores[max(1, int(np.ceil(quality.QUANTILE * len(scores)))) - 1] / 10_000
+    assert len(scores) > 50 and all(r.kept == (not r.base_failed and r.score >= low - quality.MARGIN) for r in rows)
+    assert sorted(quality.judge_quality(docs.repartition(13), labels.repartition(5)).collect()) == rows
+
+
+def test_windows_that_agree_in_the_bits_kept(spark):
+    """Different windows whose packed numbers agree are told apart by their whole hash."""
+    text = " ".join(["a b c d"] * 2 + [f"u{i}" for i in range(40)])
+    df = spark.createDataFrame([(text,)], "text string")
+    shown = lambda c: df.select(c.alias("n")).first().n
+    assert shown(quality.repeated_words(quality.word_hashes(F.col("text")))) == brute(text)[4] == 8
+    # with the hash of a window in its low bits only, all of them agree above
+    low = lambda *c: real(*c).bitwiseAND(3)
+    real = F.xxhash64
+    try:
+        F.xxhash64 = low
+        hashes = F.array(*[F.lit(i).cast("long") for i in (1, 2, 3, 4, 1, 2, 3, 9, 8, 7)])
+        got = shown(quality.repeated_words(hashes))
+        codes = [df.select(low(*[F.lit(x).cast("long") for x in w])).first()[0] for w in zip((1, 2, 3, 4, 1, 2, 3, 9), (2, 3, 4, 1, 2, 3, 9, 8), (3, 4, 1, 2, 3, 9, 8, 7))]
+    finally:
+        F.xxhash64 = real
+    times = Counter(codes)
+    want = {j for i, c in enumerate(codes) if times[c] > 1 for j in (i, i + 1, i + 2)}
+    assert got == len(want)
