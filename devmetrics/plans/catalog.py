@@ -22,7 +22,7 @@ from devmetrics.operators import depth, enrich, ledger, reads, sender
 from devmetrics.operators.points import build_points, pivot_fields, series_id, sorted_tags, unpivot_fields, upsert_points, widen_tags
 from devmetrics.plans import params as P
 from devmetrics.session import scratch_path
-from devmetrics.streaming import streams
+from devmetrics.streaming import carried, streams
 from devmetrics.plans import fixtures as fx
 from devmetrics.sources.backlog import read_backlog, write_backlog
 from devmetrics.sources.csv import quote_csv_field, read_metrics_csv, stamp_arrival
@@ -654,10 +654,17 @@ def _run_stream(spark: SparkSession, df: DataFrame, name: str, output_mode: str
 
 
 def _events_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    """The events as four files in no order of time, one file per micro-batch."""
+    """The events as files in no order of time, a quarter of them per micro-batch."""
     events = fx.table(spark, sf_dir, "events")
-    events.repartition(4, F.xxhash64("event_id")).write.mode("overwrite").parquet(f"{base}/events")
-    return streams.table_stream(spark, f"{base}/events", max_files_per_trigger=1)
+    n = _file_count(events)
+    events.repartition(n, F.xxhash64("event_id")).write.mode("overwrite").parquet(f"{base}/events")
+    return streams.table_stream(spark, f"{base}/events", max_files_per_trigger=n // 4)
+
+
+def _file_count(df: DataFrame) -> int:
+    """As many files as the scan has splits, a multiple of four."""
+    last = df.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0]
+    return 4 * (1 + (last or 0) // 4)
 
 
 def _run(df: DataFrame, writer, checkpoint: str) -> None:
@@ -711,13 +718,38 @@ def stream_ack_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.ack_timeout_at_read(spark, f"{base}/dispatches", f"{base}/acks", P.ACK_TIMEOUT_NS)
 
 
+@query
+def stream_open_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 with carried state: deliveries not acked within 30 s, from the open deliveries that each of four micro-batches
+    out of order hands to the next."""
+    base = scratch_path(spark, "stream-open-deliveries")
+    tel = fx.telemetry_from_events(_events_stream(spark, sf_dir, base))
+    carry = carried.open_deliveries_writer(f"{base}/open", P.ACK_TIMEOUT_NS)
+    _run(tel, lambda batch, n: carry(carried.ledger_rows(fx.dispatches(batch), fx.acks(batch)), n), f"{base}/checkpoint")
+    return carried.open_deliveries(spark, f"{base}/open", P.ACK_TIMEOUT_NS)
+
+
+@query
+def stream_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I3 before the sink: every delivery writes its message's point (a redelivery repeats it), over four micro-batches
+    out of order; only the first copy of each point reaches the sink."""
+    base = scratch_path(spark, "stream-first-copies")
+    tel = fx.telemetry_from_events(_events_stream(spark, sf_dir, base))
+    both = build_points(tel).unionByName(build_points(fx.redelivered(tel))).select(
+        "persist_key", "timestamp_ns", "series_id", F.col("fields.metric_name").alias("metric_name"))
+    _run(both, carried.first_copies_writer(f"{base}/keys", streams.batch_dir_writer(f"{base}/out")), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
 @query
 def stream_csv_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I5 from end to end: CSV files as they arrive -> rejects and points -> store, both read back."""
     base = scratch_path(spark, "stream-csv-store")
-    _csv_lines(fx.telemetry(spark, sf_dir)).repartition(4).write.mode("overwrite").text(f"{base}/in")
+    lines = _csv_lines(fx.telemetry(spark, sf_dir))
+    n = _file_count(lines)
+    lines.repartition(n).write.mode("overwrite").text(f"{base}/in")
     q = streams.ingest_csv_stream(spark, f"{base}/in", f"{base}/store", f"{base}/checkpoint", "node-a", event_time="recorded",
-                                  rejects_path=f"{base}/rejects", available_now=True, header=False, max_files_per_trigger=1)
+                                  rejects_path=f"{base}/rejects", available_now=True, header=False, max_files_per_trigger=n // 4)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
@@ -734,9 +766,11 @@ def stream_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: the telemetry CSV lines of ``csv_ingest`` as files arriving in a folder, ingested by a file stream one
     file per trigger; the batch folders hold the same rows as the batch ingest."""
     base = scratch_path(spark, "stream-csv")
-    _csv_lines(fx.telemetry(spark, sf_dir)).repartition(4).write.mode("overwrite").text(f"{base}/in")
+    lines = _csv_lines(fx.telemetry(spark, sf_dir))
+    n = _file_count(lines)
+    lines.repartition(n).write.mode("overwrite").text(f"{base}/in")
     rows = streams.read_metrics_csv_stream(spark, f"{base}/in", "node-a", event_time="recorded", header=False,
-                                           max_files_per_trigger=1)
+                                           max_files_per_trigger=n // 4)
     flat = rows.select("timestamp_ns", "metric_name", "gpu_id", F.array_join("model_name", ",").alias("model_names"),
                        "namespace", "value", "labels_raw", "reject_reason")
     return _run_stream(spark, flat, "stream-csv-out").drop("batch_id")

@@ -465,6 +465,9 @@ WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.message_id = d.message_id AND a.m
                   AND a.ack_ns >= d.sent_ns AND a.ack_ns <= d.sent_ns + {P.ACK_TIMEOUT_NS})
 """)
 
+ORACLE["stream_open_deliveries"] = ORACLE["stream_ack_timeout"]
+ORACLE["stream_first_copies"] = ORACLE["stream_dedup"]
+
 # --- ledger shapes and long form -------------------------------------------------------------------------------------
 oracle("requeue_ledger", _L, f"""
 {_FA}
