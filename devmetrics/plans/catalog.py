@@ -737,7 +737,7 @@ def stream_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     tel = fx.telemetry_from_events(_events_stream(spark, sf_dir, base))
     both = build_points(tel).unionByName(build_points(fx.redelivered(tel))).select(
         "persist_key", "timestamp_ns", "series_id", F.col("fields.metric_name").alias("metric_name"))
-    _run(both, carried.first_copies_writer(f"{base}/keys", streams.batch_dir_writer(f"{base}/out")), f"{base}/checkpoint")
+    _run(both, carried.first_copies_writer(f"{base}/keys", streams.batch_dir_writer(f"{base}/out"), buckets=1), f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 

@@ -19,7 +19,7 @@ from devmetrics.functions.values import non_empty, ns_to_utc_date
 LEDGER = "side string, message_id string, persist_key long, at_ns long"
 DELIVERY, ACK = "delivery", "ack"
 #: Parts of a day's keys; a batch reads those that its own keys fall into.
-KEY_BUCKETS = 16
+KEY_BUCKETS = 4
 
 
 def _path(spark: SparkSession, path: str):
@@ -64,6 +64,14 @@ def open_deliveries_writer(path: str, timeout_ns: int, max_delay_ns: int | None
         before = [v for v in _versions(spark, f"{path}/state") if v < batch_id]
         new = batch.where(non_empty(F.col("message_id"))).select("side", "message_id", "persist_key", "at_ns")
         rows = new.unionByName(spark.read.schema(LEDGER).parquet(f"{path}/state/v={before[-1]}")) if before else new
+        rows = rows.persist()
+        try:
+            carry(batch, batch_id, rows, before)
+        finally:
+            rows.unpersist()
+
+    def carry(batch: DataFrame, batch_id: int, rows: DataFrame, before: list[int]) -> None:
+        spark = batch.sparkSession
         deliveries = rows.where(F.col("side") == DELIVERY).select("message_id", "persist_key", F.col("at_ns").alias("sent_ns"))
         acks = rows.where(F.col("side") == ACK).select("message_id", F.col("at_ns").alias("ack_ns"))
         in_time = (F.col("ack_ns") >= F.col("sent_ns")) & (F.col("ack_ns") <= F.col("sent_ns") + timeout_ns)
@@ -107,8 +115,12 @@ def open_deliveries(spark: SparkSession, path: str, timeout_ns: int, as_of_ns: i
 
 def touched_segments(spark: SparkSession, path: str, places: Sequence[tuple[str, int]]) -> list[str]:
     """Folders of the key table that a batch with keys in ``places`` (date, bucket) reads."""
-    folders = [f"{path}/date={d}/bucket={b}" for d, b in places]
-    return [f for f in folders if exists(spark, f)]
+    def folders(parent: str) -> set[str]:
+        fs, p = _path(spark, parent)
+        return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+    there = {d: folders(f"{path}/{d}") for d in folders(path) & {f"date={d}" for d, _ in places}}
+    return [f"{path}/date={d}/bucket={b}" for d, b in places if f"bucket={b}" in there.get(f"date={d}", ())]
 
 
 def first_copies_writer(path: str, sink: Callable[[DataFrame, int], None], key: Sequence[str] = ("series_id", "timestamp_ns", "metric_name"),
