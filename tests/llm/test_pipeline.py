@@ -83,5 +83,5 @@ def test_odd_and_empty_tables(spark, odd, empty):
 
 def test_registered():
     found = entry.queries()
-    assert "pipeline" in found and sum(k.startswith("op") and k[2].isdigit() for k in found) == 10
+    assert "pipeline" in found and sum(k.startswith("op") and k[2].isdigit() for k in found) == 13
     assert simhash.MAX_BITS == 3 and simhash.SHINGLE == 3
