@@ -7,7 +7,8 @@
 5. SentencePiece: the sampled piece ids of every text, with a check that decoding gives the text back.
 
 A stage is called with the rows that the stage before it wrote; all but the last return the columns of documents.
-Nulls, empty texts, repeated rows and empty tables are handled as the operators' modules say.
+Nulls, empty texts, repeated rows and empty tables are handled as the operators' modules say; extra columns may have
+any names (stage columns take names that are free).
 """
 
 from __future__ import annotations
@@ -16,15 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devmetrics.llm import mixing, secrets, sentence_pieces, simhash, toxicity
-from devmetrics.llm.common import ship_package, table
+from devmetrics.llm.common import free_names, quoted, ship_package, table
 from devmetrics.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.learnable())
-    judged = toxicity.with_toxicity(docs, model)
-    return judged.where(F.col("__toxicity.score") < toxicity.THRESHOLD).select(*docs.columns)
+    name = free_names(docs, "toxicity")[0]
+    judged = toxicity.with_toxicity(docs, model, name=name)
+    return judged.where(F.col(name)["score"] < toxicity.THRESHOLD).select(*map(quoted, docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ship_package(spark)
-    return sentence_pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    # the encoder names columns of its own and takes names as they are written
+    odd = [c for c in docs.columns if "." in c or "`" in c or c.lower() in ("__text", "__key")]
+    plain = dict(zip(odd, free_names(docs, *[f"column{i}" for i in range(len(odd))])))
+    encoded = sentence_pieces.encode_documents(docs.withColumnsRenamed(plain), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.withColumnsRenamed({v: k for k, v in plain.items()})
 
 
 STAGES = [

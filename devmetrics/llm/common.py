@@ -37,6 +37,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, whatever characters (dots, too) that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """For each name one like it that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        own = f"__{name}"
+        while own.lower() in taken:
+            own += "_"
+        taken.add(own.lower())
+        found.append(own)
+    return found
+
+
 def bounded_sample(rows: DataFrame, by: str, limit: Column, most: int) -> DataFrame:
     """Of rows (doc_id, ``by``) at most ``limit`` (a column; ``most`` at most) for each value, those first in the
     order of md5(doc_id).

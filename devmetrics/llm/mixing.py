@@ -5,9 +5,10 @@ own words at most: sources above that are clamped, and what they can't give is s
 proportion to their weights, until none is above. A source then takes whole repetitions of all its documents and,
 of a last partial repetition, the documents that come first in a seeded order, up to its target.
 
-Defined cases: null source: a source of its own; null or blank text: size 0, takes 0 words, is kept in the table;
-rows that repeat an (id, text) pair share a place in the seeded order and are taken or left together; empty table:
-empty result; extra columns pass through ``mixed_documents`` untouched.
+Defined cases: null source: a source of its own; null or blank text: size 0, takes 0 words, is kept in the table, and is
+never in a partial repetition; rows that repeat an (id, text) pair share a place in the seeded order and are taken or
+left together, which is also how ties in that order go; very long texts are counted whole, a text never being split;
+empty table: empty result; extra columns, whatever their names, pass through ``mixed_documents`` untouched.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from devmetrics.llm.common import WORD, numbered
+from devmetrics.llm.common import WORD, free_names, numbered, quoted
 from devmetrics.session import materialize
 
 
@@ -94,10 +95,12 @@ def plan_mix(docs: DataFrame, cycle: tuple[int, ...], share: float, max_epochs:
 
 
 def repetitions(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows with source and key, with the plan's columns and ``repeats``: how often the mix takes the document."""
+    """Rows with source, size and key, with the plan's columns and ``repeats``: how often the mix takes the document.
+    One without words adds nothing to the partial repetition, and is taken as often as the whole ones."""
     plan = plan.withColumnRenamed("source", "__source")
+    once_more = ((F.col("key") <= F.col("last_key")) & (F.col("size") > 0)).cast("long")
     return (rows.join(plan, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-            .withColumn("repeats", F.col("whole") + (F.col("key") <= F.col("last_key")).cast("long")))
+            .withColumn("repeats", F.col("whole") + once_more))
 
 
 def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2,
@@ -110,14 +113,15 @@ def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share: floa
 
 def mixed_documents(docs: DataFrame, cycle: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2,
                     seed: int = 13) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with the columns of ``docs``."""
+    """The mix itself: every document as often as it is taken, with the columns of ``docs``, whatever their names."""
     _, plan = plan_mix(docs, cycle, share, max_epochs, seed)
-    plan = plan.select(F.col("source").alias("__source"), F.col("whole").alias("__whole"), F.col("last_key").alias("__last"))
-    more = (sample_key(F.col("doc_id"), F.col("text"), seed) <= F.col("__last")).cast("long")
-    return (docs.join(plan, F.col("source").eqNullSafe(F.col("__source")))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__whole") + F.lit(1))))
-            .where((F.col("__copy") <= F.col("__whole")) | (more == 1))
-            .select(*docs.columns))
+    source, whole, last, copy = free_names(docs, "source", "whole", "last", "copy")
+    plan = plan.select(F.col("source").alias(source), F.col("whole").alias(whole), F.col("last_key").alias(last))
+    more = (sample_key(F.col("doc_id"), F.col("text"), seed) <= F.col(last)) & (word_count(F.col("text")) > 0)
+    return (docs.join(plan, F.col("source").eqNullSafe(F.col(source)))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(whole) + F.lit(1))))
+            .where((F.col(copy) <= F.col(whole)) | more)
+            .select(*map(quoted, docs.columns)))
 
 
 def oracle_sql(share: float = 1.5, max_epochs: int = 2, seed: int = 13) -> str:

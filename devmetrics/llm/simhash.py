@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devmetrics.llm.components import components
+from devmetrics.llm.common import free_names, quoted
 from devmetrics.session import materialize
 
 SHINGLE = 3
@@ -185,10 +186,11 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     """The rows of ``docs``, one of each component: that with the least doc_id (null ids last).
 
     Rows get a number in a written copy, so that repeated rows and repeated or null ids are told apart."""
-    rows = materialize(docs.select("*", fingerprint_column(F.col("text"), shingle).alias("__fp"),
-                                   F.monotonically_increasing_id().alias("__row")), "simhash-rows")
-    prints = rows.select("doc_id", F.col("__fp").alias("fp"), "__row")
+    fp, row = free_names(docs, "fp", "row")
+    rows = materialize(docs.select("*", fingerprint_column(F.col("text"), shingle).alias(fp),
+                                   F.monotonically_increasing_id().alias(row)), "simhash-rows")
+    prints = rows.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("__row"))
     rooted = prints.join(classes(prints, max_bits, blocks), "fp")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
-    kept = rooted.groupBy("root").agg(F.min(place).alias("__p")).select(F.col("__p.__row").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+    kept = rooted.groupBy("root").agg(F.min(place).alias("__p")).select(F.col("__p.__row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*map(quoted, docs.columns))

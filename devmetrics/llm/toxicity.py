@@ -196,8 +196,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, limits: tuple[int, int]
     return train([r.text for r in rows], [r.label for r in rows])
 
 
-def with_toxicity(docs: DataFrame, model: Model, locate: float | None = None) -> DataFrame:
-    """``docs`` with ``__toxicity``: struct of score and offending (start, end, p in code points of the text)."""
+def with_toxicity(docs: DataFrame, model: Model, locate: float | None = None, name: str = "__toxicity") -> DataFrame:
+    """``docs`` with a column ``name``: struct of score and offending (start, end, p in code points of the text)."""
 
     @F.pandas_udf("score double, offending array<struct<start:int,end:int,p:double>>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -206,7 +206,7 @@ def with_toxicity(docs: DataFrame, model: Model, locate: float | None = None) ->
             scores, spans = scorer.score(batch.tolist(), locate)
             yield pd.DataFrame({"score": scores, "offending": [[{"start": a, "end": b, "p": p} for a, b, p in s] for s in spans]})
 
-    return docs.withColumn("__toxicity", judge("text"))
+    return docs.withColumn(name, judge("text"))
 
 
 def learnable():

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -81,6 +82,25 @@ def test_odd_and_empty_tables(spark, odd, empty):
             assert docs.count() <= 2 * n
 
 
+def test_clashing_names(spark, odd):
+    """Extra columns named like those the stages use, or with a dot, come through with their values."""
+    names = ["__row", "__fp", "__source", "__whole", "__last", "__copy", "__toxicity", "__spans", "a.b", "x`y", "__text", "__key", "label", "score", "Size"]
+    docs = odd.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES:
+        plain = materialize(stage(spark, odd, SF_SMALL), "test-names")
+        got = materialize(stage(spark, docs, SF_SMALL), "test-names")
+        own = [c for c in got.columns if c not in names]
+        assert sorted(map(str, got.select(*own).collect())) == sorted(map(str, plain.select(*own).collect())), name
+        assert [set(r[i] for r in got.collect()) for i, c in enumerate(got.columns) if c in names] == [{i} for i in range(len(names))], name
+
+
+def test_texts_without_words_are_not_taken_more_often(spark, odd):
+    texts = [(i, t, "en", s, 0) for i, (t, s) in enumerate([("", "a"), (" ", "a"), (None, "a"), ("w " * 50, "a"), ("", "b"), ("x y z " * 9, "b")] * 7)]
+    docs = spark.createDataFrame(texts, odd.schema)
+    taken = Counter(r.doc_id for r in corpus_pipeline.mix(spark, docs, SF_SMALL).collect())
+    assert max(taken.values()) <= 2
+
+
 def test_registered():
     found = entry.queries()
     assert "pipeline" in found and sum(k.startswith("op") and k[2].isdigit() for k in found) == 13

@@ -15,24 +15,72 @@ TEXTS = [
     "key Zx9Qp2Lm8Vt4Rk7Ws1Yd6 and 9f86d081884c7d659A2feaa0c55ad015 and aaaaaaaaaaaaaaaaaaaaaaaaaaa1B",
     "id 123e4567-e89b-12d3-a456-426614174000 exampleKey1234567890Abcdefghij ABCDEFGHabcdefgh012345678901",
     "einschachchßchpfheitschverheiten queelleaiierelletionlamentqueelle", "", None, "token=abcdef" * 40,
+    "base32 JBSWY3DPEHPK3PXP7QXKZLMNOAT5VBCD2WEH base36 k3j9x0q7zt5w1m8v4r2y6p0b3n7c5d9f1g8h end",
+    "/sample/Zx9Qp2Lm8Vt4Rk7Ws1Yd6 12345678/Zx9Qp2Lm8Vt4Rk7Ws1Yd6 ------Zx9Qp2Lm8Vt4Rk7Ws1Yd6 id=K3J9X0Q7ZT5W1M8V4R2Y6P0B3",
+    "some-title-of-2023-page-with-11-words/and-2-more thequickbrownfoxjumps2023overthelazydog and covid19infections2020numbers",
+    "é" * 40_000 + " token=abcdefgh " + "Zx9Qp2Lm8Vt4Rk7Ws1Yd6 deadbeefdeadbeefdeadbeef01 " * 3 + "𝔘" * 33_000 + "Zx9Qp2Lm8Vt4Rk7Ws1Yd6" * 4_000,
     "Kelvin: toKen=abcdef password=abcdefg", "Q7w" * 2000 + "xY3kLm9PqRs7TuVw2ZaBc4DeFg",
 ]
 
 
+#: The classes and the allow-list in this test's own words.
+ALLOWED = ["example", "sample", "dummy", "placeholder", "your_", "your-", "abcdefgh"]
+UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+
+
+def allowed_at(c, i):
+    """Length of what the allow-list matches at a place, or 0."""
+    for word in ALLOWED:
+        if c[i:i + len(word)].lower() == word:
+            return len(word)
+    if c[i:i + 8] in ("01234567", "12345678"):
+        return 8
+    if m := UUID.match(c, i):
+        return m.end() - i
+    n = len(c[i:]) - len(c[i:].lstrip(c[i]))
+    return n if n >= 6 else 0
+
+
+def pieces(c):
+    at = i = 0
+    while i < len(c):
+        if n := allowed_at(c, i):
+            yield at, c[at:i]
+            i += n
+            at = i
+        else:
+            i += 1
+    yield at, c[at:]
+
+
+def judged(c):
+    """(start, text, bits) of what is judged in a piece."""
+    kinds = [any(x.isdigit() for x in c), any(x.islower() for x in c), any(x.isupper() for x in c)]
+    if all(kinds):
+        yield 0, c, 3.6
+        return
+    for m in re.finditer("[A-Za-z0-9]{20,}", c):
+        run = m[0]
+        groups = re.findall("[0-9]+", run)
+        if set(run) <= set("0123456789abcdefABCDEF") and groups and re.search("[a-fA-F]", run):
+            yield m.start(), run, 2.8
+        elif (run.islower() or run.isupper()) and len(groups) > 1:
+            yield m.start(), run, 3.5
+
+
 def brute(text):
     text = text or ""
     base = [(m.start(), 1, m.end()) for m in re.finditer(secrets.ASSIGN, text, re.A | re.I) if len(m[2]) >= 6]
     base += [(m.start(), 2, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     base += [(m.start(), 3, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
-    more = []
-    for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
-        c, w = m[0], secrets.WINDOW
-        bits = next((b for p, b in secrets.CLASSES if re.search(p, c)), None)
-        if len(c) < w or bits is None or any(re.search(p, c) for p in secrets.ALLOWED):
-            continue
-        high = [i for i in range(len(c) - w + 1) if -sum(n / w * math.log2(n / w) for n in Counter(c[i:i + w]).values()) >= bits - 1e-9]
-        if high and not any(a <= m.start() + high[0] and m.start() + high[-1] + w <= b for a, _, b in base):
-            more.append((m.start() + high[0], 4, m.start() + high[-1] + w))
+    more, w = [], 20
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        for a, piece in pieces(m[0]):
+            for b, c, bits in judged(piece) if len(piece) >= w else ():
+                high = [i for i in range(len(c) - w + 1) if -sum(n / w * math.log2(n / w) for n in Counter(c[i:i + w]).values()) >= bits - 1e-9]
+                first = m.start() + a + b
+                if high and not any(x <= first + high[0] and first + high[-1] + w <= y for x, _, y in base):
+                    more.append((first + high[0], 4, first + high[-1] + w))
     return sorted(base), sorted(base + more)
 
 
@@ -54,6 +102,25 @@ def test_hand_made(spark):
     got = secrets.find_secrets(docs).orderBy("doc_id").collect()
     check(TEXTS, got)
     assert got[5].n_entropy >= 2 and got[6].n_entropy == 0 and got[7].n_entropy == 0
+    by_text = {TEXTS[r.doc_id]: r for r in got}
+    assert [by_text[t].n_entropy for t in TEXTS if (t or "").startswith(("base32", "/sample/"))] == [2, 4]
+
+
+def test_a_dump_of_keys_in_seconds(spark):
+    """25,000 keys in one text: the work grows with the text."""
+    import random
+    import time
+
+    rng = random.Random(3)
+    keys = ["".join(rng.choices("0123456789abcdef", k=40)) if i % 2 else "".join(rng.choices(secrets.ALPHABET[:62], k=40)) for i in range(25_000)]
+    text = "\n".join(f"line {i}: {k} {'x' * 50}" for i, k in enumerate(keys))
+    docs = spark.createDataFrame([(1, text, "s", 0)], "doc_id long, text string, source string, n_chars long")
+    began = time.perf_counter()
+    r = secrets.find_secrets(docs).first()
+    took = time.perf_counter() - began
+    masked = secrets.redact_documents(docs).first()
+    assert r.n_hex == 12_500 and r.n_entropy > 11_000 and masked.text.count("[SECRET]") >= 23_500 and not any(k in masked.text for k in keys[1::2])
+    assert len(text) > 2_500_000 and took < 60, took
 
 
 def test_small_tables_and_odd_rows(spark, odd, empty):
