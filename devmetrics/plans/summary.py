@@ -11,7 +11,7 @@ import re
 import sys
 
 EAGER = {"stream_ingest", "stream_dedup", "stream_window_count", "stream_ack_timeout", "stream_csv_ingest", "stream_csv_to_store",
-         "stream_stats"}
+         "stream_stats", "stream_open_deliveries", "stream_first_copies"}
 
 
 def shape(plan: str) -> dict[str, str]:
