@@ -64,6 +64,11 @@ def window_count(points: DataFrame, every_ns: int, start_ns: int, stop_ns: int,
     rng = time_range(points, start_ns, stop_ns)
     ones = rng.select(*by, truncate_ns(F.col("timestamp_ns"), every_ns).alias("_w"), F.lit(1).cast("long").alias("_n"))
     counts = ones.groupBy(*by, "_w").agg(F.sum("_n").alias("points"))
+    return filled_windows(counts, every_ns, start_ns, stop_ns, by, create_empty)
+
+
+def filled_windows(counts: DataFrame, every_ns: int, start_ns: int, stop_ns: int, by: Sequence[str], create_empty: bool) -> DataFrame:
+    """Counts per group and window start (``by``, ``_w``, points) as the rows of ``window_count``."""
     if create_empty:
         # The grid's groups come from the counts (one row per group and non-empty window), so the points are read
         # once; the grid rows (groups x windows) are summed with the counts in one small aggregate, no join.
@@ -91,21 +96,26 @@ def continuity_gaps(points: DataFrame, every_ns: int, start_ns: int, stop_ns: in
     one row per window, not per point), with virtual windows just before the first and after the last window so
     leading and trailing gaps appear too.
     """
-    first, last = _window_bounds(start_ns, stop_ns, every_ns)
     rng = time_range(points, start_ns, stop_ns)
-    nonempty = rng.select(*by, truncate_ns(F.col("timestamp_ns"), every_ns).alias("_w")).distinct()
-    nonempty = materialize(nonempty, "nonempty-windows")  # small (groups x windows); read twice, computed once
-    groups = nonempty.select(*by).distinct()
-    edges = groups.select(*by, F.explode(F.array(F.lit(first - every_ns), F.lit(last + every_ns))).alias("_w"))
-    marks = nonempty.unionByName(edges)
-    w = Window.partitionBy(*by).orderBy("_w")
-    steps = marks.select(*by, F.lag("_w").over(w).alias("_prev"), F.col("_w"))
-    gaps = steps.where(F.col("_w") - F.col("_prev") > every_ns)
+    nonempty = rng.select(*by, truncate_ns(F.col("timestamp_ns"), every_ns).alias("_first")).distinct()
+    return empty_runs(nonempty.withColumn("_last", F.col("_first")), every_ns, start_ns, stop_ns, by)
+
+
+def empty_runs(full: DataFrame, every_ns: int, start_ns: int, stop_ns: int, by: Sequence[str]) -> DataFrame:
+    """The runs between runs of non-empty windows (``by``, ``_first``, ``_last``, which meet at their ends at most) as the
+    rows of ``continuity_gaps``."""
+    first, last = _window_bounds(start_ns, stop_ns, every_ns)
+    full = materialize(full, "nonempty-windows")  # small (groups x windows); read twice, computed once
+    edge = F.explode(F.array(F.lit(first - every_ns), F.lit(last + every_ns)))
+    edges = full.select(*by).distinct().select(*by, edge.alias("_first")).withColumn("_last", F.col("_first"))
+    w = Window.partitionBy(*by).orderBy("_first", "_last")
+    steps = full.unionByName(edges).select(*by, F.lag("_last").over(w).alias("_prev"), "_first")
+    gaps = steps.where(F.col("_first") - F.col("_prev") > every_ns)
     return gaps.select(
         *by,
         F.greatest(F.col("_prev") + every_ns, F.lit(start_ns)).alias("gap_start_ns"),
-        F.least(F.col("_w"), F.lit(stop_ns)).alias("gap_end_ns"),
-        (F.call_function("div", F.col("_w") - F.col("_prev"), F.lit(every_ns)) - 1).cast("long").alias("empty_windows"),
+        F.least(F.col("_first"), F.lit(stop_ns)).alias("gap_end_ns"),
+        (F.call_function("div", F.col("_first") - F.col("_prev"), F.lit(every_ns)) - 1).cast("long").alias("empty_windows"),
     )
 
 

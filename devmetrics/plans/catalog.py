@@ -22,7 +22,7 @@ from devmetrics.operators import depth, enrich, ledger, reads, sender
 from devmetrics.operators.points import build_points, pivot_fields, series_id, sorted_tags, unpivot_fields, upsert_points, widen_tags
 from devmetrics.plans import params as P
 from devmetrics.session import scratch_path
-from devmetrics.streaming import carried, streams
+from devmetrics.streaming import carried, rollups, streams
 from devmetrics.plans import fixtures as fx
 from devmetrics.sources.backlog import read_backlog, write_backlog
 from devmetrics.sources.csv import quote_csv_field, read_metrics_csv, stamp_arrival
@@ -795,6 +795,117 @@ def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.coalesce(F.sum("points_without_gpu"), F.lit(0)).cast("long").alias("points_without_gpu"))
 
 
+# --- merged tables: batches folded in behind a manifest ------------------------------------------------------------
+
+GPU = {"gpu_id": "string"}
+
+
+def _batched(spark: SparkSession, sf_dir: str, name: str, tables: dict, rows_of) -> dict:
+    """Runs the events in four micro-batches out of order into merged tables; the first two batches are merged, the
+    others are left to be merged while reading. ``rows_of``: from a batch's telemetry, the rows of each table."""
+    base = scratch_path(spark, name)
+    made = {k: make(f"{base}/{k}") for k, make in tables.items()}
+
+    def write(batch: DataFrame, n: int) -> None:
+        for k, rows in rows_of(batch).items():
+            made[k].write_batch(rows, n)
+            if n == 1:
+                made[k].merge_new(batch.sparkSession)
+
+    _run(fx.telemetry_from_events(_events_stream(spark, sf_dir, base)), streams.fan_out_writer([write]), f"{base}/checkpoint")
+    return made
+
+
+def _plain_points(tel: DataFrame) -> DataFrame:
+    cols = ["measurement", "persist_key", "timestamp_ns", "gpu_id", "source_node", "tags", "fields", "series_id"]
+    return rollups.dated(build_points(tel).select(*cols))
+
+
+@query
+def compacted_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + D9: every delivery writes its message's point (a redelivery repeats it), in batches out of order; merges keep
+    the last write of each point, day by day, and the rest is merged while reading."""
+    schema = _plain_points(fx.telemetry(spark, sf_dir)).schema
+    copies = lambda tel: {"points": _plain_points(tel).unionByName(_plain_points(fx.redelivered(tel)))}
+    made = _batched(spark, sf_dir, "compacted-points", {"points": lambda p: rollups.points_table(p, schema)}, copies)
+    return made["points"].read(spark).select("persist_key", "timestamp_ns", "series_id", F.col("fields.metric_name").alias("metric_name"))
+
+
+@query
+def rollup_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 from stored counts: hourly counts per GPU over a range that begins and ends within a minute, empty windows
+    included; the points are read for those two minutes only."""
+    made = _batched(spark, sf_dir, "rollup-counts", {"counts": lambda p: rollups.count_table(p, GPU)},
+                    lambda tel: {"counts": rollups.count_cells(build_points(tel), ["gpu_id"])})
+    return rollups.counted_windows(spark, made["counts"], lambda a, b: points(spark, sf_dir, a, b), NS_PER_HOUR,
+                                   P.UNALIGNED_START_NS, P.UNALIGNED_END_NS)
+
+
+@query
+def rollup_total_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 with one window over the whole range, from days, hours, minutes and the points of the two ends."""
+    made = _batched(spark, sf_dir, "rollup-totals", {"counts": lambda p: rollups.count_table(p, GPU)},
+                    lambda tel: {"counts": rollups.count_cells(build_points(tel), ["gpu_id"])})
+    whole = 400 * NS_PER_DAY * 100  # one window holds all of the data's time
+    return rollups.counted_windows(spark, made["counts"], lambda a, b: points(spark, sf_dir, a, b), whole,
+                                   P.UNALIGNED_START_NS, P.UNALIGNED_END_NS, create_empty=False)
+
+
+def _coverage(spark: SparkSession, sf_dir: str, name: str, threshold_ns: int):
+    made = _batched(spark, sf_dir, name, {"spans": lambda p: rollups.coverage_table(p, GPU, threshold_ns)},
+                    lambda tel: {"spans": rollups.coverage_spans(build_points(tel), ["gpu_id"], threshold_ns)})
+    return made["spans"]
+
+
+@query
+def coverage_silences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 from stored coverage: closed silences longer than two days per GPU."""
+    spans = rollups.silences(spark, _coverage(spark, sf_dir, "coverage", 2 * NS_PER_DAY), 2 * NS_PER_DAY)
+    return spans.where(F.col("gpu_id").isNotNull())
+
+
+@query
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D7 from stored coverage: merged runs of empty hourly windows per GPU over [START, END)."""
+    return rollups.gaps(spark, _coverage(spark, sf_dir, "coverage-gaps", NS_PER_HOUR), NS_PER_HOUR, NS_PER_HOUR, P.START_NS, P.END_NS)
+
+
+def _sketches(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Sketches per metric and hour, unioned to one row per metric."""
+    columns, distinct = {"metric_name": "string"}, ["series_id"]
+    pts = lambda tel: build_points(tel).withColumn("metric_name", F.col("fields.metric_name"))
+    made = _batched(spark, sf_dir, name, {"cells": lambda p: rollups.sketch_table(p, columns, distinct)},
+                    lambda tel: {"cells": rollups.sketch_cells(pts(tel), ["metric_name"], distinct, F.col("fields.value"), NS_PER_HOUR)})
+    return rollups.read_sketches(spark, made["cells"], NS_PER_HOUR, ["metric_name"], distinct)
+
+
+@query
+def sketched_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 from stored sketches: the number of series per metric, counted exactly, and whether the union of the hourly
+    sketches is within the stated error of it."""
+    exact = points(spark, sf_dir).groupBy(F.col("fields.metric_name").alias("metric_name")).agg(F.count_distinct("series_id").alias("series"))
+    found = _sketches(spark, sf_dir, "sketched-series").select(F.col("metric_name").alias("_m"), rollups.distinct_estimate("series_id").alias("_e"))
+    near = F.abs(F.col("_e") - F.col("series")) <= F.greatest(F.lit(1.0), F.col("series") * rollups.DISTINCT_ERROR)
+    return exact.join(found, F.col("metric_name").eqNullSafe(F.col("_m"))).select("metric_name", "series", near.alias("within_error"))
+
+
+@query
+def sketched_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K11 from stored sketches: p50, p95 and p99 of every metric's values, checked by their true rank: the share of
+    values below and up to the returned one is within the stated error of the quantile."""
+    quantiles = F.explode(F.array(*[F.struct(F.lit(p).alias("percent"), rollups.quantile_estimate(p / 100).alias("_v")) for p in (50, 95, 99)]))
+    found = _sketches(spark, sf_dir, "sketched-quantiles").select(F.col("metric_name").alias("_m"), quantiles.alias("_q")).select("_m", "_q.*")
+    rows = points(spark, sf_dir).select(F.col("fields.metric_name").alias("metric_name"), F.col("fields.value").alias("_value"))
+    rows = rows.where(F.col("_value").isNotNull()).join(found, F.col("metric_name").eqNullSafe(F.col("_m")))
+    ranked = rows.groupBy("metric_name", "percent").agg(
+        F.count(F.lit(1)).alias("points"), F.count_if(F.col("_value") < F.col("_v")).alias("_below"),
+        F.count_if(F.col("_value") <= F.col("_v")).alias("_upto"))
+    slack = F.greatest(F.lit(1.0), F.col("points") * rollups.RANK_ERROR)
+    at = F.col("points") * F.col("percent") / 100
+    return ranked.select("metric_name", F.col("percent").cast("int").alias("percent"), "points",
+                         ((F.col("_below") <= at + slack) & (F.col("_upto") >= at - slack)).alias("within_error"))
+
+
 @query
 def parse_value_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2 + B4: the metric value texts of ``csv_ingest`` parsed strictly, each with its reject reason."""

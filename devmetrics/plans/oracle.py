@@ -467,6 +467,33 @@ WHERE NOT EXISTS (SELECT 1 FROM acks a WHERE a.message_id = d.message_id AND a.m
 
 ORACLE["stream_open_deliveries"] = ORACLE["stream_ack_timeout"]
 ORACLE["stream_first_copies"] = ORACLE["stream_dedup"]
+ORACLE["compacted_points"] = ORACLE["stream_dedup"]
+ORACLE["coverage_silences"] = ORACLE["gpu_silences"]
+ORACLE["coverage_gaps"] = ORACLE["continuity_gaps"]
+
+_U0, _U1 = P.UNALIGNED_START_NS, P.UNALIGNED_END_NS
+
+oracle("rollup_window_count", ("points",), f"""
+, rng AS (SELECT gpu_id, timestamp_ns - timestamp_ns % {HOUR} AS w FROM points WHERE timestamp_ns >= {_U0} AND timestamp_ns < {_U1}),
+grid AS (SELECT g.gpu_id, r.range AS w FROM (SELECT DISTINCT gpu_id FROM rng) g,
+         range({_U0 - _U0 % HOUR}, {(_U1 - 1) - (_U1 - 1) % HOUR + 1}, {HOUR}) r)
+SELECT g.gpu_id, greatest(g.w, {_U0}) AS window_start_ns, least(g.w + {HOUR}, {_U1}) AS window_end_ns, count(rng.w) AS points
+FROM grid g LEFT JOIN rng ON g.gpu_id IS NOT DISTINCT FROM rng.gpu_id AND g.w = rng.w GROUP BY ALL
+""")
+
+oracle("rollup_total_count", ("points",), f"""
+SELECT gpu_id, CAST({_U0} AS BIGINT) AS window_start_ns, CAST({_U1} AS BIGINT) AS window_end_ns, count(*) AS points
+FROM points WHERE timestamp_ns >= {_U0} AND timestamp_ns < {_U1} GROUP BY gpu_id
+""")
+
+oracle("sketched_series", ("points",), """
+SELECT metric_name, count(DISTINCT series_id) AS series, true AS within_error FROM points GROUP BY metric_name
+""")
+
+oracle("sketched_quantiles", ("points",), """
+SELECT metric_name, percent, count(value) AS points, true AS within_error
+FROM points, (VALUES (50), (95), (99)) q(percent) WHERE value IS NOT NULL GROUP BY ALL
+""")
 
 # --- ledger shapes and long form -------------------------------------------------------------------------------------
 oracle("requeue_ledger", _L, f"""

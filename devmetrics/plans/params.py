@@ -9,6 +9,9 @@ FLAGSHIP_START = "2024-01-10T00:00:00Z"
 FLAGSHIP_END = "2024-01-20T00:00:00Z"
 START_NS = 1_704_844_800 * NS_PER_SECOND  # 2024-01-10T00:00:00Z
 END_NS = 1_705_708_800 * NS_PER_SECOND  # 2024-01-20T00:00:00Z
+# A range whose ends fall within an hour and a minute: 2024-01-10T05:17:23.5Z to 2024-01-19T21:42:41.25Z.
+UNALIGNED_START_NS = START_NS + 19_043_500_000_000
+UNALIGNED_END_NS = END_NS - 8_238_750_000_000
 ACK_TIMEOUT_NS = 30 * NS_PER_SECOND
 SCAN_INTERVAL_NS = 10 * NS_PER_SECOND
 MAX_RETRIES = 5

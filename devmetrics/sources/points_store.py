@@ -34,7 +34,7 @@ def write_points(points: DataFrame, path: str, mode: str = "append", partitions:
     w.parquet(path)
 
 
-def _date(ns: int) -> dt.date:
+def utc_date(ns: int) -> dt.date:
     return dt.date(1970, 1, 1) + dt.timedelta(days=ns // NS_PER_DAY)
 
 
@@ -50,16 +50,16 @@ def read_points(spark: SparkSession, path: str, start_ns: int | None = None, sto
     if measurement is not None:
         df = df.where(F.col("measurement") == measurement)
     if start_ns is not None:
-        df = df.where((F.col("date") >= F.lit(_date(start_ns))) & (F.col("timestamp_ns") >= start_ns))
+        df = df.where((F.col("date") >= F.lit(utc_date(start_ns))) & (F.col("timestamp_ns") >= start_ns))
     if stop_ns is not None:
-        df = df.where((F.col("date") <= F.lit(_date(stop_ns - 1))) & (F.col("timestamp_ns") < stop_ns))
+        df = df.where((F.col("date") <= F.lit(utc_date(stop_ns - 1))) & (F.col("timestamp_ns") < stop_ns))
     return df
 
 
 def _days(spark: SparkSession, path: str, start_ns: int | None, stop_ns: int | None, measurement: str | None) -> DataFrame:
     if measurement is None or start_ns is None or stop_ns is None or stop_ns <= start_ns:
         return spark.read.parquet(path)
-    days = [_date(start_ns) + dt.timedelta(days=i) for i in range((_date(stop_ns - 1) - _date(start_ns)).days + 1)]
+    days = [utc_date(start_ns) + dt.timedelta(days=i) for i in range((utc_date(stop_ns - 1) - utc_date(start_ns)).days + 1)]
     jvm = spark.sparkContext._jvm
     folders = [f"{path}/measurement={measurement}/date={d}" for d in days]
     root = jvm.org.apache.hadoop.fs.Path(path)

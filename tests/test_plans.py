@@ -10,7 +10,8 @@ from tests.conftest import SF_SMALL
 # Queries that run a stream or write files while being built; their final plan is a plain file scan.
 EAGER = {"stream_ingest", "stream_dedup", "stream_window_count", "stream_ack_timeout", "csv_ingest",
          "backlog_roundtrip", "points_store_read", "stream_csv_ingest", "stream_csv_to_store", "stream_stats",
-         "stream_open_deliveries", "stream_first_copies"}
+         "stream_open_deliveries", "stream_first_copies", "compacted_points", "rollup_window_count", "rollup_total_count",
+         "coverage_silences", "coverage_gaps", "sketched_series", "sketched_quantiles"}
 BATCH = sorted(set(QUERIES) - EAGER)
 
 
