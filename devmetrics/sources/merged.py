@@ -110,14 +110,10 @@ class MergedTable:
     # --- writing
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` writer: batch ``n`` to its own folder. A batch without rows is complete, too."""
-        self._write(rows.select(*self.schema.names), f"{self.path}/batches/batch_id={batch_id}")
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        """Range partitioning keeps a partition's rows in few files and splits a large one over several tasks."""
-        keys = [*self.partition_by, *self.order]
-        ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        ranged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
+        """``foreachBatch`` writer: batch ``n`` to its own folder, without a shuffle (a merge puts rows in order). A batch
+        without rows is complete, too."""
+        (rows.select(*self.schema.names).write.mode("overwrite").partitionBy(*self.partition_by)
+         .parquet(f"{self.path}/batches/batch_id={batch_id}"))
 
     def merge_new(self, spark: SparkSession) -> list[str]:
         """Merges the batches since the last merge and commits; the partition folders that were rewritten."""
@@ -131,7 +127,10 @@ class MergedTable:
         if touched:
             run = uuid.uuid4().hex[:16]
             rows = self.merge(self._rows(spark, {f: runs[f] for f in touched if f in runs}, fresh))
-            self._write(rows.select(*self._stored().names), f"{self.path}/merged/run={run}")
+            # by range: a partition's rows in few files, those of a large one split over several tasks
+            keys = [*self.partition_by, *self.order]
+            ranged = rows.select(*self._stored().names).repartitionByRange(*keys).sortWithinPartitions(*keys)
+            ranged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/merged/run={run}")
             runs.update({f: run for f in touched})
         self._commit(files, Manifest(manifest.version + 1, max(fresh), runs))
         return touched
