@@ -13,7 +13,8 @@ kept by rank. Every row is in the index.
 
 Defined cases: null, empty or zero vectors, null or non-finite components, and null vec_ids take no part; vectors of
 other lengths than the query's are no candidates; rows that share the query's vec_id are its own; other repeated
-vec_ids are rows like any others; equal scores: smaller vec_id first; empty table: empty result; other columns are
+vec_ids are rows like any others; query rows of one vec_id and vector are one query, answered once, and those of one
+vec_id with other vectors are queries of their own; equal scores: smaller vec_id first; empty table: empty result; other columns are
 not read.
 """
 
@@ -93,13 +94,15 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, rows: int = ROWS, per_block: int = QUERIES) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query. Both inputs: (vec_id, v), see ``usable``."""
+    queries = queries.dropDuplicates(["vec_id", "v"])
     size = F.size("v").alias("dim")
     n_rows, n_queries = (max(1, -(-t.count() // n)) for t, n in ((vectors, rows), (queries, per_block)))
     block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = vectors.select(size, block(n_rows).alias("rb"), every(n_queries).alias("qb"), "vec_id", "v")
-    right = queries.select(size, every(n_rows).alias("rb"), block(n_queries).alias("qb"), "vec_id", "v")
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    right = queries.select(size, every(n_rows).alias("rb"), block(n_queries).alias("qb"), "vec_id", "v",
+                           F.xxhash64("v").alias("which"))  # tells queries of one vec_id apart
+    schema = pa.schema([("query_id", pa.int64()), ("which", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def plain(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids = t.column("vec_id").to_numpy()
@@ -110,10 +113,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, rows: int = ROWS
             return schema.empty_table()
         found = Block(*plain(here))
         query_ids, qs = plain(asked)
-        out = [(np.full(len(p), query_ids[i]), found.ids[p], s) for i, (p, s) in enumerate(found.search(query_ids, qs, k))]
+        which = asked.column("which").to_numpy()
+        out = [(np.full(len(p), query_ids[i]), np.full(len(p), which[i]), found.ids[p], s) for i, (p, s) in enumerate(found.search(query_ids, qs, k))]
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
     keys = ["dim", "rb", "qb"]
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, which long, vec_id long, score double")
+    best = Window.partitionBy("query_id", "which").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

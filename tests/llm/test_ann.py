@@ -58,3 +58,18 @@ def test_copies_tie_by_id(spark):
     vectors = ann.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     got = ann.nearest(vectors, vectors.where("vec_id = 50"), rows=40).orderBy("rank").collect()
     assert [r.vec_id for r in got] == [0, 1, 2, 3, 4] and len({r.score for r in got}) == 1
+
+
+def test_repeated_query_rows(spark):
+    """Equal query rows are one query; other vectors under the same id are queries of their own, each with all k."""
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.standard_normal(4)]) for i in range(1, 40)]
+    first, second = [1.0, 2.0, 0.0, 0.5], [-1.0, 0.5, 3.0, 0.0]
+    odd = [(50, first), (50, first), (50, second)]
+    vectors = ann.usable(spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>"))
+    got = ann.nearest(vectors, vectors.where("vec_id = 50"), rows=15).collect()
+    want = []
+    for q in (first, second):
+        score = {i: np.dot(v, q) / (np.linalg.norm(v) * np.linalg.norm(q)) for i, v in rows}
+        want += [(50, n + 1, i) for n, i in enumerate(sorted(score, key=lambda i: (-score[i], i))[:5])]
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == sorted(want)
