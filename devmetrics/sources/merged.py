@@ -110,9 +110,10 @@ class MergedTable:
     # --- writing
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` writer: batch ``n`` to its own folder, without a shuffle (a merge puts rows in order). A batch
-        without rows is complete, too."""
-        (rows.select(*self.schema.names).write.mode("overwrite").partitionBy(*self.partition_by)
+        """``foreachBatch`` writer: batch ``n`` to its own folder. Rows are rebalanced by partition: small folders get one
+        file and tasks are coalesced, while a folder with many rows is split over tasks by size. A batch without rows is
+        complete, too."""
+        (rows.select(*self.schema.names).hint("rebalance", *self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by)
          .parquet(f"{self.path}/batches/batch_id={batch_id}"))
 
     def merge_new(self, spark: SparkSession) -> list[str]:
