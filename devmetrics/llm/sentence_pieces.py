@@ -7,17 +7,24 @@ a word or a line feed, so words are independent: a distinct word's forward pass
 within bounds), sampling is done for every occurrence. Random numbers come from the row's key and the place in its
 text, so that a row gets the same segmentation in any batch, task or run.
 
+Words over ``LONG`` characters (scripts without blanks, minified code, base64) aren't remembered. They are filtered in
+windows of ``WINDOW`` places that carry the last forward values on; as the random number of a place is known
+beforehand, a window settles at once which piece would end at each of its places, and only that is kept: the backward
+pass follows these from the word's end. Time is in proportion to the length.
+
 Blanks become U+2581 as in the vocabulary; a U+2581 of the text itself is written as bytes, so decoding gives back
 every text exactly.
 
 Defined cases: null text: null ids and null decoding; empty text: no ids; null key: a fixed key; rows that repeat key
-and text get the same ids; very long texts: worked on in pieces, none is cut short; empty table: empty result;
+and text get the same ids; very long texts: worked on in pieces, none is cut short (a stretch
+without any blank or line feed is held as a whole, at about 60 bytes a character); empty table: empty result;
 other columns pass through ``encode_documents``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +40,9 @@ SEED = 8
 #: Characters worked on at once, and rows: they bound what a task holds beside its memory of words.
 PIECE = 1 << 18
 ROWS = 250
+#: Characters from which on a word is long, and places of such a word that are filtered at once.
+LONG = 256
+WINDOW = 1 << 14
 BLANK = 0x2581
 _LITERAL = 0x110000 + BLANK  # a U+2581 of the text: no piece has this code
 _BYTES = 1 << 24  # codes from here on: a character to be written as bytes
@@ -165,6 +175,58 @@ class Sampler:
         self.n_edges += len(node)
         return found
 
+    def _sample_long(self, start: int, end: int, row: np.uint64, shift: int, out: np.ndarray) -> None:
+        """Samples the word ``[start, end)`` of the piece into ``out``."""
+        v = self.vocabulary
+        jump = np.empty(end - start, np.uint8)  # by place of its last character: length and code of the piece to take
+        code = np.empty(end - start, np.int32)
+        carry = [0.0]  # forward values of the places up to the window's first
+        for a in range(start, end, WINDOW):
+            ends = np.arange(a + 1, min(a + WINDOW, end) + 1)
+            wide = min(v.longest, int(ends[-1]) - start)
+            edge = np.full((len(ends), wide), len(v.ids), np.int32)  # piece that ends here, by length - 1
+            for k in range(wide):
+                here = np.flatnonzero(ends - start > k)
+                found = v.find.find(span_hashes(self.sums, ends[here] - 1 - k, ends[here]))
+                edge[here, k] = np.where(found < 0, len(v.ids), found)
+            weight = v.weights[edge]
+            weight[:, 0] = np.where(edge[:, 0] == len(v.ids), v.byte_weight, weight[:, 0])
+            node, k = np.nonzero(weight[:, ::-1] > -np.inf)
+            length = wide - k
+            weight = weight[node, length - 1]
+            begin = node - length + len(carry)  # place among the forward values
+            alpha, lead = carry, len(carry)
+            borders = np.searchsorted(node, np.arange(len(ends) + 1)).tolist()
+            begins, weights = begin.tolist(), weight.tolist()
+            for lo, hi in zip(borders[:-1], borders[1:]):
+                ways = [alpha[begins[i]] + weights[i] for i in range(lo, hi)]
+                top = max(ways)
+                alpha.append(top + log(sum([exp(w - top) for w in ways])))
+            values = np.array(alpha)
+            upto = np.cumsum(np.exp(values[begin] + weight - values[node + lead]))
+            first, last = np.array(borders[:-1]), np.array(borders[1:]) - 1
+            upto -= np.repeat(np.append(0, upto[last[:-1]]), last + 1 - first)
+            upto[last] = 2
+            passed = self._draw(row, ends + shift)[node] >= upto
+            taken = first + np.bincount(node[passed], minlength=len(ends))
+            ids = np.append(v.ids, -1)[edge[np.arange(len(ends)), length[taken] - 1]]
+            at = slice(a - start, a - start + len(ends))
+            jump[at] = length[taken]
+            code[at] = np.where(ids < 0, _BYTES + self.codes[ends - 1].astype(np.int64), ids)
+            carry = alpha[-v.longest:]
+        back, place, stops = jump.tobytes(), end - start, []
+        while place:
+            stops.append(place - 1)
+            place -= back[place - 1]
+        stops = np.array(stops)
+        out[start + stops + 1 - jump[stops]] = code[stops]
+
+    @staticmethod
+    def _draw(row: np.ndarray | np.uint64, place: np.ndarray) -> np.ndarray:
+        """Random numbers in [0, 1) of some rows at some places of their texts."""
+        draw = mix(row ^ (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        return (draw >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+
     def encode(self, texts: list[str | None], keys: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
         """All ids and the n + 1 borders of the texts' runs. keys: 64-bit row keys."""
         row = mix(keys.astype(np.uint64) ^ mix(np.uint64([seed])))
@@ -187,18 +249,21 @@ class Sampler:
             begins = np.ones(len(codes), bool)
             begins[1:] = blank[1:] & ~blank[:-1] | feed[1:] | feed[:-1] | (piece[1:] != piece[:-1])
             self.codes, self.sums = codes, prefix_sums(codes)
-            self.starts = np.flatnonzero(begins)
-            self.ends = np.append(self.starts[1:], len(codes))
+            starts = np.flatnonzero(begins)
+            ends = np.append(starts[1:], len(codes))
+            short = ends - starts <= LONG
+            self.starts, self.ends = starts[short], ends[short]
             at = self.memo(span_hashes(self.sums, self.starts, self.ends))
             rows = self.memo.rows[at]
             node, left, end = rows[:, 0], rows[:, 1], self.ends.copy()
             which = piece[self.starts]
-            owner = np.array([i for i, _ in part])[which]
-            shift, own = (ahead - offsets)[which], row[owner]
+            number = np.array([i for i, _ in part])
+            shift, own = (ahead - offsets)[which], row[number[which]]
             out = np.full(len(codes), -1, np.int64)
+            for a, b in zip(starts[~short].tolist(), ends[~short].tolist()):
+                self._sample_long(a, b, row[number[piece[a]]], int((ahead - offsets)[piece[a]]), out)
             while len(node):
-                draw = mix(own ^ ((end + shift).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-                u = ((draw >> np.uint64(40)).astype(np.float32)) * np.float32(2.0**-24)
+                u = self._draw(own, end + shift)
                 edge, on = self.first[node].astype(np.int64), np.arange(len(node))
                 while len(on):
                     on = on[u[on] >= self.share[edge[on]]]
@@ -210,7 +275,7 @@ class Sampler:
                 more = left > 0
                 node, left, end, shift, own = (node - length)[more], left[more], end[more], shift[more], own[more]
             at = np.flatnonzero(out >= 0)
-            ids, owner = out[at], np.array([i for i, _ in part])[piece[at]]
+            ids, owner = out[at], number[piece[at]]
             odd = np.flatnonzero(ids >= _BYTES)
             if len(odd):
                 chars = ids[odd] - _BYTES

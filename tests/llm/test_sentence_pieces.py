@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import numpy as np
@@ -37,8 +38,10 @@ def test_same_in_any_order_batch_or_memory(vocabulary):
     assert other != want
 
 
-def test_sampling_follows_the_lattice(vocabulary):
+@pytest.mark.parametrize("long", [256, 0])
+def test_sampling_follows_the_lattice(vocabulary, long, monkeypatch):
     """All segmentations of a word by brute force, with their shares, against the counts of many samples."""
+    monkeypatch.setattr(sp, "LONG", long)
     model = sentencepiece.SentencePieceProcessor(model_file=PATH)
     weight = dict(zip(vocabulary.ids.tolist(), vocabulary.weights.tolist()))
     piece = {model.id_to_piece(i): i for i in weight}
@@ -72,6 +75,30 @@ def test_long_text_in_pieces(vocabulary, monkeypatch):
     assert runs(ids, borders)[0] == runs(ids, borders)[2]
 
 
+def test_long_words_like_short_ones(vocabulary, monkeypatch):
+    """The same numbers are drawn on both ways, so the samples are the same, in windows of any size."""
+    texts = [*TEXTS, "日本語の文章には空白がない。" * 30, "aGVsbG8gd29ybGQ" * 40 + "\n" + "x▁" * 300, "e" * 700]
+    keys = np.arange(len(texts)) * 31
+    monkeypatch.setattr(sp, "LONG", 1 << 30)
+    want = runs(*sp.Sampler(vocabulary).encode(texts, keys))
+    for long, window in ((0, 1 << 14), (0, 1), (3, 7), (256, 100)):
+        monkeypatch.setattr(sp, "LONG", long)
+        monkeypatch.setattr(sp, "WINDOW", window)
+        assert runs(*sp.Sampler(vocabulary).encode(texts, keys)) == want
+
+
+def test_a_megabyte_without_blanks(vocabulary):
+    letters = np.random.default_rng(5).integers(97, 123, 1_000_000).astype(np.uint8).tobytes().decode()
+    text = letters[:900_000] + "文字" * 50_000
+    begun = time.time()
+    encoder = sp.Sampler(vocabulary)
+    ids, borders = encoder.encode([text, "a b", text], np.array([1, 2, 1]))
+    assert time.time() - begun < 60  # two of them; seconds each, with room for a busy machine
+    assert vocabulary.decode(ids, borders) == [text, "a b", text]
+    assert runs(ids, borders)[0] == runs(ids, borders)[2]
+    assert len(encoder.share) == 1 << 16  # nothing of them is remembered
+
+
 def test_documents(spark, odd, empty):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     for table in (docs, odd):
