@@ -7,7 +7,8 @@ label stand out and are returned as spans.
 
 A text's score must not grow with its length alone. So in a fitted model a sentence without any feature adds nothing,
 and of the sentences under a probability of ``FLOOR`` (the level at which a sentence is returned as offending) only
-the strongest adds: a text of any length without an offending sentence scores less than ``FLOOR``.
+the strongest adds: a text of any length without an offending sentence scores less than ``FLOOR``. Training goes through
+the same function.
 
 The classifier is fitted on the driver on a bounded sample of the labelled rows: at most ``TOXIC_SAMPLE`` toxic and
 ``CLEAN_SAMPLE`` other documents, those first in the order of md5(doc_id), and at most ``VOCABULARY`` features. Scoring reads every whole
@@ -41,6 +42,8 @@ MIN_ASSOCIATION = 16.0
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
 FLOOR = 0.5
+#: Where the bias starts and what it is drawn to: sentences without features, which don't count, can't hold it down.
+BIAS = -8.0
 
 #: Bytes that end a sentence.
 ENDS = np.zeros(256, bool)
@@ -96,9 +99,18 @@ def association(with_toxic: np.ndarray, with_any: np.ndarray, toxic: int, n: int
     return np.where(with_toxic * n > with_any * toxic, out, 0.0)
 
 
+def counted_sentences(document: np.ndarray, p: np.ndarray, floor: float) -> np.ndarray:
+    """Which sentences (with a feature) count: those of at least ``floor``, and a document's first strongest of the others."""
+    counts = p >= floor
+    weak = np.flatnonzero(~counts)
+    order = weak[np.lexsort((weak, -p[weak], document[weak]))]
+    counts[order[np.append(True, document[order][1:] != document[order][:-1])[:len(order)]]] = True
+    return counts
+
+
 def train(texts: list[str], labels: list[int], rounds: int = 400, rate: float = 0.1, l2: float = 5e-2,
           vocabulary: int = VOCABULARY, min_association: float = MIN_ASSOCIATION) -> Model:
-    """Noisy-or logistic weights by full-batch Adam; deterministic.
+    """Noisy-or logistic weights by full-batch Adam; deterministic. The noisy-or is the one that scores, with ``FLOOR``.
 
     Features are words and word beginnings that go with toxic documents beyond chance (G2 of ``min_association``)."""
     if len(set(labels)) < 2:
@@ -124,15 +136,19 @@ def train(texts: list[str], labels: list[int], rounds: int = 400, rate: float =
         return Model({}, -40.0)
     n_sentences, document = len(document), np.array(document)
     sentence, feature, times = (np.array(x, np.int64) for x in (zip(*hits) if hits else ((), (), ())))
-    weights, bias = np.full(len(kept), 4.0), -8.0
+    some = np.bincount(sentence, minlength=n_sentences) > 0
+    sentence, document = (np.cumsum(some) - 1)[sentence], document[some]
+    n_sentences = len(document)
+    weights, bias = np.full(len(kept), 4.0), BIAS
     moments = np.zeros((2, len(kept) + 1))
     for step in range(1, rounds + 1):
         z = bias + np.bincount(sentence, weights=weights[feature] * times, minlength=n_sentences)
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        total = np.bincount(document, weights=np.logaddexp(0, z), minlength=len(y))
+        counts = counted_sentences(document, p, FLOOR)
+        total = np.bincount(document, weights=np.where(counts, np.logaddexp(0, z), 0), minlength=len(y))
         outer = np.where(y == 1, -1 / np.expm1(np.clip(total, 1e-6, 50)), 1.0)
-        dz = p * outer[document]
-        grad = np.append(np.bincount(feature, weights=dz[sentence] * times, minlength=len(kept)) + l2 * weights, dz.sum())
+        dz = np.where(counts, p * outer[document], 0)
+        grad = np.append(np.bincount(feature, weights=dz[sentence] * times, minlength=len(kept)) + l2 * weights, dz.sum() + l2 * (bias - BIAS))
         moments[0] += 0.1 * (grad - moments[0])
         moments[1] += 0.001 * (grad**2 - moments[1])
         move = rate * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)

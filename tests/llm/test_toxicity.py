@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -38,6 +40,43 @@ def test_noisy_or_of_sentences():
     assert abs(toxicity.Scorer(model).score([text])[0][0] - want) < 1e-9
 
 
+def by_hand(model, text):
+    """The registered score, sentence by sentence."""
+    found = []
+    for sentence in re.split(r"[.!?\n]", text):
+        own = [model.weights[f] for w in re.findall(r"[^\W\d_]+", sentence.lower()) for f in toxicity.word_features(w) if f in model.weights]
+        if own:
+            found.append(1 / (1 + math.exp(-(model.bias + sum(own)))))
+    strong, weak = [p for p in found if p >= 0.5], [p for p in found if p < 0.5]
+    return 1 - math.prod(1 - p for p in strong + sorted(weak)[-1:])
+
+
+def test_registered_score_by_hand():
+    model = toxicity.Model({"bad": 3.0, "mild": 1.5, "good": -2.0, "naug-": 0.5, "naugh-": 1.0}, -2.0, toxicity.FLOOR)
+    rng = np.random.default_rng(1)
+    words = ["bad", "mild", "good", "naughty", "other", "thing", "Bad", "MILD"]
+    texts = ["", "other thing", "mild", "mild. mild. mild", "bad. bad", "good. naughty\nmild mild! bad"]
+    texts += [" ".join(w + e for w, e in zip(rng.choice(words, 30), rng.choice(["", "", ".", "\n", "?"], 30))) for _ in range(200)]
+    scores = toxicity.Scorer(model).score(texts)[0]
+    assert np.allclose(scores, [by_hand(model, t) for t in texts], atol=1e-6) and len(set(scores)) > 20
+    fitted = toxicity.train(*corpus())
+    texts = corpus()[0]
+    assert np.allclose(toxicity.Scorer(fitted).score(texts)[0], [by_hand(fitted, t) for t in texts], atol=1e-5)
+
+
+def test_sentences_that_count_in_training():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        n = int(rng.integers(0, 12))
+        document, p = np.sort(rng.integers(0, 4, n)), rng.choice([0.1, 0.3, 0.4, 0.5, 0.9], n)
+        want = np.zeros(n, bool)
+        for d in set(document.tolist()):
+            own = [i for i in range(n) if document[i] == d]
+            weak = [i for i in own if p[i] < 0.5]
+            want[[i for i in own if p[i] >= 0.5] + ([max(weak, key=lambda i: (p[i], -i))] if weak else [])] = True
+        assert (toxicity.counted_sentences(document, p, 0.5) == want).all()
+
+
 def test_offsets_count_code_points():
     model = toxicity.Model({"bad": 9.0}, -4.0)
     text = "é𝔘 ok. so bád é bad, yes. fin"
