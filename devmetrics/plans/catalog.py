@@ -662,9 +662,10 @@ def _events_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
 
 
 def _file_count(df: DataFrame) -> int:
-    """As many files as the scan has splits, a multiple of four."""
+    """As many files as the scan has splits, a multiple of four, and for each of four micro-batches at least one file per
+    core: a file is one row group, which one task reads, so a batch of fewer files leaves cores idle whatever its size."""
     last = df.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0]
-    return 4 * (1 + (last or 0) // 4)
+    return 4 * max(1 + (last or 0) // 4, df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _run(df: DataFrame, writer, checkpoint: str) -> None:
