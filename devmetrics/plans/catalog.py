@@ -654,18 +654,19 @@ def _run_stream(spark: SparkSession, df: DataFrame, name: str, output_mode: str
 
 
 def _events_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    """The events as files in no order of time, a quarter of them per micro-batch."""
+    """The events as files in no order of time, a quarter of them per micro-batch. A file is one row group, which one
+    task reads, and a batch has few files, so its rows are dealt over the cores before anything is built from them."""
     events = fx.table(spark, sf_dir, "events")
     n = _file_count(events)
     events.repartition(n, F.xxhash64("event_id")).write.mode("overwrite").parquet(f"{base}/events")
-    return streams.table_stream(spark, f"{base}/events", max_files_per_trigger=n // 4)
+    stream = streams.table_stream(spark, f"{base}/events", max_files_per_trigger=n // 4)
+    return stream.repartition(max(n // 4, spark.sparkContext.defaultParallelism), "event_id")
 
 
 def _file_count(df: DataFrame) -> int:
-    """As many files as the scan has splits, a multiple of four, and for each of four micro-batches at least one file per
-    core: a file is one row group, which one task reads, so a batch of fewer files leaves cores idle whatever its size."""
+    """As many files as the scan has splits, a multiple of four."""
     last = df.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0]
-    return 4 * max(1 + (last or 0) // 4, df.sparkSession.sparkContext.defaultParallelism)
+    return 4 * (1 + (last or 0) // 4)
 
 
 def _run(df: DataFrame, writer, checkpoint: str) -> None:
